@@ -1,4 +1,447 @@
-"""Registered queries, and the SQL that says the same."""
+"""Registered queries over the driver's tables, and the SQL that says the same."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+import tempfile
+from collections.abc import Callable
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siftworks import rules
+from siftworks.functions import classify, html, text
+from siftworks.functions.domains import host, reject_reason
+from siftworks.operators import incremental, labelling, leads
+from siftworks.plans import fixtures as fx
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").unionByName(fx.frame(spark, fx.PAGES))
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", "text").unionByName(fx.frame(spark, fx.TEXTS))
+
+
+def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").select(host(F.col("url")).alias("domain")).unionByName(fx.frame(spark, fx.DOMAINS))
+
+
+def doc_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as leads: one domain each, the first line as title."""
+    docs = read(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".com")).alias("Domain"), F.lit("Live").alias("Brand_Stage"), F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 60).alias("Title"), F.lit(None).cast("string").alias("Meta_Description"), F.substring(F.lower("text"), 1, 500).alias("Page_Text"))
+    return docs.unionByName(fx.frame(spark, fx.LEADS))
+
+
+# --- SQL parts --------------------------------------------------------------------------------------------------------------
+
+P = f"(SELECT page_id, url, html FROM pages UNION ALL {fx.sql(fx.PAGES)})"
+T = f"(SELECT doc_id, text FROM documents UNION ALL {fx.sql(fx.TEXTS)})"
+HOST = "regexp_extract({}, '^[a-z]+://([^/:?#]+)', 1)"
+D = f"(SELECT {HOST.format('url')} AS domain FROM pages UNION ALL {fx.sql(fx.DOMAINS)})"
+L = f"(SELECT 'd' || doc_id || '.com' AS Domain, 'Live' AS Brand_Stage, substr(split_part(text, chr(10), 1), 1, 60) AS Title, NULL::VARCHAR AS Meta_Description, substr(lower(text), 1, 500) AS Page_Text FROM documents UNION ALL {fx.sql(fx.LEADS)})"
+
+
+def has(column: str, words: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({column}, {fx.literal(w)})" for w in words) + ")"
+
+
+def first(column: str, rules_: list, default: str | None) -> str:
+    return "CASE " + " ".join(f"WHEN {has(column, words)} THEN {fx.literal(label)}" for label, words in rules_) + f" ELSE {fx.literal(default)} END"
+
+
+def every(column: str, rules_: list, separator: str) -> str:
+    parts = ", ".join(f"CASE WHEN {' AND '.join(has(column, w) for w in lists)} THEN {fx.literal(label)} END" for label, lists in rules_)
+    return f"nullif(array_to_string(list_filter([{parts}], lambda x: x IS NOT NULL), '{separator}'), '')"
+
+
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def printable(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '[\\p{{C}}\\p{{Zl}}\\p{{Zp}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]', '', 'g'), '[\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')"
+
+
+def missing(x: str) -> str:
+    return f"coalesce(lower({strip(x)}), '') IN ('', 'none')"
+
+
+def clean(x: str, most: int = 250) -> str:
+    whole = strip(f"replace(replace({printable(x)}, chr(92), ' '), '\"', '''')")
+    return f"CASE WHEN {missing(x)} THEN '' ELSE substr({whole}, 1, {most}) END"
+
+
+def content_sql(source: str, key: str, column: str, domain: str) -> str:
+    """CTEs ending in `content` (key, content): two windows over unnested words."""
+    stops = ", ".join(map(fx.literal, rules.STOP_WORDS))
+    return f"""cw0 AS (SELECT {key} AS k, regexp_replace(lower(split_part(coalesce({domain}, ''), '.', 1)), '[^a-z0-9]', '', 'g') AS own,
+    CASE WHEN {missing(column)} THEN [] ELSE regexp_extract_all({printable(column)}, '[a-zA-Z]{{3,}}') END AS ws FROM {source}),
+cw1 AS (SELECT k, own, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM cw0),
+cw2 AS (SELECT k, w, i, row_number() OVER (PARTITION BY k, lower(w) ORDER BY i) AS nth FROM cw1 WHERE lower(w) NOT IN ({stops}) AND lower(w) <> own),
+cw3 AS (SELECT k, w, i, row_number() OVER (PARTITION BY k ORDER BY i) AS n FROM cw2 WHERE nth <= {rules.MAX_REPEATS}),
+cw4 AS (SELECT k, string_agg(w, ' ' ORDER BY i) AS c FROM cw3 WHERE n <= {rules.MAX_WORDS} GROUP BY k),
+content AS (SELECT cw0.k, coalesce(c, '') AS content FROM cw0 LEFT JOIN cw4 USING (k))"""
+
+
+# --- domains ----------------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT {HOST.format('url')} AS domain, count(*) AS n FROM pages GROUP BY 1")
+def domain_hosts(spark, sf_dir):
+    return read(spark, sf_dir, "pages").groupBy(host(F.col("url")).alias("domain")).agg(F.count(F.lit(1)).alias("n"))
+
+
+SUFFIXED = "(" + " OR ".join(f"ends_with(d, {fx.literal(s)})" for s in rules.DOMAIN_SUFFIXES) + ")"
+REASON = f"""SELECT domain, CASE WHEN d IS NULL OR NOT contains(d, '.') THEN 'no_dot' WHEN length(root) NOT BETWEEN 3 AND 22 THEN 'length'
+  WHEN length(root) - length(replace(root, '-', '')) > 1 OR length(root) - length(regexp_replace(root, '[0-9]', '', 'g')) > 3 THEN 'format'
+  WHEN NOT ({SUFFIXED} OR {has("root", rules.DOMAIN_KEYWORDS)}) THEN 'no_signal' END AS reason
+  FROM (SELECT domain, d, split_part(d, '.', 1) AS root FROM (SELECT domain, lower({strip("domain")}) AS d FROM {D}))"""
+
+
+@query(f"SELECT domain FROM ({REASON}) WHERE reason IS NULL")
+def domain_premium(spark, sf_dir):
+    return leads.premium(domains(spark, sf_dir))
+
+
+@query(REASON)
+def domain_reject_reason(spark, sf_dir):
+    return domains(spark, sf_dir).select("domain", reject_reason(F.col("domain")).alias("reason"))
+
+
+@query(f"SELECT count(*) AS scanned, count(*) FILTER (reason IS NULL) AS kept FROM ({REASON})")
+def domain_filter_counts(spark, sf_dir):
+    return domains(spark, sf_dir).agg(F.count(F.lit(1)).alias("scanned"), F.count_if(reject_reason(F.col("domain")).isNull()).alias("kept"))
+
+
+# --- what is still to be done -----------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT DISTINCT {HOST.format('url')} AS domain FROM pages WHERE {HOST.format('url')} NOT IN (SELECT {HOST.format('url')} FROM pages WHERE page_id % 3 = 0)")
+def scan_pending_anti(spark, sf_dir):
+    rows = read(spark, sf_dir, "pages").withColumn("domain", host(F.col("url")))
+    return incremental.pending(incremental.clean_keys(rows, "domain"), rows.where("page_id % 3 = 0"), "domain")
+
+
+@query("SELECT doc_id, source FROM documents ANTI JOIN labels USING (doc_id)")
+def lead_resume_anti(spark, sf_dir):
+    return incremental.pending(read(spark, sf_dir, "documents").select("doc_id", "source"), read(spark, sf_dir, "labels"), "doc_id").select("doc_id", "source")
+
+
+@query(f"""SELECT d.dt FROM (SELECT DISTINCT ts::DATE AS dt FROM events) d LEFT JOIN (SELECT dt::DATE AS dt, head FROM ({fx.sql(fx.ARCHIVE)})) a ON a.dt = d.dt
+  WHERE head IS NULL OR contains(substr(head, 1, 200), 'NO_DATA') OR length(substr(head, 1, 200)) < 50""")
+def date_backlog(spark, sf_dir):
+    archive = fx.frame(spark, fx.ARCHIVE).withColumn("dt", F.to_date("dt"))
+    return incremental.backlog(read(spark, sf_dir, "events").select(F.to_date("ts").alias("dt")), archive)
+
+
+@query(f"SELECT DISTINCT try_cast(regexp_extract(name, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS DATE) AS dt FROM ({fx.sql(fx.FILES)}) WHERE ends_with(lower(name), '.txt') AND try_cast(regexp_extract(name, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS DATE) IS NOT NULL")
+def file_date_parse(spark, sf_dir):
+    names = fx.frame(spark, fx.FILES).where(F.endswith(F.lower("name"), F.lit(".txt")))
+    return names.select(incremental.file_date(F.col("name")).alias("dt")).where("dt is not null").distinct()
+
+
+# --- pages ------------------------------------------------------------------------------------------------------------------
+
+
+def parsed(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", html.parse_html("html").alias("p"))
+
+
+def unescape(x: str) -> str:
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{char}')"
+    return x
+
+
+TITLE = f"nullif({unescape('regexp_extract(html, ' + chr(39) + '(?is)<title[^>]*>(.*?)</title>' + chr(39) + ', 1)')}, '')"
+HREFS = f"list_transform(regexp_extract_all(html, '<a href=[\"'']([^\"'']*)[\"'']', 1), lambda h: {unescape('h')})"
+
+
+@query(f"SELECT page_id, substr({strip(TITLE)}, 1, 60) AS title FROM {P}")
+def html_title(spark, sf_dir):
+    title = F.substring(text.strip(F.nullif(F.col("p.title"), F.lit(""))), 1, 60)
+    return parsed(spark, sf_dir).select("page_id", title.alias("title"))
+
+
+@query(f"SELECT page_id, href, count(*) AS n FROM (SELECT page_id, unnest({HREFS}) AS href FROM {P}) GROUP BY ALL")
+def html_links(spark, sf_dir):
+    return parsed(spark, sf_dir).select("page_id", F.explode("p.hrefs").alias("href")).groupBy("page_id", "href").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT page_id, nullif(array_to_string(list_sort(list_distinct(list_filter(list_transform({HREFS}, lambda h: {first('lower(h)', rules.SOCIALS, None)}), lambda x: x IS NOT NULL))), ' + '), '') AS socials FROM {P}")
+def html_socials(spark, sf_dir):
+    return parsed(spark, sf_dir).select("page_id", html.socials(F.col("p.hrefs")).alias("socials"))
+
+
+@query(f"SELECT page_id, {every('lower(html)', rules.STAGES, ' | ')} AS stage FROM {P}")
+def html_stage(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", html.brand_stage(F.col("html")).alias("stage"))
+
+
+@query(f"SELECT page_id, {every('lower(html)', rules.TECH, ' + ')} AS tech FROM {P}")
+def html_tech(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", html.tech_stack(F.col("html")).alias("tech"))
+
+
+@query(f"SELECT page_id, {every('lower(html)', rules.INTENT, ' | ')} AS intent FROM {P}")
+def html_intent(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", html.intent(F.col("html")).alias("intent"))
+
+
+@query(f"""SELECT page_id, coalesce(nullif(substr(regexp_extract(html, '<meta name=[\"'']description[\"''] content=[\"'']([^\"'']*)', 1), 1, 300), ''),
+  nullif(substr(regexp_extract(html, '<meta property=[\"'']og:description[\"''] content=[\"'']([^\"'']*)', 1), 1, 300), '')) AS meta FROM {P}""")
+def html_meta(spark, sf_dir):
+    cut = lambda c: F.nullif(F.substring(c, 1, 300), F.lit(""))
+    return parsed(spark, sf_dir).select("page_id", F.coalesce(cut("p.description"), cut("p.og_description")).alias("meta"))
+
+
+NAV = f"list_transform(regexp_extract_all(html, '(?s)<(?:a|button) href=[^>]*>([^<]*)</(?:a|button)>', 1), lambda x: lower({strip(unescape('x'))}))"
+
+
+@query(f"SELECT page_id, list_filter({NAV}, lambda x: length(x) BETWEEN 1 AND 39) AS nav FROM {P}")
+def html_nav(spark, sf_dir):
+    return parsed(spark, sf_dir).select("page_id", F.col("p.nav").alias("nav"))
+
+
+PHRASES = f"""WITH s AS (SELECT doc_id, 'd' AS own, coalesce(text, '') AS text FROM {T}),
+a AS (SELECT doc_id, own, regexp_split_to_array(text, '[.!?\n|•·]') AS parts FROM s),
+b AS (SELECT doc_id, own, {strip("unnest(parts)")} AS part, generate_subscripts(parts, 1) AS i FROM a),
+c AS (SELECT doc_id, lower(part) AS part, min(i) AS i FROM b WHERE length(part) > 20 AND NOT starts_with(lower(part), own) GROUP BY doc_id, lower(part))
+SELECT doc_id, substr(coalesce(string_agg(part, ' ' ORDER BY i), ''), 1, 600) AS page_text FROM s LEFT JOIN c USING (doc_id) GROUP BY doc_id"""
+
+
+@query(PHRASES)
+def page_text(spark, sf_dir):
+    return texts(spark, sf_dir).select("doc_id", html.page_text(F.coalesce("text", F.lit("")), F.lit("d")).alias("page_text"))
+
+
+EMAILS = f"list_filter(list_distinct(regexp_extract_all(text, {fx.literal(rules.EMAIL)})), lambda e: NOT {has('e', rules.EMAIL_DENIED)})"
+
+
+@query(f"SELECT doc_id, nullif(array_to_string(list_sort({EMAILS}), ' | '), '') AS emails FROM {T}")
+def emails(spark, sf_dir):
+    return texts(spark, sf_dir).select("doc_id", html.emails(F.col("text")).alias("emails"))
+
+
+@query(f"SELECT e AS email, {has('e', rules.EMAIL_DENIED)} AS denied, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, {fx.literal(rules.EMAIL)})) AS e FROM {T}) GROUP BY ALL")
+def emails_denylist(spark, sf_dir):
+    found = texts(spark, sf_dir).select(F.explode(F.regexp_extract_all("text", F.lit(rules.EMAIL), 0)).alias("email"))
+    return found.groupBy("email", text.any_of(F.col("email"), rules.EMAIL_DENIED).alias("denied")).agg(F.count(F.lit(1)).alias("n"))
+
+
+PHONES = f"list_filter(list_distinct(regexp_extract_all(text, {fx.literal(rules.PHONE)})), lambda p: length(regexp_replace(p, '\\D', '', 'g')) BETWEEN 10 AND 15)"
+
+
+@query(f"SELECT doc_id, nullif(array_to_string(list_slice(list_sort({PHONES}), 1, 2), ' | '), '') AS phones FROM {T}")
+def phones_top2(spark, sf_dir):
+    return texts(spark, sf_dir).select("doc_id", html.phones(F.col("text")).alias("phones"))
+
+
+@query(f"SELECT doc_id, coalesce(length({strip('text')}) >= 10 AND length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) / length(text) <= 0.85::DOUBLE, false) AS translate FROM {T}")
+def ascii_gate(spark, sf_dir):
+    return texts(spark, sf_dir).select("doc_id", text.needs_translation(F.col("text")).alias("translate"))
+
+
+# --- labels by rule ---------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, {first('lower(text)', rules.BUSINESS, rules.BUSINESS_ELSE)} AS business FROM {T}")
+def business_type(spark, sf_dir):
+    return texts(spark, sf_dir).select("doc_id", classify.business_type(F.lower("text")).alias("business"))
+
+
+CATEGORY = first("lower(text)", rules.PRODUCT, rules.PRODUCT_ELSE)
+
+
+@query(f"SELECT doc_id, {CATEGORY} AS category FROM {T}")
+def product_category(spark, sf_dir):
+    return texts(spark, sf_dir).select("doc_id", classify.product_category(F.lower("text")).alias("category"))
+
+
+@query(f"SELECT {CATEGORY} AS category, count(*) AS n, ceil(count(*) / 5)::BIGINT AS batches FROM {T} GROUP BY 1")
+def category_histogram(spark, sf_dir):
+    n = F.count(F.lit(1))
+    return texts(spark, sf_dir).groupBy(classify.product_category(F.lower("text")).alias("category")).agg(n.alias("n"), F.ceil(n / rules.BATCH_SIZE).alias("batches"))
+
+
+@query(f"SELECT doc_id FROM documents WHERE {has('lower(text)', rules.PRODUCT[3][1])}")
+def keyword_semijoin(spark, sf_dir):
+    """The rules as a table: a semi join on containment with a fixed handful of words."""
+    words = spark.createDataFrame([(w,) for w in rules.PRODUCT[3][1]], "word string")
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("low"))
+    return docs.join(F.broadcast(words), F.contains("low", "word"), "left_semi").select("doc_id")
+
+
+@query(f"SELECT doc_id, {clean('text')} AS cleaned FROM {T}")
+def clean_field(spark, sf_dir):
+    return texts(spark, sf_dir).select("doc_id", text.clean_field(F.col("text")).alias("cleaned"))
+
+
+@query(f"WITH {content_sql(T, 'doc_id', 'text', chr(39) + 'glow.com' + chr(39))} SELECT k AS doc_id, content FROM content")
+def content_words(spark, sf_dir):
+    return texts(spark, sf_dir).select("doc_id", text.content_words(F.col("text"), F.lit("glow.com")).alias("content"))
+
+
+# --- lead records -----------------------------------------------------------------------------------------------------------
+
+
+@query()
+def lead_record(spark, sf_dir):
+    return leads.egress(leads.enrich(pages(spark, sf_dir), keep=("page_id",)))
+
+
+RAW = f"""SELECT page_id, {every('lower(html)', rules.STAGES, ' | ')} AS stage, {every('lower(html)', rules.TECH, ' + ')} AS tech,
+  nullif(array_to_string(list_sort({EMAILS.replace('(text,', '(html,')}), ' | '), '') AS emails,
+  list_sort(list_distinct(list_filter(list_transform({HREFS}, lambda h: {first('lower(h)', rules.SOCIALS, None)}), lambda x: x IS NOT NULL))) AS s FROM {P}"""
+
+
+@query(f"SELECT page_id, coalesce(stage, 'Live') AS stage, coalesce(tech, 'None') AS tech, coalesce(emails, 'None') AS emails, CASE WHEN len(s) = 0 THEN 'None' ELSE array_to_string(s, ' + ') END AS socials FROM ({RAW}) WHERE stage IS NOT NULL OR tech IS NOT NULL OR emails IS NOT NULL OR len(s) > 0")
+def lead_useful(spark, sf_dir):
+    kept = leads.egress(leads.useful(leads.enrich(pages(spark, sf_dir), keep=("page_id",))))
+    return kept.select("page_id", F.col("Brand_Stage").alias("stage"), F.col("Tech_Stack_Ads").alias("tech"), F.col("Emails").alias("emails"), F.col("Socials_Found").alias("socials"))
+
+
+WHOLE = "lower(coalesce(Title, '') || ' ' || coalesce(Page_Text, ''))"
+CLASSED = f"""WITH {content_sql(L, 'Domain', 'Page_Text', 'Domain')},
+classed AS (SELECT l.*, CASE WHEN {has(WHOLE, rules.PARKED)} THEN 'parked' WHEN lower(coalesce(Brand_Stage, '')) = 'pre-launch' OR {has(WHOLE, rules.PRELAUNCH)} THEN 'prelaunch'
+  WHEN length({clean('Title')} || {clean('Meta_Description')} || content.content) < 10 THEN 'no_content' ELSE 'ai' END AS lead_class FROM {L} l JOIN content ON content.k = l.Domain)"""
+
+
+@query(f"{CLASSED} SELECT Domain, lead_class FROM classed")
+def lead_class(spark, sf_dir):
+    return labelling.split_classes(doc_leads(spark, sf_dir)).select("Domain", "lead_class")
+
+
+@query(f"{CLASSED} SELECT lead_class, count(*) AS n FROM classed GROUP BY 1")
+def lead_class_counts(spark, sf_dir):
+    return labelling.split_classes(doc_leads(spark, sf_dir)).groupBy("lead_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+INSTANT = "CASE lead_class " + " ".join("WHEN {} THEN [{}]".format(fx.literal(k), ", ".join(map(fx.literal, v))) for k, v in rules.INSTANT.items()) + " END"
+
+
+@query(f"{CLASSED} SELECT Domain, x[1] AS Pitch_Category, x[2] AS Business_Type, x[3] AS Product_Category FROM (SELECT Domain, {INSTANT} AS x FROM classed) WHERE x IS NOT NULL")
+def instant_labels(spark, sf_dir):
+    return labelling.instant(labelling.split_classes(doc_leads(spark, sf_dir))).select("Domain", *rules.LABEL_COLUMNS)
+
+
+@query("SELECT doc_id, (n - 1) // 5 AS batch, ((n - 1) % 5)::INT AS index FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents)")
+def batch_index(spark, sf_dir):
+    return labelling.number_batches(read(spark, sf_dir, "documents").select("doc_id"), "doc_id").select("doc_id", "batch", "index")
+
+
+ITEM_SQL = f"{{'index': index, 'domain': Domain, 'title': {clean('Title', 150)}, 'meta': {clean('Meta_Description', 300)}, 'content': content}}"
+
+
+@query(f"{CLASSED}, n AS (SELECT classed.*, content.content, row_number() OVER (ORDER BY Domain) - 1 AS r FROM classed JOIN content ON content.k = classed.Domain WHERE lead_class = 'ai'), i AS (SELECT *, r // 5 AS batch, (r % 5)::INT AS index FROM n) SELECT batch, to_json(list({ITEM_SQL} ORDER BY index))::VARCHAR AS request FROM i GROUP BY batch")
+def batch_request_json(spark, sf_dir):
+    todo = labelling.split_classes(doc_leads(spark, sf_dir)).where("lead_class = 'ai'")
+    return labelling.requests(labelling.number_batches(todo, "Domain"))
+
+
+@query(fx.sql(fx.ITEMS))
+def response_parse(spark, sf_dir):
+    return labelling.parse_answers(fx.frame(spark, fx.RESPONSES))
+
+
+@query("SELECT * FROM (VALUES (0, 'a.com', 0), (1, 'b.com', 1), (4, 'd.com', 0)) v(batch, domain, pos)".replace("SELECT *", "SELECT batch::BIGINT AS batch, domain, pos::INT AS pos"))
+def response_last_wins(spark, sf_dir):
+    items = labelling.parse_answers(fx.frame(spark, fx.RESPONSES))
+    last = labelling.last_by(items.withColumn("pitch", F.col("pos").cast("string")), "domain")
+    return last.select("batch", "domain", F.col("found.pitch").cast("int").alias("pos"))
+
+
+LOOK = f"""WITH items AS ({fx.sql(fx.ITEMS)}), rows AS ({fx.sql(fx.BATCHED)}),
+d AS (SELECT batch, domain, max_by({{'p': pitch, 'b': biz, 'q': prod}}, pos) AS x FROM items WHERE error IS NULL AND domain <> '' GROUP BY ALL),
+i AS (SELECT batch, index, max_by({{'p': pitch, 'b': biz, 'q': prod}}, pos) AS x FROM items WHERE error IS NULL AND index IS NOT NULL GROUP BY ALL)
+SELECT r.batch, r.index, r.Domain, coalesce(coalesce(d.x, i.x).p, '{rules.GENERAL}') AS Pitch_Category, coalesce(nullif(coalesce(d.x, i.x).b, ''), '{rules.REVIEW}') AS Business_Type,
+  coalesce(nullif(coalesce(d.x, i.x).q, ''), '{rules.REVIEW}') AS Product_Category
+FROM rows r LEFT JOIN d ON d.batch = r.batch AND d.domain = r.Domain LEFT JOIN i ON i.batch = r.batch AND i.index = r.index"""
+
+
+@query(LOOK)
+def label_lookup(spark, sf_dir):
+    return labelling.look_up(fx.frame(spark, fx.BATCHED), labelling.parse_answers(fx.frame(spark, fx.RESPONSES)))
+
+
+NORMALISED = ["🟢 6. General Contacts", "🟢 6. General Contacts", "🎬 4. Video-First Brands (Film)", "🛠️ 5. Service Agencies (Law)", "🛠️ 5. Service Agencies (Books)", "🛠️ 5. Service Agencies", "A long way to a writer", "🤖 2. SaaS/Tech (Tech)", "🤖 2. SaaS/Tech (My-Brand2Go)", "🤖 2. SaaS/Tech (General)", "💰 3. D2C Ad Spenders (Legal)", "💰 3. D2C Ad Spenders (Fashion)", "🟢 6. General Contacts"]
+
+
+@query(fx.sql(("pitch string, domain string, biz string, category string", [(p, d, b, n) for (p, d, b, _), n in zip(fx.PITCHES[1], NORMALISED, strict=True)])))
+def normalize_category(spark, sf_dir):
+    """Against vectors worked out by hand, one for each branch."""
+    rows = fx.frame(spark, fx.PITCHES)
+    return rows.select("pitch", "domain", "biz", classify.normalise_category(*(F.col(c) for c in ("pitch", "domain", "biz", "prod"))).alias("category"))
+
+
+@query("SELECT 'p' AS Pitch_Category, source AS Business_Type, lang AS Product_Category, doc_id, n_chars FROM documents")
+def final_columns(spark, sf_dir):
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("Business_Type"), "n_chars", F.col("lang").alias("Product_Category"), F.lit("p").alias("Pitch_Category"))
+    return labelling.final_columns(rows)
+
+
+@query()
+def labelled_leads(spark, sf_dir):
+    """Pages to the final table, with the rule-based stand-in for a model."""
+    return labelling.final_columns(leads.egress(labelling.label(leads.enrich(pages(spark, sf_dir)), labelling.rule_model)))
+
+
+# --- streams and files ------------------------------------------------------------------------------------------------------
+
+
+def folder(spark: SparkSession) -> str:
+    """A new folder that all executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siftworks-")
+    import uuid
+
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+@query("SELECT ts::DATE AS dt, event_type, count(*) AS n FROM events GROUP BY ALL")
+def stream_incremental(spark, sf_dir):
+    """Events as a stream of files, processed once; then the table that the stream wrote, counted."""
+    from siftworks.streaming.incremental import run_once
+
+    base = folder(spark)
+    events = read(spark, sf_dir, "events")
+    source = f"{base}/in"
+    events.where("event_id % 2 = 0").write.parquet(source)
+    daily = lambda df: df.withColumn("dt", F.to_date("ts"))
+    run_once(spark, source, events.schema, daily, f"{base}/out", f"{base}/state", "dt")
+    events.where("event_id % 2 <> 0 or event_id is null").write.mode("append").parquet(source)
+    for _ in range(2):  # the second finds nothing new
+        run_once(spark, source, events.schema, daily, f"{base}/out", f"{base}/state", "dt")
+    return spark.read.parquet(f"{base}/out").groupBy("dt", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT * FROM (VALUES ('first.txt', 'a.com', NULL), ('first.txt', 'b.com', NULL), (NULL, NULL, 'BadZipFile')) v(member, value, error)")
+def zip_source(spark, sf_dir):
+    import zipfile
+
+    from siftworks.sources.files import zip_lines
+
+    base = Path(tempfile.mkdtemp(prefix="siftworks-"))
+    with zipfile.ZipFile(base / "good.zip", "w") as z:
+        z.writestr("first.txt", "a.com\nb.com\n")
+        z.writestr("second.txt", "c.com\n")
+    (base / "bad.zip").write_bytes(b"no zip")
+    return zip_lines(spark, f"file://{base}").select("member", "value", "error")
