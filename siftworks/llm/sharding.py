@@ -7,7 +7,7 @@ each bucket still too large), all depths between are sums of those, and only row
 partitions before hold, over checkpointed rows, so that a row that fills a third of the table doesn't meet in one task.
 
 Defined cases: a null text has 0 bytes; a null doc_id is keyed as 'null'; a row above the limit gets a shard of its own,
-marked oversize; an empty table gives no shards; other columns ride along unless they clash with those added here.
+marked oversize; an empty table gives no shards; other columns ride along unless they clash with those in ADDED.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from siftworks.llm.common import cut, text_or_empty
 
 BITS, STEP = 60, 12
 LIMIT = 64 << 20
-ADDED = ("n_bytes", "depth", "shard", "shard_bytes", "oversize")
+ADDED = ("n_bytes", "depth", "shard", "shard_bytes", "oversize", "__key", "__at", "__n", "__max", "__base", "__total", "__each", "__part")
 
 
 def key_bits() -> Column:

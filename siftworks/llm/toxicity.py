@@ -1,12 +1,12 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
-Features of a text are its distinct words and their first 4 to 8 bytes (for languages that inflect), hashed to 2^20 numbers;
-each counts once. The model has one weight for each feature, shared by all thresholds, and ordered thresholds:
+Features of a text are its words and their first 4 to 8 bytes (for languages that inflect), hashed to 2^20 numbers; the value
+is log(1 + occurrences per hundred words), so that long texts don't gather more than short ones. The model has one weight for each feature, shared by all thresholds, and ordered thresholds:
 P(grade > k) = sigmoid(score - threshold_k). It puts out the expected severity, the sum of these over k.
 
 It is fitted on at most MAX_TRAIN labelled rows, those with the smallest hash of doc_id. Only features with clear evidence
 get a weight (log odds between toxic and other rows by two standard errors above MARGIN). The labels say toxic or not; toxic
-rows are graded 1 or 2 by their density of such features, below or above the median. Whole texts are read, in training and
+rows are graded 1 or 2 by their sum of such values, below or above the median. Whole texts are read, in training and
 application. A document is toxic if P(grade > 0) is at least 0.5.
 
 Defined cases: null or wordless texts have no features; labels that are null, or of no document, are left out; of repeated labels
@@ -25,34 +25,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.llm.arrow import BYTE_MIX, PLACE_MIX, U, as_bytes, mix, slices, word_table
+from siftworks.llm.common import cut
 
 MAX_TRAIN = 16_000
 BITS = 20
 PREFIXES = range(4, 9)
 MARGIN = 2.0
-RIDGE = 1e-3
+RIDGE = 3e-5
 LETTERS = word_table("abcdefghijklmnopqrstuvwxyz")
 
 
-def features(text: bytes) -> tuple[np.ndarray, int]:
-    """Sorted distinct feature numbers, and the number of distinct words."""
+def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct feature numbers and their values."""
     raw = np.frombuffer(text.lower(), dtype=np.uint8)
     inside = LETTERS[raw]
     edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
     starts, lengths = edges[::2], edges[1::2] - edges[::2]
     if not len(starts):
-        return np.empty(0, np.int64), 0
+        return np.empty(0, np.int64), np.empty(0)
     letters = raw[inside]
     first = np.cumsum(lengths) - lengths
     coded = BYTE_MIX[letters] * PLACE_MIX[(np.arange(len(letters)) - np.repeat(first, lengths)) & 1023]
-    whole, at = np.unique(np.add.reduceat(coded, first), return_index=True)
+    whole, at, often = np.unique(np.add.reduceat(coded, first), return_index=True, return_counts=True)
     first, lengths = first[at], lengths[at]
     upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(coded)))
-    out = [mix(whole)]
+    found, counts = [mix(whole)], [often]
     for n in PREFIXES:
-        long = first[lengths >= n]
-        out.append(mix((upto[long + n] - upto[long]) ^ U(n)))
-    return np.unique(np.concatenate(out) >> U(64 - BITS)).astype(np.int64), len(whole)
+        long = lengths >= n
+        found.append(mix((upto[first[long] + n] - upto[first[long]]) ^ U(n)))
+        counts.append(often[long])
+    numbers, which = np.unique(np.concatenate(found) >> U(64 - BITS), return_inverse=True)
+    return numbers.astype(np.int64), np.log1p(np.bincount(which, weights=np.concatenate(counts)) * (100 / len(starts)))
 
 
 @dataclass
@@ -63,18 +66,19 @@ class Model:
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def score(self, found: np.ndarray) -> float:
+    def score(self, found: np.ndarray, values: np.ndarray) -> float:
         if not len(self.numbers):
             return 0.0
         at = np.minimum(np.searchsorted(self.numbers, found), len(self.numbers) - 1)
-        return float(self.weights[at[self.numbers[at] == found]].sum())
+        same = self.numbers[at] == found
+        return float((self.weights[at[same]] * values[same]).sum())
 
     def above(self, score: float) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(score - self.thresholds, -500, 500)))
 
 
-def fit_ordinal(rows: np.ndarray, columns: np.ndarray, n: int, m: int, grades: np.ndarray, ridge: float = RIDGE, rounds: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and two thresholds for grades 0, 1, 2 by maximum likelihood with a ridge. rows, columns: where features are set."""
+def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, n: int, m: int, grades: np.ndarray, ridge: float = RIDGE, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and two thresholds for grades 0, 1, 2 by maximum likelihood with a ridge. rows, columns, values: the features that are set."""
     rate = np.clip([(grades > 0).mean(), (grades > 1).mean()], 1e-4, 1 - 1e-4)
     low = -np.log(rate[0] / (1 - rate[0]))
     gap = max(-np.log(rate[1] / (1 - rate[1])) - low, 1e-2)
@@ -82,7 +86,7 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, n: int, m: int, grades: n
     first, second = np.zeros_like(p), np.zeros_like(p)
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -500, 500)))
     for t in range(1, rounds + 1):
-        score = np.bincount(rows, weights=p[columns], minlength=n) if len(rows) else np.zeros(n)
+        score = np.bincount(rows, weights=p[columns] * values, minlength=n) if len(rows) else np.zeros(n)
         gap = np.exp(p[m + 1])
         a, b = sigmoid(score - p[m]), sigmoid(score - p[m] - gap)
         da, db = a * (1 - a), b * (1 - b)
@@ -90,7 +94,7 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, n: int, m: int, grades: n
         # d(-log likelihood) by the score through each threshold
         ga = np.where(grades == 0, a, np.where(grades == 1, -da / middle, 0.0))
         gb = np.where(grades == 2, b - 1, np.where(grades == 1, db / middle, 0.0))
-        slope = np.bincount(columns, weights=(ga + gb)[rows], minlength=m)[:m] if len(rows) else np.zeros(m)
+        slope = np.bincount(columns, weights=(ga + gb)[rows] * values, minlength=m)[:m] if len(rows) else np.zeros(m)
         g = np.concatenate((slope / n + ridge * p[:m], [-(ga + gb).mean(), -gb.mean() * gap]))
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
         p = p - 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
@@ -103,39 +107,52 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Model:
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # bounded, so it may be broadcast
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = cut(wanted.select("text", F.col("toxic").cast("int").alias("toxic")))  # bounded by the sample
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((2, 1 << BITS), dtype=np.int64)
+        for batch in slices(batches):
+            for text, bad in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                totals[int(bad > 0), features(text)[0]] += 1
+        at = np.flatnonzero(totals.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(totals[1, at]), pa.array(totals[0, at])], names=["number", "a", "b"])
+
+    seen = rows.mapInArrow(count, "number bigint, a bigint, b bigint").groupBy("number").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where("a >= 2").toPandas().sort_values("number")
+    p, n = rows.agg(F.count_if(F.col("toxic") > 0), F.count(F.lit(1))).first()
+    numbers = evident(*(seen[c].to_numpy(np.int64) for c in ("number", "a", "b")), p, n - p)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [features(x) for x in as_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([x.astype(np.int32).tobytes() for x, _ in found], pa.binary()), pa.array([n for _, n in found], pa.int64())], names=["doc_id", "toxic", "features", "n"])
+            found = [chosen(features(x), numbers) for x in as_bytes(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.tolist() for x, _ in found], pa.list_(pa.int64())), pa.array([x.tolist() for _, x in found], pa.list_(pa.float64()))], names=["toxic", "at", "vals"])
 
-    got = wanted.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "doc_id bigint, toxic int, features binary, n bigint").toArrow()
-    if got.num_rows:
-        order = sorted(range(got.num_rows), key=lambda i: (got.column("doc_id")[i].as_py(), got.column("features")[i].as_py()))
-        got = got.take(pa.array(order[:most]))
-    return fit([np.frombuffer(x, np.int32) for x in got.column("features").to_pylist()], np.array(got.column("toxic").to_pylist(), dtype=np.int64), np.array(got.column("n").to_pylist(), dtype=np.int64))
+    got = sorted((r[0], tuple(r[1]), tuple(r[2])) for r in rows.mapInArrow(pick, "toxic int, at array<bigint>, vals array<double>").collect())
+    return fit(numbers, [np.array(r[1], np.int64) for r in got], [np.array(r[2]) for r in got], np.array([r[0] for r in got], dtype=np.int64))
 
 
-def fit(found: list[np.ndarray], toxic: np.ndarray, n_words: np.ndarray) -> Model:
+def evident(numbers: np.ndarray, a: np.ndarray, b: np.ndarray, p: int, q: int) -> np.ndarray:
+    """Features whose log odds between p toxic and q other rows (a and b of which have them) are clearly above the margin."""
+    odds = np.log((a + 0.5) / (p - a + 0.5)) - np.log((b + 0.5) / (q - b + 0.5))
+    return numbers[odds - 2 * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) > MARGIN]
+
+
+def chosen(found: tuple[np.ndarray, np.ndarray], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in numbers of the features that are among them, and their values."""
+    at = np.flatnonzero(np.isin(found[0], numbers, assume_unique=True))
+    return np.searchsorted(numbers, found[0][at]), found[1][at]
+
+
+def fit(numbers: np.ndarray, found: list[np.ndarray], values: list[np.ndarray], toxic: np.ndarray) -> Model:
+    """found: of each row the places in numbers of its features."""
     n, bad = len(found), toxic > 0
     if not n:
         return Model(np.empty(0, np.int64), np.empty(0), np.array([0.0, 1.0]))
-    count = lambda rows: np.bincount(np.concatenate(rows) if rows else np.empty(0, np.int64), minlength=1 << BITS)
-    a, b = count([x for x, y in zip(found, bad, strict=True) if y]), count([x for x, y in zip(found, bad, strict=True) if not y])
-    seen = np.flatnonzero(a >= 2)
-    a, b, p, q = a[seen], b[seen], bad.sum(), n - bad.sum()
-    odds = np.log((a + 0.5) / (p - a + 0.5)) - np.log((b + 0.5) / (q - b + 0.5))
-    numbers = seen[odds - 2 * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) > MARGIN]
-    rows, columns = [], []
-    for i, x in enumerate(found):
-        hit = np.intersect1d(x, numbers)
-        rows.append(np.full(len(hit), i))
-        columns.append(np.searchsorted(numbers, hit))
-    hits = np.array([len(x) for x in rows])
-    density = hits / np.maximum(n_words, 1)
+    total = np.array([x.sum() for x in values])
     grades = np.where(bad, 1, 0)
-    if (bad & (hits > 0)).any():
-        grades[bad & (density > np.median(density[bad & (hits > 0)]))] = 2
-    weights, thresholds = fit_ordinal(np.concatenate(rows), np.concatenate(columns).astype(np.int64), n, len(numbers), grades)
+    if (bad & (total > 0)).any():
+        grades[bad & (total > np.median(total[bad & (total > 0)]))] = 2
+    rows = np.repeat(np.arange(n), [len(x) for x in found])
+    weights, thresholds = fit_ordinal(rows, np.concatenate(found).astype(np.int64), np.concatenate(values), n, len(numbers), grades)
     return Model(numbers, weights, thresholds)
 
 
@@ -145,7 +162,7 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            above = [held.value.above(held.value.score(features(x)[0])) for x in as_bytes(batch.column(1))]
+            above = [held.value.above(held.value.score(*features(x))) for x in as_bytes(batch.column(1))]
             grades = [int((x >= 0.5).sum()) for x in above]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([round(float(x.sum()), 6) for x in above], pa.float64()), pa.array(grades, pa.int32()), pa.array([x > 0 for x in grades])], names=["doc_id", "severity", "grade", "toxic"])
 
@@ -160,7 +177,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keep = [held.value.score(features(x)[0]) < held.value.thresholds[0] for x in as_bytes(batch.column(at))]
+            keep = [held.value.score(*features(x)) < held.value.thresholds[0] for x in as_bytes(batch.column(at))]
             yield pa.RecordBatch.from_arrays(batch.columns, names=names).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

@@ -58,7 +58,7 @@ def members(file, size: int) -> dict[str, tuple[int, int]]:
     tail_at = max(0, size - 65557)
     tail = at(tail_at, size - tail_at)
     end = tail.rfind(b"PK\x05\x06")
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+    while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
         end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:
         raise ValueError("no end of a central directory")
