@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.arrow import U, as_bytes, slices
+from siftworks.llm.arrow import U, as_bytes, mix, slices
 from siftworks.llm.common import cut, partitions
 from siftworks.llm.components import components
 
@@ -37,19 +37,28 @@ PAIRWISE = 1024
 LOW = U(0x5555555555555555)
 
 
-def fingerprint(text: bytes, width: int = 3) -> int:
+def shingle_hashes(text: bytes, width: int = 3) -> list[int]:
+    """XXH64 (seed 42) of each shingle; fewer words than width are one, none are none."""
     from xxhash import xxh64_intdigest
 
     words = text.lower().split()
     if not words:
-        return 0
+        return []
     joined, n = b" ".join(words), max(1, len(words) - width + 1)
     if n == 1:
-        hashes = [xxh64_intdigest(joined, 42)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = [0, *(ends[: n - 1] + 1).tolist()]
-        hashes = [xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)]
+        return [xxh64_intdigest(joined, 42)]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = [0, *(ends[: n - 1] + 1).tolist()]
+    return [xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)]
+
+
+def fingerprint(text: bytes, width: int = 3) -> int:
+    return majority(shingle_hashes(text, width))
+
+
+def majority(hashes: list[int]) -> int:
+    """The bits that over half the hashes have."""
+    n = len(hashes)
     counts = np.zeros(64, dtype=np.int64)
     for at in range(0, n, 8192):
         bits = np.unpackbits(np.array(hashes[at : at + 8192], dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -194,10 +203,83 @@ def hex_of(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def one_of_each(docs: DataFrame, width: int = 3) -> DataFrame:
-    """The rows of docs that name their component, with all their columns: one document of each group, the smallest doc_id.
+# --- by similarity ---------------------------------------------------------------------------------------------------------
+#
+# At a similarity of 0.8 fingerprints of 64 bits differ in about ten, so links within three bits find few such pairs. The
+# pipeline's stage therefore adds links by samples: the shingles' hashes are parted by their leading bits into parts of a few
+# shingles, and documents that agree wholly in one of the first SAMPLES parts are compared exactly.
+
+SIMILARITY = 0.8
+SAMPLES = 12
+
+
+def parts_of(hashes: np.ndarray) -> list[dict]:
+    """Sums over the first parts at two levels: 6 to 12 shingles a part, and half of that. hashes: sorted, distinct."""
+    out: list[dict] = []
+    n = len(hashes)
+    if not n:
+        return out
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes))))
+    level = max(0, int(np.log2(n / 6))) if n > 6 else 0
+    for k in (level, level + 1):
+        most = min(SAMPLES, 1 << k)
+        bounds = np.searchsorted(hashes, np.arange(1, most, dtype=np.uint64) << U(64 - k)) if most > 1 else np.empty(0, np.int64)
+        end = n if most == 1 << k else int(np.searchsorted(hashes, U(most) << U(64 - k)))
+        bounds = [0, *bounds.tolist(), end]
+        between = np.diff(sums[bounds]).view(np.int64).tolist()
+        out += [{"part": (k << 8) | j, "sum": x} for j, (x, a, b) in enumerate(zip(between, bounds, bounds[1:], strict=False)) if b > a]
+    return out
+
+
+def sampled(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, fp and the sums of the first parts."""
+    kind = pa.list_(pa.struct([("part", pa.int32()), ("sum", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [shingle_hashes(x, width) for x in as_bytes(batch.column(1))]
+            prints = np.array([majority(x) for x in found], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), pa.array([parts_of(np.unique(np.array(x, dtype=np.uint64))) for x in found], kind)], names=["doc_id", "fp", "parts"])
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id bigint, fp bigint, parts array<struct<part: int, sum: bigint>>")
+
+
+def similar_links(docs: DataFrame, firsts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """a, b: pairs of firsts (doc_id, parts) that agree in a part and are similar; each is compared with the part's smallest doc_id."""
+    parts = firsts.select("doc_id", F.explode("parts").alias("p")).select("doc_id", "p.part", "p.sum")
+    heads = parts.groupBy("part", "sum").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    pairs = cut(parts.join(heads, ["part", "sum"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct())
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # rows that repeat a doc_id are compared by the largest text, so that each pair is compared once
+    texts = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().join(texts, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
+    both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keep = []
+            for x, y in zip(as_bytes(batch.column(2)), as_bytes(batch.column(3)), strict=True):
+                x, y = set(shingle_hashes(x, width)), set(shingle_hashes(y, width))
+                keep.append(len(x & y) >= similarity * len(x | y))
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
-    Rows without a doc_id have no name to be dropped by and stay; rows that repeat a doc_id of a kept document stay too.
+
+def one_of_each(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of docs that name their group, with all their columns: one document of each group, the smallest doc_id.
+
+    A group holds what is linked by fingerprints within the distance, or by a share of common shingles of at least similarity.
+    Rows without a doc_id have no name to be dropped by and stay; so do rows that repeat the doc_id of a document that stays.
     """
-    gone = near_dedup(docs, width).where("doc_id <> component_id").select("doc_id").distinct()
+    prints = cut(sampled(docs, width))
+    points = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first"))
+    points = cut(points)
+    roots = components(near_links(points.select("fp")))
+    named = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    near = named.join(points.select(F.col("fp").alias("root"), F.col("first").alias("other")), "root").select(F.col("first").alias("a"), F.col("other").alias("b"))
+    firsts = prints.join(points.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
+    groups = components(near.where("a <> b").union(similar_links(docs, firsts, width, similarity)))
+    ids = prints.join(points, "fp").join(groups.select(F.col("node").alias("first"), F.col("root").alias("keep")), "first", "left")
+    gone = cut(ids.where(F.col("doc_id") != F.coalesce("keep", "first")).select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti")
