@@ -207,22 +207,25 @@ def hex_of(fp: Column) -> Column:
 #
 # At a similarity of 0.8 fingerprints of 64 bits differ in about ten, so links within three bits find few such pairs. The
 # pipeline's stage therefore adds links by samples: the shingles' hashes are parted by their leading bits into parts of a few
-# shingles, and documents that agree wholly in one of the first SAMPLES parts are compared exactly.
+# shingles, and documents that agree wholly in one of the first SAMPLES parts are compared exactly. Short texts have too few
+# parts for chance to be kind, so they enter all of them and a level more: there the parts outnumber the differing shingles.
 
 SIMILARITY = 0.8
 SAMPLES = 12
+SHORT = 64
 
 
 def parts_of(hashes: np.ndarray) -> list[dict]:
-    """Sums over the first parts at two levels: 6 to 12 shingles a part, and half of that. hashes: sorted, distinct."""
+    """Sums over the first parts at two levels: 6 to 12 shingles a part, and half of that; of short texts over all parts, and
+    at a third level. hashes: sorted, distinct."""
     out: list[dict] = []
     n = len(hashes)
     if not n:
         return out
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes))))
     level = max(0, int(np.log2(n / 6))) if n > 6 else 0
-    for k in (level, level + 1):
-        most = min(SAMPLES, 1 << k)
+    for k in range(level, level + (3 if n <= SHORT else 2)):
+        most = 1 << k if n <= SHORT else min(SAMPLES, 1 << k)
         bounds = np.searchsorted(hashes, np.arange(1, most, dtype=np.uint64) << U(64 - k)) if most > 1 else np.empty(0, np.int64)
         end = n if most == 1 << k else int(np.searchsorted(hashes, U(most) << U(64 - k)))
         bounds = [0, *bounds.tolist(), end]

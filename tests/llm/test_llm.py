@@ -202,6 +202,21 @@ def test_one_of_each(spark, docs, empty):
     assert simhash.one_of_each(empty).count() == 0
 
 
+@pytest.mark.parametrize("n", [6, 10, 24, 60, 300])
+def test_similar_texts_share_a_part(n):
+    """Pairs at a similarity of 0.8 or just above, a few hundred for each size: nearly all become candidates."""
+    rng = np.random.default_rng(n)
+    new = lambda k: rng.integers(0, 2**64 - 1, k, dtype=np.uint64)
+    parts = lambda h: {(p["part"], p["sum"]) for p in simhash.parts_of(np.sort(h))}
+    found = []
+    for _ in range(300):
+        lost = int(rng.integers(0, n // 5 + 1))
+        x = new(n)
+        y = np.concatenate([x[lost:], new(int((n - lost) / 0.8 + 1e-9) - n)])
+        found.append(bool(parts(x) & parts(y)))
+    assert np.mean(found) >= 0.98
+
+
 # --- 3 --------------------------------------------------------------------------------------------------------------------
 
 TOOLS = {"f": {"x": ("integer", True), "y": ("string", False), "l": ("array", False)}}
