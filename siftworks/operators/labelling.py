@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -54,28 +56,71 @@ def requests(numbered: DataFrame) -> DataFrame:
     return numbered.select("batch", item.alias("item")).groupBy("batch").agg(F.to_json(F.array_sort(F.collect_list("item"))).alias("request"))
 
 
-def ask(requests_: DataFrame, model: Callable[[str], str], retries: int = 3) -> DataFrame:
-    """batch, raw, error: the model's answers. A batch that fails `retries` times has an error and no answer."""
+class RateLimited(Exception):
+    """What a model raises to be asked again later. seconds: how much later."""
+
+    def __init__(self, seconds: float = rules.LONG_WAIT):
+        super().__init__(seconds)
+        self.seconds = seconds
+
+
+def is_json(raw: str) -> bool:
+    """Does the answer read as JSON, with or without a fence?"""
+    body = raw.strip()
+    if body.startswith("```"):
+        body = body.partition("\n")[2].rpartition("\n")[0].removeprefix("json")
+    try:
+        return isinstance(json.loads(body), dict | list)
+    except ValueError:
+        return False
+
+
+def ask_once(model: Callable[[str], str], request: str, attempts: int, sleep: Callable[[float], None]) -> tuple[str | None, str | None, int]:
+    """The answer or the last failure's name, and how many attempts it took. The wait grows with each, or is what the failure asks for."""
+    error = None
+    for n in range(1, attempts + 1):
+        wait = rules.BACK_OFF * n
+        try:
+            raw = model(request)
+            if is_json(raw):
+                return raw, None, n
+            error = "JSON_ERROR"
+        except RateLimited as e:
+            error, wait = "RATE_LIMITED", e.seconds
+        except ConnectionError:
+            error, wait = "CONNECTION_ERROR", rules.LONG_WAIT
+        except TimeoutError:
+            error = "TIMEOUT"
+        except Exception:
+            error = "UNKNOWN_ERROR"
+        if n < attempts:
+            sleep(wait)
+    return None, error, attempts
+
+
+def ask(requests_: DataFrame, model: Callable[[str], str], attempts: int = rules.ATTEMPTS, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """batch, raw, error, tries: the model's answers. A batch whose attempts all fail has an error and no answer."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
-            for batch, request in zip(frame["batch"], frame["request"], strict=True):
-                raw, error = None, None
-                for _ in range(retries):
-                    try:
-                        raw, error = model(request), None
-                        break
-                    except ConnectionError:
-                        error = "CONNECTION_ERROR"
-                    except TimeoutError:
-                        error = "TIMEOUT"
-                    except Exception:
-                        error = "UNKNOWN_ERROR"
-                out.append((batch, raw, error))
-            yield pd.DataFrame(out, columns=["batch", "raw", "error"])
-
-    return requests_.mapInPandas(run, "batch bigint, raw string, error string")
+            out = [(batch, *ask_once(model, request, attempts, sleep)) for batch, request in zip(frame["batch"], frame["request"], strict=True)]
+            yield pd.DataFrame(out, columns=["batch", "raw", "error", "tries"])
+
+    return requests_.mapInPandas(run, "batch bigint, raw string, error string, tries int")
+
+
+def outcome(numbered: DataFrame, answers: DataFrame) -> DataFrame:
+    """One row: processed (rows), skipped (rows whose batch got no answer) and retries (attempts that failed)."""
+    sizes = numbered.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    failed = F.col("error").isNotNull()
+    counts = sizes.join(answers.select("batch", "error", "tries"), "batch", "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return counts.agg(total(F.col("n")).alias("processed"), total(F.when(failed, F.col("n"))).alias("skipped"), total(F.col("tries") - F.when(failed, 0).otherwise(1)).alias("retries"))
+
+
+def message_content(response: Column) -> Column:
+    """The answer's text in the envelope that a chat service sends; null if it isn't there."""
+    return F.get_json_object(response, rules.CONTENT_PATH)
 
 
 def answer_text(raw: Column) -> Column:
@@ -142,11 +187,11 @@ def final_columns(leads: DataFrame) -> DataFrame:
     return leads.select(*rules.LABEL_COLUMNS, *[c for c in leads.columns if c not in rules.LABEL_COLUMNS])
 
 
-def label(leads: DataFrame, model: Callable[[str], str], key: str = "Domain") -> DataFrame:
+def label(leads: DataFrame, model: Callable[[str], str], key: str = "Domain", sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """All of it: instant classes by rule, the others by the model, in one table."""
     classed = cut(split_classes(leads))
     todo = number_batches(classed.where("lead_class = 'ai'"), key)
-    items = parse_answers(ask(requests(todo), model))
+    items = parse_answers(ask(requests(todo), model, sleep=sleep))
     kept = [c for c in leads.columns if c not in rules.LABEL_COLUMNS]
     wanted = [*rules.LABEL_COLUMNS, *kept]
     return instant(classed).select(wanted).unionByName(look_up(todo.drop(*[c for c in rules.LABEL_COLUMNS if c in todo.columns]), items).select(wanted))
@@ -154,8 +199,6 @@ def label(leads: DataFrame, model: Callable[[str], str], key: str = "Domain") ->
 
 def rule_model(request: str) -> str:
     """A stand-in for a remote model: answers from the rules, in the form that models answer in."""
-    import json
-
     def first(text: str, rules_: list, default: str) -> str:
         return next((name for name, words in rules_ if any(w in text for w in words)), default)
 

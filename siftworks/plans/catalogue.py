@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from siftworks import rules
 from siftworks.functions import classify, html, text
 from siftworks.functions.domains import host, reject_reason
-from siftworks.operators import incremental, labelling, leads
+from siftworks.operators import incremental, labelling, leads, progress
 from siftworks.plans import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,6 +140,28 @@ def scan_pending_anti(spark, sf_dir):
     return incremental.pending(incremental.clean_keys(rows, "domain"), rows.where("page_id % 3 = 0"), "domain")
 
 
+@query(f"""WITH c AS (SELECT DISTINCT {HOST.format('url')} AS d FROM pages), t AS (SELECT DISTINCT {HOST.format('url')} AS d FROM pages WHERE page_id % 3 = 0)
+  SELECT (SELECT count(d) FROM c) AS total, (SELECT count(d) FROM t) AS tried, (SELECT count(d) FROM c ANTI JOIN t USING (d)) AS left""")
+def scan_cardinalities(spark, sf_dir):
+    rows = read(spark, sf_dir, "pages").withColumn("domain", host(F.col("url")))
+    return progress.cardinalities(rows, rows.where("page_id % 3 = 0"), "domain")
+
+
+def canned_get(url: str) -> tuple[int, str]:
+    """Stands in for the network: some sites time out, some have no page."""
+    if "7" in url:
+        raise TimeoutError
+    return (404, "") if "4" in url else (200, f"<p>{url}</p>")
+
+
+@query(f"SELECT DISTINCT h AS domain, 'http://' || h AS url, '<p>http://' || h || '</p>' AS html FROM (SELECT {HOST.format('url')} AS h FROM pages) WHERE h NOT LIKE '%7%' AND h NOT LIKE '%4%'")
+def page_fetch(spark, sf_dir):
+    from siftworks.sources import fetch
+
+    hosts = incremental.clean_keys(read(spark, sf_dir, "pages").select(host(F.col("url")).alias("domain")), "domain")
+    return fetch.live(fetch.attempts(hosts, canned_get))
+
+
 @query("SELECT doc_id, source FROM documents ANTI JOIN labels USING (doc_id)")
 def lead_resume_anti(spark, sf_dir):
     return incremental.pending(read(spark, sf_dir, "documents").select("doc_id", "source"), read(spark, sf_dir, "labels"), "doc_id").select("doc_id", "source")
@@ -358,6 +379,19 @@ def batch_request_json(spark, sf_dir):
     return labelling.requests(labelling.number_batches(todo, "Domain"))
 
 
+@query(f"""WITH r AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 5 AS batch FROM documents)
+  SELECT count(*) AS processed, count(*) FILTER (a.error IS NOT NULL) AS skipped, (SELECT sum(CASE WHEN error IS NULL THEN tries - 1 ELSE tries END)::BIGINT FROM ({fx.sql(fx.ANSWERED)})) AS retries
+  FROM r LEFT JOIN ({fx.sql(fx.ANSWERED)}) a USING (batch)""")
+def run_outcome(spark, sf_dir):
+    numbered = labelling.number_batches(read(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    return labelling.outcome(numbered, fx.frame(spark, fx.ANSWERED))
+
+
+@query(f"SELECT batch, json_extract_string(response, '$.choices[0].message.content') AS raw FROM ({fx.sql(fx.ENVELOPES)})")
+def response_content(spark, sf_dir):
+    return fx.frame(spark, fx.ENVELOPES).select("batch", labelling.message_content(F.col("response")).alias("raw"))
+
+
 @query(fx.sql(fx.ITEMS))
 def response_parse(spark, sf_dir):
     return labelling.parse_answers(fx.frame(spark, fx.RESPONSES))
@@ -433,15 +467,15 @@ def stream_incremental(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").groupBy("dt", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT * FROM (VALUES ('first.txt', 'a.com', NULL), ('first.txt', 'b.com', NULL), (NULL, NULL, 'BadZipFile')) v(member, value, error)")
+@query("SELECT * FROM (VALUES ('first.txt', 'a.com', NULL), ('first.txt', 'b.com', NULL), (NULL, NULL, 'BadZipFile'), (NULL, NULL, 'HtmlPage')) v(member, value, error)")
 def zip_source(spark, sf_dir):
+    import io
     import zipfile
 
-    from siftworks.sources.files import zip_lines
+    from siftworks.sources.files import first_members
 
-    base = Path(tempfile.mkdtemp(prefix="siftworks-"))
-    with zipfile.ZipFile(base / "good.zip", "w") as z:
+    with zipfile.ZipFile(good := io.BytesIO(), "w") as z:
         z.writestr("first.txt", "a.com\nb.com\n")
         z.writestr("second.txt", "c.com\n")
-    (base / "bad.zip").write_bytes(b"no zip")
-    return zip_lines(spark, f"file://{base}").select("member", "value", "error")
+    rows = [("good.zip", good.getvalue()), ("bad.zip", b"no zip"), ("page.zip", b" <!DOCTYPE html><p>Not found</p>")]
+    return first_members(spark.createDataFrame(rows, "path string, content binary")).select("member", "value", "error")

@@ -71,6 +71,16 @@ ITEMS = (
         (4, None, 0, None, "d.com", "z", "", ""),
     ],
 )
+ENVELOPES = (
+    "batch long, response string",
+    [
+        (0, '{"choices": [{"message": {"role": "assistant", "content": "{\\"items\\": []}"}}]}'),
+        (1, '{"choices": []}'),
+        (2, '{"choices": [{"message": {"content": "first"}}, {"message": {"content": "second"}}]}'),
+        (3, None),
+    ],
+)
+ANSWERED = ("batch long, error string, tries int", [(0, None, 1), (1, None, 3), (2, "TIMEOUT", 3), (4, "RATE_LIMITED", 3)])
 BATCHED = ("batch long, index int, Domain string", [(0, 0, "a.com"), (1, 0, "b.com"), (1, 1, "q.com"), (2, 0, "c.com"), (3, 0, "e.com"), (4, 0, "d.com"), (4, 1, None)])
 
 FILES = ("name string", [("domains-2024-01-05.txt",), ("domains-2024-02-30.txt",), ("2024-01-05 again.txt",), ("no date.txt",), ("x2023-12-31y.TXT",)])

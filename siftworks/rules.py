@@ -90,6 +90,9 @@ LEAD_COLUMNS = ["Domain", "Brand_Stage", "Title", "Meta_Description", "Page_Text
 LABEL_COLUMNS = ["Pitch_Category", "Business_Type", "Product_Category"]
 MISSING, LIVE = "None", "Live"
 BATCH_SIZE, MAX_WORDS, MAX_REPEATS = 5, 80, 2
+READ_TIMEOUT, FETCH_THREADS, LIVE_STATUS = 5, 60, 200
+ATTEMPTS, BACK_OFF, LONG_WAIT = 3, 5, 15
+CONTENT_PATH = "$.choices[0].message.content"
 LINK_DENIED = ["whois-database-download", "contact"]
 STALE_MARK, STALE_LENGTH, HEAD_LENGTH = "NO_DATA", 50, 200
 EMPTY_CONTENT = 10

@@ -45,13 +45,24 @@ def heads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def zip_lines(spark: SparkSession, path: str) -> DataFrame:
-    """path, member, value, error: the lines of each ZIP file's first member. A file that is no ZIP gives one row with error."""
+    """first_members() of a folder's files."""
+    return first_members(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def first_members(archives: DataFrame) -> DataFrame:
+    """archives: path, content. Returns path, member, value, error: the lines of each ZIP file's first member.
+
+    A file that is no ZIP gives one row with error; HtmlPage if a server sent a page instead. An archive without members gives
+    IndexError, null content TypeError.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["path", "member", "value", "error"]
         for frame in frames:
             for name, content in zip(frame["path"], frame["content"], strict=True):
                 try:
+                    if content[:512].lstrip().lower().startswith((b"<!doctype html", b"<html")):
+                        raise HtmlPage
                     with zipfile.ZipFile(io.BytesIO(content)) as archive:
                         member = archive.namelist()[0]
                         with archive.open(member) as lines:
@@ -61,8 +72,11 @@ def zip_lines(spark: SparkSession, path: str) -> DataFrame:
                 except Exception as e:
                     yield pd.DataFrame([(name, None, None, type(e).__name__)], columns=columns)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(run, "path string, member string, value string, error string")
+    return archives.select("path", "content").mapInPandas(run, "path string, member string, value string, error string")
+
+
+class HtmlPage(Exception):
+    """A page where an archive was asked for."""
 
 
 class _Index(HTMLParser):
