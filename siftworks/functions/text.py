@@ -22,17 +22,23 @@ def quoted(words: Iterable[str]) -> str:
 
 
 def any_of(c: Column, words: Iterable[str]) -> Column:
-    """Does the text contain one of the words? A few are looked for one by one; more by one pattern, which keeps the generated code small."""
+    """Does the text contain one of the words? Plain searches; many of them stand in a lambda, which keeps the generated code small."""
     words = list(words)
-    return F.rlike(c, F.lit(quoted(words))) if len(words) > 4 else reduce(lambda a, b: a | b, [F.contains(c, F.lit(w)) for w in words])
+    return contains_any(c, words) if len(words) <= 4 else F.exists(F.array(c), lambda t: contains_any(t, words))
+
+
+def contains_any(c: Column, words: Iterable[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(c, F.lit(w)) for w in words])
 
 
 def first_match(c: Column, rules_: Iterable[tuple[str, list[str]]], default: str | None) -> Column:
-    """The label of the first rule of which a word is in the text."""
-    out = None
-    for label, words in rules_:
-        out = F.when(any_of(c, words), label) if out is None else out.when(any_of(c, words), label)
-    return out.otherwise(F.lit(default))
+    """The label of the first rule of which a word is in the text. The text is computed once, for the lambda's variable."""
+
+    def pick(t: Column) -> Column:
+        first, *others = [(contains_any(t, words), label) for label, words in rules_]
+        return reduce(lambda case, rule: case.when(*rule), others, F.when(*first)).otherwise(F.lit(default))
+
+    return F.element_at(F.transform(F.array(c), pick), 1)
 
 
 def all_matches(c: Column, rules_: Iterable[tuple[str, list[list[str]]]], separator: str) -> Column:
@@ -86,8 +92,7 @@ def content_words(text: Column, domain: Column) -> Column:
     """
     own = F.regexp_replace(F.lower(label0(F.coalesce(domain, F.lit("")))), "[^a-z0-9]", "")
     words = F.regexp_extract_all(printable(F.coalesce(text, F.lit(""))), F.lit("[a-zA-Z]{3,}"), 0)
-    stops = F.array(*map(F.lit, rules.STOP_WORDS))
-    kept = F.filter(words, lambda w: ~F.array_contains(stops, F.lower(w)) & (F.lower(w) != own))
+    kept = F.filter(words, lambda w: ~F.lower(w).isin(*rules.STOP_WORDS) & (F.lower(w) != own))
     # the state holds what is kept so far: at most 80 words
     start = F.array().cast("array<string>")
     fold = F.reduce(kept, start, lambda acc, w: F.when((F.size(acc) < rules.MAX_WORDS) & (F.size(F.filter(acc, lambda a: F.lower(a) == F.lower(w))) < rules.MAX_REPEATS), F.array_append(acc, w)).otherwise(acc))
