@@ -31,12 +31,13 @@ def instant(classed: DataFrame) -> DataFrame:
     return found.withColumns({c: F.col("__label")[i] for i, c in enumerate(rules.LABEL_COLUMNS)}).drop("__label")
 
 
-def number_batches(rows: DataFrame, key: str, size: int = rules.BATCH_SIZE, ranges: int = 64) -> DataFrame:
+def number_batches(rows: DataFrame, key: str, size: int = rules.BATCH_SIZE, ranges: int | None = None) -> DataFrame:
     """Adds batch and index: consecutive rows in order of key, `size` to a batch.
 
     Rows are numbered within ranges of the key and shifted by what the ranges before hold, so that no task has to number all.
-    The ranges are cut from their lineage: both uses must see the same ones.
+    The ranges, as many as a shuffle has partitions but 64 at least, are cut from their lineage: both uses must see the same ones.
     """
+    ranges = ranges or max(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     parts = cut(rows.repartitionByRange(ranges, key)).withColumn("__part", F.spark_partition_id())
     inner = parts.withColumn("__n", F.row_number().over(W.partitionBy("__part").orderBy(key)))
     counts = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
