@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import cut, text_or_empty
+from siftworks.llm.common import cut, partitions, text_or_empty
 
 WORDS = r"[^\x20\x09-\x0D]+"
 MAX_BROADCAST_SOURCES = 100_000
@@ -37,9 +37,17 @@ def seeded_key(doc_id: Column, seed: int) -> Column:
 
 
 def cycle_weights(sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """Adds weight: the cycle's numbers by the order of the sources (one row each), null last."""
-    place = (F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1) % len(cycle)
-    return sources.withColumn("weight", F.element_at(F.array(*map(F.lit, cycle)), (place + 1).cast("int")).cast("bigint"))
+    """Adds weight: the cycle's numbers by the order of the sources (one row each), null last.
+
+    Sources are numbered within ranges and shifted by what the ranges before hold, so that no task has to number all.
+    """
+    order = [F.col("source").isNull(), F.col("source")]
+    ranged = cut(sources.repartitionByRange(partitions(sources.sparkSession), *order)).withColumn("__at", F.spark_partition_id())
+    counts = ranged.groupBy("__at").agg(F.count(F.lit(1)).alias("__rows"))  # a row for each range
+    before = counts.select("__at", (F.sum("__rows").over(W.orderBy("__at")) - F.col("__rows")).alias("__shift"))
+    number = F.row_number().over(W.partitionBy("__at").orderBy(*order)) - 1 + F.col("__shift")
+    numbered = ranged.join(F.broadcast(before), "__at").withColumn("__number", number % len(cycle))
+    return numbered.withColumn("weight", F.element_at(F.array(*map(F.lit, cycle)), (F.col("__number") + 1).cast("int")).cast("bigint")).drop("__at", "__shift", "__number")
 
 
 def water_fill(sources: DataFrame, max_epochs: int = 3) -> DataFrame:

@@ -514,6 +514,14 @@ def test_mixing(spark, docs, empty):
     assert {r["taken"] for r in mixing.mix(docs.withColumn("text", F.lit(None).cast("string"))).collect()} == {0}
 
 
+def test_weights_go_round_in_order(spark):
+    names = sorted({prose(1) for _ in range(60)} | {"Z", "é", ""}, key=str.encode) + [None]
+    sources = spark.createDataFrame([(x,) for x in rng.sample(names, len(names))], "source string").repartition(5)
+    got = {r["source"]: r["weight"] for r in mixing.cycle_weights(sources).collect()}
+    assert got == {x: k % 3 + 1 for k, x in enumerate(names)}
+    assert mixing.cycle_weights(sources.limit(0)).count() == 0
+
+
 # --- the queries and the pipeline -----------------------------------------------------------------------------------------
 
 SF = "/root/testdata/sf0.001"
