@@ -22,7 +22,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftworks.llm.arrow import U, as_bytes, mix, slices
@@ -248,25 +248,52 @@ def sampled(docs: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, fp bigint, parts array<struct<part: int, sum: bigint>>")
 
 
-def similar_links(docs: DataFrame, firsts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """a, b: pairs of firsts (doc_id, parts) that agree in a part and are similar; each is compared with the part's smallest doc_id."""
-    parts = firsts.select("doc_id", F.explode("parts").alias("p")).select("doc_id", "p.part", "p.sum")
-    heads = parts.groupBy("part", "sum").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    pairs = cut(parts.join(heads, ["part", "sum"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct())
+def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of the pairs a, b (doc_ids) that are similar, each set of shingles made once."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # rows that repeat a doc_id are compared by the largest text, so that each pair is compared once
     texts = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().join(texts, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
-    both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [np.unique(np.array(shingle_hashes(x, width), dtype=np.uint64)).view(np.int64) for x in as_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "hashes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             keep = []
-            for x, y in zip(as_bytes(batch.column(2)), as_bytes(batch.column(3)), strict=True):
-                x, y = set(shingle_hashes(x, width)), set(shingle_hashes(y, width))
-                keep.append(len(x & y) >= similarity * len(x | y))
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    found = cut(texts.select("doc_id", "text").mapInArrow(sets, "doc_id bigint, hashes array<bigint>"))
+    both = pairs.join(found.toDF("b", "of_b"), "b").join(found.toDF("a", "of_a"), "a")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+
+def similar_links(docs: DataFrame, firsts: DataFrame, near: DataFrame, width: int, similarity: float) -> DataFrame:
+    """a, b: links that, with near, connect all firsts (doc_id, parts) that share a part and are similar.
+
+    First each is compared with one head of each part it shares: that whose own parts are shared most, as the base of many
+    variants is. Then any two that share a part and are not connected yet are compared, so none is left out; groups of copies
+    are connected by then and make no pairs."""
+    same = Window.partitionBy("part", "sum")
+    parts = firsts.select("doc_id", F.explode("parts").alias("p")).select("doc_id", "p.part", "p.sum")
+    parts = cut(parts.withColumn("many", F.count(F.lit(1)).over(same)).where("many > 1"))
+    weights = parts.groupBy("doc_id").agg(F.sum("many").alias("weight"))
+    heads = parts.join(weights, "doc_id").withColumn("head", F.max(F.struct("weight", "doc_id")).over(same)["doc_id"]).where("head <> doc_id")
+    first = cut(heads.select(F.least("head", "doc_id").alias("a"), F.greatest("head", "doc_id").alias("b")).distinct())
+    links = cut(similar_pairs(docs, first, width, similarity))
+    roots = components(near.union(links)).withColumnRenamed("node", "doc_id")
+    rooted = parts.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    mixed = rooted.withColumn("low", F.min("root").over(same)).withColumn("high", F.max("root").over(same)).where("low <> high")
+    mixed = cut(mixed.select("part", "sum", "doc_id", "root"))
+    other = mixed.toDF("part", "sum", "b", "other")
+    rest = mixed.join(other, ["part", "sum"]).where("doc_id < b and root <> other").select(F.col("doc_id").alias("a"), "b").distinct()
+    rest = cut(rest.join(first, ["a", "b"], "left_anti"))
+    return links.union(similar_pairs(docs, rest, width, similarity))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
@@ -282,7 +309,8 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY)
     named = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     near = named.join(points.select(F.col("fp").alias("root"), F.col("first").alias("other")), "root").select(F.col("first").alias("a"), F.col("other").alias("b"))
     firsts = prints.join(points.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
-    groups = components(near.where("a <> b").union(similar_links(docs, firsts, width, similarity)))
+    near = cut(near.where("a <> b"))
+    groups = components(near.union(similar_links(docs, firsts, near, width, similarity)))
     ids = prints.join(points, "fp").join(groups.select(F.col("node").alias("first"), F.col("root").alias("keep")), "first", "left")
     gone = cut(ids.where(F.col("doc_id") != F.coalesce("keep", "first")).select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti")

@@ -217,6 +217,23 @@ def test_similar_texts_share_a_part(n):
     assert np.mean(found) >= 0.98
 
 
+def test_variants_of_a_base_that_is_not_first(spark):
+    """Each variant is similar to the base, hardly any two are to each other."""
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(304)]
+    rows = [(1000, " ".join(base))]
+    for i in range(200):
+        words = list(base)
+        for j in range(i % 59, 304, 60):
+            words[j] = f"v{i}_{j}"
+        rows.append((i + 1, " ".join(words)))
+    rng.shuffle(rows)
+    sets = {i: set(simhash.shingle_hashes(t.encode(), 5)) for i, t in rows}
+    assert all(len(sets[i] & sets[1000]) >= 0.8 * len(sets[i] | sets[1000]) for i in sets)
+    assert sum(len(sets[1] & sets[i]) >= 0.8 * len(sets[1] | sets[i]) for i in sets) < 60
+    assert [r[0] for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id").collect()] == [1]
+
+
 # --- 3 --------------------------------------------------------------------------------------------------------------------
 
 TOOLS = {"f": {"x": ("integer", True), "y": ("string", False), "l": ("array", False)}}
