@@ -206,46 +206,71 @@ def hex_of(fp: Column) -> Column:
 # --- by similarity ---------------------------------------------------------------------------------------------------------
 #
 # At a similarity of 0.8 fingerprints of 64 bits differ in about ten, so links within three bits find few such pairs. The
-# pipeline's stage therefore adds links by samples: the shingles' hashes are parted by their leading bits into parts of a few
-# shingles, and documents that agree wholly in one of the first SAMPLES parts are compared exactly. Short texts have too few
-# parts for chance to be kind, so they enter all of them and a level more: there the parts outnumber the differing shingles.
+# pipeline's stage therefore adds links by an exact join over sets of shingles. In any one order of all shingles, two sets that
+# are similar share one among the first n - ceil(0.8 n) + 1 of each (n: its size), and where the first that they share stands
+# bounds what they can have in common. The order is by the shingles' hashes, with those that are common in a sample of the
+# documents last: the sample decides how many candidates there are, never which pairs are found.
 
 SIMILARITY = 0.8
-SAMPLES = 12
-SHORT = 64
+#: One text in SAMPLE is looked through for shingles that COMMON of them have at least; not more than LISTED are told apart.
+SAMPLE, COMMON, LISTED = 16, 4, 1 << 20
+SLACK = 1e-9
+Common = tuple[np.ndarray, np.ndarray]
+NONE: Common = (np.empty(0, np.uint64), np.empty(0, np.int64))
 
 
-def parts_of(hashes: np.ndarray) -> list[dict]:
-    """Sums over the first parts at two levels: 6 to 12 shingles a part, and half of that; of short texts over all parts, and
-    at a third level. hashes: sorted, distinct."""
-    out: list[dict] = []
+def parts_of(hashes: np.ndarray, common: Common = NONE, similarity: float = SIMILARITY) -> list[dict]:
+    """The first shingles in the order: part is how often the sample has one (0: not common), sum its hash. hashes: sorted,
+    distinct."""
     n = len(hashes)
-    if not n:
-        return out
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes))))
-    level = max(0, int(np.log2(n / 6))) if n > 6 else 0
-    for k in range(level, level + (3 if n <= SHORT else 2)):
-        most = 1 << k if n <= SHORT else min(SAMPLES, 1 << k)
-        bounds = np.searchsorted(hashes, np.arange(1, most, dtype=np.uint64) << U(64 - k)) if most > 1 else np.empty(0, np.int64)
-        end = n if most == 1 << k else int(np.searchsorted(hashes, U(most) << U(64 - k)))
-        bounds = [0, *bounds.tolist(), end]
-        between = np.diff(sums[bounds]).view(np.int64).tolist()
-        out += [{"part": (k << 8) | j, "sum": x} for j, (x, a, b) in enumerate(zip(between, bounds, bounds[1:], strict=False)) if b > a]
-    return out
-
-
-def sampled(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, fp and the sums of the first parts."""
+    keys, often = common
+    rank = np.zeros(n, np.int64)
+    if len(keys) and n:
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        rank = np.where(keys[at] == hashes, often[at], 0)
+    first = np.argsort(rank, kind="stable")[: n - int(np.ceil(similarity * n - SLACK)) + 1]
+    return [{"part": r, "sum": x} for r, x in zip(rank[first].tolist(), hashes[first].view(np.int64).tolist(), strict=True)]
+
+
+def common_shingles(docs: DataFrame, width: int) -> Common:
+    """Sorted hashes of shingles that are common in a sample of the texts, and how often each stands there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [np.unique(np.array(shingle_hashes(x, width), dtype=np.uint64)) for x in as_bytes(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["hash"])
+
+    texts = docs.select(F.col("text").cast("string").alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
+    counts = cut(texts.mapInArrow(run, "hash bigint").groupBy("hash").agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") >= COMMON))
+    least = COMMON
+    while counts.where(F.col("n") >= least).count() > LISTED:
+        least *= 2
+    found = counts.where(F.col("n") >= least).toArrow()
+    keys, often = found.column("hash").to_numpy().astype(np.int64).view(np.uint64), found.column("n").to_numpy().astype(np.int64)
+    order = np.argsort(keys)
+    return keys[order], often[order]
+
+
+def sampled(docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """doc_id, fp, the number of distinct shingles and the first of them."""
     kind = pa.list_(pa.struct([("part", pa.int32()), ("sum", pa.int64())]))
+    held = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [shingle_hashes(x, width) for x in as_bytes(batch.column(1))]
+            found = [np.array(shingle_hashes(x, width), dtype=np.uint64) for x in as_bytes(batch.column(1))]
             prints = np.array([majority(x) for x in found], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), pa.array([parts_of(np.unique(np.array(x, dtype=np.uint64))) for x in found], kind)], names=["doc_id", "fp", "parts"])
+            found = [np.unique(x) for x in found]
+            sizes = pa.array([len(x) for x in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), sizes, pa.array([parts_of(x, held.value, similarity) if len(x) else [] for x in found], kind)], names=["doc_id", "fp", "n", "parts"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint, parts array<struct<part: int, sum: bigint>>")
+    return rows.mapInArrow(run, "doc_id bigint, fp bigint, n int, parts array<struct<part: int, sum: bigint>>")
+
+
+def fits(n: Column, at: Column, other_n: Column, other_at: Column, similarity: float) -> Column:
+    """Whether sets that first agree at these places can be similar: the shingle and the shorter rest are all they may share."""
+    return 1 + F.least(n - 1 - at, other_n - 1 - other_at) >= (n + other_n) * (similarity / (1 + similarity)) - SLACK
 
 
 def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -274,24 +299,26 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, similarity: flo
 
 
 def similar_links(docs: DataFrame, firsts: DataFrame, near: DataFrame, width: int, similarity: float) -> DataFrame:
-    """a, b: links that, with near, connect all firsts (doc_id, parts) that share a part and are similar.
+    """a, b: links that, with near, connect all firsts (doc_id, n, parts) that are similar.
 
     First each is compared with one head of each part it shares: that whose own parts are shared most, as the base of many
     variants is. Then any two that share a part and are not connected yet are compared, so none is left out; groups of copies
     are connected by then and make no pairs."""
     same = Window.partitionBy("part", "sum")
-    parts = firsts.select("doc_id", F.explode("parts").alias("p")).select("doc_id", "p.part", "p.sum")
+    parts = firsts.select("doc_id", "n", F.posexplode("parts").alias("at", "p")).select("doc_id", "n", "at", "p.part", "p.sum")
     parts = cut(parts.withColumn("many", F.count(F.lit(1)).over(same)).where("many > 1"))
     weights = parts.groupBy("doc_id").agg(F.sum("many").alias("weight"))
-    heads = parts.join(weights, "doc_id").withColumn("head", F.max(F.struct("weight", "doc_id")).over(same)["doc_id"]).where("head <> doc_id")
-    first = cut(heads.select(F.least("head", "doc_id").alias("a"), F.greatest("head", "doc_id").alias("b")).distinct())
+    heads = parts.join(weights, "doc_id").withColumn("head", F.max(F.struct("weight", "doc_id", "n", "at")).over(same))
+    heads = heads.where((F.col("head.doc_id") != F.col("doc_id")) & fits(F.col("n"), F.col("at"), F.col("head.n"), F.col("head.at"), similarity))
+    first = cut(heads.select(F.least("head.doc_id", "doc_id").alias("a"), F.greatest("head.doc_id", "doc_id").alias("b")).distinct())
     links = cut(similar_pairs(docs, first, width, similarity))
     roots = components(near.union(links)).withColumnRenamed("node", "doc_id")
     rooted = parts.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     mixed = rooted.withColumn("low", F.min("root").over(same)).withColumn("high", F.max("root").over(same)).where("low <> high")
-    mixed = cut(mixed.select("part", "sum", "doc_id", "root"))
-    other = mixed.toDF("part", "sum", "b", "other")
-    rest = mixed.join(other, ["part", "sum"]).where("doc_id < b and root <> other").select(F.col("doc_id").alias("a"), "b").distinct()
+    mixed = cut(mixed.select("part", "sum", "doc_id", "root", "n", "at"))
+    other = mixed.toDF("part", "sum", "b", "other", "m", "bt")
+    apart = (F.col("doc_id") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("at"), F.col("m"), F.col("bt"), similarity)
+    rest = mixed.join(other, ["part", "sum"]).where(apart).select(F.col("doc_id").alias("a"), "b").distinct()
     rest = cut(rest.join(first, ["a", "b"], "left_anti"))
     return links.union(similar_pairs(docs, rest, width, similarity))
 
@@ -302,7 +329,7 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY)
     A group holds what is linked by fingerprints within the distance, or by a share of common shingles of at least similarity.
     Rows without a doc_id have no name to be dropped by and stay; so do rows that repeat the doc_id of a document that stays.
     """
-    prints = cut(sampled(docs, width))
+    prints = cut(sampled(docs, width, similarity))
     points = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first"))
     points = cut(points)
     roots = components(near_links(points.select("fp")))

@@ -217,6 +217,20 @@ def test_similar_texts_share_a_part(n):
     assert np.mean(found) >= 0.98
 
 
+@pytest.mark.parametrize(("n", "m"), [(4, 5), (172, 215), (344, 430), (688, 860), (760, 760), (765, 765)])
+def test_no_similar_pair_is_without_a_shared_part(n, m):
+    """Sizes on both sides of a step, at 0.8 or just above: all become candidates, with and without common shingles."""
+    rng = np.random.default_rng(n)
+    both = int(np.ceil(0.8 / 1.8 * (n + m) - 1e-9))
+    pairs = []
+    for _ in range(1500):
+        h = rng.choice(np.unique(rng.integers(0, 2**64 - 1, 2 * m, dtype=np.uint64)), n + m - both, replace=False)
+        pairs.append((np.sort(h[:n]), np.sort(h[n - both :])))
+    shared = lambda x, y, *order: {(p["part"], p["sum"]) for p in simhash.parts_of(x, *order)} & {(p["part"], p["sum"]) for p in simhash.parts_of(y, *order)}
+    assert sum(not shared(x, y) for x, y in pairs) == 0
+    assert all(shared(x, y, (x[::2], rng.integers(4, 9, len(x[::2])))) for x, y in pairs)
+
+
 def test_variants_of_a_base_that_is_not_first(spark):
     """Each variant is similar to the base, hardly any two are to each other."""
     rng = random.Random(3)
