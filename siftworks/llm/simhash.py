@@ -17,6 +17,7 @@ component but never names one unless its whole component is null; repeated rows
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -251,8 +252,13 @@ def common_shingles(docs: DataFrame, width: int) -> Common:
     return keys[order], often[order]
 
 
+def digest_of(hashes: np.ndarray) -> int:
+    """A set of shingles as a signed 64-bit number. hashes: sorted, distinct."""
+    return int.from_bytes(hashlib.blake2b(hashes.astype("<u8").tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def sampled(docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """doc_id, fp, the number of distinct shingles and the first of them."""
+    """doc_id, fp, node (a digest of the distinct shingles), their number and the first of them."""
     kind = pa.list_(pa.struct([("part", pa.int32()), ("sum", pa.int64())]))
     held = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
 
@@ -262,10 +268,10 @@ def sampled(docs: DataFrame, width: int, similarity: float) -> DataFrame:
             prints = np.array([majority(x) for x in found], dtype=np.uint64).view(np.int64)
             found = [np.unique(x) for x in found]
             sizes = pa.array([len(x) for x in found], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), sizes, pa.array([parts_of(x, held.value, similarity) if len(x) else [] for x in found], kind)], names=["doc_id", "fp", "n", "parts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), pa.array([digest_of(x) for x in found], pa.int64()), sizes, pa.array([parts_of(x, held.value, similarity) if len(x) else [] for x in found], kind)], names=["doc_id", "fp", "node", "n", "parts"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint, n int, parts array<struct<part: int, sum: bigint>>")
+    return rows.mapInArrow(run, "doc_id bigint, fp bigint, node bigint, n int, parts array<struct<part: int, sum: bigint>>")
 
 
 def fits(n: Column, at: Column, other_n: Column, other_at: Column, similarity: float) -> Column:
@@ -273,16 +279,18 @@ def fits(n: Column, at: Column, other_n: Column, other_at: Column, similarity: f
     return 1 + F.least(n - 1 - at, other_n - 1 - other_at) >= (n + other_n) * (similarity / (1 + similarity)) - SLACK
 
 
-def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Those of the pairs a, b (doc_ids) that are similar, each set of shingles made once."""
+def similar_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of the pairs a, b (nodes) that are similar, each set of shingles made once. nodes: node, doc_id of a text of it."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # rows that repeat a doc_id are compared by the largest text, so that each pair is compared once
-    texts = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().join(texts, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
+    wanted = nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi")
+    # rows may repeat a doc_id, with the same text or another
+    texts = wanted.select("node", "doc_id").join(texts, "doc_id").dropDuplicates(["doc_id", "node", "text"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [np.unique(np.array(shingle_hashes(x, width), dtype=np.uint64)).view(np.int64) for x in as_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "hashes"])
+            found = [np.unique(np.array(shingle_hashes(x, width), dtype=np.uint64)) for x in as_bytes(batch.column(1))]
+            own = pa.array([digest_of(x) == k for x, k in zip(found, batch.column(0).to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], names=["node", "hashes"]).filter(own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -293,34 +301,34 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, similarity: flo
                 keep.append(both >= similarity * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    found = cut(texts.select("doc_id", "text").mapInArrow(sets, "doc_id bigint, hashes array<bigint>"))
+    found = cut(texts.select("node", "text").mapInArrow(sets, "node bigint, hashes array<bigint>"))
     both = pairs.join(found.toDF("b", "of_b"), "b").join(found.toDF("a", "of_a"), "a")
     return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def similar_links(docs: DataFrame, firsts: DataFrame, near: DataFrame, width: int, similarity: float) -> DataFrame:
-    """a, b: links that, with near, connect all firsts (doc_id, n, parts) that are similar.
+def similar_links(docs: DataFrame, nodes: DataFrame, near: DataFrame, width: int, similarity: float) -> DataFrame:
+    """a, b: links that, with near, connect all nodes (node, doc_id, n, parts) that are similar.
 
     First each is compared with one head of each part it shares: that whose own parts are shared most, as the base of many
     variants is. Then any two that share a part and are not connected yet are compared, so none is left out; groups of copies
     are connected by then and make no pairs."""
     same = Window.partitionBy("part", "sum")
-    parts = firsts.select("doc_id", "n", F.posexplode("parts").alias("at", "p")).select("doc_id", "n", "at", "p.part", "p.sum")
+    parts = nodes.select("node", "n", F.posexplode("parts").alias("at", "p")).select("node", "n", "at", "p.part", "p.sum")
     parts = cut(parts.withColumn("many", F.count(F.lit(1)).over(same)).where("many > 1"))
-    weights = parts.groupBy("doc_id").agg(F.sum("many").alias("weight"))
-    heads = parts.join(weights, "doc_id").withColumn("head", F.max(F.struct("weight", "doc_id", "n", "at")).over(same))
-    heads = heads.where((F.col("head.doc_id") != F.col("doc_id")) & fits(F.col("n"), F.col("at"), F.col("head.n"), F.col("head.at"), similarity))
-    first = cut(heads.select(F.least("head.doc_id", "doc_id").alias("a"), F.greatest("head.doc_id", "doc_id").alias("b")).distinct())
-    links = cut(similar_pairs(docs, first, width, similarity))
-    roots = components(near.union(links)).withColumnRenamed("node", "doc_id")
-    rooted = parts.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    weights = parts.groupBy("node").agg(F.sum("many").alias("weight"))
+    heads = parts.join(weights, "node").withColumn("head", F.max(F.struct("weight", "node", "n", "at")).over(same))
+    heads = heads.where((F.col("head.node") != F.col("node")) & fits(F.col("n"), F.col("at"), F.col("head.n"), F.col("head.at"), similarity))
+    first = cut(heads.select(F.least("head.node", "node").alias("a"), F.greatest("head.node", "node").alias("b")).distinct())
+    links = cut(similar_pairs(docs, nodes, first, width, similarity))
+    roots = components(near.union(links))
+    rooted = parts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.withColumn("low", F.min("root").over(same)).withColumn("high", F.max("root").over(same)).where("low <> high")
-    mixed = cut(mixed.select("part", "sum", "doc_id", "root", "n", "at"))
+    mixed = cut(mixed.select("part", "sum", "node", "root", "n", "at"))
     other = mixed.toDF("part", "sum", "b", "other", "m", "bt")
-    apart = (F.col("doc_id") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("at"), F.col("m"), F.col("bt"), similarity)
-    rest = mixed.join(other, ["part", "sum"]).where(apart).select(F.col("doc_id").alias("a"), "b").distinct()
+    apart = (F.col("node") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("at"), F.col("m"), F.col("bt"), similarity)
+    rest = mixed.join(other, ["part", "sum"]).where(apart).select(F.col("node").alias("a"), "b").distinct()
     rest = cut(rest.join(first, ["a", "b"], "left_anti"))
-    return links.union(similar_pairs(docs, rest, width, similarity))
+    return links.union(similar_pairs(docs, nodes, rest, width, similarity))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
@@ -330,14 +338,18 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY)
     Rows without a doc_id have no name to be dropped by and stay; so do rows that repeat the doc_id of a document that stays.
     """
     prints = cut(sampled(docs, width, similarity))
-    points = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first"))
-    points = cut(points)
+    named = prints.where("doc_id is not null")
+    # texts with equal sets of shingles are one node; of each fingerprint one node stands for the others it has
+    nodes = cut(named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("parts").alias("parts")))
+    points = cut(named.groupBy("fp").agg(F.min("node").alias("first")))
     roots = components(near_links(points.select("fp")))
-    named = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    near = named.join(points.select(F.col("fp").alias("root"), F.col("first").alias("other")), "root").select(F.col("first").alias("a"), F.col("other").alias("b"))
-    firsts = prints.join(points.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
-    near = cut(near.where("a <> b"))
-    groups = components(near.union(similar_links(docs, firsts, near, width, similarity)))
-    ids = prints.join(points, "fp").join(groups.select(F.col("node").alias("first"), F.col("root").alias("keep")), "first", "left")
-    gone = cut(ids.where(F.col("doc_id") != F.coalesce("keep", "first")).select("doc_id").distinct())
+    of_point = points.join(roots.withColumnRenamed("node", "fp"), "fp").select("first", F.col("root").alias("fp"))
+    near = of_point.join(points.withColumnRenamed("first", "other"), "fp").select(F.col("first").alias("a"), F.col("other").alias("b"))
+    equal = named.select("fp", "node").distinct().join(points, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    near = cut(near.union(equal).where("a <> b"))
+    groups = components(near.union(similar_links(docs, nodes, near, width, similarity)))
+    rooted = nodes.select("node", "doc_id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keep = rooted.groupBy("root").agg(F.min("doc_id").alias("keep"))
+    kept = rooted.join(keep, "root").select("node", "keep")
+    gone = cut(named.select("doc_id", "node").join(kept, "node").where("doc_id <> keep").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti")

@@ -248,6 +248,15 @@ def test_variants_of_a_base_that_is_not_first(spark):
     assert [r[0] for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id").collect()] == [1]
 
 
+def test_texts_that_share_a_fingerprint_are_compared_each(spark):
+    """The shingle that is most of a text makes the fingerprint of 1 and 2; 3 is similar to 2 only."""
+    words = [" ".join(f"{x}{k}" for k in range(30)) for x in "ab"]
+    rows = [(1, "for " * 200 + words[0]), (2, "for " * 200 + words[1]), (3, "for " * 8 + words[1])]
+    a, b, c = (simhash.fingerprint(t.encode(), 5) for _, t in rows)
+    assert a == b and (a ^ c).bit_count() > 3
+    assert [r["doc_id"] for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [1]
+
+
 # --- 3 --------------------------------------------------------------------------------------------------------------------
 
 TOOLS = {"f": {"x": ("integer", True), "y": ("string", False), "l": ("array", False)}}
