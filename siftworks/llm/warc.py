@@ -1,8 +1,8 @@
 """WARC records in ZIP packages: writing, and reading by ranges without extraction.
 
-A package holds stored members only: archive/data.warc.gz (one gzip member for each record) and indexes/index.cdxj (where each
-record lies in it). The reader parses the end-of-central-directory record at the file's end, the ZIP64 locator and record
-where there is one, and the central directory; it finds where the stored members' bytes begin, reads the index, and then reads
+A written package holds stored members only: archive/data.warc.gz (one gzip member for each record) and indexes/index.cdxj (CDXJ
+lines: where each record lies in it). Any stored members below archive/ and indexes/ are read, plain or gzipped. The reader parses the end-of-central-directory record at the file's end, the ZIP64 locator and record
+where there is one, and the central directory; it finds where the stored members' bytes begin, reads the indexes, and then reads
 records by their ranges, neighbouring ranges together up to READ bytes. Nothing is unpacked to a disk.
 
 Packages lie in the shared folder and are reached by its URI, so it may be a store that all executors see. A task writes under
@@ -19,11 +19,13 @@ import base64
 import gzip
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -130,8 +132,41 @@ def parse(raw: bytes) -> dict:
 
 
 def number(urn: str | None) -> int | None:
-    text = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(text) if text else None
+    found = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
+    return int(found[1]) if found else None
+
+
+# --- index ------------------------------------------------------------------------------------------------------------------
+
+
+def url_key(url: str | None) -> str:
+    """The host's labels from the last to the first, and the rest: what lines of an index are sorted by."""
+    found = re.match(r"(?i)https?://(?:www\d*\.)?([^/?#]*)([^#]*)", url or "")
+    if not found:
+        return quote(url or "-", safe=":/")
+    return quote((",".join(reversed(found[1].split("."))) + ")" + (found[2] or "/")).lower(), safe="/,)?=&:%+;")
+
+
+def index_lines(parts: dict[str, tuple[int, int]], read: Callable[[int, int], bytes]) -> dict[str, list[dict]]:
+    """Of each member below archive/ the offsets and lengths that the members below indexes/ list, plain or gzipped."""
+    names = sorted(x for x in parts if x.startswith("archive/") and not x.endswith("/"))
+    listed = sorted(x for x in parts if x.startswith("indexes/") and re.search(r"\.cdxj?(\.gz)?$", x))
+    if not listed:
+        raise ValueError("no stored index below indexes/")
+    found: dict[str, dict[tuple[int, int], dict]] = {}
+    for name in listed:
+        raw = read(*parts[name])
+        for line in (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode().split("\n"):
+            if "{" not in line or line.startswith("!"):
+                continue
+            x = json.loads(line[line.index("{") :])
+            own = x.get("filename") or (names[0] if len(names) == 1 else "")
+            member = own if own.startswith("archive/") else f"archive/{own}"
+            if member not in parts:
+                raise ValueError(f"the index names {own!r}, which is no stored member below archive/")
+            at = int(x["offset"]), int(x["length"])
+            found.setdefault(member, {})[at] = {"offset": at[0], "length": at[1]}
+    return {k: list(v.values()) for k, v in found.items()}
 
 
 class Package:
@@ -147,15 +182,15 @@ class Package:
         self.lines: list[str] = []
         self.size = 0
 
-    def add(self, page_id: int | None, raw: bytes) -> None:
+    def add(self, url: str | None, digest: str, raw: bytes) -> None:
         packed = gzip.compress(raw, 1, mtime=0)
-        self.lines.append(json.dumps({"id": page_id, "offset": self.size, "length": len(packed)}))
+        self.lines.append(f"{url_key(url)} {re.sub('[^0-9]', '', DATE)[:14]} " + json.dumps({"url": url, "digest": f"sha1:{digest}", "offset": str(self.size), "length": str(len(packed)), "filename": DATA.removeprefix("archive/")}))
         self.data.write(packed)
         self.size += len(packed)
 
     def close(self) -> tuple[str, int, int]:
         self.data.close()
-        self.zip.writestr(INDEX, "\n".join(self.lines))
+        self.zip.writestr(INDEX, "\n".join(sorted(self.lines)))
         self.zip.close()
         self.stream.close()
         return self.path, len(self.lines), self.size
@@ -191,7 +226,7 @@ def write_packages(planned: DataFrame, folder: str, package_bytes: int = PACKAGE
                 for row in batch.slice(i, 256).to_pylist():
                     package = package or Package(folder)
                     digest = base64.b32encode(bytes.fromhex(row["digest"])).decode()
-                    package.add(row["page_id"], record(row["page_id"], row["url"], row["kind"], digest, row["refers_to"], row["n_bytes"], row["html"] or b""))
+                    package.add(row["url"], digest, record(row["page_id"], row["url"], row["kind"], digest, row["refers_to"], row["n_bytes"], row["html"] or b""))
                     if package.size >= package_bytes:
                         done.append(package.close())
                         package = None
@@ -222,19 +257,21 @@ def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
             system, local = file_system(path)
             with system.open_input_file(local) as file:
                 parts = members(file, file.size())
-                start, length = parts[INDEX]
-                file.seek(start)
-                lines = [json.loads(x) for x in file.read(length).decode().splitlines()]
-                base = parts[DATA][0]
-                for near in ranges(lines):
-                    file.seek(base + near[0]["offset"])
-                    raw = file.read(near[-1]["offset"] + near[-1]["length"] - near[0]["offset"])
-                    rows = []
-                    for x in near:
-                        at = x["offset"] - near[0]["offset"]
-                        got = parse(zlib.decompress(raw[at : at + x["length"]], 31))
-                        rows.append({"page_id": number(got["warc-record-id"]), "url": got.get("warc-target-uri"), "record_type": got["warc-type"], "payload_bytes": got["payload_bytes"], "payload_digest": got["payload_digest"], "refers_to": number(got.get("warc-refers-to")), "payload": got["payload"] if payloads else None})
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+                def read(start: int, length: int) -> bytes:
+                    file.seek(start)
+                    return file.read(length)
+
+                for member, lines in index_lines(parts, read).items():
+                    for near in ranges(lines):
+                        raw = read(parts[member][0] + near[0]["offset"], near[-1]["offset"] + near[-1]["length"] - near[0]["offset"])
+                        rows = []
+                        for x in near:
+                            at = x["offset"] - near[0]["offset"]
+                            one = raw[at : at + x["length"]]
+                            got = parse(zlib.decompress(one, 31) if one[:2] == b"\x1f\x8b" else one)
+                            rows.append({"page_id": number(got["warc-record-id"]), "url": got.get("warc-target-uri"), "record_type": got["warc-type"], "payload_bytes": got["payload_bytes"], "payload_digest": got["payload_digest"], "refers_to": number(got.get("warc-refers-to")), "payload": got["payload"] if payloads else None})
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     spark = packages.sparkSession
     fields = "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary"

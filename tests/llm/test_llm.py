@@ -383,6 +383,28 @@ def test_members_of_a_zip(zip64, monkeypatch):
         warc.members(io.BytesIO(b"no zip here"), 11)
 
 
+@pytest.mark.parametrize("packed", [False, True])
+def test_package_from_elsewhere(spark, tmp_path, packed):
+    """Two archives with names of their own, one of them not gzipped, two indexes of CDXJ lines with keys and timestamps."""
+    path = f"{tmp_path}/other.wacz"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        for k, name in enumerate(("one.warc.gz", "two.warc")):
+            body, lines = b"", []
+            for i in range(3):
+                html = f"{k}-{i}".encode()
+                raw = warc.record(10 * k + i, f"http://h.x/{i}", "response", base64.b32encode(hashlib.sha1(html).digest()).decode(), None, len(html), html)
+                raw = raw.replace(b"urn:page:2>", b"urn:uuid:ab-2>") if i == 2 else raw
+                raw = raw if k else gzip.compress(raw)
+                lines.append(f"x,h)/{i} 20240101000000 " + json.dumps({"offset": str(len(body)), "length": str(len(raw)), "filename": name}))
+                body += raw
+            z.writestr(f"archive/{name}", body)
+            index = "\n".join(lines).encode()
+            z.writestr(f"indexes/{k}.cdx.gz" if packed else f"indexes/{k}.cdxj", gzip.compress(index) if packed else index)
+    got = warc.read_packages(spark.createDataFrame([(path,)], "path string")).collect()
+    assert sorted((r["url"][-1], bytes(r["payload"])) for r in got) == sorted((str(i), f"{k}-{i}".encode()) for k in range(2) for i in range(3))
+    assert {r["page_id"] for r in got} == {0, 1, None, 10, 11, 12}
+
+
 def test_damaged_payload_is_told():
     raw = warc.record(1, None, "response", "A" * 32, None, 1, b"x")
     with pytest.raises(ValueError):
