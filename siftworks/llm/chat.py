@@ -108,7 +108,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
 
 def from_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A table of turns as calls and results: each user turn asks the tool `reply` (its identifier is its turn number), the
-    assistant's turn after it is the result, and a call comes after the call of two turns before."""
+    assistant's turn after it is the result, and a call comes after the call of two turns before. Turns of any other role (304
+    system turns of 5012 turns in sf0.1; tool or null roles) are neither and are left out."""
     turns = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.lit(0).alias("place"), F.lower("role").alias("role"), "text")
     arguments = F.to_json(F.struct(F.octet_length(F.coalesce("text", F.lit(""))).alias("n_bytes"), F.col("text").alias("prompt")), {"ignoreNullFields": "false"})
     calls = turns.where("role = 'user'").select("conv_id", "turn", "place", F.col("turn").cast("string").alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"), F.array((F.col("turn") - 2).cast("string")).alias("after"))
