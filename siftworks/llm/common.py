@@ -36,6 +36,39 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded(df: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """For joins: broadcast up to a number of rows (of a few numbers each), else left to Spark, which shuffles both sides.
+
+    df is counted, so it should be cut or cheap."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, share: int = 1024) -> DataFrame:
+    """rows joined with groups, which has one row for each key and the number of rows that have it.
+
+    Keys that have one row in `share` or more (there are `share` of them at most) are broadcast, so that no task gets all rows
+    of one; the others meet by a shuffle. Both should be cut or cheap; rows without a key (null) are left out."""
+    least = F.lit(max(2, -(-(groups.agg(F.sum(size)).first()[0] or 0) // share)))
+    hot, cold = groups.where(F.col(size) >= least), groups.where(F.col(size) < least)
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Removes a folder of scratch()."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def settle(df: DataFrame, what: str = "step") -> tuple[DataFrame, str]:
+    """df written to the shared folder and read again, and its path: for loops, which forget() what they no longer need.
+
+    Unlike a checkpoint's, its size is known, so that joins with small tables are planned as such, and estimates don't multiply
+    from round to round."""
+    path = scratch(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -1,15 +1,18 @@
 """Near-duplicates by SimHash: fingerprints at a Hamming distance of 3 or less are linked.
 
 Fingerprints: 64 bits, each set if over half the shingles' XXH64 (seed 42) have it. Equal fingerprints are one point from then
-on. A point's embedding is the bit count (0, 1, 2) of each of its 32 segments of two bits, held as a thermometer code so that
-the Manhattan distance of two embeddings is the number of differing code bits. It is never above the Hamming distance. For the
-grid the 32 axes make six groups: a pair within distance 3 agrees wholly in at least three groups, so each point enters 20
-cells (three groups and its coordinates there) and any such pair shares one. Within a cell the Manhattan distance sorts out
-pairs first, then the Hamming distance decides.
+on. A point's coordinates are the bit counts (0, 1, 2) of its 32 segments of two bits. The Manhattan distance of two points is
+never above the Hamming distance of their fingerprints, so links are found by a range join on the grid of the coordinates:
 
-A cell yields a spanning forest of its links, never all pairs; forests join to components by stars. Cells above a number of
-points are dealt out again by the blocks of the fingerprints' other bits before they reach a task, and within a task large
-groups are refined in the same exact way.
+1. Of two points within 3, one half of the coordinates is within 1. So each point resides in its cell of either half's grid and
+   visits the cells that are one step up along one axis; of a pair within 1 in a half, one resides where the other resides or
+   visits. A cell holds points by the sum of the coordinates that are left (the free ones).
+2. Within a cell a window slides over that sum: points further apart than 3 there are never looked at. The Manhattan distance
+   over all coordinates sorts out most others, then the Hamming distance decides.
+3. Cells above a number of points are dealt out again before they reach a task, in the same way by halves of their free
+   coordinates, until they are small or no coordinates are left.
+
+A cell yields links that connect what is near, never all pairs; they join to components by stars.
 
 Defined cases: a null or wordless text has fingerprint 0, linked like any other; a null doc_id gets a fingerprint and a
 component but never names one unless its whole component is null; repeated rows are alike; an empty table gives no rows.
@@ -19,22 +22,20 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftworks.llm.arrow import U, as_bytes, mix, slices
-from siftworks.llm.common import cut, partitions
+from siftworks.llm.common import bounded, cut, forget, join_groups, partitions, scratch
 from siftworks.llm.components import components
 
 DISTANCE = 3
-#: Axes (segments of two bits) of each group of the grid.
-GROUPS = (range(0, 6), range(6, 12), range(12, 17), range(17, 22), range(22, 27), range(27, 32))
+AXES = 32
 HOT_CELL = 20_000
-PAIRWISE = 1024
 LOW = U(0x5555555555555555)
 
 
@@ -78,126 +79,136 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, fp bigint")
 
 
-def thermometer(fp: Column) -> Column:
-    """The embedding: of each pair of bits the low one if any is set, the high one if both are."""
-    low, shifted = F.lit(0x5555555555555555), F.shiftright(fp, 1)
-    return fp.bitwiseOR(shifted).bitwiseAND(low).bitwiseOR(F.shiftleft(fp.bitwiseAND(shifted).bitwiseAND(low), 1))
-
-
-def signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def grid_cells(points: DataFrame) -> DataFrame:
-    """fp, combo and at: the 20 cells of each point."""
-    masks = [sum(3 << (2 * axis) for g in chosen for axis in GROUPS[g]) for chosen in combinations(range(6), 3)]
-    cells = [F.struct(F.lit(k).alias("combo"), F.col("t").bitwiseAND(F.lit(signed(m))).alias("at")) for k, m in enumerate(masks)]
-    return points.select("fp", thermometer(F.col("fp")).alias("t")).select("fp", F.explode(F.array(*cells)).alias("c")).select("fp", "c.combo", "c.at")
+# --- the grid -------------------------------------------------------------------------------------------------------------
 
 
 def embed(fp: np.ndarray) -> np.ndarray:
+    """The coordinates, two bits each: of a count of 1 the low bit is set, of 2 both. So the Manhattan distance of two points is
+    the number of bits in which they differ, and the sum of coordinates the number of bits set."""
     half = fp >> U(1)
     return ((fp | half) & LOW) | (((fp & half) & LOW) << U(1))
 
 
-def forest(points: np.ndarray, free: tuple[int, ...] = tuple(range(64))) -> list[tuple[np.ndarray, np.ndarray]]:
-    """A spanning forest (pairs of arrays) of the links among distinct points. free: the bits that may still differ."""
-    n = len(points)
-    if n < 2:
-        return []
-    if n > PAIRWISE and len(free) > 8:
-        # four blocks of the free bits: one at least is equal in a link
-        out = []
-        for block in range(4):
-            bits = free[block::4]
-            key = points & U(sum(1 << b for b in bits))
-            order = np.argsort(key, kind="stable")
-            bounds = [0, *(np.flatnonzero(np.diff(key[order])) + 1).tolist(), n]
-            rest = tuple(b for b in free if b not in bits)
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                if b - a > 1:
-                    out += forest(points[order[a:b]], rest)
-        return out
-    parent = np.arange(n)
-    codes = embed(points)
-    firsts, seconds = [], []
-    for at in range(0, n, 256):
-        near = np.bitwise_count(codes[at : at + 256, None] ^ codes[None, at:]) <= DISTANCE
-        i, j = np.nonzero(near)
-        i, j = i + at, j + at
-        keep = (i < j) & (np.bitwise_count(points[i] ^ points[j]) <= DISTANCE)
-        firsts.append(i[keep])
-        seconds.append(j[keep])
-    i, j = np.concatenate(firsts), np.concatenate(seconds)
-    while len(i):  # labels fall to the smallest of the component
-        low = np.minimum(parent[i], parent[j])
-        if np.array_equal(low, parent[i]) and np.array_equal(low, parent[j]):
-            break
-        np.minimum.at(parent, i, low)
-        np.minimum.at(parent, j, low)
-        parent = np.minimum(parent, parent[parent])
-    other = np.flatnonzero(parent != np.arange(n))
-    return [(points[other], points[parent[other]])] if len(other) else []
+def cells_of(codes: np.ndarray, at: int, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Cells of the grid over the n axes from bit `at` on: which points, their cells, and 0 for residents or 1 for visitors."""
+    own = codes & U(((1 << 2 * n) - 1) << at)
+    yield np.arange(len(codes)), own, 0
+    for axis in range(at, at + 2 * n, 2):
+        low, high = (codes >> U(axis)) & U(1), (codes >> U(axis + 1)) & U(1)
+        up = np.flatnonzero(high == 0)
+        yield up, own[up] | ((low[up] + U(1)) << U(axis)), 1
+
+
+def deal(rows: DataFrame) -> DataFrame:
+    """rows: cell, at, free (the axes from bit `at` on that the cell leaves free), role, level and fp. Their cells by either
+    half of the free axes, and far, the sum of the coordinates that are free then. role has a bit for each level's visitors."""
+    names = ["cell", "at", "free", "far", "role", "level", "fp"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4096):
+            cell, at, free, role, level, fp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "at", "free", "role", "level", "fp"))
+            out = []
+            for first, axes in sorted(set(zip(at.tolist(), free.tolist(), strict=True))):
+                own = np.flatnonzero((at == first) & (free == axes))
+                codes, half = embed(fp[own].astype(np.int64).view(np.uint64)), axes // 2
+                for mine, other in ((first, first + 2 * half), (first + 2 * half, first)):
+                    far = np.bitwise_count(codes & U(((1 << 2 * half) - 1) << other))
+                    for which, keys, visits in cells_of(codes, mine, half):
+                        w = own[which]
+                        # cells are told apart by hashes; two that share one only bring more pairs together
+                        name = mix(mix(cell[w].astype(np.int64).view(np.uint64) + U(mine + 1)) ^ keys)
+                        out.append((name.view(np.int64), np.full(len(w), other, np.int32), np.full(len(w), half, np.int32), far[which].astype(np.int32), role[w] | (visits << level[w]), level[w] + 1, fp[w]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=names)
+
+    return rows.select("cell", "at", "free", "role", "level", "fp").mapInArrow(run, "cell bigint, at int, free int, far int, role int, level int, fp bigint")
+
+
+def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (each the number of a row of its group) after the groups of a and b are joined."""
+    while True:
+        x, y = label[a], label[b]
+        if np.array_equal(x, y):
+            return label
+        low = np.minimum(x, y)
+        np.minimum.at(label, x, low)
+        np.minimum.at(label, y, low)
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+
+
+def window_links(cell: np.ndarray, far: np.ndarray, role: np.ndarray, fp: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Rows sorted by cell and far. Links (pairs of arrays) that connect what is near within each cell."""
+    n, codes = len(fp), embed(fp)
+    label, out = np.arange(n), []
+    i, step = np.arange(n - 1), 1
+    while len(i):
+        j = i + step
+        inside = (cell[i] == cell[j]) & (far[j] - far[i] <= DISTANCE)
+        i, j = i[inside], j[inside]  # the window of what fell out has ended
+        pair = ((role[i] & role[j]) == 0) & (label[i] != label[j])
+        a, b = i[pair], j[pair]
+        for x in (codes, fp):  # the lower bound, then the distance itself
+            near = np.bitwise_count(x[a] ^ x[b]) <= DISTANCE
+            a, b = a[near], b[near]
+        if len(a):
+            out.append((fp[a], fp[b]))
+            label = join_labels(label, a, b)
+        step += 1
+        i = i[i + step < n]
+    return out
 
 
 def links_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell; a cell's points may run over batches."""
+    """Rows (cell, far, role, fp) sorted by cell and far; a cell's points may run over batches."""
     held: list[np.ndarray] = []
 
-    def flush(columns: list[np.ndarray]) -> pa.RecordBatch | None:
-        fp, bounds = columns[-1], np.flatnonzero(np.any([np.diff(c) != 0 for c in columns[:-1]], axis=0)) + 1 if len(columns[-1]) else []
-        starts = np.concatenate(([0], bounds)).astype(np.int64)
-        sizes = np.diff(np.append(starts, len(fp)))
-        pairs = starts[sizes == 2]
-        i, j = fp[pairs], fp[pairs + 1] if len(pairs) else fp[pairs]
-        near = np.bitwise_count(embed(i) ^ embed(j)) <= DISTANCE
-        i, j = i[near], j[near]
-        near = np.bitwise_count(i ^ j) <= DISTANCE
-        found = [(i[near], j[near])]
-        for a, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-            found += forest(fp[a : a + n])
-        a, b = (np.concatenate([x[k] for x in found]).view(np.int64) for k in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"]) if len(a) else None
+    def links(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for a, b in window_links(*columns):
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     for batch in batches:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        columns[-1] = columns[-1].astype(np.int64).view(np.uint64)
+        columns[3] = columns[3].astype(np.int64).view(np.uint64)
         held = [np.concatenate(x) for x in zip(held, columns, strict=True)] if held else columns
-        changes = np.flatnonzero(np.any([np.diff(c) != 0 for c in held[:-1]], axis=0))
+        changes = np.flatnonzero(np.diff(held[0]) != 0)
         if len(changes):
             end = changes[-1] + 1
-            if (out := flush([c[:end] for c in held])) is not None:
-                yield out
+            yield from links([c[:end] for c in held])
             held = [c[end:] for c in held]
-    if held and (out := flush(held)) is not None:
-        yield out
+    if held:
+        yield from links(held)
 
 
 def near_links(points: DataFrame) -> DataFrame:
     """points: distinct fp. Links a, b that connect whatever is within the distance."""
-    spark = points.sparkSession
-    cells = grid_cells(points)
-    hot = cut(cells.groupBy("combo", "at").count().where(F.col("count") > HOT_CELL).drop("count"))
-    keyed = cells.withColumn("sub", F.lit(0)).withColumn("sub_at", F.lit(0).cast("bigint"))
-    if not hot.isEmpty():
-        blocks = [F.struct(F.lit(k + 1).alias("sub"), F.col("fp").bitwiseAND(F.lit(signed(0xFFFF << (16 * k)))).alias("sub_at")) for k in range(4)]
-        marked = cells.join(hot.withColumn("__hot", F.lit(True)), ["combo", "at"], "left")
-        whole = F.array(F.struct(F.lit(0).alias("sub"), F.lit(0).cast("bigint").alias("sub_at")))
-        keyed = marked.select("fp", "combo", "at", F.explode(F.when(F.col("__hot"), F.array(*blocks)).otherwise(whole)).alias("s")).select("fp", "combo", "at", "s.*")
-    keys = ["combo", "at", "sub", "sub_at"]
-    sorted_cells = keyed.select(*keys, "fp").repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
-    return sorted_cells.mapInArrow(links_in_cells, "a bigint, b bigint")
+    whole = [F.lit(0).cast("bigint").alias("cell"), *(F.lit(x).alias(c) for c, x in (("at", 0), ("free", AXES), ("role", 0), ("level", 0)))]
+    cells, ready = deal(points.select(*whole, "fp")), []
+    while True:
+        hot = cut(cells.groupBy("cell").count().where(F.col("count") > HOT_CELL).select("cell"))
+        if hot.isEmpty():
+            ready.append(cells)
+            break
+        ready.append(cells.join(bounded(hot), "cell", "left_anti"))
+        over = cells.join(bounded(hot), "cell", "left_semi")
+        ready.append(over.where("free < 2"))
+        cells = cut(deal(over.where("free >= 2")))
+    found = ready[0]
+    for more in ready[1:]:
+        found = found.unionByName(more.select(found.columns))
+    dealt = found.select("cell", "far", "role", "fp").repartition(partitions(points.sparkSession), "cell").sortWithinPartitions("cell", "far")
+    return dealt.mapInArrow(links_in_cells, "a bigint, b bigint")
 
 
 def near_dedup(docs: DataFrame, width: int = 3) -> DataFrame:
     """Per document: doc_id, fp, component_id (the smallest doc_id that can be reached, itself included)."""
     prints = cut(fingerprints(docs, width))
-    points = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    points = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")))
     roots = components(near_links(points.select("fp")))
     of_point = cut(points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     named = of_point.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = of_point.join(named, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = cut(of_point.join(named, "root").select("fp", "component_id", "rows"))
+    return join_groups(prints, classes, "fp", "rows").select("doc_id", "fp", "component_id")
 
 
 def hex_of(fp: Column) -> Column:
@@ -208,9 +219,10 @@ def hex_of(fp: Column) -> Column:
 #
 # At a similarity of 0.8 fingerprints of 64 bits differ in about ten, so links within three bits find few such pairs. The
 # pipeline's stage therefore adds links by an exact join over sets of shingles. In any one order of all shingles, two sets that
-# are similar share one among the first n - ceil(0.8 n) + 1 of each (n: its size), and where the first that they share stands
-# bounds what they can have in common. The order is by the shingles' hashes, with those that are common in a sample of the
-# documents last: the sample decides how many candidates there are, never which pairs are found.
+# are similar share one among the first n - ceil(0.8 n) + 1 of each (n: its size; its prefix), and where the first that they
+# share stands, and how many of the prefixes they share, bounds what they can have in common. The order is by the shingles'
+# hashes, with those that are common in a sample of the documents last: the sample decides how many candidates there are, never
+# which pairs are found.
 
 SIMILARITY = 0.8
 #: One text in SAMPLE is looked through for shingles that COMMON of them have at least; not more than LISTED are told apart.
@@ -220,17 +232,36 @@ Common = tuple[np.ndarray, np.ndarray]
 NONE: Common = (np.empty(0, np.uint64), np.empty(0, np.int64))
 
 
-def parts_of(hashes: np.ndarray, common: Common = NONE, similarity: float = SIMILARITY) -> list[dict]:
-    """The first shingles in the order: part is how often the sample has one (0: not common), sum its hash. hashes: sorted,
-    distinct."""
-    n = len(hashes)
+def ranks(hashes: np.ndarray, common: Common) -> np.ndarray:
+    """How often the sample has each (0: it isn't common): the first key of the order, before the hash."""
     keys, often = common
-    rank = np.zeros(n, np.int64)
-    if len(keys) and n:
-        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-        rank = np.where(keys[at] == hashes, often[at], 0)
-    first = np.argsort(rank, kind="stable")[: n - int(np.ceil(similarity * n - SLACK)) + 1]
-    return [{"part": r, "sum": x} for r, x in zip(rank[first].tolist(), hashes[first].view(np.int64).tolist(), strict=True)]
+    if not len(keys) or not len(hashes):
+        return np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+    return np.where(keys[at] == hashes, often[at], 0)
+
+
+def prefix_of(hashes: np.ndarray, common: Common = NONE, similarity: float = SIMILARITY) -> np.ndarray:
+    """The first shingles in the order. hashes: sorted, distinct."""
+    n = len(hashes)
+    return hashes[np.argsort(ranks(hashes, common), kind="stable")[: n - int(np.ceil(similarity * n - SLACK)) + 1]] if n else hashes
+
+
+def most_shared(x: np.ndarray, n: int, y: np.ndarray, m: int, common: Common = NONE) -> int:
+    """What sets of n and m shingles with prefixes x and y have in common at most.
+
+    Up to the end of the prefix that ends first both are known; of what comes behind, the shorter rest may be shared."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    p, q = ranks(x, common), ranks(y, common)
+    if (p[-1], x[-1]) > (q[-1], y[-1]):
+        x, n, y, m, p, q = y, m, x, n, q, p
+    known = int(((q < p[-1]) | ((q == p[-1]) & (y <= x[-1]))).sum())
+    return both + min(n - len(x), m - known)
+
+
+def needed(n: int, m: int, similarity: float) -> float:
+    """What sets of n and m have in common at this similarity."""
+    return (n + m) * (similarity / (1 + similarity)) - SLACK
 
 
 def common_shingles(docs: DataFrame, width: int) -> Common:
@@ -252,26 +283,24 @@ def common_shingles(docs: DataFrame, width: int) -> Common:
     return keys[order], often[order]
 
 
-def digest_of(hashes: np.ndarray) -> int:
-    """A set of shingles as a signed 64-bit number. hashes: sorted, distinct."""
-    return int.from_bytes(hashlib.blake2b(hashes.astype("<u8").tobytes(), digest_size=8).digest(), "little", signed=True)
+def digest_of(hashes: np.ndarray) -> bytes:
+    """A set of shingles as 16 bytes. hashes: sorted, distinct."""
+    return hashlib.blake2b(hashes.astype("<u8").tobytes(), digest_size=16).digest()
 
 
-def sampled(docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """doc_id, fp, node (a digest of the distinct shingles), their number and the first of them."""
-    kind = pa.list_(pa.struct([("part", pa.int32()), ("sum", pa.int64())]))
-    held = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
+def prefixes(docs: DataFrame, width: int, similarity: float, common: Broadcast) -> DataFrame:
+    """doc_id, fp, digest (of the set of shingles), n (their number) and prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [np.array(shingle_hashes(x, width), dtype=np.uint64) for x in as_bytes(batch.column(1))]
             prints = np.array([majority(x) for x in found], dtype=np.uint64).view(np.int64)
             found = [np.unique(x) for x in found]
-            sizes = pa.array([len(x) for x in found], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), pa.array([digest_of(x) for x in found], pa.int64()), sizes, pa.array([parts_of(x, held.value, similarity) if len(x) else [] for x in found], kind)], names=["doc_id", "fp", "node", "n", "parts"])
+            columns = [batch.column(0), pa.array(prints), pa.array([digest_of(x) for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int32()), pa.array([prefix_of(x, common.value, similarity).view(np.int64) for x in found], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "digest", "n", "prefix"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint, node bigint, n int, parts array<struct<part: int, sum: bigint>>")
+    return rows.mapInArrow(run, "doc_id bigint, fp bigint, digest binary, n int, prefix array<bigint>")
 
 
 def fits(n: Column, at: Column, other_n: Column, other_at: Column, similarity: float) -> Column:
@@ -279,18 +308,40 @@ def fits(n: Column, at: Column, other_n: Column, other_at: Column, similarity: f
     return 1 + F.least(n - 1 - at, other_n - 1 - other_at) >= (n + other_n) * (similarity / (1 + similarity)) - SLACK
 
 
-def similar_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Those of the pairs a, b (nodes) that are similar, each set of shingles made once. nodes: node, doc_id of a text of it."""
+def of_pairs(pairs: DataFrame) -> DataFrame:
+    """The distinct rows (numbers) that pairs a, b name."""
+    return cut(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct())
+
+
+def possible(pairs: DataFrame, sets: DataFrame, similarity: float, common: Broadcast) -> DataFrame:
+    """Those of the pairs a, b that can be similar by their whole prefixes. sets: row, n, prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keep = []
+            for n, x, m, y in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), batch.column(5), strict=True):
+                x, y = (v.values.to_numpy().view(np.uint64) for v in (x, y))
+                keep.append(most_shared(x, n, y, m, common.value) >= needed(n, m, similarity))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    held = sets.join(bounded(of_pairs(pairs)), "row", "left_semi").select("row", "n", "prefix")
+    both = pairs.join(held.toDF("b", "m", "of_b"), "b").join(held.toDF("a", "n", "of_a"), "a")
+    return cut(both.select("a", "b", "n", "of_a", "m", "of_b").mapInArrow(run, "a bigint, b bigint"))
+
+
+def similar_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, similarity: float, common: Broadcast) -> DataFrame:
+    """Those of the pairs a, b (numbers of rows of sets) that are similar, each set of shingles made once."""
+    pairs = possible(pairs, sets, similarity, common)
+    wanted = cut(sets.join(bounded(of_pairs(pairs)), "row", "left_semi").select("row", "doc_id", "digest"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    wanted = nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi")
     # rows may repeat a doc_id, with the same text or another
-    texts = wanted.select("node", "doc_id").join(texts, "doc_id").dropDuplicates(["doc_id", "node", "text"])
+    texts = texts.join(bounded(wanted), "doc_id").select("row", "digest", "text").dropDuplicates()
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [np.unique(np.array(shingle_hashes(x, width), dtype=np.uint64)) for x in as_bytes(batch.column(1))]
-            own = pa.array([digest_of(x) == k for x, k in zip(found, batch.column(0).to_pylist(), strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], names=["node", "hashes"]).filter(own)
+            found = [np.unique(np.array(shingle_hashes(x, width), dtype=np.uint64)) for x in as_bytes(batch.column(2))]
+            own = pa.array([digest_of(x) == k for x, k in zip(found, batch.column(1).to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], names=["row", "hashes"]).filter(own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -298,37 +349,37 @@ def similar_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: in
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = x.values.to_numpy(), y.values.to_numpy()
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
+                keep.append(both >= needed(len(x), len(y), similarity))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    found = cut(texts.select("node", "text").mapInArrow(sets, "node bigint, hashes array<bigint>"))
+    found = texts.mapInArrow(made, "row bigint, hashes array<bigint>")
     both = pairs.join(found.toDF("b", "of_b"), "b").join(found.toDF("a", "of_a"), "a")
-    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
+    return cut(both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint").distinct())
 
 
-def similar_links(docs: DataFrame, nodes: DataFrame, near: DataFrame, width: int, similarity: float) -> DataFrame:
-    """a, b: links that, with near, connect all nodes (node, doc_id, n, parts) that are similar.
+def similar_links(docs: DataFrame, sets: DataFrame, near: DataFrame, width: int, similarity: float, common: Broadcast) -> DataFrame:
+    """a, b: links that, with near, connect all sets (row, doc_id, digest, n, prefix) that are similar.
 
-    First each is compared with one head of each part it shares: that whose own parts are shared most, as the base of many
-    variants is. Then any two that share a part and are not connected yet are compared, so none is left out; groups of copies
+    First each is compared with one head of each shingle it shares: that whose own shingles are shared most, as the base of many
+    variants is. Then any two that share one and are not connected yet are compared, so none is left out; groups of copies
     are connected by then and make no pairs."""
-    same = Window.partitionBy("part", "sum")
-    parts = nodes.select("node", "n", F.posexplode("parts").alias("at", "p")).select("node", "n", "at", "p.part", "p.sum")
-    parts = cut(parts.withColumn("many", F.count(F.lit(1)).over(same)).where("many > 1"))
-    weights = parts.groupBy("node").agg(F.sum("many").alias("weight"))
-    heads = parts.join(weights, "node").withColumn("head", F.max(F.struct("weight", "node", "n", "at")).over(same))
-    heads = heads.where((F.col("head.node") != F.col("node")) & fits(F.col("n"), F.col("at"), F.col("head.n"), F.col("head.at"), similarity))
-    first = cut(heads.select(F.least("head.node", "node").alias("a"), F.greatest("head.node", "node").alias("b")).distinct())
-    links = cut(similar_pairs(docs, nodes, first, width, similarity))
-    roots = components(near.union(links))
-    rooted = parts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    same = Window.partitionBy("token")
+    tokens = sets.select("row", "n", F.posexplode("prefix").alias("at", "token"))
+    tokens = cut(tokens.withColumn("many", F.count(F.lit(1)).over(same)).where("many > 1"))
+    weights = tokens.groupBy("row").agg(F.sum("many").alias("weight"))
+    heads = tokens.join(weights, "row").withColumn("head", F.max(F.struct("weight", "row", "n", "at")).over(same))
+    heads = heads.where((F.col("head.row") != F.col("row")) & fits(F.col("n"), F.col("at"), F.col("head.n"), F.col("head.at"), similarity))
+    first = cut(heads.select(F.least("head.row", "row").alias("a"), F.greatest("head.row", "row").alias("b")).distinct())
+    links = similar_pairs(docs, sets, first, width, similarity, common)
+    roots = components(near.union(links)).withColumnRenamed("node", "row")
+    rooted = tokens.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
     mixed = rooted.withColumn("low", F.min("root").over(same)).withColumn("high", F.max("root").over(same)).where("low <> high")
-    mixed = cut(mixed.select("part", "sum", "node", "root", "n", "at"))
-    other = mixed.toDF("part", "sum", "b", "other", "m", "bt")
-    apart = (F.col("node") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("at"), F.col("m"), F.col("bt"), similarity)
-    rest = mixed.join(other, ["part", "sum"]).where(apart).select(F.col("node").alias("a"), "b").distinct()
+    mixed = cut(mixed.select("token", "row", "root", "n", "at"))
+    other = mixed.toDF("token", "b", "other", "m", "bt")
+    apart = (F.col("row") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("at"), F.col("m"), F.col("bt"), similarity)
+    rest = mixed.join(other, "token").where(apart).select(F.col("row").alias("a"), "b").distinct()
     rest = cut(rest.join(first, ["a", "b"], "left_anti"))
-    return links.union(similar_pairs(docs, nodes, rest, width, similarity))
+    return links.union(similar_pairs(docs, sets, rest, width, similarity, common))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
@@ -337,19 +388,26 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY)
     A group holds what is linked by fingerprints within the distance, or by a share of common shingles of at least similarity.
     Rows without a doc_id have no name to be dropped by and stay; so do rows that repeat the doc_id of a document that stays.
     """
-    prints = cut(sampled(docs, width, similarity))
-    named = prints.where("doc_id is not null")
-    # texts with equal sets of shingles are one node; of each fingerprint one node stands for the others it has
-    nodes = cut(named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("parts").alias("parts")))
-    points = cut(named.groupBy("fp").agg(F.min("node").alias("first")))
+    spark = docs.sparkSession
+    common = spark.sparkContext.broadcast(common_shingles(docs, width))  # bounded by LISTED
+    path = scratch(spark, "prefixes")
+    prefixes(docs, width, similarity, common).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    named = spark.read.parquet(path).where("doc_id is not null")
+    # rows with equal sets of shingles are one: that with the smallest number; of each fingerprint one stands for the others
+    kinds = cut(named.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")))
+    twins = join_groups(named.select("row", "digest"), kinds.where("rows > 1"), "digest", "rows").where("row <> node").select("row")
+    sets = named.join(bounded(cut(twins)), "row", "left_anti")
+    prints = cut(named.select("digest", "fp").distinct().join(kinds, "digest").select("fp", "node"))
+    points = cut(prints.groupBy("fp").agg(F.min("node").alias("first")))
     roots = components(near_links(points.select("fp")))
     of_point = points.join(roots.withColumnRenamed("node", "fp"), "fp").select("first", F.col("root").alias("fp"))
     near = of_point.join(points.withColumnRenamed("first", "other"), "fp").select(F.col("first").alias("a"), F.col("other").alias("b"))
-    equal = named.select("fp", "node").distinct().join(points, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    equal = prints.join(points, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
     near = cut(near.union(equal).where("a <> b"))
-    groups = components(near.union(similar_links(docs, nodes, near, width, similarity)))
-    rooted = nodes.select("node", "doc_id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    keep = rooted.groupBy("root").agg(F.min("doc_id").alias("keep"))
-    kept = rooted.join(keep, "root").select("node", "keep")
-    gone = cut(named.select("doc_id", "node").join(kept, "node").where("doc_id <> keep").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti")
+    groups = components(near.union(similar_links(docs, sets, near, width, similarity, common)))
+    rooted = kinds.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keep = rooted.groupBy("root").agg(F.min("least").alias("keep"))
+    kept = cut(rooted.join(keep, "root").select("digest", "keep", "rows"))
+    gone = cut(join_groups(named.select("doc_id", "digest"), kept, "digest", "rows").where("doc_id <> keep").select("doc_id").distinct())
+    forget(spark, path)
+    return docs.join(bounded(gone), "doc_id", "left_anti")
