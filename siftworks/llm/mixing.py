@@ -4,13 +4,16 @@ Each source's share of the total is in proportion to its weight. A source whose
 clamped there, and what it leaves is dealt to the others by weight, until none is above. With the level L = (total left) /
 (weights left) a source is clamped if its cap is below L times its weight, so each round needs two sums over the table of
 sources and the driver only holds L. Then every document is taken floor(target / size) times, and those first in a seeded
-order once more, until the target's rest is reached: the words taken differ from the target by less than half of one document.
+order once more, until the target's rest is reached: the words taken differ from the target by half of one document at most.
 
-The seeded order is cut by a histogram of 4096 ranges per source. Only the one range in which the cut falls is sorted, so
-that a source with a third of all rows never meets in one task.
+The seeded order is that of a hash of doc_id and text. It is cut by a histogram of 4096 ranges per source; of the one range in
+which the cut falls, rows at one place of the order (repeated rows) are first reduced to a number. So a source, or a row, that
+fills a third of the table never meets in one task. If the cut falls within repeated rows, only as many of them as it needs are
+taken once more: they are numbered within their partitions and shifted by what the partitions before hold.
 
-Defined cases: a null text has size 0; a null source is a source of its own, last in order; a null doc_id sorts as 'null';
-repeated rows count each for itself; an empty table gives no rows; sources without words have target 0.
+Defined cases: a null text has size 0; a null source is a source of its own, last in order; a null doc_id sorts as 'null', rows
+without one by their texts; repeated rows count each for itself, and which of them are taken makes no difference (but for carried
+columns in which they differ); an empty table gives no rows; sources without words have target 0.
 """
 
 from __future__ import annotations
@@ -31,9 +34,9 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORDS)).cast("bigint")
 
 
-def seeded_key(doc_id: Column, seed: int) -> Column:
+def seeded_key(doc_id: Column, text: Column, seed: int) -> Column:
     """Hex digits that order the documents of a source; the same in any run."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(text)))
 
 
 def cycle_weights(sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -73,7 +76,7 @@ def mix(docs: DataFrame, max_epochs: int = 3, cycle: tuple[int, ...] = (1, 2, 3)
     carry: other columns of docs to keep along (for a pipeline's stage; they are moved with the rows).
     """
     names = ["doc_id", "source", *(c for c in carry if c not in ("doc_id", "source"))]
-    keyed = docs.select(*names, n_words(text_or_empty()).alias("__size"), seeded_key(F.col("doc_id"), seed).alias("__key"))
+    keyed = docs.select(*names, n_words(text_or_empty()).alias("__size"), seeded_key(F.col("doc_id"), text_or_empty(), seed).alias("__key"))
     keyed = keyed.withColumn("__source", F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))).withColumn("__range", F.substring("__key", 1, 3))
     light = cut(keyed.select("source", "__source", "__range", "__key", "__size", "doc_id"))
     sources = cut(cycle_weights(light.groupBy("__source").agg(F.first("source").alias("source"), F.sum("__size").alias("source_size")), cycle))
@@ -88,19 +91,36 @@ def mix(docs: DataFrame, max_epochs: int = 3, cycle: tuple[int, ...] = (1, 2, 3)
     cuts = ranges.withColumn("__before", upto - F.col("__sum")).join(small(sources.select("__source", "__rest")), "__source").where(crossing).groupBy("__source").agg(F.min(F.struct("__range", "__before")).alias("__cut"))
     plan = sources.join(cuts, "__source", "left").select("__source", "source_size", "target", "__whole", "__rest", F.col("__cut.__range").alias("__at"), F.col("__cut.__before").alias("__base"))
     plan = cut(plan)
-    place = F.struct("__key", "doc_id", "__size")
-    edge = light.join(small(plan), "__source").where(F.col("__range") == F.col("__at"))
-    upto_doc = F.col("__base") + F.sum("__size").over(W.partitionBy("__source").orderBy(place).rowsBetween(W.unboundedPreceding, 0)) - F.col("__size")
-    # what is taken once more is a beginning of the order: the sum before a document grows by no less than its half
-    last = edge.withColumn("__upto", upto_doc).where(F.col("__upto") + F.col("__size") / 2 <= F.col("__rest")).groupBy("__source").agg(F.max(place).alias("__last"))
-    plan = cut(plan.join(last, "__source", "left"))
-
-    rows = (keyed if carry else light).join(small(plan.drop("__rest", "__base")), "__source")
-    more = F.col("__at").isNull() | (F.col("__range") < F.col("__at")) | ((F.col("__range") == F.col("__at")) & F.coalesce(place <= F.col("__last"), F.lit(False)))
-    copies = F.least(F.col("__whole") + more.cast("bigint"), F.lit(max_epochs).cast("bigint"))
+    # the places of the range of the cut, each once with its number of rows
+    places = light.join(small(plan), "__source").where(F.col("__range") == F.col("__at")).groupBy("__source", "__key").agg(F.first("__size").alias("__size"), F.count(F.lit(1)).alias("__rows"), F.first("__base").alias("__base"), F.first("__rest").alias("__rest"))
+    before = F.col("__base") + F.sum(F.col("__size") * F.col("__rows")).over(W.partitionBy("__source").orderBy("__key").rowsBetween(W.unboundedPreceding, 0)) - F.col("__size") * F.col("__rows")
+    # what is taken once more is a beginning of the order: the words before a row, and half of its own, are not above the rest
+    room = F.when(F.col("__size") > 0, F.floor((F.col("__rest") - before) / F.col("__size") + 0.5)).when(before <= F.col("__rest"), F.col("__rows")).otherwise(0)
+    taken = places.withColumn("__once", F.greatest(F.least(room, F.col("__rows")), F.lit(0)).cast("bigint")).where("__once > 0")
+    last = taken.groupBy("__source").agg(F.max(F.struct("__key", "__once", "__rows")).alias("__last"))
+    plan = cut(plan.join(last, "__source", "left").select("__source", "source_size", "target", "__whole", "__at", "__last.*"))
+    plan = plan.withColumnRenamed("__key", "__cut")
+
+    rows = (keyed if carry else light).join(small(plan), "__source")
+    at_cut = F.col("__at").isNotNull() & F.coalesce(F.col("__key") == F.col("__cut"), F.lit(False))
+    more = F.col("__at").isNull() | (F.col("__range") < F.col("__at")) | ((F.col("__range") == F.col("__at")) & F.coalesce(F.col("__key") <= F.col("__cut"), F.lit(False)))
+    rows = rows.withColumn("__more", more)
+    if not plan.where("__once < __rows").isEmpty():  # the cut falls within repeated rows of some source
+        split = at_cut & (F.col("__once") < F.col("__rows"))
+        rows = rows.where(~split).unionByName(first_of(cut(rows.where(split))))
+    copies = F.least(F.col("__whole") + F.col("__more").cast("bigint"), F.lit(max_epochs).cast("bigint"))
     return rows.select(*names, F.col("__size").alias("size"), "source_size", "target", copies.alias("copies"), (copies * F.col("__size")).alias("taken"))
 
 
+def first_of(rows: DataFrame) -> DataFrame:
+    """rows (cut): repeated rows of each source. Sets __more for the first __once of each."""
+    rows = rows.withColumn("__part", F.spark_partition_id())
+    counts = rows.groupBy("__source", "__part").agg(F.count(F.lit(1)).alias("__n"))  # a row for each source and partition
+    counts = counts.withColumn("__shift", F.sum("__n").over(W.partitionBy("__source").orderBy("__part")) - F.col("__n")).drop("__n")
+    number = F.row_number().over(W.partitionBy("__source", "__part").orderBy("__key")) + F.col("__shift")
+    return rows.join(counts, ["__source", "__part"]).withColumn("__more", number <= F.col("__once")).drop("__part", "__shift")
+
+
 def small(sources: DataFrame) -> DataFrame:
     """For joins by source: broadcast up to a number of rows, else left to Spark, which splits the rows of a common source."""
     return F.broadcast(sources) if sources.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES else sources
