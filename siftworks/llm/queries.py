@@ -56,6 +56,31 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
+# The tables' conversations stand in order and call no tools: these rows, besides them, don't and do. Of each call: conv_id, turn, place,
+# call_id, name, arguments, after; and for the SQL its arguments in canonical form and what is wrong with them.
+TOOLS: chat.Schemas = {"find": {"q": ("string", True), "top": ("integer", False), "in": ("array", False)}}
+CALLS: list[tuple] = [
+    (-1, 0, 0, "c", "find", '{"top": 3, "q": "x"}', ["b"], '{"q":"x","top":3}', ""),
+    (-1, 0, 1, "b", "find", '{"q": "é", "in": ["u", 1]}', ["a"], '{"in":["u",1],"q":"é"}', ""),
+    (-1, 1, 0, "a", "find", '{"q": 7}', None, '{"q":7}', "q is not string"),
+    (-1, 2, 0, "d", "find", "{}", ["c", "a", "nobody"], "{}", "q is missing"),
+    (-1, 3, 0, "e", "find", "[1]", ["d", "f"], "[1]", "not an object"),
+    (-1, 3, 0, "f", "seek", '{"q": "x"}', ["e1"], '{"q":"x"}', "unknown tool"),
+    (-1, 4, 0, "e1", "find", "{broken", [], "null", "not JSON"),
+    (-2, 0, 0, "p", "find", '{"q": "1"}', ["q"], '{"q":"1"}', ""),
+    (-2, 1, 0, "q", "find", '{"q": "2"}', ["p"], '{"q":"2"}', ""),
+    (-2, 2, 0, "behind", "find", '{"q": "3"}', ["q", "free"], '{"q":"3"}', ""),
+    (-2, 3, 0, "free", "find", '{"q": "4"}', None, '{"q":"4"}', ""),
+    (-2, 4, 0, "self", "find", None, ["self"], "null", "not JSON"),
+    (-3, 5, 0, "twice", "find", '{"q": "5"}', ["z"], '{"q":"5"}', ""),
+    (-3, 7, 0, "twice", "find", '{"q": "6"}', ["z"], '{"q":"6"}', ""),
+    (-3, 6, 0, "z", "find", '{"q": "7"}', ["y"], '{"q":"7"}', ""),
+    (-3, 9, 0, "y", "find", '{"q": "8"}', None, '{"q":"8"}', ""),
+    (-3, 9, 1, None, "find", '{"q": "9"}', ["y"], '{"q":"9"}', ""),
+    *((-4, 40 - k, 0, f"k{k}", "find", '{"q": "k"}', [f"k{k - 1}"], '{"q":"k"}', "") for k in range(40)),
+]
+RESULTS: list[tuple] = [(-1, 9, 1, "a", "second"), (-1, 9, 0, "a", "first"), (-1, 9, 2, "lost", "?"), (-2, 0, 0, "a", "another's"), (-3, 9, 0, "twice", "both"), (-3, 9, 0, None, "none"), (-1, 5, 0, "c", None)]
+
     for f in (
         op1_suffix_array_dedup,
         op2_simhash_near_dedup,
@@ -168,7 +193,7 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 MIX = """
-WITH t AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, md5('42:' || coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents),
+WITH t AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, md5('42:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS k FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM t GROUP BY source),
 w AS (SELECT source, source_size, 3 * source_size AS cap, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT AS weight FROM s),
 r AS (SELECT *, sum(cap) OVER a - cap AS cap_before, sum(weight) OVER a - weight AS weight_before, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights
@@ -177,7 +202,7 @@ c AS (SELECT *, min(CASE WHEN cap::HUGEINT * (weights - weight_before) < (total
 free AS (SELECT (any_value(total) - coalesce(sum(cap) FILTER (clamped), 0))::DOUBLE AS rest, coalesce(sum(weight) FILTER (NOT clamped), 1)::DOUBLE AS weights FROM c),
 g AS (SELECT source, source_size, CASE WHEN clamped THEN cap::DOUBLE ELSE free.rest * weight::DOUBLE / free.weights END AS target FROM c, free),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM g),
-o AS (SELECT t.*, e.source_size, e.target, e.whole, e.target - e.whole * e.source_size AS rest, coalesce(sum(t.size) OVER (PARTITION BY t.source ORDER BY t.k, t.doc_id NULLS FIRST, t.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+o AS (SELECT t.*, e.source_size, e.target, e.whole, e.target - e.whole * e.source_size AS rest, coalesce(sum(t.size) OVER (PARTITION BY t.source ORDER BY t.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM t JOIN e ON t.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target, (least(3, whole + CASE WHEN before + size / 2 <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM o
 """

@@ -674,3 +674,27 @@ def test_pipeline_against_brute_force(spark, tables):
     assert Counter(r["doc_id"] for r in sharded) == copies
     got = pipeline.run(spark, tables)
     assert Counter(r["doc_id"] for r in got.collect()) == copies
+@pytest.mark.parametrize("kind", ["repeated", "nulls", "both", "empty"])
+def test_mixing_of_rows_alike(spark, kind):
+    """Each source within half a document of its target, however many of its rows are alike; the same in any order of rows."""
+    row = {"repeated": lambda s, k: (7, f"{s} " * 10), "nulls": lambda s, k: (None, f"{s}{k} " * 10), "both": lambda s, k: ((None, f"{s} " * 9) if k % 2 else (k // 3, f"{s} " * 11)), "empty": lambda s, k: (None, None if k % 2 else f"{s} " * 10)}[kind]
+    rows = [(*row(s, k)[:1], row(s, k)[1], "en", s, k) for s in ("a", "b", None) for k in range(100)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    sizes = Counter()
+    for _, t, _, s, _ in rows:
+        sizes[s] += len((t or "").split())
+    want = slow_targets(sizes)
+    first = None
+    for n in (5, 7):
+        got = mixing.mix(frame.repartition(n), carry=("text",)).collect()
+        taken = Counter()
+        for r in got:
+            assert r["size"] == len((r["text"] or "").split()) and r["taken"] == r["copies"] * r["size"] <= 3 * r["size"]
+            taken[r["source"]] += r["taken"]
+        assert len(got) == 300 and all(abs(taken[s] - want[s]) <= 11 / 2 for s in sizes)
+        found = Counter((r["doc_id"], r["text"], r["source"], r["copies"]) for r in got)
+        assert first in (None, found)
+        first = found
+    assert Counter((r["doc_id"], r["source"], r["taken"]) for r in mixing.mix(frame).collect()) == Counter((r["doc_id"], r["source"], r["taken"]) for r in got)
+
+
