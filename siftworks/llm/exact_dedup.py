@@ -1,11 +1,15 @@
 """Exact deduplication against a persistent digest index (DataFrame operations only).
 
 The index is a Parquet table bucketed and sorted by digest. A batch is reduced to one row per digest (partial sums before
-the shuffle, so a text that fills a third of the rows costs a row per task), anti-joined with the index by a sort-merge
-join that reads the index without a shuffle, and appended. Texts never leave the scan: only their digests are moved.
+the shuffle, so a text that fills a third of the rows costs a row per task). Only these rows are dealt out by the index's buckets
+and meet it in sort-merge joins that read it without a shuffle: an anti-join finds what is new and appends it, a left join what
+stands for each text. The answers go back to the rows of the batch, those of the most frequent texts by a broadcast. Texts never
+leave the scan: only their digests are moved.
 
 Defined cases: a null text counts as empty; a null doc_id never wins unless all ids of its group are null; rows that repeat
-both doc_id and text are one document and get the same answer; an empty batch appends nothing; other columns are ignored.
+both doc_id and text are one document and get the same answer; an empty batch appends nothing; other columns are ignored. Of
+equal texts the largest doc_id of the batch that brought them first stays: what later batches bring changes neither it nor the
+size of its group.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import cut, scratch, text_or_empty
+from siftworks.llm.common import cut, join_groups, partitions, scratch, text_or_empty
 
 SCHEMA = "digest string, keep_id bigint, group_size bigint"
 
@@ -28,42 +32,60 @@ class DigestIndex:
     """A digest table at a path: opened if there, else made. buckets: of the table; about 128 MB each is a good size."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
-        self.spark, self.path, self.name = spark, path, f"digests_{uuid.uuid4().hex}"
-        spark.sql(f"CREATE TABLE {self.name} ({SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+        self.spark, self.path, self.buckets, self.name = spark, path, int(buckets), f"digests_{uuid.uuid4().hex}"
+        at = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {self.name} ({SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{at}'")
 
     def entries(self) -> DataFrame:
-        """The entries, for joins that Spark may split where a digest is very common (bucketed reads can't be split)."""
         self.spark.sql(f"REFRESH TABLE {self.name}")
-        return self.spark.read.schema(SCHEMA).parquet(self.path)
+        return self.spark.table(self.name)
 
-    def unseen(self, digests: DataFrame) -> DataFrame:
-        """One row per digest of the batch (doc_id, digest) that the index doesn't hold."""
-        self.spark.sql(f"REFRESH TABLE {self.name}")
-        groups = digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        return groups.join(self.spark.table(self.name).hint("merge"), "digest", "left_anti")
+    def dealt(self, groups: DataFrame) -> DataFrame:
+        """Rows (one per digest) where their buckets are, so that the index needs no shuffle."""
+        return groups.repartition(self.buckets, "digest")
+
+    def unseen(self, groups: DataFrame) -> DataFrame:
+        """Those of the groups (one row per digest) that the index doesn't hold."""
+        return self.dealt(groups).join(self.entries().hint("merge"), "digest", "left_anti")
+
+    def found(self, groups: DataFrame) -> DataFrame:
+        """digest, rows (of the batch), and keep_id and group_size as the index has them, or of the batch if it has none."""
+        held = self.entries().select("digest", F.struct("keep_id", "group_size").alias("held"))
+        own = F.struct("keep_id", "group_size")
+        joined = self.dealt(groups).join(held.hint("merge"), "digest", "left")
+        return joined.select("digest", F.col("group_size").alias("rows"), F.coalesce("held", own).alias("g")).select("digest", "rows", "g.*")
 
-    def add(self, digests: DataFrame) -> None:
+    def add(self, groups: DataFrame) -> None:
         """Appends what is new. A digest that the index holds keeps its first entry."""
-        self.unseen(digests).select("digest", "keep_id", "group_size").write.insertInto(self.name)
+        self.unseen(groups).select("digest", "keep_id", "group_size").write.insertInto(self.name)
 
     def close(self) -> None:
         """Forgets the table's name; its files stay."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
+def groups_of(digests: DataFrame) -> DataFrame:
+    return digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+
+
 def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """Adds the batch to the index and returns, per row: doc_id, keep_id, group_size, kept, text_sha256.
 
     keep_id is the document that stands for the text: of those that came in its first batch, the one with the largest doc_id.
+    The result doesn't read the index any more.
     """
     digests = cut(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest_of(text_or_empty()).alias("digest")))
-    index.add(digests)
-    return digests.join(index.entries(), "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"))
+    groups = cut(groups_of(digests))
+    found = cut(index.found(groups))
+    index.add(groups)
+    return join_groups(digests, found, "digest", "rows").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"))
 
 
 def exact_dedup(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """deduplicate() over a new index in the shared folder."""
-    from siftworks.llm.common import partitions
-
+    """deduplicate() over a new index in the shared folder, whose files stay."""
     spark = docs.sparkSession
-    return deduplicate(docs, DigestIndex(spark, scratch(spark, "digests"), buckets or max(8, partitions(spark))))
+    index = DigestIndex(spark, scratch(spark, "digests"), buckets or max(8, partitions(spark)))
+    try:
+        return deduplicate(docs, index)
+    finally:
+        index.close()
