@@ -1,9 +1,10 @@
 """WARC records in ZIP packages: writing, and reading by ranges without extraction.
 
 A written package holds stored members only: archive/data.warc.gz (one gzip member for each record) and indexes/index.cdxj (CDXJ
-lines: where each record lies in it). Any stored members below archive/ and indexes/ are read, plain or gzipped. The reader parses the end-of-central-directory record at the file's end, the ZIP64 locator and record
-where there is one, and the central directory; it finds where the stored members' bytes begin, reads the indexes, and then reads
-records by their ranges, neighbouring ranges together up to READ bytes. Nothing is unpacked to a disk.
+lines: where each record lies in it). Any stored members below archive/ and indexes/ are read, plain or gzipped. The reader
+parses the end-of-central-directory record at the file's end, the ZIP64 locator and record where there is one, and the central
+directory; it finds where the stored members' bytes begin, reads the indexes, and then reads records by their ranges,
+neighbouring ranges together up to READ bytes. Nothing is unpacked to a disk.
 
 Packages lie in the shared folder and are reached by its URI, so it may be a store that all executors see. A task writes under
 names of its own attempt and reports them when done: those of failed attempts are never read.
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import cut, partitions, scratch
+from siftworks.llm.common import cut, join_groups, partitions, scratch
 
 PACKAGE_BYTES = 64 << 20
 READ = 4 << 20
@@ -207,13 +208,20 @@ def base32_of_hex(hex_: Column) -> Column:
 
 
 def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Adds digest (hex SHA-1), n_bytes, kind and refers_to; the html of revisits is left out."""
+    """page_id, url, digest (hex SHA-1), n_bytes, kind, refers_to and html (null for revisits).
+
+    Kinds are told by digests alone. Payloads are reduced to one per digest before they are moved, in each task and then in all,
+    and joined with the responses: revisits move none, and a payload that fills a third of the pages costs one per task."""
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "utf-8").alias("html"))
-    rows = rows.withColumn("digest", F.sha1("html")).withColumn("n_bytes", F.octet_length("html").cast("bigint"))
-    first = rows.select("digest", "page_id").groupBy("digest").agg(F.min("page_id").alias("first"))
+    rows = rows.withColumn("digest", F.sha1("html"))
+    light = cut(rows.select("page_id", "url", "digest", F.octet_length("html").cast("bigint").alias("n_bytes")))
+    first = cut(light.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("rows")))
     again = (F.col("n_bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
-    joined = rows.join(first, "digest").withColumn("kind", F.when(again, "revisit").otherwise("response"))
-    return joined.select("page_id", "url", "digest", "n_bytes", "kind", F.when(again, F.col("first")).alias("refers_to"), F.when(~again, F.col("html")).alias("html"))
+    kinds = join_groups(light, first, "digest", "rows").withColumn("kind", F.when(again, "revisit").otherwise("response")).withColumn("refers_to", F.when(again, F.col("first")))
+    kinds = kinds.select("page_id", "url", "digest", "n_bytes", "kind", "refers_to")
+    payloads = rows.groupBy("digest").agg(F.first("html").alias("html"))
+    revisits = kinds.where("kind = 'revisit'").withColumn("html", F.lit(None).cast("binary"))
+    return revisits.unionByName(kinds.where("kind = 'response'").join(payloads, "digest").select(revisits.columns))
 
 
 def write_packages(planned: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
