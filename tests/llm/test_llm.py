@@ -309,17 +309,27 @@ def test_exact_dedup(spark, docs, empty):
 
 
 def test_index_keeps_over_batches(spark, tmp_path):
-    path = f"file://{tmp_path}/index"
-    index = exact_dedup.DigestIndex(spark, path, 4)
+    path = f"file://{tmp_path}/it's an index"
+    index = exact_dedup.DigestIndex(spark, path, 6)
     first = spark.createDataFrame([(1, "a"), (2, "a"), (None, None)], "doc_id long, text string")
     assert {(r["doc_id"], r["kept"]) for r in exact_dedup.deduplicate(first, index).collect()} == {(1, False), (2, True), (None, True)}
     index.close()
-    again = exact_dedup.DigestIndex(spark, path, 4)
+    again = exact_dedup.DigestIndex(spark, path, 6)
     second = spark.createDataFrame([(9, "a"), (8, "b"), (7, "")], "doc_id long, text string")
-    assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in exact_dedup.deduplicate(second, again).collect()} == {(9, 2, False), (8, 8, True), (7, None, False)}
+    assert {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.deduplicate(second, again).collect()} == {(9, 2, 2, False), (8, 8, 1, True), (7, None, 1, False)}
     assert again.entries().count() == 3
-    plan = again.unseen(second.select("doc_id", exact_dedup.digest_of(F.col("text")).alias("digest")))._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "LeftAnti" in plan
+    groups = exact_dedup.cut(exact_dedup.groups_of(second.select("doc_id", exact_dedup.digest_of(F.col("text")).alias("digest"))))
+    for plan, kind in ((plan_of(again.unseen(groups)), "LeftAnti"), (plan_of(again.found(groups)), "LeftOuter")):
+        # one shuffle, of the groups; the index is read as it lies
+        assert "SortMergeJoin" in plan and kind in plan and "Bucketed: true" in plan
+        assert plan.count("Exchange") == 1 and re.search(r"Exchange hashpartitioning\(digest#\w+, 6\).*\n.*Scan ExistingRDD", plan)
+    again.close()
+
+
+def test_index_leaves_no_name_behind(spark, docs):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert exact_dedup.exact_dedup(docs).count() == len(TEXTS)
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 # --- 5 --------------------------------------------------------------------------------------------------------------------
@@ -361,6 +371,11 @@ def test_warc_round_trip(spark):
     assert len(got) == len(rows)
     first = {}
     for i, _, h, _ in rows[:-1]:
+def plan_of(df):
+    """The plan without what the joins' statistics may change while it runs."""
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
         f, raw = first.setdefault(h or "", i), data(h)
         r = got[i]
         assert (r["payload_bytes"], r["payload_digest"]) == (len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())
@@ -378,6 +393,10 @@ def test_members_of_a_zip(zip64, monkeypatch):
         monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 1)
         monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 10)
     buffer = io.BytesIO()
+def dice(a, b):
+    return 2 * len(a & b) / (len(a) + len(b)) if a else 0
+
+
     with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED) as z:
         for name, body in (("a/b.txt", b"one"), ("é.bin", bytes(range(256)) * 9)):
             with z.open(name, "w", force_zip64=zip64) as f:
@@ -470,6 +489,16 @@ def test_rows_alike_are_dealt_out(spark):
 
 def labelled(n):
     bad = ["rotten", "vileness", "vilely", "horrid"]
+def test_payloads_are_reduced_before_they_are_moved(spark):
+    """The html column enters shuffles only as the partial result of one payload per digest."""
+    pages = spark.createDataFrame([(i, "u", "same") for i in range(9)] + [(99, "u", None)], "page_id long, url string, html string")
+    planned = warc.plan_records(pages)
+    plan = plan_of(planned)
+    moved = [line for line in plan.split("\n") if "Exchange" in line]
+    assert moved and not any("html" in line for line in moved) and "partial_first(html" in plan
+    assert sorted((r["page_id"], r["kind"], r["html"] is None) for r in planned.collect()) == [(0, "response", False), *[(i, "revisit", True) for i in range(1, 9)], (99, "response", False)]
+
+
     rows = []
     for i in range(n):
         words = prose(40).split(" ")
