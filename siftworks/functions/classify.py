@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from siftworks import rules
-from siftworks.functions.text import any_of, clean_field, content_words, first_match, label0, strip, title_case
+from siftworks.functions.text import any_of, clean_field, content_reaches, content_words, first_match, label0, strip, title_case
 
 
 def business_type(text: Column, nav: Column | None = None) -> Column:
@@ -21,9 +21,11 @@ def product_category(text: Column) -> Column:
 def lead_class(stage: Column, title: Column, meta: Column, text: Column, domain: Column) -> Column:
     """parked, prelaunch, no_content or ai: disjoint, in this order."""
     whole = F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(text, F.lit(""))))
-    content = F.concat(clean_field(title), clean_field(meta), content_words(text, domain))
+    fields = F.length(clean_field(title)) + F.length(clean_field(meta))
+    bare = (fields < rules.EMPTY_CONTENT) & ~content_reaches(text, domain, rules.EMPTY_CONTENT)
+    few = bare & (fields + F.length(content_words(text, domain)) < rules.EMPTY_CONTENT)  # what little there is may add up
     early = (F.lower(F.coalesce(stage, F.lit(""))) == "pre-launch") | any_of(whole, rules.PRELAUNCH)
-    return F.when(any_of(whole, rules.PARKED), "parked").when(early, "prelaunch").when(F.length(content) < rules.EMPTY_CONTENT, "no_content").otherwise("ai")
+    return F.when(any_of(whole, rules.PARKED), "parked").when(early, "prelaunch").when(few, "no_content").otherwise("ai")
 
 
 def normalise_category(pitch: Column, domain: Column, business: Column, product: Column) -> Column:

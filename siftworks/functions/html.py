@@ -70,6 +70,7 @@ class _Page(HTMLParser):
         self.meta: dict[str, str] = {}
         self.texts: list[str] = []
         self.silent = self.titles = 0
+        self.titled = False
         self.open: list[tuple[str, list[str]]] = []
 
     def handle_starttag(self, tag, attrs):
@@ -99,6 +100,7 @@ class _Page(HTMLParser):
             self.silent = max(0, self.silent - 1)
         elif tag == "title" and self.titles:
             self.titles -= 1
+            self.titled = self.titled or not self.titles  # the first title is the page's; drawings have some of their own
         elif tag in ("a", "button"):
             for k in range(len(self.open) - 1, -1, -1):
                 if self.open[k][0] == tag:
@@ -109,7 +111,7 @@ class _Page(HTMLParser):
     def handle_data(self, data):
         if self.silent:
             return
-        if self.titles:
+        if self.titles and not self.titled:
             self.title = (self.title or "") + data
         if data := data.strip():
             self.texts.append(data)

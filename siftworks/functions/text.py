@@ -85,15 +85,38 @@ def or_else(c: Column, default: Column) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), default)
 
 
+def kept_words(text: Column, domain: Column) -> Column:
+    """Words of three letters or more, in order, without stop words and the domain's own name: structs of low (the word in lower
+    case), i (its place) and w (the word)."""
+    own = F.regexp_replace(F.lower(label0(F.coalesce(domain, F.lit("")))), "[^a-z0-9]", "")
+    words = F.regexp_extract_all(printable(F.coalesce(text, F.lit(""))), F.lit("[a-zA-Z]{3,}"), 0)
+    every = F.transform(words, lambda w, i: F.struct(F.lower(w).alias("low"), i.alias("i"), w.alias("w")))
+    return F.filter(every, lambda x: ~x["low"].isin(*rules.STOP_WORDS) & (x["low"] != own))
+
+
 def content_words(text: Column, domain: Column) -> Column:
     """Up to 80 words of three letters or more, each twice at most, without stop words and the domain's own name, in order.
 
-    One pass over the words with a fold; no row leaves its partition.
-    """
-    own = F.regexp_replace(F.lower(label0(F.coalesce(domain, F.lit("")))), "[^a-z0-9]", "")
-    words = F.regexp_extract_all(printable(F.coalesce(text, F.lit(""))), F.lit("[a-zA-Z]{3,}"), 0)
-    kept = F.filter(words, lambda w: ~F.lower(w).isin(*rules.STOP_WORDS) & (F.lower(w) != own))
-    # the state holds what is kept so far: at most 80 words
-    start = F.array().cast("array<string>")
-    fold = F.reduce(kept, start, lambda acc, w: F.when((F.size(acc) < rules.MAX_WORDS) & (F.size(F.filter(acc, lambda a: F.lower(a) == F.lower(w))) < rules.MAX_REPEATS), F.array_append(acc, w)).otherwise(acc))
-    return F.when(missing(text), "").otherwise(F.array_join(fold, " "))
+    Sorted by word, a third occurrence follows an equal word two places before; what is left is sorted by place and cut. No row
+    leaves its partition."""
+
+    def chosen(ranked: Column) -> Column:  # the lambda's variable is computed once
+        before = F.concat(F.transform(F.slice(ranked, 1, rules.MAX_REPEATS), lambda _: F.lit(None).cast("string")), F.transform(ranked, lambda x: x["low"]))
+        once = F.zip_with(ranked, F.slice(before, 1, F.size(ranked)), lambda x, low: F.when(low.isNull() | (low != x["low"]), F.struct(x["i"].alias("i"), x["w"].alias("w"))))
+        return F.slice(F.array_sort(F.filter(once, lambda x: x.isNotNull())), 1, rules.MAX_WORDS)
+
+    found = F.element_at(F.transform(F.array(F.array_sort(kept_words(text, domain))), chosen), 1)
+    return F.when(missing(text), "").otherwise(F.array_join(F.transform(found, lambda x: x["w"]), " "))
+
+
+def content_reaches(text: Column, domain: Column, least: int) -> Column:
+    """Whether content_words() has `least` characters or more. Three words have eleven, so up to that nothing has to be sorted."""
+    if least > 11:
+        return F.length(content_words(text, domain)) >= least
+
+    def reaches(kept: Column) -> Column:
+        several = F.size(F.array_distinct(F.transform(kept, lambda x: x["low"]))) > 1
+        first = F.array_join(F.transform(F.slice(kept, 1, rules.MAX_REPEATS), lambda x: x["w"]), " ")
+        return ((F.size(kept) > 2) & several) | (F.length(first) >= least)
+
+    return ~missing(text) & F.element_at(F.transform(F.array(kept_words(text, domain)), reaches), 1)

@@ -31,15 +31,16 @@ def instant(classed: DataFrame) -> DataFrame:
     return found.withColumns({c: F.col("__label")[i] for i, c in enumerate(rules.LABEL_COLUMNS)}).drop("__label")
 
 
-def number_batches(rows: DataFrame, key: str, size: int = rules.BATCH_SIZE, ranges: int | None = None) -> DataFrame:
-    """Adds batch and index: consecutive rows in order of key, `size` to a batch.
+def number_batches(rows: DataFrame, *key: str, size: int = rules.BATCH_SIZE, ranges: int | None = None) -> DataFrame:
+    """Adds batch and index: consecutive rows in order of the key columns, `size` to a batch. Rows alike in all of them are
+    numbered in any order.
 
     Rows are numbered within ranges of the key and shifted by what the ranges before hold, so that no task has to number all.
     The ranges, as many as a shuffle has partitions but 64 at least, are cut from their lineage: both uses must see the same ones.
     """
     ranges = ranges or max(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    parts = cut(rows.repartitionByRange(ranges, key)).withColumn("__part", F.spark_partition_id())
-    inner = parts.withColumn("__n", F.row_number().over(W.partitionBy("__part").orderBy(key)))
+    parts = cut(rows.repartitionByRange(ranges, *key)).withColumn("__part", F.spark_partition_id())
+    inner = parts.withColumn("__n", F.row_number().over(W.partitionBy("__part").orderBy(*key)))
     counts = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     before = F.coalesce(F.sum("__rows").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("__part", before.alias("__before"))  # at most `ranges` rows
@@ -188,16 +189,24 @@ def final_columns(leads: DataFrame) -> DataFrame:
     return leads.select(*rules.LABEL_COLUMNS, *[c for c in leads.columns if c not in rules.LABEL_COLUMNS])
 
 
-def label(leads: DataFrame, model: Callable[[str], str], key: str = "Domain", sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """All of it: instant classes by rule, the others by the model, in one table."""
+def label(leads: DataFrame, model: Callable[[str], str], key: str = "Domain", sleep: Callable[[float], None] = time.sleep, keep_class: bool = False) -> DataFrame:
+    """All of it: instant classes by rule, the others by the model, in one table.
+
+    Batches are in order of key; rows that share it, by what the model is told of them. keep_class: with lead_class."""
     classed = cut(split_classes(leads))
-    todo = number_batches(classed.where("lead_class = 'ai'"), key)
+    todo = number_batches(classed.where("lead_class = 'ai'"), key, *[c for c in ("Title", "Meta_Description", "Page_Text") if c != key])
     items = parse_answers(ask(requests(todo), model, sleep=sleep))
     kept = [c for c in leads.columns if c not in rules.LABEL_COLUMNS]
-    wanted = [*rules.LABEL_COLUMNS, *kept]
+    wanted = [*rules.LABEL_COLUMNS, *kept, *(["lead_class"] if keep_class else [])]
     return instant(classed).select(wanted).unionByName(look_up(todo.drop(*[c for c in rules.LABEL_COLUMNS if c in todo.columns]), items).select(wanted))
 
 
+def in_class_order(labelled: DataFrame, key: str = "Domain") -> DataFrame:
+    """Rows by lead_class, in the order in which a run hands them out: instant classes first. A sort, for those who need the order."""
+    rank = F.array_position(F.array(*map(F.lit, rules.CLASS_ORDER)), F.col("lead_class"))
+    return labelled.orderBy(rank, key)
+
+
 def rule_model(request: str) -> str:
     """A stand-in for a remote model: answers from the rules, in the form that models answer in."""
     def first(text: str, rules_: list, default: str) -> str:

@@ -22,17 +22,19 @@ def premium(domains: DataFrame, column: str = "domain") -> DataFrame:
     return domains.where(is_premium(F.col(column)))
 
 
+def in_english(c: Column, translate: Translate | None) -> Column:
+    """The text, by `translate` where it is long enough and not mostly ASCII; what that gives no answer for stays as it is."""
+    from siftworks.functions.text import needs_translation
+
+    return c if translate is None else F.when(needs_translation(c), F.coalesce(translate(c), c)).otherwise(c)
+
+
 def enrich(pages: DataFrame, translate: Translate | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """pages: url (or domain) and html. One row per page: the keys and the lead's twelve columns; null where nothing is found.
 
     translate: an expression over a text that isn't mostly ASCII; the text itself by default. Pages that can't be parsed are
     dropped. One Python parse per page; all else are expressions over its result and the raw markup.
     """
-    from siftworks.functions.text import needs_translation
-
-    def english(c: Column) -> Column:
-        return c if translate is None else F.when(needs_translation(c), F.coalesce(translate(c), c)).otherwise(c)
-
     domain = F.col("domain") if "domain" in pages.columns else host(F.col("url"))
     rows = pages.select(*keep, strip(domain).alias("Domain"), "html").where(F.col("html").isNotNull() & (F.col("Domain") != ""))
     rows = rows.withColumn("p", html.parse_html("html")).where("p.text is not null")
@@ -45,8 +47,8 @@ def enrich(pages: DataFrame, translate: Translate | None = None, keep: tuple[str
         "Domain",
         html.brand_stage(raw).alias("Brand_Stage"),
         F.substring(strip(F.nullif(F.col("p.title"), F.lit(""))), 1, 60).alias("Title"),
-        F.substring(english(strip(F.col("meta"))), 1, 300).alias("Meta_Description"),
-        F.substring(english(F.col("body")), 1, 500).alias("Page_Text"),
+        F.substring(in_english(strip(F.col("meta")), translate), 1, 300).alias("Meta_Description"),
+        F.substring(in_english(F.col("body"), translate), 1, 500).alias("Page_Text"),
         html.emails(raw).alias("Emails"),
         html.phones(raw).alias("Phones"),
         html.socials(F.col("p.hrefs")).alias("Socials_Found"),

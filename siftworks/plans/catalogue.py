@@ -188,7 +188,7 @@ def parsed(spark, sf_dir):
 
 
 def unescape(x: str) -> str:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         x = f"replace({x}, '{entity}', '{char}')"
     return x
 
@@ -325,11 +325,44 @@ def content_words(spark, sf_dir):
 # --- lead records -----------------------------------------------------------------------------------------------------------
 
 
-@query()
+META = """coalesce(nullif(substr(regexp_extract(html, '<meta name=["'']description["''] content=["'']([^"'']*)', 1), 1, 300), ''),
+  nullif(substr(regexp_extract(html, '<meta property=["'']og:description["''] content=["'']([^"'']*)', 1), 1, 300), ''))"""
+#: CTEs ending in `lead`: the record of each page, null where nothing is found. Markup by patterns: tags part texts.
+LEAD = f"""h AS (SELECT page_id, html, {strip(HOST.format("url"))} AS Domain, {META} AS meta FROM {P} WHERE html IS NOT NULL AND {strip(HOST.format("url"))} <> ''),
+t AS (SELECT page_id, split_part(Domain, '.', 1) AS own, array_to_string(list_filter(list_transform(regexp_split_to_array(
+    regexp_replace(html, '(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '<x>', 'g'), '<[^>]*>'), lambda x: {strip(unescape("x"))}), lambda x: x <> ''), ' ') AS body FROM h),
+a AS (SELECT page_id, own, regexp_split_to_array(body, '[.!?\n|•·]') AS parts FROM t),
+b AS (SELECT page_id, own, {strip("unnest(parts)")} AS part, generate_subscripts(parts, 1) AS i FROM a),
+c AS (SELECT page_id, lower(part) AS part, min(i) AS i FROM b WHERE length(part) > 20 AND NOT starts_with(lower(part), own) GROUP BY page_id, lower(part)),
+body AS (SELECT t.page_id, substr(coalesce(string_agg(part, ' ' ORDER BY i), ''), 1, 600) AS body FROM t LEFT JOIN c USING (page_id) GROUP BY t.page_id),
+lead AS (SELECT page_id, Domain, {every('lower(html)', rules.STAGES, ' | ')} AS Brand_Stage, substr({strip(TITLE)}, 1, 60) AS Title, substr({strip('meta')}, 1, 300) AS Meta_Description, substr(body, 1, 500) AS Page_Text,
+  nullif(array_to_string(list_sort({EMAILS.replace('(text,', '(html,')}), ' | '), '') AS Emails, nullif(array_to_string(list_slice(list_sort({PHONES.replace('(text,', '(html,')}), 1, 2), ' | '), '') AS Phones,
+  nullif(array_to_string(list_sort(list_distinct(list_filter(list_transform({HREFS}, lambda h: {first('lower(h)', rules.SOCIALS, None)}), lambda x: x IS NOT NULL))), ' + '), '') AS Socials_Found,
+  {every('lower(html)', rules.TECH, ' + ')} AS Tech_Stack_Ads, {every('lower(html)', rules.INTENT, ' | ')} AS Intent_Trust,
+  {first("(lower(coalesce(meta, '') || ' ' || body) || ' ' || array_to_string(list_filter(" + NAV + ", lambda x: length(x) BETWEEN 1 AND 39), ' '))", rules.BUSINESS, rules.BUSINESS_ELSE)} AS Business_Type,
+  {first("lower(coalesce(meta, '') || ' ' || body)", rules.PRODUCT, rules.PRODUCT_ELSE)} AS Product_Category FROM h JOIN body USING (page_id))"""
+
+
+def handed_out(columns: list[str]) -> str:
+    return ", ".join(f"coalesce({c}, '{rules.LIVE if c == 'Brand_Stage' else rules.MISSING}') AS {c}" for c in columns)
+
+
+@query(f"WITH {LEAD} SELECT page_id, {handed_out(rules.LEAD_COLUMNS)} FROM lead")
 def lead_record(spark, sf_dir):
     return leads.egress(leads.enrich(pages(spark, sf_dir), keep=("page_id",)))
 
 
+def marked(c):
+    """A stand-in for a translation."""
+    return F.concat(F.lit("[en] "), F.upper(c))
+
+
+@query(f"SELECT doc_id, substr(CASE WHEN coalesce(length({strip('text')}) >= 10 AND length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) / length(text) <= 0.85::DOUBLE, false) THEN '[en] ' || upper(text) ELSE text END, 1, 500) AS english FROM {T}")
+def translated(spark, sf_dir):
+    """The hook for a translation: only texts that are long enough and not mostly ASCII go through it."""
+    return texts(spark, sf_dir).select("doc_id", F.substring(leads.in_english(F.col("text"), marked), 1, 500).alias("english"))
+
+
 RAW = f"""SELECT page_id, {every('lower(html)', rules.STAGES, ' | ')} AS stage, {every('lower(html)', rules.TECH, ' + ')} AS tech,
   nullif(array_to_string(list_sort({EMAILS.replace('(text,', '(html,')}), ' | '), '') AS emails,
   list_sort(list_distinct(list_filter(list_transform({HREFS}, lambda h: {first('lower(h)', rules.SOCIALS, None)}), lambda x: x IS NOT NULL))) AS s FROM {P}"""
@@ -433,12 +466,36 @@ def final_columns(spark, sf_dir):
     return labelling.final_columns(rows)
 
 
-@query()
+TOLD = f"lower({clean('Title', 150)} || ' ' || {clean('Meta_Description', 300)} || ' ' || content)"
+OWN = "CASE WHEN coalesce(Domain, '') = '' THEN 'General' ELSE array_to_string(list_transform(regexp_extract_all(lower(split_part(Domain, '.', 1)), '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || x[2:]), '') END"
+#: The final table: rows that the model is asked for in batches of five, where the last answer for a domain counts.
+LABELLED = f"""WITH {LEAD}, {content_sql('lead', 'page_id', 'Page_Text', 'Domain')},
+classed AS (SELECT l.*, content, CASE WHEN {has(WHOLE, rules.PARKED)} THEN 'parked' WHEN lower(coalesce(Brand_Stage, '')) = 'pre-launch' OR {has(WHOLE, rules.PRELAUNCH)} THEN 'prelaunch'
+  WHEN length({clean('Title')} || {clean('Meta_Description')} || content) < 10 THEN 'no_content' ELSE 'ai' END AS lead_class FROM lead l JOIN content ON content.k = l.page_id),
+n AS (SELECT *, row_number() OVER (ORDER BY Domain NULLS FIRST, Title NULLS FIRST, Meta_Description NULLS FIRST, Page_Text NULLS FIRST) - 1 AS r, {first(TOLD, rules.BUSINESS, 'Unknown')} AS biz, {first(TOLD, rules.PRODUCT, 'Unknown')} AS prod FROM classed WHERE lead_class = 'ai'),
+m AS (SELECT *, '🤖 2. SaaS/Tech (' || coalesce({first("lower(biz || ' ' || prod)", rules.NICHES, None)}, {OWN}) || ')' AS pitch FROM n),
+w AS (SELECT *, last_value({{'p': pitch, 'b': biz, 'q': prod}}) OVER (PARTITION BY r // 5, Domain ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS x FROM m),
+labelled AS (SELECT * EXCLUDE (Business_Type, Product_Category, content, r, biz, prod, pitch, x), x.p AS Pitch_Category, coalesce(nullif(x.b, 'Unknown'), '{rules.REVIEW}') AS Business_Type, coalesce(nullif(x.q, 'Unknown'), '{rules.REVIEW}') AS Product_Category FROM w
+  UNION ALL BY NAME SELECT * EXCLUDE (Business_Type, Product_Category, content, x), x[1] AS Pitch_Category, x[2] AS Business_Type, x[3] AS Product_Category FROM (SELECT *, {INSTANT} AS x FROM classed) WHERE x IS NOT NULL)"""
+OTHERS = [c for c in rules.LEAD_COLUMNS if c not in rules.LABEL_COLUMNS]
+
+
+@query(f"{LABELLED} SELECT {', '.join(rules.LABEL_COLUMNS)}, {handed_out(OTHERS)} FROM labelled")
 def labelled_leads(spark, sf_dir):
     """Pages to the final table, with the rule-based stand-in for a model."""
     return labelling.final_columns(leads.egress(labelling.label(leads.enrich(pages(spark, sf_dir)), labelling.rule_model)))
 
 
+@query(f"""{LABELLED} SELECT page_id, lead_class, row_number() OVER (ORDER BY list_position({rules.CLASS_ORDER}, lead_class), page_id) AS nth FROM labelled""")
+def class_order(spark, sf_dir):
+    """The order in which rows are handed out: instant classes first, then the model's. Numbered in one task, for the comparison only."""
+    from pyspark.sql import Window as W
+
+    labelled = labelling.label(leads.enrich(pages(spark, sf_dir), keep=("page_id",)), labelling.rule_model, keep_class=True)
+    ordered = labelling.in_class_order(labelled.select("page_id", "lead_class"), "page_id")
+    return ordered.select("page_id", "lead_class", F.monotonically_increasing_id().alias("m")).select("page_id", "lead_class", F.row_number().over(W.orderBy("m")).cast("bigint").alias("nth"))
+
+
 # --- streams and files ------------------------------------------------------------------------------------------------------
 
 

@@ -13,6 +13,9 @@ PAGES = (
         (-2, "http://shop.example", "<title>Shop</title><meta property='og:description' content='We sell tea'><p>password</p> shopify webflow add to cart sales@brand.io help@example.com +1 415 555 0100 4155550101 5550102</p><a href='https://netflix.com/a'>N</a><a href='https://www.youtube.com/c'>Y</a><button href='/go'>Go</button>"),
         (-3, "http://saas.example", "<p>Book a demo of our workflow platform. gtag( klaviyo tiktok pixel linktree</p><a href='https://LinkedIn.com/company/x'>L</a><a href='https://facebook.com/x'>F</a><a href='https://tiktok.com/@x'>T</a>"),
         (-4, "http://empty.example", ""),
+        (-5, "http://drawn.example", "<html><head><title>Two titles</title></head><body><svg><title>Facebook icon</title></svg><svg><title>Cart</title></svg><!-- no <b>text</b> --><p>Our tables are made of oak, one by one. Our tables are made of oak, one by one! Drawn by hand, cut by hand, oiled by hand</p></body></html>"),
+        (-6, "http://drawn.example", "<title></title><title>The first is empty</title><p>drawn.example begins with its own name and is left out. A second page of the same host, with words of its own</p>"),
+        (-7, "http://nginx.example", "<title>Welcome to nginx</title><p>Nothing here yet, friends</p>"),
     ],
 )
 

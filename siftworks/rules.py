@@ -1,22 +1,22 @@
 """Rule dictionaries. Results depend on each word, on order, and on spelling."""
 
 # Words looked up in a domain's first label.
-DOMAIN_KEYWORDS = """
-beauty skin derma glow cosmetics glam care lash hair salon aura luxe pure face
-kids baby child tots little junior mama toy play tiny cradle mom
-wear style vogue thread apparel outfit stitch trend closet garb kicks
-tech saas ai app labs api dev cloud cyber data hq soft code byte stack bot sync flow
-pet paw tail vet bark fur meow hound
-home decor living space nest craft furn wood casa room vibe
-shop store cart buy mart brand goods deal loot retail
-health fit med clinic cure gym wellness dental nutra diet vital protein
-pay fin wealth invest capital fund trade crypto coin mint tax bank
-realty estate prop homes build infra arch land agency studio media consult partners group growth creative event wed bliss
-food eats brew cafe farm fresh bite agro dine snack sip learn edu academy skill prep brain tutor class
-""".split()
+DOMAIN_KEYWORDS = [
+    "beauty", "skin", "derma", "glow", "cosmetics", "glam", "care", "lash", "hair", "salon", "aura", "luxe", "pure", "face",
+    "kids", "baby", "child", "tots", "little", "junior", "mama", "toy", "play", "tiny", "cradle", "mom",
+    "wear", "style", "vogue", "thread", "apparel", "outfit", "stitch", "trend", "closet", "garb", "kicks",
+    "tech", "saas", "ai", "app", "labs", "api", "dev", "cloud", "cyber", "data", "hq", "soft", "code", "byte", "stack", "bot", "sync", "flow",
+    "pet", "paw", "tail", "vet", "bark", "fur", "meow", "hound",
+    "home", "decor", "living", "space", "nest", "craft", "furn", "wood", "casa", "room", "vibe",
+    "shop", "store", "cart", "buy", "mart", "brand", "goods", "deal", "loot", "retail",
+    "health", "fit", "med", "clinic", "cure", "gym", "wellness", "dental", "nutra", "diet", "vital", "protein",
+    "pay", "fin", "wealth", "invest", "capital", "fund", "trade", "crypto", "coin", "mint", "tax", "bank",
+    "realty", "estate", "prop", "homes", "build", "infra", "arch", "land", "agency", "studio", "media", "consult", "partners", "group", "growth", "creative", "event", "wed", "bliss",
+    "food", "eats", "brew", "cafe", "farm", "fresh", "bite", "agro", "dine", "snack", "sip", "learn", "edu", "academy", "skill", "prep", "brain", "tutor", "class",
+]
 
 # Suffixes of a domain.
-DOMAIN_SUFFIXES = ".in .com .co .co.in .io .ai .app .tech .health .store .shop .so .gg .net .org .co.uk .us".split()
+DOMAIN_SUFFIXES = [".in", ".com", ".co", ".co.in", ".io", ".ai", ".app", ".tech", ".health", ".store", ".shop", ".so", ".gg", ".net", ".org", ".co.uk", ".us"]
 
 # Business labels in order, each with the phrases of which one is enough.
 BUSINESS = [
@@ -59,8 +59,11 @@ PHRASE_BREAKS = "[.!?\n|•·]"
 # What the labelling stage tells apart, and what it says of it.
 PARKED = ["parked domain", "hostinger dns", "domain for sale", "buy this domain", "hugedomains", "sedoparking", "undeveloped", "welcome to nginx"]
 PRELAUNCH = ["launching soon", "coming soon", "under construction", "check back for an update", "being worked on", "we're under construction", "opening soon", "be the first to know when we launch"]
-STOP_WORDS = """home about contact menu toggle navigation nav skip close open search cart login register signup next previous back read more
-click here cookie privacy policy terms copyright all rights reserved powered inc llc ltd password enter sign get started learn""".split()
+STOP_WORDS = [
+    "home", "about", "contact", "menu", "toggle", "navigation", "nav", "skip", "close", "open", "search", "cart", "login", "register",
+    "signup", "next", "previous", "back", "read", "more", "click", "here", "cookie", "privacy", "policy", "terms", "copyright", "all",
+    "rights", "reserved", "powered", "inc", "llc", "ltd", "password", "enter", "sign", "get", "started", "learn",
+]
 GENERAL = "🟢 6. General Contacts"
 AGENCIES = "🛠️ 5. Service Agencies"
 INSTANT = {
@@ -87,10 +90,12 @@ NICHES = [
 
 # The lead record and the final table.
 LEAD_COLUMNS = ["Domain", "Brand_Stage", "Title", "Meta_Description", "Page_Text", "Emails", "Phones", "Socials_Found", "Tech_Stack_Ads", "Intent_Trust", "Business_Type", "Product_Category"]
+CLASS_ORDER = ["prelaunch", "parked", "no_content", "ai"]
 LABEL_COLUMNS = ["Pitch_Category", "Business_Type", "Product_Category"]
 MISSING, LIVE = "None", "Live"
 BATCH_SIZE, MAX_WORDS, MAX_REPEATS = 5, 80, 2
-READ_TIMEOUT, FETCH_THREADS, LIVE_STATUS = 5, 60, 200
+CONNECT_TIMEOUT, READ_TIMEOUT, FETCH_THREADS, LIVE_STATUS = 4, 5, 60, 200
+MODEL_TIMEOUT, MAX_RUNTIME = 90, 19800
 ATTEMPTS, BACK_OFF, LONG_WAIT = 3, 5, 15
 CONTENT_PATH = "$.choices[0].message.content"
 LINK_DENIED = ["whois-database-download", "contact"]
