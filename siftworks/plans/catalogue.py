@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from siftworks.functions import classify, html, text
 from siftworks.functions.domains import host, reject_reason
 from siftworks.operators import incremental, labelling, leads, progress
 from siftworks.plans import fixtures as fx
+from siftworks.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -46,7 +46,7 @@ def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as leads: one domain each, the first line as title."""
-    docs = read(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".com")).alias("Domain"), F.lit("Live").alias("Brand_Stage"), F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 60).alias("Title"), F.lit(None).cast("string").alias("Meta_Description"), F.substring(F.lower("text"), 1, 500).alias("Page_Text"))
+    docs = read(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".com")).alias("Domain"), F.lit("Live").alias("Brand_Stage"), F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 60).alias("Title"), F.lit(None).cast("string").alias("Meta_Description"), F.lower("text").alias("Page_Text"))
     return docs.unionByName(fx.frame(spark, fx.LEADS))
 
 
@@ -56,7 +56,7 @@ P = f"(SELECT page_id, url, html FROM pages UNION ALL {fx.sql(fx.PAGES)})"
 T = f"(SELECT doc_id, text FROM documents UNION ALL {fx.sql(fx.TEXTS)})"
 HOST = "regexp_extract({}, '^[a-z]+://([^/:?#]+)', 1)"
 D = f"(SELECT {HOST.format('url')} AS domain FROM pages UNION ALL {fx.sql(fx.DOMAINS)})"
-L = f"(SELECT 'd' || doc_id || '.com' AS Domain, 'Live' AS Brand_Stage, substr(split_part(text, chr(10), 1), 1, 60) AS Title, NULL::VARCHAR AS Meta_Description, substr(lower(text), 1, 500) AS Page_Text FROM documents UNION ALL {fx.sql(fx.LEADS)})"
+L = f"(SELECT 'd' || doc_id || '.com' AS Domain, 'Live' AS Brand_Stage, substr(split_part(text, chr(10), 1), 1, 60) AS Title, NULL::VARCHAR AS Meta_Description, lower(text) AS Page_Text FROM documents UNION ALL {fx.sql(fx.LEADS)})"
 
 
 def has(column: str, words: list[str]) -> str:
@@ -499,20 +499,12 @@ def class_order(spark, sf_dir):
 # --- streams and files ------------------------------------------------------------------------------------------------------
 
 
-def folder(spark: SparkSession) -> str:
-    """A new folder that all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siftworks-")
-    import uuid
-
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 @query("SELECT ts::DATE AS dt, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_incremental(spark, sf_dir):
     """Events as a stream of files, processed once; then the table that the stream wrote, counted."""
     from siftworks.streaming.incremental import run_once
 
-    base = folder(spark)
+    base = scratch(spark, "stream")
     events = read(spark, sf_dir, "events")
     early = F.coalesce(F.col("event_type").isin("signup", "view"), F.lit(False))
     source = f"{base}/in"

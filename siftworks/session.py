@@ -1,15 +1,40 @@
-"""Lineage cuts."""
+"""Folders that all executors share, and lineage cuts."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Where that is unset, a local one if everything runs on this machine, as in
+    tests; on a cluster that would lose data, so it is an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    if not found:
+        held = context._jsc.sc().getCheckpointDir()
+        if held.isEmpty():
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("spark.checkpoint.dir isn't set: it has to name a folder that all executors share")
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="siftworks-"))
+            held = context._jsc.sc().getCheckpointDir()
+        found = held.get()
+    return found.rstrip("/")
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_dir(spark)}/siftworks/{what}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that spark.checkpoint.dir names; in a local one where that is unset, as in tests."""
-    context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="siftworks-"))
+    """Cuts the lineage by a checkpoint in the shared folder, so that a lost executor loses nothing of it."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def there(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)

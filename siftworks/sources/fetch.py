@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -13,41 +14,83 @@ from siftworks import rules
 
 #: From a URL to the answer's status and body.
 Get = Callable[[str], tuple[int, str]]
-ATTEMPT = "domain string, url string, status int, html string, error string"
-
-
-def http_get(url: str) -> tuple[int, str]:
-    from urllib.request import Request, urlopen
-
-    with urlopen(Request(url, headers={"User-Agent": "Mozilla/5.0"}), timeout=rules.READ_TIMEOUT) as answer:
-        return answer.status, answer.read().decode(answer.headers.get_content_charset() or "utf-8", "replace")
+ATTEMPT = "domain string, url string, status int, html string, error string, tries int"
+#: Bytes of a body that are read at most: a page larger than this is no page.
+MOST = 16 << 20
+#: What may pass: these are tried again. Whatever else a site does is final.
+PASSING = (ConnectionError, TimeoutError)
+
+
+def http_get(url: str, connect: float = rules.CONNECT_TIMEOUT, read: float = rules.READ_TIMEOUT, most: int = MOST) -> tuple[int, str]:
+    """One GET, redirects included, whatever the site's certificate says. Seconds to connect, and to wait for each piece."""
+    import ssl
+    from http.client import HTTPConnection, HTTPSConnection
+    from urllib.error import HTTPError, URLError
+    from urllib.request import HTTPHandler, HTTPSHandler, Request, build_opener
+
+    anyone = ssl.create_default_context()
+    anyone.check_hostname, anyone.verify_mode = False, ssl.CERT_NONE
+
+    def slower(kind: type) -> type:
+        class Connection(kind):
+            def connect(self) -> None:
+                super().connect()
+                self.sock.settimeout(read)
+
+        return Connection
+
+    class Plain(HTTPHandler):
+        def http_open(self, request):
+            return self.do_open(slower(HTTPConnection), request)
+
+    class Secure(HTTPSHandler):
+        def https_open(self, request):
+            return self.do_open(slower(HTTPSConnection), request, context=anyone)
+
+    try:
+        with build_opener(Plain, Secure(context=anyone)).open(Request(url, headers={"User-Agent": "Mozilla/5.0"}), timeout=connect) as answer:
+            return answer.status, answer.read(most).decode(answer.headers.get_content_charset() or "utf-8", "replace")
+    except HTTPError as e:  # an answer as well
+        return e.code, ""
+    except URLError as e:
+        raise (e.reason if isinstance(e.reason, OSError) else e) from None
+
+
+def get_patiently(get: Get, url: str, tries: int, sleep: Callable[[float], None]) -> tuple[int | None, str | None, str | None, int]:
+    """status, html, the last failure's name, and how many tries it took. The wait grows with each try."""
+    for n in range(1, tries + 1):
+        try:
+            return *get(url), None, n
+        except PASSING as e:
+            error = type(e).__name__
+            if n < tries:
+                sleep(rules.BACK_OFF * n)
+        except Exception as e:  # whatever a site does, the others go on
+            return None, None, type(e).__name__, n
+    return None, None, error, tries
 
 
-def attempts(domains: DataFrame, get: Get = http_get, threads: int = rules.FETCH_THREADS) -> DataFrame:
-    """domains: domain. One row per domain, got or not: domain, url, status, html, error (the failure's name).
+def attempts(domains: DataFrame, get: Get = http_get, threads: int = rules.FETCH_THREADS, tries: int = 1, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """domains: domain. One row per domain, got or not: domain, url, status, html, error (the failure's name), tries.
 
     A task has as many pages under way, and in memory, as it has threads. Null domains give no row.
     """
 
     def one(domain: str) -> tuple:
         url = f"http://{domain}"
-        try:
-            status, html = get(url)
-        except Exception as e:  # whatever a site does, the others go on
-            return domain, url, None, None, type(e).__name__
-        return domain, url, status, html, None
+        return domain, url, *get_patiently(get, url, tries, sleep)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(threads) as pool:
             for frame in frames:
                 for at in range(0, len(frame), threads):
                     rows = list(pool.map(one, frame["domain"].iloc[at : at + threads]))
-                    out = pd.DataFrame(rows, columns=["domain", "url", "status", "html", "error"])
+                    out = pd.DataFrame(rows, columns=["domain", "url", "status", "html", "error", "tries"])
                     yield out.astype({"status": "Int32"})
 
     return domains.where("domain is not null").select("domain").mapInPandas(run, ATTEMPT)
 
 
-def live(tried: DataFrame) -> DataFrame:
-    """The pages among the attempts: those that were answered with status 200."""
-    return tried.where(F.col("status") == rules.LIVE_STATUS).select("domain", "url", "html")
+def live(tried: DataFrame, *keep: str) -> DataFrame:
+    """The pages among the attempts: those that were answered with status 200. keep: other columns to keep."""
+    return tried.where(F.col("status") == rules.LIVE_STATUS).select("domain", "url", "html", *keep)

@@ -34,14 +34,14 @@ def file_dates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def leads_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """All columns are strings; none are inferred."""
+    """All columns are strings; none are inferred. A field that is quoted and empty is an empty text, one with nothing in it is null."""
     schema = ", ".join(f"`{c}` string" for c in columns or rules.LEAD_COLUMNS)
-    return spark.read.options(**CSV).schema(schema).csv(path)
+    return spark.read.options(**CSV, nullValue="\0").schema(schema).csv(path)
 
 
 def heads(spark: SparkSession, path: str) -> DataFrame:
     """dt and the first characters of each file."""
-    return spark.read.option("wholetext", True).text(path).select(file_date(F.col("_metadata.file_name")).alias("dt"), F.substring("value", 1, rules.HEAD_LENGTH).alias("head"))
+    return spark.read.text(path, wholetext=True).select(file_date(F.col("_metadata.file_name")).alias("dt"), F.substring("value", 1, rules.HEAD_LENGTH).alias("head"))
 
 
 def zip_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -125,7 +125,7 @@ def index_links(spark: SparkSession, path: str, root: str) -> DataFrame:
             out.append([{"dt": cells[0].strip(), "href": href} for cells, href in index.rows if len(cells) >= 3 and href])
         return pd.Series(out)
 
-    rows = spark.read.option("wholetext", True).text(path).select(F.explode(rows_of("value")).alias("r")).select("r.*")
+    rows = spark.read.text(path, wholetext=True).select(F.explode(rows_of("value")).alias("r")).select("r.*")
     rows = rows.where(F.col("dt").rlike(r"^\d{4}-\d{2}-\d{2}") & ~any_of(F.lower("href"), rules.LINK_DENIED))
     return rows.select(F.substring("dt", 1, 10).alias("dt"), F.when(F.startswith("href", F.lit("http")), F.col("href")).otherwise(F.concat(F.lit(root), F.col("href"))).alias("href"))
 
@@ -136,7 +136,7 @@ def write_lines(df: DataFrame, path: str, column: str = "value") -> None:
 
 def append_csv(df: DataFrame, path: str) -> None:
     """Each task writes its own file with a header; no lock is needed."""
-    df.write.mode("append").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    df.write.mode("append").options(**CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_dates(df: DataFrame, path: str) -> None:

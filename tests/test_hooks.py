@@ -19,6 +19,70 @@ def test_every_attempt_is_told_and_only_live_pages_pass(spark):
     assert fetch.attempts(domains.limit(0), get).count() == 0
 
 
+def test_what_may_pass_is_tried_again():
+    def get(*errors):
+        left = list(errors)
+
+        def one(_: str) -> tuple[int, str]:
+            if left:
+                raise left.pop(0)
+            return 200, "hi"
+
+        return one
+
+    def run(tries, *errors):
+        waits = []
+        return *fetch.get_patiently(get(*errors), "u", tries, waits.append), waits
+
+    assert run(1) == (200, "hi", None, 1, [])
+    assert run(3, ConnectionResetError(), TimeoutError()) == (200, "hi", None, 3, [5, 10])
+    assert run(2, TimeoutError(), ConnectionError()) == (None, None, "ConnectionError", 2, [5])
+    assert run(5, ValueError()) == (None, None, "ValueError", 1, [])
+
+
+def test_http_get_from_a_server_of_this_machine():
+    import socket
+    import threading
+    import time
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Site(BaseHTTPRequestHandler):
+        def do_GET(self):
+            if self.path == "/slow":
+                time.sleep(1.5)
+            if self.path == "/moved":
+                self.send_response(302)
+                self.send_header("Location", "/large")
+                self.end_headers()
+                return
+            self.send_response(404 if self.path == "/gone" else 200)
+            self.send_header("Content-Type", "text/html; charset=latin-1")
+            self.end_headers()
+            self.wfile.write("é".encode("latin-1") * 1000)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Site)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}"
+    try:
+        assert fetch.http_get(f"{url}/moved") == (200, "é" * 1000)
+        assert fetch.http_get(f"{url}/large", most=10) == (200, "é" * 10)
+        assert fetch.http_get(f"{url}/gone") == (404, "")
+        try:
+            fetch.http_get(f"{url}/slow", read=0.3)
+            raise AssertionError("no timeout")
+        except TimeoutError:
+            pass
+    finally:
+        server.shutdown()
+    with socket.socket() as closed:
+        closed.bind(("127.0.0.1", 0))
+        port = closed.getsockname()[1]
+    assert fetch.get_patiently(fetch.http_get, f"http://127.0.0.1:{port}", 2, lambda s: None)[2:] == ("ConnectionRefusedError", 2)
+
+
 def test_attempts_wait_and_end():
     def failing(*errors):
         left = list(errors)
