@@ -1,27 +1,40 @@
 """Licence scans: normalised text against licence templates by the Dice coefficient over word bigrams (DataFrame operations only).
 
-A unit (each line of a text, and the whole text where it has several lines) is lower-cased, everything but a-z and 0-9 becomes
-one space, and its set of word bigrams is compared with each template's: 2 |A and B| / (|A| + |B|). That can reach the threshold
-t only if |A| is from t / (2 - t) to (2 - t) / t times |B|, so a template is listed under each size it admits and units are
-joined by their size: all other pairs are never made. Equal units are compared once per text.
-
-Defined cases: null and empty texts have no units; units of one word have no bigrams and match nothing; ties stand side by side
-(one row per document and template, with the best score and the number of units that reach the threshold); repeated rows of a
-doc_id add up; an empty table gives no rows; other columns are ignored.
+Text is lower-cased and everything but a-z and 0-9 parts words, so comment marks, line breaks and punctuation don't count. A unit
+is a run of words; its set of word bigrams A is compared with a template's, B: 2 |A and B| / (|A| + |B|). That can reach the
+threshold t only if |A| is from t / (2 - t) to (2 - t) / t times |B| (other units are sorted out by their size), and only if A has
+t / (2 - t) of B: so of any |B| - ceil(|B| t / (2 - t)) + 1 bigrams of the template a unit that reaches it has one. The longest
+bigrams are taken for these anchors, as they are rare in other texts. Words of all documents are joined with the anchors where they are
+read, and only what matches makes units. For an anchor at word p that is word o of a template of n words, these are
+
+- the n words that would be the template if it stood there, from p - o on;
+- these with a quarter of n more words behind them, and with as many before them (for words that were put in);
+- the whole text.
+
+All end where the text ends. So a licence is found wherever it stands: alone, wrapped into comment lines above other text, or within
+a line.
+
+Defined cases: null and empty texts have no units; texts of one word have no bigrams and match nothing; templates of one word are
+left out; per document and template the best unit counts (ties: the first, then the shortest); rows that repeat a doc_id are one
+document, as are those without one; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import text_or_empty
+from siftworks.llm.common import listed, text_or_empty
 
 THRESHOLD = 0.8
+SLACK = 1e-9
 
-# Notices and short licence texts, as published.
+# Notices, headers and short licence texts, as published (without copyright lines). Longer texts are handed to
+# scan() by their user.
 TEMPLATES: dict[str, str] = {
     "MIT-notice": "Released under the MIT License.",
     "MIT-notice-licensed": "Licensed under the MIT License.",
@@ -30,16 +43,23 @@ TEMPLATES: dict[str, str] = {
     "GPL-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
     "LGPL-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "AGPL-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
-    "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "BSD-3-Clause-notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
     "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "CC0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "all-rights-reserved": "All rights reserved.",
+    "Apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details. You should have received a copy of the GNU Affero General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
+    "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. The software is provided \"as is\" and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness. In no event shall the author be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software.",
     "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the Software.",
-    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to <https://unlicense.org>",
 }
 
 
@@ -47,14 +67,25 @@ def plain_words(text: str) -> list[str]:
     return re.sub("[^a-z0-9]+", " ", text.lower()).split()
 
 
-def bigram_sets(templates: dict[str, str]) -> list[tuple[str, list[str]]]:
-    return [(name, sorted({f"{a} {b}" for a, b in zip(w, w[1:], strict=False)})) for name, w in ((k, plain_words(v)) for k, v in templates.items()) if len(w) > 1]
+def pairs(words: list[str]) -> list[str]:
+    return [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
 
 
-def admitted(n: int, threshold: float) -> range:
-    """Sizes of a set that can reach the threshold with one of n."""
-    sizes = [s for s in range(1, int(n * 2 / threshold) + 2) if 2 * min(s, n) >= threshold * (s + n)]
-    return range(sizes[0], sizes[-1] + 1)
+def anchors(templates: dict[str, str], threshold: float) -> list[tuple[str, str, int, int]]:
+    """licence, bigram, place (words before it in the template) and n (words of the template): as many bigrams of each as any unit that
+    reaches the threshold has one of, the longest (ties: in order of the alphabet)."""
+    rows = []
+    for name, text in templates.items():
+        words = plain_words(text)
+        grams = sorted(set(pairs(words)), key=lambda g: (-len(g), g))
+        chosen = set(grams[: len(grams) - math.ceil(len(grams) * threshold / (2 - threshold) - SLACK) + 1])
+        rows += [(name, g, place, len(words)) for place, g in enumerate(pairs(words)) if g in chosen]
+    return rows
+
+
+def more(n: int) -> int:
+    """How many words longer the longer units of a template of n words are."""
+    return -(-n // 4)
 
 
 def normalised(text: Column) -> Column:
@@ -67,20 +98,27 @@ def bigrams(words: Column) -> Column:
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Per document and template reached: doc_id, licence, score (best Dice coefficient), n_units (equal ones counted each)."""
+    """Per document and template reached: doc_id, licence, score (the best unit's Dice coefficient), and where that unit starts and
+    ends (words)."""
     spark = docs.sparkSession
-    sets = bigram_sets(TEMPLATES if templates is None else templates)
-    rows = [(name, grams, len(grams), size) for name, grams in sets for size in admitted(len(grams), threshold)]
-    listed = spark.createDataFrame(rows, "licence string, grams array<string>, n int, n_bigrams int")  # bounded by the templates
-    sizes = sorted({r[3] for r in rows}) or [0]
-    lines = F.split(text_or_empty(), "\n", -1)
-    units = F.concat(lines, F.when(F.size(lines) > 1, F.array(text_or_empty())).otherwise(F.array().cast("array<string>")))
-    # words leave a generator, so that what follows doesn't make them anew for each use
-    words = docs.select("doc_id", F.explode(F.transform(units, lambda u: F.split(normalised(u), " "))).alias("words"))
-    # n distinct words make n - 1 distinct bigrams at least, and n words n - 1 at most
-    words = words.where((F.size("words") > sizes[0]) & (F.size(F.array_distinct("words")) <= sizes[-1] + 1))
-    grams = words.select("doc_id", bigrams(F.col("words")).alias("have")).withColumn("n_bigrams", F.size("have"))
-    pairs = grams.where(F.col("n_bigrams").between(sizes[0], sizes[-1])).join(F.broadcast(listed), "n_bigrams")
-    shared = F.size(F.array_intersect("have", "grams"))
-    scored = pairs.select("doc_id", "licence", (F.lit(2.0) * shared / (F.col("n_bigrams") + F.col("n"))).alias("score")).where(F.col("score") >= threshold)
-    return scored.groupBy("doc_id", "licence").agg(F.max("score").alias("score"), F.count(F.lit(1)).alias("n_units"))
+    templates = TEMPLATES if templates is None else templates
+    grams = {name: sorted(set(pairs(plain_words(text)))) for name, text in templates.items()}
+    rows = [(gram, name, place, n, more(n), grams[name]) for name, gram, place, n in anchors(templates, threshold)]
+    known = listed(spark, rows, {"gram": pa.string(), "licence": pa.string(), "place": pa.int32(), "n": pa.int32(), "longer": pa.int32(), "grams": pa.list_(pa.string())})
+    words = docs.select("doc_id", F.split(normalised(text_or_empty()), " ").alias("words"))
+    # the words ride along, but only rows that match an anchor are made
+    each = words.select("doc_id", "words", F.posexplode("words").alias("at", "word"))
+    gram = F.concat("word", F.lit(" "), F.try_element_at("words", F.col("at") + 2))
+    met = each.withColumn("gram", gram).join(F.broadcast(known), "gram")  # bounded by the templates
+    begin, size = F.col("at") - F.col("place"), F.size("words")
+    unit = lambda a, b: F.struct(F.greatest(a, F.lit(0)).alias("start"), F.least(b, size).alias("end"))
+    units = F.array(unit(begin, begin + F.col("n")), unit(begin, begin + F.col("n") + F.col("longer")), unit(begin - F.col("longer"), begin + F.col("n")), unit(F.lit(0), size))
+    units = met.select("doc_id", "words", "licence", "grams", F.explode(F.array_distinct(units)).alias("u")).select("doc_id", "words", "licence", "grams", "u.*")
+    # sizes first: a unit of m words has m - 1 bigrams at most, of which all may be the template's
+    n, words_in = F.size("grams"), F.col("end") - F.col("start")
+    reach = lambda have: 2 * F.least(have, n) >= threshold * (have + n) - SLACK
+    units = units.where((words_in > n) | reach(words_in - 1)).withColumn("have", bigrams(F.slice("words", F.col("start") + 1, words_in)))
+    units = units.where(reach(F.size("have")))
+    scored = units.select("doc_id", "licence", "start", "end", (F.lit(2.0) * F.size(F.array_intersect("have", "grams")) / (F.size("have") + n)).alias("score")).where(F.col("score") >= threshold - SLACK)
+    best = scored.groupBy("doc_id", "licence").agg(F.max(F.struct("score", (-F.col("start")).alias("start"), (-F.col("end")).alias("end"))).alias("b"))
+    return best.select("doc_id", "licence", "b.score", (-F.col("b.start")).alias("start"), (-F.col("b.end")).alias("end"))
