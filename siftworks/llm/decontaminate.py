@@ -2,219 +2,202 @@
 
 A window is a run of consecutive item words (an item with fewer words is one window). As a set it is its shingles of five words
 (an item with fewer words: the whole of it). A document that contains a window contains all its shingles, so with the shingles
-ordered by rarity over all documents the necessary prefix is one token: the rarest. Pass one counts the benchmark's shingles in
-all documents. Pass two joins document shingles with the prefix tokens; where a token stands in its window bounds where the
-window would start (positional bound) and whether it fits the document (length bound); what is left is compared word for word.
+ordered by rarity over all documents the necessary prefix is one token: the rarest.
 
-Documents are read in place, never moved. The benchmark is dealt into blocks of a bounded number of bytes; each block is
-broadcast by itself and a task holds one at a time, so that a benchmark of any size goes through with all its items.
+1. One scan of the documents counts the benchmark's shingles in all of them. A join with the windows' shingles gives each window
+   its rarest one.
+2. A second scan, for the whole benchmark at once, hands out where documents have such a token, with the few words around it.
+   These are joined with the windows by token; where the token stands in its window bounds where the window would start
+   (positional bound) and whether it fits the document (length bound); what is left is compared word for word.
+3. What was found is reduced to one row per text, which goes back to the documents that have it.
+
+Documents are read in place; only tokens that may be the benchmark's leave a scan. Which those are is told by a bitmap of
+2^FILTER_BITS leading bits of hashes (2 MiB): a larger benchmark fills it and lets more pass, but loses none. Windows, tokens and
+items are tables throughout; the driver holds nothing but the bitmaps.
 
 Defined cases: null texts have no words; items without words have no windows; an empty benchmark hits nothing; an item without
 an item_id marks words and counts as one item but has no name in the list; rows that repeat an item_id are one item; documents
-are judged row by row, repeated ones alike.
+are judged by their texts, repeated ones alike.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.llm.arrow import U, as_bytes, shingles, slices, word_table, words
+from siftworks.llm.common import bounded, cut, scratch, text_or_empty
 
 LETTERS = word_table("0123456789abcdefghijklmnopqrstuvwxyz")
 WINDOW, SHINGLE = 10, 5
-BLOCK_BYTES = 4 << 20
-
-
-class Block:
-    """The windows of some items. tokens: sizes -> sorted hashes of all their shingles."""
-
-    def __init__(self, items: list[tuple[object, bytes]], window: int, shingle: int):
-        self.windows: dict[bytes, int] = {}
-        self.hashes: list[np.ndarray] = []
-        self.items: list[set] = []
-        for item_id, text in items:
-            low = text.lower()
-            starts, ends, hashes = words(low, LETTERS)
-            size = min(window, len(starts))
-            for at in range(len(starts) - size + 1 if size else 0):
-                whole = b" ".join(low[a:b] for a, b in zip(starts[at : at + size].tolist(), ends[at : at + size].tolist(), strict=True))
-                k = self.windows.setdefault(whole, len(self.windows))
-                if k == len(self.hashes):
-                    self.hashes.append(hashes[at : at + size].copy())
-                    self.items.append(set())
-                self.items[k].add(item_id)
-        self.texts = list(self.windows)
-        self.shingle = shingle
-        self.of_window = [shingles(h, min(shingle, len(h))) for h in self.hashes]
-        by_size = defaultdict(list)
-        for h, tokens in zip(self.hashes, self.of_window, strict=True):
-            by_size[min(shingle, len(h))].append(tokens)
-        self.tokens = {size: np.unique(np.concatenate(x)) for size, x in by_size.items()}
-        self.prefixes: dict[int, tuple[np.ndarray, list[list[tuple[int, int]]]]] = {}
-
-    def choose(self, counts: dict[int, np.ndarray]) -> None:
-        """Takes each window's rarest shingle (ties: the smaller hash) for its prefix."""
-        chosen: dict[int, dict[int, list[tuple[int, int]]]] = {size: defaultdict(list) for size in self.tokens}
-        for k, tokens in enumerate(self.of_window):
-            size = min(self.shingle, len(self.hashes[k]))
-            often = counts[size][np.searchsorted(self.tokens[size], tokens)]
-            best = int(np.lexsort((tokens, often))[0])
-            chosen[size][int(tokens[best])].append((k, best))
-        for size, x in chosen.items():
-            keys = sorted(x)
-            self.prefixes[size] = np.array(keys, dtype=np.uint64), [x[k] for k in keys]
-        self.of_window = []
-
-
-class Lookup:
-    """Where of many hashes those of a small sorted table stand."""
-
-    def __init__(self, keys: np.ndarray):
-        self.keys, self.maybe = keys, np.zeros(1 << 20, dtype=bool)
-        self.maybe[keys >> U(44)] = True
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.flatnonzero(self.maybe[hashes >> U(44)])
-        if not len(at):
-            return at, at
-        k = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
-        same = self.keys[k] == hashes[at]
-        return at[same], k[same]
-
-
-def count_tokens(docs: DataFrame, block: Block) -> dict[int, np.ndarray]:
-    """How often each shingle of the block stands in the documents (not more numbers than the block has shingles)."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(block.tokens)
+FILTER_BITS = 24
+#: Rows of windows, a few hundred bytes each, that are broadcast; more are joined by a shuffle.
+MOST = 1 << 17
+CANDIDATE = pa.struct([("size", pa.int32()), ("token", pa.int64()), ("at", pa.int32()), ("first", pa.int32()), ("context", pa.string())])
+
+
+def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """item_id (as text) and window (its words joined by blanks), each pair once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for item_id, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
+                low = text.lower()
+                starts, ends, _ = words(low, LETTERS)
+                own = [low[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                found = sorted({" ".join(own[at : at + window]) for at in range(max(1, len(own) - window + 1))}) if own else []
+                yield pa.RecordBatch.from_arrays([pa.array([item_id] * len(found), pa.string()), pa.array(found, pa.string())], names=["item_id", "window"])
+
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    return cut(rows.mapInArrow(run, "item_id string, window string").distinct())
+
+
+def window_tokens(windows: DataFrame, shingle: int) -> DataFrame:
+    """Per shingle of each window: window, n (its words), size (words of a shingle), place and token (the shingle's hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {size: Lookup(keys) for size, keys in held.value.items()}
-        totals = {size: np.zeros(len(keys), dtype=np.int64) for size, keys in held.value.items()}
         for batch in slices(batches):
+            rows: list[tuple] = []
+            for window in batch.column(0).to_pylist():
+                hashes = words(window.encode(), LETTERS)[2]
+                size = min(shingle, len(hashes))
+                rows += [(window, len(hashes), size, k, x) for k, x in enumerate(shingles(hashes, size).view(np.int64).tolist())]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["window", "n", "size", "place", "token"])
+
+    return cut(windows.mapInArrow(run, "window string, n int, size int, place int, token bigint"))
+
+
+def bitmap(tokens: DataFrame, bits: int) -> Broadcast:
+    """Which leading bits the tokens have, and their sizes. 2^bits numbers at most come to the driver."""
+    leading = F.shiftrightunsigned("token", 64 - bits).cast("int").alias("k")
+    held = np.zeros(1 << bits, dtype=bool)
+    held[tokens.select(leading).distinct().toArrow().column(0).to_numpy()] = True
+    sizes = sorted(r[0] for r in tokens.select("size").distinct().collect())  # as many as a shingle has words
+    return tokens.sparkSession.sparkContext.broadcast((np.packbits(held), sizes))
+
+
+def passing(hashes: np.ndarray, held: np.ndarray, bits: int) -> np.ndarray:
+    """Places of the hashes whose leading bits are marked."""
+    k = (hashes >> U(64 - bits)).astype(np.int64)
+    return np.flatnonzero((held[k >> 3] >> (7 - (k & 7))) & 1)
+
+
+def token_counts(docs: DataFrame, tokens: DataFrame, bits: int) -> DataFrame:
+    """size, token and n: how often each of the tokens stands in the documents, and maybe others."""
+    marked = bitmap(tokens, bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, sizes = marked.value
+        for batch in slices(batches):
+            found: list[list[np.ndarray]] = [[] for _ in sizes]
             for text in as_bytes(batch.column(0)):
                 hashes = words(text.lower(), LETTERS)[2]
-                for size, lookup in tables.items():
-                    totals[size] += np.bincount(lookup.find(shingles(hashes, size))[1], minlength=len(totals[size]))
-        for size, total in totals.items():
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), size, np.int32)), pa.array(at.astype(np.int32)), pa.array(total[at])], names=["size", "k", "n"])
-
-    counts = {size: np.zeros(len(keys), dtype=np.int64) for size, keys in block.tokens.items()}
-    for size, k, n in docs.select("text").mapInArrow(run, "size int, k int, n bigint").groupBy("size", "k").agg(F.sum("n")).collect():
-        counts[size][k] = n
-    return counts
-
-
-def marks(text: bytes, block: Block, lookups: dict[int, Lookup], low: bytes, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[list[tuple[int, int]], set]:
-    """Word ranges that the block's windows cover, and the items they are of."""
-    starts, ends, hashes = found
-    spans, items = [], set()
-    n = len(starts)
-    for size, lookup in lookups.items():
-        for at, key in zip(*(x.tolist() for x in lookup.find(shingles(hashes, size))), strict=True):
-            for window, place in block.prefixes[size][1][key]:
-                want = block.hashes[window]
-                begin = at - place
-                end = begin + len(want)
-                if begin < 0 or end > n or not np.array_equal(hashes[begin:end], want):
-                    continue
-                if b" ".join(low[a:b] for a, b in zip(starts[begin:end].tolist(), ends[begin:end].tolist(), strict=True)) == block.texts[window]:
-                    spans.append((begin, end))
-                    items |= block.items[window]
-    return spans, items
-
-
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, bytes]]]:
-    """The items in blocks by a running number of bytes over ranges of item_id; one block is with the driver at a time."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
-    share = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    for k in range(n):
-        yield [(r[0], r[1].encode()) for r in (items.where(share == k) if n > 1 else items).toLocalIterator()]
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans (word ranges) and items."""
-    return judge(docs.select("doc_id", "text"), benchmark, window, shingle, block_bytes)
+                for own, size in zip(found, sizes, strict=True):
+                    every = shingles(hashes, size)
+                    own.append(every[passing(every, held, bits)])
+            for own, size in zip(found, sizes, strict=True):
+                token, n = np.unique(np.concatenate(own), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(token), size, np.int32)), pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], names=["size", "token", "n"])
+
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "size int, token bigint, n bigint").groupBy("size", "token").agg(F.sum("n").alias("often"))
+
+
+def window_prefixes(docs: DataFrame, tokens: DataFrame, bits: int) -> DataFrame:
+    """window, n, size, place, token: the shingle of each window that is rarest in the documents (ties: the smaller hash)."""
+    counts = token_counts(docs, tokens, bits)
+    ranked = tokens.join(counts, ["size", "token"], "left").withColumn("often", F.coalesce("often", F.lit(0).cast("bigint")))
+    chosen = ranked.groupBy("window").agg(F.min(F.struct("often", "token", "place", "size", "n")).alias("c"))
+    return cut(chosen.select("window", "c.n", "c.size", "c.place", "c.token"))
 
 
-def judge(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int, block_bytes: int) -> DataFrame:
-    spark = docs.sparkSession
-    blocks = []
-    for items in benchmark_blocks(benchmark, block_bytes):
-        block = Block(items, window, shingle)
-        block.choose(count_tokens(docs, block))
-        blocks.append(spark.sparkContext.broadcast(block))
-        del block
+def key_of() -> Column:
+    """What stands for a text."""
+    return F.md5(text_or_empty())
+
+
+def look(docs: DataFrame, prefixes: DataFrame, window: int, bits: int) -> DataFrame:
+    """Per document: doc_id, key, n_words, and candidates: tokens that may be a prefix, where they stand, and the words around."""
+    marked = bitmap(prefixes, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 512 if len(blocks) < 2 else 8192):
-            texts = as_bytes(batch.column(1))
-            spans: list[list] = [[] for _ in texts]
-            items: list[set] = [set() for _ in texts]
-            counts = [0] * len(texts)
-            for held in blocks:
-                block = held.value
-                lookups = {size: Lookup(keys) for size, (keys, _) in block.prefixes.items()}
-                for i, text in enumerate(texts):
-                    low = text.lower()
-                    found = words(low, LETTERS)
-                    counts[i] = len(found[0])
-                    more = marks(text, block, lookups, low, found)
-                    spans[i] += more[0]
-                    items[i] |= more[1]
-                if len(blocks) > 1 and hasattr(held, "_value"):
-                    del held._value  # one block at a time
-            hits, merged = [], []
-            for x in spans:
-                out: list[list[int]] = []
-                for a, b in sorted(x):
-                    if out and a <= out[-1][1]:
-                        out[-1][1] = max(out[-1][1], b)
-                    else:
-                        out.append([a, b])
-                hits.append(sum(b - a for a, b in out))
-                merged.append([{"start": a, "end": b} for a, b in out])
-            named = [sorted(y for y in x if y is not None) for x in items]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(hits, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in named]), pa.array([x > 0 for x in hits]), pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(named, pa.list_(pa.string()))],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items"],
-            )
+        held, sizes = marked.value
+        for batch in slices(batches):
+            counts, found = [], []
+            for text in as_bytes(batch.column(2)):
+                low = text.lower()
+                starts, ends, hashes = words(low, LETTERS)
+                n, own = len(starts), []
+                for size in sizes:
+                    every = shingles(hashes, size)
+                    at = passing(every, held, bits)
+                    for k, token in zip(at.tolist(), every[at].view(np.int64).tolist(), strict=True):
+                        first, last = max(0, k - (window - size)), min(n, k + window)
+                        context = b" ".join(low[a:b] for a, b in zip(starts[first:last].tolist(), ends[first:last].tolist(), strict=True))
+                        own.append({"size": size, "token": token, "at": k, "first": first, "context": context.decode()})
+                counts.append(n)
+                found.append(own)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(found, pa.list_(CANDIDATE))], names=["doc_id", "key", "n_words", "candidates"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, spans array<struct<start: bigint, end: bigint>>, items array<string>"
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    schema = f"doc_id {id_type}, key string, n_words bigint, candidates array<struct<size: int, token: bigint, at: int, first: int, context: string>>"
+    return docs.select("doc_id", key_of().alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of docs that no window hits, with all their columns. Rows without a doc_id are judged by their text alone."""
-    spark = docs.sparkSession
-    blocks = []
-    for items in benchmark_blocks(benchmark, block_bytes):
-        block = Block(items, window, shingle)
-        block.choose(count_tokens(docs, block))
-        blocks.append(spark.sparkContext.broadcast(block))
-    at, names = docs.columns.index("text"), docs.columns
+def occurrences(looked: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """key, start, end (words) and window of each window in each text, once."""
+    found = looked.where(F.size("candidates") > 0).select("key", "n_words", F.explode("candidates").alias("c")).select("key", "n_words", "c.*")
+    start = (F.col("at") - F.col("place")).cast("bigint")
+    joined = found.join(bounded(prefixes, MOST), ["size", "token"]).withColumn("start", start).withColumn("end", start + F.col("n"))
+    inside = joined.where("start >= 0 and end <= n_words")
+    here = F.array_join(F.slice(F.split("context", " "), (F.col("start") - F.col("first") + 1).cast("int"), F.col("n")), " ")
+    return inside.where(here == F.col("window")).select("key", "start", "end", "window").distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 512 if len(blocks) < 2 else 8192):
-            texts = [x.lower() for x in as_bytes(batch.column(at))]
-            hit = [False] * len(texts)
-            for held in blocks:
-                block = held.value
-                lookups = {size: Lookup(keys) for size, (keys, _) in block.prefixes.items()}
-                for i, low in enumerate(texts):
-                    hit[i] = hit[i] or bool(marks(low, block, lookups, low, words(low, LETTERS))[0])
-                if len(blocks) > 1 and hasattr(held, "_value"):
-                    del held._value
-            yield pa.RecordBatch.from_arrays(batch.columns, names=names).filter(pa.array([not x for x in hit]))
-
-    return docs.mapInArrow(run, docs.schema)
+
+def merged(spans: Column) -> Column:
+    """Sorted spans without overlaps."""
+    last = lambda acc: F.element_at(acc, -1)
+    grown = lambda acc, x: F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last(acc)["start"].alias("start"), F.greatest(last(acc)["end"], x["end"]).alias("end"))))
+    empty = F.array().cast("array<struct<start: bigint, end: bigint>>")
+    return F.reduce(spans, empty, lambda acc, x: F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] >= x["start"]), grown(acc, x)).otherwise(F.concat(acc, F.array(x))))
+
+
+def judged(looked: DataFrame, prefixes: DataFrame, named: DataFrame) -> DataFrame:
+    """Of each text with a window: key, spans (word ranges, merged), n_items, items (sorted)."""
+    hits = cut(occurrences(looked, prefixes))
+    spans = hits.groupBy("key").agg(merged(F.array_sort(F.collect_set(F.struct("start", "end")))).alias("spans"))
+    items = hits.select("key", "window").distinct().join(bounded(named, MOST), "window").select("key", "item_id").distinct()
+    items = items.groupBy("key").agg(F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_set("item_id")).alias("items"))
+    return spans.join(items, "key")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, bits: int | None = None) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans (word ranges) and items."""
+    bits = bits or FILTER_BITS
+    named = item_windows(benchmark, window)
+    prefixes = window_prefixes(docs, window_tokens(named.select("window").distinct(), shingle), bits)
+    path = scratch(docs.sparkSession, "looked")
+    look(docs, prefixes, window, bits).write.parquet(path)
+    looked = docs.sparkSession.read.parquet(path)
+    found = cut(judged(looked, prefixes, named))
+    none = F.array().cast("array<string>")
+    items, spans = F.coalesce("items", none), F.coalesce("spans", F.array().cast("array<struct<start: bigint, end: bigint>>"))
+    n_hit = F.reduce(spans, F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+    rows = looked.select("doc_id", "key", "n_words").join(bounded(found, MOST), "key", "left")
+    return rows.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), F.col("spans").isNotNull().alias("contaminated"), spans.alias("spans"), items.alias("items"))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, bits: int | None = None) -> DataFrame:
+    """The rows of docs that no window hits, with all their columns. Rows without a doc_id are judged by their text alone."""
+    bits = bits or FILTER_BITS
+    named = item_windows(benchmark, window)
+    prefixes = window_prefixes(docs, window_tokens(named.select("window").distinct(), shingle), bits)
+    hits = cut(occurrences(look(docs, prefixes, window, bits), prefixes).select("key").distinct())
+    name = next(c for c in (f"__text_key{k}" for k in range(len(docs.columns) + 1)) if c not in docs.columns)
+    return docs.withColumn(name, key_of()).join(bounded(hits.withColumnRenamed("key", name)), name, "left_anti").select(docs.columns)
