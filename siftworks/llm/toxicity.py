@@ -1,17 +1,20 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
 Features of a text are its words and their first 4 to 8 bytes (for languages that inflect), hashed to 2^20 numbers; the value
-is log(1 + occurrences per hundred words), so that long texts don't gather more than short ones. The model has one weight for each feature, shared by all thresholds, and ordered thresholds:
-P(grade > k) = sigmoid(score - threshold_k). It puts out the expected severity, the sum of these over k.
+is log(1 + occurrences per hundred words), so that long texts don't gather more than short ones. The model has one weight for
+each feature, shared by all thresholds, and ordered thresholds: P(grade > k) = sigmoid(score - threshold_k). It puts out the
+expected severity, the sum of these over k.
 
 It is fitted on at most MAX_TRAIN labelled rows, those with the smallest hash of doc_id. Only features with clear evidence
-get a weight (log odds between toxic and other rows by two standard errors above MARGIN). The labels say toxic or not; toxic
-rows are graded 1 or 2 by their sum of such values, below or above the median. Whole texts are read, in training and
-application. A document is toxic if P(grade > 0) is at least 0.5.
-
-Defined cases: null or wordless texts have no features; labels that are null, or of no document, are left out; of repeated labels
-of a document the largest counts; without labelled toxic rows, or any evidence, every severity is the base rate's; an empty
-table gives no rows; other columns are ignored.
+get a weight (log odds between toxic and other rows by two standard errors above MARGIN). Grades (0, 1, 2) come from the labels
+alone, by an expression over their columns: by default 0 for rows that aren't toxic, 1 for toxic rows and 2 for those that are
+of low quality (0), too, where labels tell quality. Whole texts are read, in training and application. A document is toxic
+if P(grade > 0) is at least 0.5.
+
+Defined cases: null or wordless texts have no features; labels whose grade is null, or of no document, are left out; of repeated
+labels of a document the largest grade counts; without labelled toxic rows, or any evidence, every severity is the base rate's;
+without rows of grade 2 the second threshold only rises from a rate of 1 in 10,000; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.llm.arrow import BYTE_MIX, PLACE_MIX, U, as_bytes, mix, slices, word_table
@@ -74,40 +77,69 @@ class Model:
         return float((self.weights[at[same]] * values[same]).sum())
 
     def above(self, score: float) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(score - self.thresholds, -500, 500)))
+        return sigmoid(score - self.thresholds)
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, n: int, m: int, grades: np.ndarray, ridge: float = RIDGE, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and two thresholds for grades 0, 1, 2 by maximum likelihood with a ridge. rows, columns, values: the features that are set."""
-    rate = np.clip([(grades > 0).mean(), (grades > 1).mean()], 1e-4, 1 - 1e-4)
+@dataclass
+class Rows:
+    """Labelled rows: grades (0, 1, 2) of n rows, and which of m features are set in which row (rows, columns, values)."""
+
+    rows: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
+    grades: np.ndarray
+    m: int
+
+    def loss(self, p: np.ndarray, ridge: float) -> tuple[float, np.ndarray]:
+        """Mean negative log likelihood and ridge, and their gradient. p: m weights, the first threshold, and the logarithm of the
+        gap to the second."""
+        m, n, grades = self.m, len(self.grades), self.grades
+        score = np.bincount(self.rows, weights=p[self.columns] * self.values, minlength=n) if len(self.rows) else np.zeros(n)
+        gap = np.exp(p[m + 1])
+        a, b = sigmoid(score - p[m]), sigmoid(score - p[m] - gap)
+        middle = np.maximum(a - b, 1e-12)
+        chance = np.where(grades == 0, 1 - a, np.where(grades == 1, middle, b))
+        # d(-log chance) by the score through each threshold
+        ga = np.where(grades == 0, a, np.where(grades == 1, -a * (1 - a) / middle, 0.0))
+        gb = np.where(grades == 2, b - 1, np.where(grades == 1, b * (1 - b) / middle, 0.0))
+        slope = np.bincount(self.columns, weights=(ga + gb)[self.rows] * self.values, minlength=m)[:m] if len(self.rows) else np.zeros(m)
+        loss = -np.log(np.maximum(chance, 1e-300)).mean() + ridge / 2 * (p[:m] ** 2).sum()
+        return float(loss), np.concatenate((slope / n + ridge * p[:m], [-(ga + gb).mean(), -gb.mean() * gap]))
+
+
+def fit_ordinal(data: Rows, ridge: float = RIDGE, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and two thresholds by maximum likelihood with a ridge, by steps along running means of the gradient."""
+    rate = np.clip([(data.grades > 0).mean(), (data.grades > 1).mean()], 1e-4, 1 - 1e-4)
     low = -np.log(rate[0] / (1 - rate[0]))
     gap = max(-np.log(rate[1] / (1 - rate[1])) - low, 1e-2)
+    m = data.m
     p = np.concatenate((np.zeros(m), [low, np.log(gap)]))
     first, second = np.zeros_like(p), np.zeros_like(p)
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -500, 500)))
     for t in range(1, rounds + 1):
-        score = np.bincount(rows, weights=p[columns] * values, minlength=n) if len(rows) else np.zeros(n)
-        gap = np.exp(p[m + 1])
-        a, b = sigmoid(score - p[m]), sigmoid(score - p[m] - gap)
-        da, db = a * (1 - a), b * (1 - b)
-        middle = np.maximum(a - b, 1e-12)
-        # d(-log likelihood) by the score through each threshold
-        ga = np.where(grades == 0, a, np.where(grades == 1, -da / middle, 0.0))
-        gb = np.where(grades == 2, b - 1, np.where(grades == 1, db / middle, 0.0))
-        slope = np.bincount(columns, weights=(ga + gb)[rows] * values, minlength=m)[:m] if len(rows) else np.zeros(m)
-        g = np.concatenate((slope / n + ridge * p[:m], [-(ga + gb).mean(), -gb.mean() * gap]))
+        g = data.loss(p, ridge)[1]
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
         p = p - 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
     return p[:m], np.array([p[m], p[m] + np.exp(p[m + 1])])
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Model:
-    """A model from at most `most` labelled rows of docs."""
-    marked = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+def grade_of(labels: DataFrame) -> Column:
+    """The grade that labels give: 0 not toxic, 1 toxic, 2 toxic and of low quality."""
+    worse = F.coalesce(F.col("quality") == 0, F.lit(False)).cast("int") if "quality" in labels.columns else F.lit(0)
+    return F.when(F.col("toxic") > 0, 1 + worse).when(F.col("toxic").isNotNull(), 0)
+
+
+def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN, grade: Column | None = None) -> Model:
+    """A model from at most `most` labelled rows of docs. grade: an expression over labels, 0 to 2."""
+    graded = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), (grade_of(labels) if grade is None else grade).cast("int").alias("grade"))
+    marked = graded.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.max("grade").alias("grade"))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # bounded, so it may be broadcast
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
 
-    rows = cut(wanted.select("text", F.col("toxic").cast("int").alias("toxic")))  # bounded by the sample
+    rows = cut(wanted.select("text", "grade"))  # bounded by the sample
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, 1 << BITS), dtype=np.int64)
@@ -118,15 +150,15 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(totals[1, at]), pa.array(totals[0, at])], names=["number", "a", "b"])
 
     seen = rows.mapInArrow(count, "number bigint, a bigint, b bigint").groupBy("number").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where("a >= 2").toPandas().sort_values("number")
-    p, n = rows.agg(F.count_if(F.col("toxic") > 0), F.count(F.lit(1))).first()
+    p, n = rows.agg(F.count_if(F.col("grade") > 0), F.count(F.lit(1))).first()
     numbers = evident(*(seen[c].to_numpy(np.int64) for c in ("number", "a", "b")), p, n - p)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [chosen(features(x), numbers) for x in as_bytes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.tolist() for x, _ in found], pa.list_(pa.int64())), pa.array([x.tolist() for _, x in found], pa.list_(pa.float64()))], names=["toxic", "at", "vals"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.tolist() for x, _ in found], pa.list_(pa.int64())), pa.array([x.tolist() for _, x in found], pa.list_(pa.float64()))], names=["grade", "at", "vals"])
 
-    got = sorted((r[0], tuple(r[1]), tuple(r[2])) for r in rows.mapInArrow(pick, "toxic int, at array<bigint>, vals array<double>").collect())
+    got = sorted((r[0], tuple(r[1]), tuple(r[2])) for r in rows.mapInArrow(pick, "grade int, at array<bigint>, vals array<double>").collect())
     return fit(numbers, [np.array(r[1], np.int64) for r in got], [np.array(r[2]) for r in got], np.array([r[0] for r in got], dtype=np.int64))
 
 
@@ -142,17 +174,12 @@ def chosen(found: tuple[np.ndarray, np.ndarray], numbers: np.ndarray) -> tuple[n
     return np.searchsorted(numbers, found[0][at]), found[1][at]
 
 
-def fit(numbers: np.ndarray, found: list[np.ndarray], values: list[np.ndarray], toxic: np.ndarray) -> Model:
+def fit(numbers: np.ndarray, found: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray) -> Model:
     """found: of each row the places in numbers of its features."""
-    n, bad = len(found), toxic > 0
-    if not n:
+    if not found:
         return Model(np.empty(0, np.int64), np.empty(0), np.array([0.0, 1.0]))
-    total = np.array([x.sum() for x in values])
-    grades = np.where(bad, 1, 0)
-    if (bad & (total > 0)).any():
-        grades[bad & (total > np.median(total[bad & (total > 0)]))] = 2
-    rows = np.repeat(np.arange(n), [len(x) for x in found])
-    weights, thresholds = fit_ordinal(rows, np.concatenate(found).astype(np.int64), np.concatenate(values), n, len(numbers), grades)
+    rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
+    weights, thresholds = fit_ordinal(Rows(rows, np.concatenate(found).astype(np.int64), np.concatenate(values), grades, len(numbers)))
     return Model(numbers, weights, thresholds)
 
 
