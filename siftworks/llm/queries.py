@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftworks.llm import chat, decontaminate, exact_dedup, licences, mixing, repeats, sharding, simhash, toxicity, warc
-from siftworks.llm.common import table
+from siftworks.llm.common import listed, table
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,21 +136,25 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 F
 
 
 def licence_sql(templates: dict[str, str], threshold: float, documents: str = "documents") -> str:
-    rows = ", ".join("('{}', '{}')".format(k.replace("'", "''"), v.replace("'", "''")) for k, v in templates.items())
+    quoted = lambda x: "'{}'".format(x.replace("'", "''"))
+    rows = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in templates.items())
+    anchors = ", ".join(f"({quoted(k)}, {quoted(g)}, {place}, {n}, {licences.more(n)})" for k, g, place, n in licences.anchors(templates, threshold))
     plain = "string_split(trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g')), ' ')"
     grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
     return f"""
 WITH templates(licence, body) AS (VALUES {rows}),
 tw AS (SELECT licence, {plain.format("body")} AS w FROM templates),
 tg AS (SELECT licence, {grams} AS g FROM tw),
-u AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS unit FROM {documents}
-  UNION ALL SELECT doc_id, text FROM {documents} WHERE contains(text, chr(10))),
-uw AS (SELECT doc_id, {plain.format("unit")} AS w FROM u),
-ug AS (SELECT doc_id, {grams} AS g FROM uw),
-sized AS (SELECT doc_id, g FROM ug WHERE len(g) > 0),
-s AS (SELECT doc_id, licence, 2.0::DOUBLE * len(list_intersect(sized.g, tg.g)) / (len(sized.g) + len(tg.g)) AS score
-  FROM sized JOIN tg ON 2 * least(len(sized.g), len(tg.g)) >= {threshold} * (len(sized.g) + len(tg.g)))
-SELECT doc_id, licence, max(score) AS score, count(*) AS n_units FROM s WHERE score >= {threshold} GROUP BY doc_id, licence
+d AS (SELECT doc_id, {plain.format("coalesce(text, '')")} AS w FROM {documents}),
+p AS (SELECT doc_id, unnest(w) AS a, unnest(range(0, len(w))) AS pos, unnest(list_concat(w[2:], [NULL])) AS b FROM d),
+m AS (SELECT DISTINCT doc_id, licence, pos - place AS s, n, longer FROM p JOIN anchors ON gram = a || ' ' || b),
+u AS (SELECT doc_id, licence, s, s + n AS e FROM m UNION SELECT doc_id, licence, s, s + n + longer FROM m
+  UNION SELECT doc_id, licence, s - longer, s + n FROM m UNION SELECT doc_id, licence, 0, 1000000000 FROM m),
+ug AS (SELECT doc_id, licence, greatest(s, 0)::INT AS s, least(e, len(d.w))::INT AS e, d.w[greatest(s, 0) + 1 : least(e, len(d.w))] AS w FROM u JOIN d USING (doc_id)),
+x AS (SELECT doc_id, licence, s, e, {grams} AS h FROM ug),
+scored AS (SELECT doc_id, licence, s, e, 2.0::DOUBLE * len(list_intersect(h, g)) / (len(h) + len(g)) AS score FROM x JOIN tg USING (licence))
+SELECT doc_id, licence, max(score) AS score, (min({{'x': -score, 's': s, 'e': e}})).s AS start, (min({{'x': -score, 's': s, 'e': e}})).e AS "end"
+FROM scored WHERE score >= {threshold} - 1e-9 GROUP BY doc_id, licence
 """
 
 
@@ -163,6 +167,7 @@ SELECT page_id, n AS payload_bytes,
   list_aggregate(list_transform(v, lambda y: substr(A, (y // 32768) + 1, 1) || substr(A, (y // 1024) % 32 + 1, 1) || substr(A, (y // 32) % 32 + 1, 1) || substr(A, y % 32 + 1, 1)), 'string_agg', '') AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM x
+anchors(licence, gram, place, n, longer) AS (VALUES {anchors}),
 """.replace("substr(A,", f"substr('{warc.BASE32}',")
 
 
