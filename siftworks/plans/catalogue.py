@@ -425,19 +425,43 @@ def response_content(spark, sf_dir):
     return fx.frame(spark, fx.ENVELOPES).select("batch", labelling.message_content(F.col("response")).alias("raw"))
 
 
-@query(fx.sql(fx.ITEMS))
+def normalised(pitch: str, domain: str, biz: str, prod: str) -> str:
+    """A label put into form, as an expression over others."""
+    fixed = "CASE " + " ".join(f"WHEN starts_with({pitch}, {fx.literal(w)}) THEN {fx.literal(r)} || substr({pitch}, {len(w) + 1})" for w, r in rules.LEADING_EMOJI.items()) + f" ELSE {pitch} END"
+    role = " OR ".join(f"starts_with(f.low, '{w}') OR contains(substr(f.low, 1, 15), ' {w}')" for w in rules.INVENTED_ROLES)
+    own = f"CASE WHEN coalesce({domain}, '') = '' THEN 'General' ELSE array_to_string(list_transform(regexp_extract_all(lower(split_part({domain}, '.', 1)), '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || x[2:]), '') END"
+    niche = f"coalesce({first('f.hint', rules.NICHES, None)}, {own})"
+    named = f"CASE WHEN {role} THEN {strip(fx.literal(rules.AGENCIES + ' ') + ' || regexp_extract(f.x, ' + chr(39) + '[(].*?[)]' + chr(39) + ')')} ELSE f.x END"
+    inner = f"SELECT {fixed} AS x, lower({fixed}) AS low, lower(coalesce({biz}, '') || ' ' || coalesce({prod}, '')) AS hint"
+    return f"CASE WHEN coalesce({pitch}, '') = '' THEN '{rules.GENERAL}' ELSE (SELECT regexp_replace({named}, '[(]niche[)]', '(' || {niche} || ')', 'gi') FROM ({inner}) f) END"
+
+
+#: The items of the model's answers, read from their JSON.
+PARSED = f"""WITH r0 AS (SELECT batch, {strip('raw')} AS t FROM ({fx.sql(fx.RESPONSES)})),
+r1 AS (SELECT batch, t, array_to_string(string_split(t, chr(10))[2:-2], chr(10)) AS i FROM r0),
+r2 AS (SELECT batch, TRY_CAST(CASE WHEN NOT starts_with(t, '```') THEN t WHEN starts_with(i, 'json') THEN {strip('substr(i, 5)')} ELSE i END AS JSON) AS v FROM r1),
+r3 AS (SELECT batch, v, CASE json_type(v) WHEN 'ARRAY' THEN v WHEN 'OBJECT' THEN CASE WHEN json_type(v, '$.items') = 'ARRAY' AND json_array_length(v, '$.items') > 0 THEN json_extract(v, '$.items')
+    ELSE coalesce(list_filter(list_transform(json_keys(v), lambda k: json_extract(v, '$."' || k || '"')), lambda x: json_type(x) = 'ARRAY')[1], json_array(v)) END END AS items FROM r2),
+r4 AS (SELECT batch, unnest(range(0, json_array_length(items)::BIGINT)) AS pos, items FROM r3 WHERE items IS NOT NULL),
+r5 AS (SELECT batch, pos, json_extract(items, '$[' || pos || ']') AS x FROM r4),
+r6 AS (SELECT batch, pos, TRY_CAST(x ->> '$.index' AS INT) AS index, coalesce(x ->> '$.domain', '') AS domain, x ->> '$.pitch_category' AS p, x ->> '$.true_business_type' AS b, x ->> '$.true_product_category' AS q FROM r5 WHERE json_type(x) = 'OBJECT'),
+items AS (SELECT batch, NULL::VARCHAR AS error, pos::INT AS pos, index, domain, {normalised('p', 'domain', 'b', 'q')} AS pitch, coalesce(nullif(b, 'Unknown'), '') AS biz, coalesce(nullif(q, 'Unknown'), '') AS prod FROM r6
+  UNION ALL SELECT batch, 'JSON_ERROR', NULL, NULL, '', NULL, NULL, NULL FROM r3 WHERE items IS NULL)"""
+
+
+@query(f"{PARSED} SELECT * FROM items")
 def response_parse(spark, sf_dir):
     return labelling.parse_answers(fx.frame(spark, fx.RESPONSES))
 
 
-@query("SELECT * FROM (VALUES (0, 'a.com', 0), (1, 'b.com', 1), (4, 'd.com', 0)) v(batch, domain, pos)".replace("SELECT *", "SELECT batch::BIGINT AS batch, domain, pos::INT AS pos"))
+@query(f"{PARSED} SELECT batch, domain, max(pos)::INT AS pos FROM items WHERE error IS NULL AND domain <> '' GROUP BY ALL")
 def response_last_wins(spark, sf_dir):
     items = labelling.parse_answers(fx.frame(spark, fx.RESPONSES))
     last = labelling.last_by(items.withColumn("pitch", F.col("pos").cast("string")), "domain")
     return last.select("batch", "domain", F.col("found.pitch").cast("int").alias("pos"))
 
 
-LOOK = f"""WITH items AS ({fx.sql(fx.ITEMS)}), rows AS ({fx.sql(fx.BATCHED)}),
+LOOK = f"""{PARSED}, rows AS ({fx.sql(fx.BATCHED)}),
 d AS (SELECT batch, domain, max_by({{'p': pitch, 'b': biz, 'q': prod}}, pos) AS x FROM items WHERE error IS NULL AND domain <> '' GROUP BY ALL),
 i AS (SELECT batch, index, max_by({{'p': pitch, 'b': biz, 'q': prod}}, pos) AS x FROM items WHERE error IS NULL AND index IS NOT NULL GROUP BY ALL)
 SELECT r.batch, r.index, r.Domain, coalesce(coalesce(d.x, i.x).p, '{rules.GENERAL}') AS Pitch_Category, coalesce(nullif(coalesce(d.x, i.x).b, ''), '{rules.REVIEW}') AS Business_Type,
@@ -450,13 +474,14 @@ def label_lookup(spark, sf_dir):
     return labelling.look_up(fx.frame(spark, fx.BATCHED), labelling.parse_answers(fx.frame(spark, fx.RESPONSES)))
 
 
-NORMALISED = ["🟢 6. General Contacts", "🟢 6. General Contacts", "🎬 4. Video-First Brands (Film)", "🛠️ 5. Service Agencies (Law)", "🛠️ 5. Service Agencies (Books)", "🛠️ 5. Service Agencies", "A long way to a writer", "🤖 2. SaaS/Tech (Tech)", "🤖 2. SaaS/Tech (My-Brand2Go)", "🤖 2. SaaS/Tech (General)", "💰 3. D2C Ad Spenders (Legal)", "💰 3. D2C Ad Spenders (Fashion)", "🟢 6. General Contacts"]
-
-
-@query(fx.sql(("pitch string, domain string, biz string, category string", [(p, d, b, n) for (p, d, b, _), n in zip(fx.PITCHES[1], NORMALISED, strict=True)])))
+@query(f"SELECT pitch, domain, biz, {normalised('pitch', 'domain', 'biz', 'prod')} AS category FROM ({fx.sql(fx.PITCHES)} UNION ALL SELECT CASE doc_id % 4 WHEN 0 THEN '🤖 2. SaaS/Tech (NICHE)' WHEN 1 THEN substr(text, 1, 40) WHEN 2 THEN '🏠 ' || substr(text, 1, 20) || ' (Niche)' ELSE 'a writer (' || source || ')' END, lang || '-' || doc_id || '.com', substr(text, 1, 60), source FROM documents WHERE NOT contains(substr(text, 1, 60), chr(10)))")
 def normalize_category(spark, sf_dir):
-    """Against vectors worked out by hand, one for each branch."""
-    rows = fx.frame(spark, fx.PITCHES)
+    """Rows for each branch, and documents' beginnings as labels, domains and hints."""
+    docs = read(spark, sf_dir, "documents").where(~F.contains(F.substring("text", 1, 60), F.lit("\n")))
+    kind = F.pmod("doc_id", F.lit(4))
+    pitch = F.when(kind == 0, "🤖 2. SaaS/Tech (NICHE)").when(kind == 1, F.substring("text", 1, 40)).when(kind == 2, F.concat(F.lit("🏠 "), F.substring("text", 1, 20), F.lit(" (Niche)"))).otherwise(F.concat(F.lit("a writer ("), F.col("source"), F.lit(")")))
+    docs = docs.select(pitch.alias("pitch"), F.concat("lang", F.lit("-"), F.col("doc_id").cast("string"), F.lit(".com")).alias("domain"), F.substring("text", 1, 60).alias("biz"), F.col("source").alias("prod"))
+    rows = fx.frame(spark, fx.PITCHES).unionByName(docs)
     return rows.select("pitch", "domain", "biz", classify.normalise_category(*(F.col(c) for c in ("pitch", "domain", "biz", "prod"))).alias("category"))
 
 

@@ -62,18 +62,6 @@ RESPONSES = (
         (4, '[{"domain": "d.com", "pitch_category": "z"}, 7]'),
     ],
 )
-#: What the answers above come to.
-ITEMS = (
-    "batch long, error string, pos int, index int, domain string, pitch string, biz string, prod string",
-    [
-        (0, None, 0, 0, "a.com", "🛠️ 5. Service Agencies (Books)", "Press", ""),
-        (1, None, 0, 1, "b.com", "🟢 6. General Contacts", "", ""),
-        (1, None, 1, 2, "b.com", "x", "B", "P"),
-        (2, None, 0, 0, "", "y", "C", "Q"),
-        (3, "JSON_ERROR", None, None, "", None, None, None),
-        (4, None, 0, None, "d.com", "z", "", ""),
-    ],
-)
 ENVELOPES = (
     "batch long, response string",
     [

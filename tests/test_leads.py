@@ -105,3 +105,21 @@ def test_title_case_and_strip(spark):
 def test_plans_stay_in_the_jvm(spark):
     plan = fx.frame(spark, fx.TEXTS).select(html.emails(F.col("text")), text.content_words(F.col("text"), F.lit("a.com")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_answers_and_labels_worked_out_by_hand(spark):
+
+    want = [
+        (0, None, 0, 0, "a.com", "🛠️ 5. Service Agencies (Books)", "Press", ""),
+        (1, None, 0, 1, "b.com", "🟢 6. General Contacts", "", ""),
+        (1, None, 1, 2, "b.com", "x", "B", "P"),
+        (2, None, 0, 0, "", "y", "C", "Q"),
+        (3, "JSON_ERROR", None, None, "", None, None, None),
+        (4, None, 0, None, "d.com", "z", "", ""),
+    ]
+    got = labelling.parse_answers(fx.frame(spark, fx.RESPONSES)).select("batch", "error", "pos", "index", "domain", "pitch", "biz", "prod").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    labels = ["🟢 6. General Contacts", "🟢 6. General Contacts", "🎬 4. Video-First Brands (Film)", "🛠️ 5. Service Agencies (Law)", "🛠️ 5. Service Agencies (Books)", "🛠️ 5. Service Agencies", "A long way to a writer", "🤖 2. SaaS/Tech (Tech)", "🤖 2. SaaS/Tech (My-Brand2Go)", "🤖 2. SaaS/Tech (General)", "💰 3. D2C Ad Spenders (Legal)", "💰 3. D2C Ad Spenders (Fashion)", "🟢 6. General Contacts"]
+    rows = fx.frame(spark, fx.PITCHES)
+    found = {tuple(r)[:4]: r[4] for r in rows.select("*", classify.normalise_category(*(F.col(c) for c in ("pitch", "domain", "biz", "prod"))).alias("x")).collect()}
+    assert [found[x] for x in fx.PITCHES[1]] == labels
