@@ -57,6 +57,20 @@ def file_of(files: DataFrame, wanted: Column) -> DataFrame:
     return files.where(F.contains("name", wanted)).orderBy("name").limit(1)
 
 
+def acquire(index: DataFrame, root: str, files: DataFrame, out: str, get: Callable[[str], tuple[int, str, bytes]] = fetch.http_file) -> DataFrame:
+    """Fetches what an index page lists and no file has: lines of each archive's first member, a folder for each day below out.
+
+    index: value (the page); files: dt of those at hand. Returns dt, href, lines and error, a row for each link that was missing."""
+    from siftworks.sources import files as sources
+
+    got = cut(fetch.downloads(missing_files(sources.links_in(index, root), files), get))
+    members = cut(sources.first_members(got.where("error is null")).withColumnRenamed("error", "broken"))
+    lines = members.where("broken is null").join(got.select("path", "dt"), "path").select("value", F.to_date("dt").alias("dt"))
+    sources.write_dates(lines, out)
+    counts = members.groupBy("path").agg(F.count("value").alias("lines"), F.max("broken").alias("broken"))
+    return got.join(counts, "path", "left").select("dt", F.col("path").alias("href"), F.coalesce("lines", F.lit(0).cast("bigint")).alias("lines"), F.coalesce("error", "broken").alias("error"))
+
+
 def due(dates: DataFrame, archive: DataFrame, today: date | None = None, first_only: bool = False) -> DataFrame:
     """The days to do: those of backlog(), the oldest first, and today's last, done or not. first_only: one of them."""
     old = incremental.backlog(dates.where(F.col("dt") < run_day(today)), archive).select("dt")

@@ -105,6 +105,34 @@ def missing_files(spark, sf_dir):
     return runs.missing_files(files.index_links(spark, index_page(spark), "http://root"), files.file_dates(spark, lists(spark)))
 
 
+def canned_file(url: str) -> tuple[int, str, bytes]:
+    """Stands in for the network: every fourth list is a page, every fifth no archive, the seventh gone, the eleventh never comes."""
+    import io
+    import zipfile
+
+    k = int(url.rsplit("/", 1)[1].split(".")[0])
+    if k == 11:
+        raise TimeoutError
+    with zipfile.ZipFile(archive := io.BytesIO(), "w") as z:
+        z.writestr("list.txt", f"{k}.com\r\n{k}.net\n" * (k % 3))
+        z.writestr("more.txt", "no.com")
+    return 404 if k == 7 else 200, "text/html; charset=utf-8" if k % 4 == 0 else "application/zip", b"nothing" if k % 5 == 0 else archive.getvalue()
+
+
+MISSING = f"SELECT dt, href, regexp_extract(href, '([0-9]+)[.]zip', 1)::INT AS k FROM ({LINKS}) WHERE dt NOT IN (SELECT strftime(dt, '%Y-%m-%d') FROM ({DATED}) WHERE dt IS NOT NULL)"
+
+
+@query(f"""SELECT dt, href, coalesce(error, CASE WHEN k % 3 > 0 THEN 'written' ELSE 'empty' END) AS outcome, CASE WHEN error IS NULL THEN 2 * (k % 3) ELSE 0 END::BIGINT AS lines
+  FROM (SELECT *, CASE WHEN k = 11 THEN 'TimeoutError' WHEN k = 7 THEN '404' WHEN k % 4 = 0 THEN 'HtmlPage' WHEN k % 5 = 0 THEN 'BadZipFile' END AS error FROM ({MISSING}))""")
+def acquired_lists(spark, sf_dir):
+    """From the index page to a folder of lines for each day that was missing; counted as they are read again."""
+    out = scratch(spark, "acquired")
+    told = runs.acquire(spark.read.text(index_page(spark), wholetext=True), "http://root", files.file_dates(spark, lists(spark)), out, canned_file)
+    found = spark.read.parquet(out).groupBy(F.date_format("dt", "yyyy-MM-dd").alias("dt")).agg(F.count(F.lit(1)).alias("written"))
+    outcome = F.coalesce("error", F.when(F.col("lines") > 0, "written").otherwise("empty"))
+    return told.join(found, "dt", "left").select("dt", "href", outcome.alias("outcome"), F.coalesce("written", F.lit(0).cast("bigint")).alias("lines"))
+
+
 @query(f"SELECT dt FROM ({DATED}) WHERE dt IS NOT NULL")
 def file_dates(spark, sf_dir):
     return files.file_dates(spark, lists(spark))

@@ -95,7 +95,7 @@ LABEL_COLUMNS = ["Pitch_Category", "Business_Type", "Product_Category"]
 MISSING, LIVE = "None", "Live"
 BATCH_SIZE, MAX_WORDS, MAX_REPEATS = 5, 80, 2
 CONNECT_TIMEOUT, READ_TIMEOUT, FETCH_THREADS, LIVE_STATUS = 4, 5, 60, 200
-MODEL_TIMEOUT, MAX_RUNTIME = 90, 19800
+MODEL_TIMEOUT, MAX_RUNTIME, FILE_TIMEOUT = 90, 19800, 60
 ATTEMPTS, BACK_OFF, LONG_WAIT = 3, 5, 15
 CONTENT_PATH = "$.choices[0].message.content"
 LINK_DENIED = ["whois-database-download", "contact"]

@@ -21,8 +21,9 @@ MOST = 16 << 20
 PASSING = (ConnectionError, TimeoutError)
 
 
-def http_get(url: str, connect: float = rules.CONNECT_TIMEOUT, read: float = rules.READ_TIMEOUT, most: int = MOST) -> tuple[int, str]:
-    """One GET, redirects included, whatever the site's certificate says. Seconds to connect, and to wait for each piece."""
+def answer_of(url: str, connect: float, read: float, most: int) -> tuple[int, str, str | None, bytes]:
+    """status, content type, character set and body of one GET, redirects included, whatever the site's certificate says. Seconds to
+    connect, and to wait for each piece."""
     import ssl
     from http.client import HTTPConnection, HTTPSConnection
     from urllib.error import HTTPError, URLError
@@ -49,13 +50,48 @@ def http_get(url: str, connect: float = rules.CONNECT_TIMEOUT, read: float = rul
 
     try:
         with build_opener(Plain, Secure(context=anyone)).open(Request(url, headers={"User-Agent": "Mozilla/5.0"}), timeout=connect) as answer:
-            return answer.status, answer.read(most).decode(answer.headers.get_content_charset() or "utf-8", "replace")
+            return answer.status, answer.headers.get_content_type(), answer.headers.get_content_charset(), answer.read(most)
     except HTTPError as e:  # an answer as well
-        return e.code, ""
+        return e.code, "", None, b""
     except URLError as e:
         raise (e.reason if isinstance(e.reason, OSError) else e) from None
 
 
+def http_get(url: str, connect: float = rules.CONNECT_TIMEOUT, read: float = rules.READ_TIMEOUT, most: int = MOST) -> tuple[int, str]:
+    """A page: status and text."""
+    status, _, charset, body = answer_of(url, connect, read, most)
+    return status, body.decode(charset or "utf-8", "replace")
+
+
+def http_file(url: str, connect: float = rules.FILE_TIMEOUT, read: float = rules.FILE_TIMEOUT, most: int = 1 << 30) -> tuple[int, str, bytes]:
+    """A file: status, content type and bytes."""
+    status, kind, _, body = answer_of(url, connect, read, most)
+    return status, kind, body
+
+
+def downloads(links: DataFrame, get: Callable[[str], tuple[int, str, bytes]] = http_file) -> DataFrame:
+    """links: dt, href. One row each: dt, path (the link), content, error: HtmlPage where a page came instead of a file, the status
+    if it wasn't 200, or the failure's name. A task holds one file at a time."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for dt, href in zip(frame["dt"], frame["href"], strict=True):
+                content, error = None, None
+                try:
+                    status, kind, body = get(href)
+                    if status != rules.LIVE_STATUS:
+                        error = str(status)
+                    elif "text/html" in kind.lower():
+                        error = "HtmlPage"
+                    else:
+                        content = body
+                except Exception as e:  # whatever a site does, the others go on
+                    error = type(e).__name__
+                yield pd.DataFrame([(dt, href, content, error)], columns=["dt", "path", "content", "error"])
+
+    return links.select("dt", "href").repartition("href").mapInPandas(run, "dt string, path string, content binary, error string")
+
+
 def get_patiently(get: Get, url: str, tries: int, sleep: Callable[[float], None]) -> tuple[int | None, str | None, str | None, int]:
     """status, html, the last failure's name, and how many tries it took. The wait grows with each try."""
     for n in range(1, tries + 1):

@@ -114,7 +114,12 @@ class _Index(HTMLParser):
 
 
 def index_links(spark: SparkSession, path: str, root: str) -> DataFrame:
-    """dt (as text) and href of each row of an index page that has three cells, begins with a date and has a link."""
+    """links_in() of a saved index page."""
+    return links_in(spark.read.text(path, wholetext=True), root)
+
+
+def links_in(pages: DataFrame, root: str) -> DataFrame:
+    """pages: value. dt (as text) and href of each row of an index page that has three cells, begins with a date and has a link."""
 
     @F.pandas_udf("array<struct<dt: string, href: string>>")
     def rows_of(pages: pd.Series) -> pd.Series:
@@ -125,7 +130,7 @@ def index_links(spark: SparkSession, path: str, root: str) -> DataFrame:
             out.append([{"dt": cells[0].strip(), "href": href} for cells, href in index.rows if len(cells) >= 3 and href])
         return pd.Series(out)
 
-    rows = spark.read.text(path, wholetext=True).select(F.explode(rows_of("value")).alias("r")).select("r.*")
+    rows = pages.select(F.explode(rows_of("value")).alias("r")).select("r.*")
     rows = rows.where(F.col("dt").rlike(r"^\d{4}-\d{2}-\d{2}") & ~any_of(F.lower("href"), rules.LINK_DENIED))
     return rows.select(F.substring("dt", 1, 10).alias("dt"), F.when(F.startswith("href", F.lit("http")), F.col("href")).otherwise(F.concat(F.lit(root), F.col("href"))).alias("href"))
 
