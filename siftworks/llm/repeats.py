@@ -2,24 +2,28 @@
 
 Suffix sorting, in pieces that fit a task. Any window of `least` bytes belongs to the smallest hash of its k-byte strings (its
 minimizer), which depends on the window's bytes only; so equal windows meet wherever windows are dealt out by it. Each document
-is cut into maximal runs of windows with one minimizer (a cut is about 63 bytes).
-
-1. Documents are dealt into batches of bounded bytes by doc_id. A batch sends five bytes per distinct minimizer; a bucket
-   answers with one bit each: does any other document have it?
-2. A batch sends its distinct cuts of such minimizers, each once with the smallest doc_id that has it (so a passage that fills
-   a third of the documents costs a batch one row). A bucket builds the Burrows-Wheeler transform of its distinct cuts, and
-   breadth-first backward extension derives the common prefixes of neighbours in suffix order by increasing value: step l
-   extends every interval of a string of l bytes by each byte before it, and where an extended interval ends a prefix of
-   exactly l is found. It stops at `least`. Neighbours without a shorter common prefix share a window, whose smallest
-   doc_id is that of its interval.
-3. A batch marks what starts in a smaller doc_id and removes it.
-
-Cuts whose minimizer no different cut shares need no transform: all copies of their windows are copies of the cut. Buckets
-work through whole minimizers, up to a bounded number of bytes at a time; a minimizer with more distinct cuts than that
-is split further, into its windows dealt out by their own hash.
+is cut into maximal runs of windows with one minimizer (a cut is about 67 bytes, 18 windows).
+
+1. Documents are dealt into batches of bounded bytes by doc_id. A batch hands out its distinct minimizers, a few bytes each, one
+   row for each bucket (by minimizer) that it has some of; the answer has two bits each: whether two documents have it, and
+   whether it is hot.
+2. A batch hands out its distinct cuts of shared minimizers, each once with the smallest doc_id that has it (so a passage that
+   fills a third of the documents costs a batch one cut), dealt out by minimizer again. Of hot minimizers, those with more cuts
+   than fit a block, it hands out the windows instead, dealt out by their own hash: these don't meet in one task either.
+3. A task goes through its cuts in blocks of whole minimizers. It builds the Burrows-Wheeler transform of a block's distinct cuts;
+   breadth-first backward extension derives the common prefixes of neighbours in suffix order by increasing value: step l extends
+   every interval of a string of l bytes that is still open (has two suffixes or more) by each byte before it, and where an
+   extended interval ends a prefix of exactly l is found. It stops at `least`. Neighbours without a shorter common prefix share a
+   window, whose smallest doc_id is that of its interval. What a smaller doc_id has goes back to the batches.
+4. A batch marks what starts in a smaller doc_id and removes it.
+
+A batch never hands out more rows than it has distinct minimizers, so rows and bytes grow with the documents however many batches
+there are. All cuts of shared minimizers go through the transform. Cuts are made anew in each of the three passes over a batch
+(two seconds for 170 MB), which takes less than storing them would.
 
 Defined cases: a null text is empty; texts shorter than `least` keep all; a null doc_id counts as the largest; rows that share a
-doc_id are documents with equal numbers, none of which removes from another; an empty table gives no rows.
+doc_id are documents with equal numbers, none of which removes from another (and all of them are in one batch); an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -32,15 +36,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.arrow import U, as_bytes, mix
-from siftworks.llm.common import cut, partitions
+from siftworks.llm.arrow import BYTE_MIX, U, as_bytes, mix
+from siftworks.llm.common import partitions
 
-LEAST, KMER = 50, 24
+LEAST, KMER = 50, 16
 BATCH_BYTES = 16 << 20
-BLOCK_SYMBOLS = 1 << 20
+BLOCK_SYMBOLS = 1 << 18
+HOT_CUTS = 4096
 CHUNK = 1 << 17
 LONGEST = 128  # windows in a cut
 NONE = np.iinfo(np.int64).max
+SENT = "bucket int, batch int, keys binary, ids binary, places binary, owners binary, sizes binary, strings binary"
+TOLD = "batch int, ids binary, places binary, counts binary, owners binary"
 
 
 # --- cuts ---------------------------------------------------------------------------------------------------------------
@@ -74,7 +81,7 @@ def pieces(texts: list[bytes], least: int) -> Iterator[tuple[bytes, np.ndarray,
 
 
 def minimizers(raw: bytes, least: int, kmer: int) -> np.ndarray:
-    """For each window of raw the smallest hash of its strings of kmer bytes (24)."""
+    """For each window of raw the smallest hash of its strings of kmer bytes (16 to 24)."""
     n = len(raw)
     padded = np.frombuffer(raw + bytes(8), dtype=np.uint8)
     eight = np.lib.stride_tricks.as_strided(padded, (n, 8), (1, 1)).copy().view(np.uint64).ravel()
@@ -95,9 +102,21 @@ def minimizers(raw: bytes, least: int, kmer: int) -> np.ndarray:
     return x
 
 
-def cuts(texts: list[bytes], least: int, kmer: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all cuts in order: minimizer, number of the text, first byte, number of windows."""
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2^64."""
+    base = 0x9E3779B97F4A7C15
     out = []
+    for x in (base, pow(base, -1, 1 << 64)):
+        full = np.full(n, x, dtype=np.uint64)
+        full[0] = 1
+        out.append(np.multiply.accumulate(full))
+    return out[0], out[1]
+
+
+def cuts(texts: list[bytes], least: int, kmer: int) -> tuple[np.ndarray, ...]:
+    """Of all cuts in order: minimizer, number of the text, first byte, number of windows, and a hash of the bytes."""
+    out = []
+    up = down = np.empty(0, np.uint64)
     for raw, starts, ends, source in pieces(texts, least):
         low = minimizers(raw, least, kmer)
         n = len(low)
@@ -118,98 +137,86 @@ def cuts(texts: list[bytes], least: int, kmer: int) -> tuple[np.ndarray, np.ndar
             at, piece, windows = (np.repeat(x, parts) for x in (at, piece, windows))
             at = at + nth * LONGEST
             windows = np.minimum(windows - nth * LONGEST, LONGEST)
-        out.append((low[at], source[0][piece], at - starts[piece] + source[1][piece], windows))
+        if len(up) <= len(raw):
+            up, down = powers(2 * len(raw) + 1)
+        upto = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum(BYTE_MIX[np.frombuffer(raw, np.uint8)] * up[: len(raw)], out=upto[1:])
+        content = mix((upto[at + windows + least - 1] - upto[at]) * down[at] + windows.astype(np.uint64))
+        out.append((low[at], source[0][piece], at - starts[piece] + source[1][piece], windows, content))
     if not out:
-        return np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(3))
-    low, text, first, windows = (np.concatenate(x) for x in zip(*out, strict=True))
-    return mix(low), text, first, windows
+        return np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(3)), np.empty(0, np.uint64)
+    low, text, first, windows, content = (np.concatenate(x) for x in zip(*out, strict=True))
+    return mix(low), text, first, windows, content
 
 
 class Batch:
-    """The documents of a batch in a fixed order, their cuts, and the distinct minimizers as entries (bucket, key)."""
+    """The documents of a batch in a fixed order, their cuts, and the distinct cuts (contents), numbered by their hash."""
 
-    def __init__(self, table: pa.Table, buckets: int, least: int, kmer: int):
-        self.ids = table.column("doc_id")
-        numbers = self.ids.cast(pa.int64()).fill_null(NONE).to_numpy()
+    def __init__(self, table: pa.Table, bits: int, least: int, kmer: int):
+        ids = table.column("doc_id")
+        numbers = ids.cast(pa.int64()).fill_null(NONE).to_numpy()
         texts = as_bytes(table.column("text"))
         order = sorted(range(len(texts)), key=lambda i: (numbers[i], texts[i]))
-        self.ids, self.numbers, self.texts = self.ids.take(pa.array(order, pa.int64())), numbers[order], [texts[i] for i in order]
-        self.least = least
-        low, self.text, self.first, self.windows = cuts(self.texts, least, kmer)
-        bucket = ((low >> U(32)) * U(buckets)) >> U(32)
-        value = (bucket << U(40)) | (low & U((1 << 39) - 1))
-        self.entries, self.entry = np.unique(value, return_inverse=True)
-        smallest, largest = np.full(len(self.entries), NONE), np.full(len(self.entries), -1)
-        np.minimum.at(smallest, self.entry, self.text)
-        np.maximum.at(largest, self.entry, self.text)
-        self.several = largest > smallest
-
-    def by_bucket(self) -> Iterator[tuple[int, slice]]:
-        bucket = self.entries >> U(40)
-        bounds = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            if b > a:
-                yield int(bucket[a]), slice(a, b)
-
-    def contents(self, wanted: np.ndarray) -> tuple[np.ndarray, list[int], list[int], list[bytes], np.ndarray]:
-        """Of the cuts whose entry is wanted: their numbers, the number of each one's content, and per content: entry, ordinal among those of its entry, bytes; and the smallest document number."""
-        at = np.flatnonzero(wanted[self.entry])
-        known: dict[tuple[int, bytes], int] = {}
-        of_entry: dict[int, int] = {}
-        entries: list[int] = []
-        ordinals: list[int] = []
-        which = np.empty(len(at), dtype=np.int64)
-        tail = self.least - 1
-        texts = self.texts
-        for i, (t, a, w, e) in enumerate(zip(self.text[at].tolist(), self.first[at].tolist(), self.windows[at].tolist(), self.entry[at].tolist(), strict=True)):
-            key = (e, texts[t][a : a + w + tail])
-            k = known.get(key)
-            if k is None:
-                k = known[key] = len(entries)
-                entries.append(e)
-                ordinals.append(nth := of_entry.get(e, 0))
-                of_entry[e] = nth + 1
-            which[i] = k
-        smallest = np.full(len(entries), NONE)
-        np.minimum.at(smallest, which, self.numbers[self.text[at]])
-        return at, which, entries, ordinals, [x for _, x in known], smallest
+        self.ids, self.numbers, self.texts = ids.take(pa.array(order, pa.int64())), numbers[order], [texts[i] for i in order]
+        low, self.text, self.first, self.windows, content = cuts(self.texts, least, kmer)
+        _, self.example, self.content = np.unique(content, return_index=True, return_inverse=True)
+        if (low[self.example][self.content] != low).any():  # one hash of two contents
+            both = np.lexsort((content, low))
+            new = np.append(True, (np.diff(low[both]) != 0) | (np.diff(content[both]) != 0))
+            self.example, self.content = both[new], np.empty(len(low), dtype=np.int64)
+            self.content[both] = np.cumsum(new) - 1
+        #: of each content: the minimizer's leading bits, and the smallest and largest number of a document that has it
+        self.key = (low[self.example] >> U(64 - bits)).astype(np.int64)
+        self.owner, self.other = np.full(len(self.example), NONE), np.full(len(self.example), -1)
+        np.minimum.at(self.owner, self.content, self.numbers[self.text])
+        np.maximum.at(self.other, self.content, self.text)
+        self.lone = np.full(len(self.example), NONE)
+        np.minimum.at(self.lone, self.content, self.text)
+
+    def strings(self, which: np.ndarray, least: int) -> list[bytes]:
+        """The bytes of contents."""
+        at = self.example[which]
+        return [self.texts[t][a : a + w] for t, a, w in zip(self.text[at].tolist(), self.first[at].tolist(), (self.windows[at] + least - 1).tolist(), strict=True)]
 
 
 # --- the transform --------------------------------------------------------------------------------------------------------
 
 
-def suffix_order(symbols: np.ndarray, last: np.ndarray, depth: int) -> np.ndarray:
-    """Positions by the order of what starts there, to depth symbols at least. last: position of the end mark (0) that follows."""
+def suffix_order(symbols: np.ndarray, reach: np.ndarray, depth: int) -> np.ndarray:
+    """Positions by the order of what starts there, to depth symbols at least. reach: symbols up to the end mark (0) that follows,
+    which is unlike any other."""
     n = len(symbols)
     packed = np.zeros(n, dtype=np.int64)
-    open_ = np.ones(n, dtype=bool)
     for k in range(7):
         here = np.zeros(n, dtype=np.int64)
         here[: n - k] = symbols[k:]
-        here[~open_] = 0
+        here[reach < k] = 0
         packed = (packed << 9) | here
-        open_ &= here > 0
-    order = np.argsort(packed, kind="stable")
-    done = 7
-    unique = ~open_  # an end mark is within reach: unlike any other, in order of position
-    while True:
-        new = np.empty(n, dtype=bool)
-        new[0] = True
-        ranked = packed[order]
-        new[1:] = ranked[1:] != ranked[:-1]
-        new |= unique[order]
-        new[1:] |= unique[order][:-1]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(new)
-        if done >= depth or new.all():
-            return order
-        beyond = np.zeros(n, dtype=np.int64)
-        beyond[: n - done] = rank[done:]
-        beyond[last - np.arange(n) < done] = 0
-        packed = rank * (n + 1) + beyond
-        order = np.argsort(packed, kind="stable")
+    order = np.argsort(packed)
+    ranked, done = packed[order], 7
+    new = np.append(True, ranked[1:] != ranked[:-1])
+    ended = reach[order] < done
+    new |= ended
+    new[1:] |= ended[:-1]
+    rank = np.empty(n, dtype=np.int64)  # the first place of its group
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    while done < depth:
+        alone = new & np.append(new[1:], True)
+        places = np.flatnonzero(~alone)  # only groups of two or more are sorted further
+        if not len(places):
+            break
+        at = order[places]
+        packed = rank[at] * (n + 1) + rank[at + done] + 1  # what has not ended has more symbols than these
+        by = np.argsort(packed)
+        at, packed = at[by], packed[by]
+        order[places] = at
         done *= 2
-        unique = last - np.arange(n) < done
+        ended = reach[at] < done
+        fresh = np.append(True, packed[1:] != packed[:-1]) | ended
+        fresh[1:] |= ended[:-1]
+        new[places] |= fresh
+        rank[at] = places[np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))]
+    return order
 
 
 def shared_windows(strings: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -223,92 +230,118 @@ def shared_windows(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nda
     symbols = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.int16) + 1
     symbols[ends - 1] = 0
     whose = np.repeat(np.arange(len(strings)), sizes + 1)
-    last = ends[whose] - 1
-    order = suffix_order(symbols, last, least)
-    n = len(order)
+    n = len(symbols)
+    order = suffix_order(symbols, ends[whose] - 1 - np.arange(n), least)
     before = symbols[order - 1]  # the transform (of position 0 it is the last end mark)
     column = np.argsort(before, kind="stable")  # place in the order -> place of what it extends
     head = before[column]
-    short = np.zeros(n, dtype=bool)  # a common prefix below the step's value has been found
-    short[0] = True
-    found = np.ones(n, dtype=bool)  # step 0: intervals of one byte; end marks are each alone
-    found[1:] = (head[1:] != head[:-1]) | (head[1:] == 0)
-    left = np.flatnonzero(~found)  # places without a value so far
-    short = found
+    short = np.ones(n, dtype=bool)  # a common prefix below the step's value has been found
+    # step 0: intervals of one byte; end marks are each alone
+    short[1:] = (head[1:] != head[:-1]) | (head[1:] == 0)
+    left = np.flatnonzero(~short)  # places without a value so far
+    low, high = column[left - 1], column[left]  # what these and their neighbours extend
+    # places in open intervals, and where a place is among them
+    kept, where = np.arange(n), np.arange(n, dtype=np.int32)
     for _ in range(1, least):
-        interval = np.cumsum(short, dtype=np.int32)  # intervals of strings as long as the step
-        now = interval[column[left]] != interval[column[left - 1]]
+        starting = short[kept]
+        interval = np.cumsum(starting, dtype=np.int32)  # intervals of strings as long as the step
+        now = interval[where[high]] != interval[where[low]]
         if not now.any():
             break  # no interval splits: nor will any later
-        short = short.copy()
+        if len(left) < len(kept) // 4:
+            # an interval of one suffix is closed: what has no value after this step extends others only
+            opened = ~starting
+            opened[:-1] |= ~starting[1:]
+            kept = kept[opened]
+            where[kept] = np.arange(len(kept), dtype=np.int32)
         short[left[now]] = True
-        left = left[~now]
+        left, low, high = left[~now], low[~now], high[~now]
     return whose[order], order - starts[whose[order]], short
 
 
-def smallest_owners(strings: list[bytes], owners: np.ndarray, least: int) -> list[np.ndarray]:
-    """For each window of each string the smallest owner of a string that contains it."""
-    out = [np.full(max(0, len(x) - least + 1), NONE) for x in strings]
+def smallest_owners(strings: list[bytes], owners: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest owner of a string that contains it, for each window of each string in turn; and where each string's begin."""
+    counts = np.array([max(0, len(x) - least + 1) for x in strings], dtype=np.int64)
     whose, place, short = shared_windows(strings, least)
     bounds = np.flatnonzero(short)
     low = np.minimum.reduceat(owners[whose], bounds)
     value = np.repeat(low, np.diff(np.append(bounds, len(short))))
-    counts = np.array([len(x) for x in out], dtype=np.int64)
     first = np.cumsum(counts) - counts
     real = place < counts[whose]
     flat = np.full(counts.sum(), NONE)
     flat[first[whose[real]] + place[real]] = value[real]
-    return [flat[a : a + n] for a, n in zip(first.tolist(), counts.tolist(), strict=True)]
-
-
-def blocks_of(groups: list[list[int]], strings: list[bytes], least: int, most: int) -> Iterator[tuple[list[int], list[bytes] | None]]:
-    """Whole groups of up to `most` bytes together; a larger group as its windows, parted by their hash (None: whole strings)."""
-    held: list[int] = []
-    size = 0
-    for group in groups:
-        own = sum(len(strings[i]) + 1 for i in group)
-        if own > most:
-            yield group, []
-            continue
-        if size + own > most and held:
-            yield held, None
-            held, size = [], 0
-        held += group
-        size += own
-    if held:
-        yield held, None
-
-
-def resolve(groups: list[list[int]], strings: list[bytes], owners: np.ndarray, least: int, most: int = BLOCK_SYMBOLS) -> dict[int, np.ndarray]:
-    """The smallest owners of the windows of strings in groups of two or more different ones."""
-    out: dict[int, np.ndarray] = {}
-    for numbers, split in blocks_of(groups, strings, least, most):
-        if split is None:
-            for i, x in zip(numbers, smallest_owners([strings[i] for i in numbers], owners[numbers], least), strict=True):
-                out[i] = x
-            continue
-        windows = sum(max(0, len(strings[i]) - least + 1) for i in numbers)
-        parts = -(-2 * windows * (least + 1) // most)
-        for i in numbers:
-            out[i] = np.full(max(0, len(strings[i]) - least + 1), NONE)
-        for part in range(parts):
-            known: dict[bytes, int] = {}
-            low: list[int] = []
-            places = []
-            for i in numbers:
-                for at in range(len(out[i])):
-                    w = strings[i][at : at + least]
-                    if int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "big") % parts == part:
-                        k = known.setdefault(w, len(known))
-                        if k == len(low):
-                            low.append(int(owners[i]))
-                        low[k] = min(low[k], int(owners[i]))
-                        places.append((i, at, k))
-            if known:
-                found = smallest_owners(list(known), np.array(low), least)
-                for i, at, k in places:
-                    out[i][at] = found[k][0]
-    return out
+    return flat, np.append(first, len(flat))
+
+
+def blocks(keys: np.ndarray, sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of sorted keys, whole keys each, of up to `most` symbols where a key has no more."""
+    ends = np.append(np.flatnonzero(np.diff(keys)) + 1, len(keys))
+    upto = np.cumsum(sizes + 1)[ends - 1] if len(keys) else ends[:0]
+    begin, k = 0, 0
+    while k < len(ends) and begin < len(keys):
+        base = upto[k - 1] if k else 0
+        j = max(k, int(np.searchsorted(upto, base + most, side="right")) - 1)
+        yield begin, int(ends[j])
+        begin, k = int(ends[j]), j + 1
+
+
+def packed(ascending: np.ndarray) -> bytes:
+    """Ascending numbers by their differences, of four bytes where that is enough."""
+    steps = np.diff(ascending)
+    return ascending[:1].astype("<i8").tobytes() + (steps.astype("<u4") if not len(steps) or steps.max() < 1 << 32 else steps.astype("<i8")).tobytes()
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    steps = np.frombuffer(raw, "<i8" if len(raw) == 8 * n else "<u4", offset=8)
+    return np.cumsum(np.append(np.frombuffer(raw, "<i8", count=1), steps.astype(np.int64)))
+
+
+def by_value(ascending: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each value and where it stands."""
+    bounds = [0, *(np.flatnonzero(np.diff(ascending)) + 1).tolist(), len(ascending)]
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        if b > a:
+            yield int(ascending[a]), slice(a, b)
+
+
+def taken(table: pa.Table, column: str, kind: str) -> np.ndarray:
+    """A column of packed numbers, all rows' together."""
+    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+
+
+def matched(table: pa.Table, least: int, block: int) -> pa.Table:
+    """Rows of SENT, all that have their keys. Rows of TOLD for those of which another document with a smaller number has some."""
+    place, owner, size = taken(table, "places", "<i4"), taken(table, "owners", "<i8"), taken(table, "sizes", "<u4").astype(np.int64)
+    number = taken(table, "ids", "<u4")
+    counts = [len(x) // 4 for x in table.column("ids").to_pylist()]
+    key = np.concatenate([unpacked(x, n) for x, n in zip(table.column("keys").to_pylist(), counts, strict=True)])
+    batch = np.repeat(table.column("batch").to_numpy(), counts)
+    raw = b"".join(table.column("strings").to_pylist())
+    ends = np.cumsum(size)
+    order = np.argsort(key, kind="stable")
+    found: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
+    for a, b in blocks(key[order], size[order], block):
+        at = order[a:b]
+        known: dict[bytes, int] = {}
+        which = np.array([known.setdefault(raw[i:j], len(known)) for i, j in zip((ends[at] - size[at]).tolist(), ends[at].tolist(), strict=True)], dtype=np.int64)
+        owners = np.full(len(known), NONE)
+        np.minimum.at(owners, which, owner[at])
+        flat, bounds = smallest_owners(list(known), owners, least)
+        low, high = np.minimum.reduceat(flat, bounds[:-1]), np.maximum.reduceat(flat, bounds[:-1])
+        tell = low[which] < owner[at]
+        at, which = at[tell], which[tell]
+        # one number where it is that of all windows
+        n = np.where(low == high, 1, np.diff(bounds))[which]
+        found.append((at, n, [flat[i : i + k].tobytes() for i, k in zip(bounds[which].tolist(), n.tolist(), strict=True)]))
+    at, n = (np.concatenate(x) for x in zip(*((x[0], x[1]) for x in found), strict=True))
+    values = [v for x in found for v in x[2]]
+    order = np.argsort(batch[at], kind="stable")
+    rows = []
+    for k, s in by_value(batch[at][order]):
+        own = order[s]
+        rows.append((k, number[at[own]].astype("<u4").tobytes(), place[at[own]].astype("<i4").tobytes(), n[own].astype("<u4").tobytes(), b"".join([values[i] for i in own.tolist()])))
+    columns = list(zip(*rows, strict=True)) or [()] * 5
+    return pa.table({"batch": pa.array(columns[0], pa.int32())} | {c: pa.array(x, pa.binary()) for c, x in zip(("ids", "places", "counts", "owners"), columns[1:], strict=True)})
 
 
 # --- the operator -----------------------------------------------------------------------------------------------------------
@@ -319,154 +352,125 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, kmer: int = KMER, batch_
     if not 16 <= kmer <= 24 or least < kmer:
         raise ValueError("kmer must be from 16 to 24, and least no smaller")
     spark = docs.sparkSession
+    hot_cuts, block = HOT_CUTS, BLOCK_SYMBOLS
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(partitions(spark), -(-total // batch_bytes))
+    # minimizers are told apart by so many bits that one in 100,000 or less is taken for another's
+    bits = min(63, max(32, int(total).bit_length() + 14))
     dealt = texts.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
 
+    def bucket_of(keys: np.ndarray) -> np.ndarray:
+        return (((keys.view(np.uint64) << U(64 - bits)) >> U(32)) * U(n) >> U(32)).astype(np.int32)
+
+    def keys_of(own: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The batch's distinct keys in order; of each, twice the number of cuts and one more if two documents have it; and each content's key."""
+        keys, which, kinds = np.unique(own.key, return_inverse=True, return_counts=True)
+        first, last = np.full(len(keys), NONE), np.full(len(keys), -1)
+        np.minimum.at(first, which, own.lone)
+        np.maximum.at(last, which, own.other)
+        return keys, np.minimum(kinds, 1 << 29) * 2 + (last > first), which
+
     def ask(key: tuple, table: pa.Table) -> pa.Table:
-        own = Batch(table, n, least, kmer)
-        rows = [(bucket, (own.entries[s] & U((1 << 39) - 1)), own.several[s]) for bucket, s in own.by_bucket()]
-        return pa.table(
-            {
-                "bucket": pa.array([r[0] for r in rows], pa.int32()),
-                "batch": pa.array([key[0].as_py()] * len(rows), pa.int32()),
-                "low": pa.array([(r[1] & U(0xFFFFFFFF)).astype("<u4").tobytes() for r in rows], pa.binary()),
-                "high": pa.array([((r[1] >> U(32)).astype(np.uint8) | (r[2].astype(np.uint8) << 7)).tobytes() for r in rows], pa.binary()),
-            }
-        )
+        keys, marks, _ = keys_of(Batch(table, bits, least, kmer))
+        rows = [(k, key[0].as_py(), packed(keys[s]), marks[s].astype("<u4").tobytes()) for k, s in by_value(bucket_of(keys))]
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        return pa.table({"bucket": pa.array(columns[0], pa.int32()), "batch": pa.array(columns[1], pa.int32()), "keys": pa.array(columns[2], pa.binary()), "marks": pa.array(columns[3], pa.binary())})
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
-        lows = [np.frombuffer(x, "<u4") for x in table.column("low").to_pylist()]
-        highs = [np.frombuffer(x, np.uint8) for x in table.column("high").to_pylist()]
-        high = np.concatenate(highs)
-        value = (high.astype(np.uint64) & U(127)) << U(32) | np.concatenate(lows)
-        order = np.argsort(value, kind="stable")
-        same = value[order][1:] == value[order][:-1]
-        often = high >= 128
-        often[order[1:][same]] = True
-        often[order[:-1][same]] = True
-        # an entry that is alone but flagged holds for its own batch; flags of others don't matter as the entry is theirs too
-        bounds = np.cumsum([0, *map(len, lows)])
-        bits = [np.packbits(often[a:b]).tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
-        return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
+        marks = [np.frombuffer(x, "<u4") for x in table.column("marks").to_pylist()]
+        keys = np.concatenate([unpacked(x, len(m)) for x, m in zip(table.column("keys").to_pylist(), marks, strict=True)])
+        bounds, mark = np.cumsum([0, *map(len, marks)]), np.concatenate(marks).astype(np.int64)
+        order = np.argsort(keys)
+        at = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0))
+        size = np.diff(np.append(at, len(keys)))
+        shared, hot = np.empty(len(keys), bool), np.empty(len(keys), bool)
+        shared[order] = np.repeat((size > 1) | (np.add.reduceat(mark[order] & 1, at) > 0), size)
+        hot[order] = np.repeat(np.add.reduceat(mark[order] >> 1, at) > hot_cuts, size)
+        bits_of = lambda x: pa.array([np.packbits(x[a:b]).tobytes() for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary())
+        return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "shared": bits_of(shared), "hot": bits_of(hot)})
 
     def send(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-        own = Batch(table, n, least, kmer)
-        bits = dict(zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist(), strict=True))
-        wanted = np.zeros(len(own.entries), dtype=bool)
-        for bucket, s in own.by_bucket():
-            wanted[s] = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=s.stop - s.start).astype(bool)
-        _, _, entries, ordinals, found, smallest = own.contents(wanted)
-        entry, ordinal = np.array(entries, dtype=np.int64), np.array(ordinals, dtype=np.int64)
-        order = np.argsort(entry, kind="stable")
+        own = Batch(table, bits, least, kmer)
+        keys, _, which = keys_of(own)
+        said = {x["bucket"]: x for x in answers.to_pylist()}
+        shared, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        for k, s in by_value(bucket_of(keys)):
+            for flags, name in ((shared, "shared"), (hot, "hot")):
+                flags[s] = np.unpackbits(np.frombuffer(said[k][name], np.uint8), count=s.stop - s.start)
+        whole, parts = np.flatnonzero((shared & ~hot)[which]), np.flatnonzero((shared & hot)[which])
+        sets = [(bucket_of(own.key[whole]), own.key[whole], whole, np.full(len(whole), -1), own.owner[whole], own.strings(whole, least))]
+        if len(parts):
+            split = [(i, at, x[at : at + least]) for i, x in zip(parts.tolist(), own.strings(parts, least), strict=True) for at in range(len(x) - least + 1)]
+            numbers, places, strings = zip(*split, strict=True)
+            numbers = np.array(numbers)
+            names = np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in strings]), "<u8") >> U(64 - bits)
+            # keys below 0, so that no minimizer's are taken for them
+            sets.append((bucket_of(names.astype(np.int64)), -1 - names.astype(np.int64), numbers, np.array(places), own.owner[numbers], list(strings)))
         rows: list[tuple] = []
-        bucket = (own.entries[entry[order]] >> U(40)).astype(np.int64) if len(order) else np.empty(0, np.int64)
-        bounds = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            if b > a:
-                at = order[a:b]
-                strings = [found[i] for i in at.tolist()]
-                rows.append((int(bucket[a]), (own.entries[entry[at]] & U((1 << 39) - 1)).tobytes(), entry[at].astype(np.uint32).tobytes(), ordinal[at].astype(np.uint32).tobytes(), np.array([len(x) for x in strings], np.uint16).tobytes(), smallest[at].tobytes(), b"".join(strings)))
-        columns = list(zip(*rows, strict=True)) or [()] * 7
-        out = {"bucket": pa.array(columns[0], pa.int32()), "batch": pa.array([key[0].as_py()] * len(rows), pa.int32())}
-        return pa.table(out | {name: pa.array(x, pa.binary()) for name, x in zip(("keys", "entries", "ordinals", "sizes", "owners", "strings"), columns[1:], strict=True)})
+        for buckets, keys, numbers, places, owners, strings in sets:
+            order = np.lexsort((keys, buckets))
+            for k, s in by_value(buckets[order]):
+                at = order[s]
+                mine = [strings[i] for i in at.tolist()]
+                rows.append((k, key[0].as_py(), packed(keys[at]), numbers[at].astype("<u4").tobytes(), places[at].astype("<i4").tobytes(), owners[at].astype("<i8").tobytes(), np.array([len(x) for x in mine], "<u4").tobytes(), b"".join(mine)))
+        columns = list(zip(*rows, strict=True)) or [()] * 8
+        names = [x.split()[0] for x in SENT.split(", ")]
+        return pa.table({c: pa.array(x, pa.int32() if c in ("bucket", "batch") else pa.binary()) for c, x in zip(names, columns, strict=True)})
 
     def match(key: tuple, table: pa.Table) -> pa.Table:
-        known: dict[tuple[int, bytes], int] = {}
-        owners: list[int] = []
-        mine = []
-        for keys, sizes, low, blob in zip(*(table.column(c).to_pylist() for c in ("keys", "sizes", "owners", "strings")), strict=True):
-            numbers = []
-            at = 0
-            for k, size, owner in zip(np.frombuffer(keys, np.uint64).tolist(), np.frombuffer(sizes, np.uint16).tolist(), np.frombuffer(low, np.int64).tolist(), strict=True):
-                pair = (k, blob[at : at + size])
-                at += size
-                i = known.get(pair)
-                if i is None:
-                    i = known[pair] = len(owners)
-                    owners.append(owner)
-                elif owner < owners[i]:
-                    owners[i] = owner
-                numbers.append(i)
-            mine.append(numbers)
-        by_key: dict[int, list[int]] = {}
-        strings = []
-        for i, (k, x) in enumerate(known):
-            strings.append(x)
-            by_key.setdefault(k, []).append(i)
-        smallest = np.array(owners, dtype=np.int64)
-        exact = resolve([g for g in by_key.values() if len(g) > 1], strings, smallest, least)
-        out: dict[str, list] = {"batch": [], "entries": [], "ordinals": [], "counts": [], "values": []}
-        for batch, numbers, entries, ordinals, low in zip(table.column("batch").to_pylist(), mine, *(table.column(c).to_pylist() for c in ("entries", "ordinals", "owners")), strict=True):
-            local = np.frombuffer(low, np.int64)
-            told, values = [], []
-            for j, i in enumerate(numbers):
-                x = exact.get(i)
-                if x is None:
-                    if owners[i] < local[j]:
-                        told.append((j, 1))
-                        values.append(smallest[i : i + 1])
-                elif (x < local[j]).any():
-                    told.append((j, len(x)))
-                    values.append(x)
-            if told:
-                at, counts = (np.array(x) for x in zip(*told, strict=True))
-                out["batch"].append(batch)
-                out["entries"].append(np.frombuffer(entries, np.uint32)[at].tobytes())
-                out["ordinals"].append(np.frombuffer(ordinals, np.uint32)[at].tobytes())
-                out["counts"].append(counts.astype(np.uint16).tobytes())
-                out["values"].append(np.concatenate(values).tobytes())
-        return pa.table({"batch": pa.array(out["batch"], pa.int32())} | {c: pa.array(out[c], pa.binary()) for c in ("entries", "ordinals", "counts", "values")})
+        return matched(table, least, block)
 
     def strip(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-        own = Batch(table, n, least, kmer)
-        told: dict[tuple[int, int], np.ndarray] = {}
-        wanted = own.several.copy()
-        for entries, ordinals, counts, values in zip(*(answers.column(c).to_pylist() for c in ("entries", "ordinals", "counts", "values")), strict=True):
-            value, at = np.frombuffer(values, np.int64), 0
-            entries = np.frombuffer(entries, np.uint32)
-            wanted[entries] = True
-            for e, o, c in zip(entries.tolist(), np.frombuffer(ordinals, np.uint32).tolist(), np.frombuffer(counts, np.uint16).tolist(), strict=True):
-                told[e, o] = value[at : at + c]
-                at += c
-        at, which, entries, ordinals, _, smallest = own.contents(wanted)
-        covered = [None] * len(own.texts)
-        # as said of the content, or else the smallest of the batch
-        known = [told.get(x) for x in zip(entries, ordinals, strict=True)]
-        for t, a, w, k in zip(own.text[at].tolist(), own.first[at].tolist(), own.windows[at].tolist(), which.tolist(), strict=True):
-            x = known[k]
-            me = own.numbers[t]
-            if x is None or len(x) == 1:
-                if (smallest[k] if x is None else x[0]) < me:
-                    if covered[t] is None:
-                        covered[t] = np.zeros(len(own.texts[t]) + 1, dtype=np.int32)
-                    covered[t][a] += 1
-                    covered[t][a + w + least - 1] -= 1
+        own = Batch(table, bits, least, kmer)
+        # of each content the smallest owner of all its windows where that is one, else its windows' in `each`
+        value = own.owner.copy()
+        each: dict[int, np.ndarray] = {}
+        number, place, count = taken(answers, "ids", "<u4"), taken(answers, "places", "<i4"), taken(answers, "counts", "<u4").astype(np.int64)
+        owners, ends = taken(answers, "owners", "<i8"), np.cumsum(count)
+        one = (place < 0) & (count == 1)
+        value[number[one]] = owners[ends[one] - 1]
+        for k in np.flatnonzero(~one).tolist():
+            i = int(number[k])
+            if place[k] < 0:
+                each[i] = owners[ends[k] - count[k] : ends[k]]
             else:
-                hit = np.flatnonzero(x < me)
-                if len(hit):
-                    if covered[t] is None:
-                        covered[t] = np.zeros(len(own.texts[t]) + 1, dtype=np.int32)
-                    np.add.at(covered[t], a + hit, 1)
-                    np.add.at(covered[t], a + hit + least, -1)
+                if i not in each:
+                    each[i] = np.full(int(own.windows[own.example[i]]), own.owner[i])
+                each[i][place[k]] = owners[ends[k] - 1]
+        sizes = np.array([len(x) + 1 for x in own.texts], dtype=np.int64)
+        base = np.cumsum(sizes) - sizes
+        diff = np.zeros(int(sizes.sum()) + 1, dtype=np.int32)
+        me = own.numbers[own.text]
+        parted = np.zeros(len(own.example), dtype=bool)
+        parted[list(each)] = True
+        parted = parted[own.content]
+        begin = base[own.text] + own.first
+        gone = np.flatnonzero(~parted & (value[own.content] < me))
+        np.add.at(diff, begin[gone], 1)
+        np.add.at(diff, begin[gone] + own.windows[gone] + least - 1, -1)
+        for c in np.flatnonzero(parted).tolist():
+            hit = begin[c] + np.flatnonzero(each[int(own.content[c])] < me[c])
+            np.add.at(diff, hit, 1)
+            np.add.at(diff, hit + least, -1)
+        covered = np.cumsum(diff, dtype=np.int32) > 0
         out = []
-        for text, diff in zip(own.texts, covered, strict=True):
-            if diff is None:
+        for text, a in zip(own.texts, base.tolist(), strict=True):
+            lost = covered[a : a + len(text)]
+            if not lost.any():
                 out.append((len(text), 0, 0, hashlib.sha256(text).hexdigest(), text, []))
                 continue
-            gone = np.cumsum(diff[:-1]) > 0
-            edges = np.flatnonzero(np.diff(gone.view(np.int8), prepend=np.int8(0), append=np.int8(0))).reshape(-1, 2)
-            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            out.append((len(text), int(gone.sum()), len(edges), hashlib.sha256(kept).hexdigest(), kept, [{"start": a, "end": b} for a, b in edges.tolist()]))
+            edges = np.flatnonzero(np.diff(lost.view(np.int8), prepend=np.int8(0), append=np.int8(0))).reshape(-1, 2)
+            kept = np.frombuffer(text, np.uint8)[~lost].tobytes()
+            out.append((len(text), int(lost.sum()), len(edges), hashlib.sha256(kept).hexdigest(), kept, [{"start": x, "end": y} for x, y in edges.tolist()]))
         columns = list(zip(*out, strict=True))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
         names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"]
         return pa.table({"doc_id": own.ids} | {c: pa.array(x, t) for c, x, t in zip(names, columns, types, strict=True)})
 
     by_batch = dealt.groupBy("batch")
-    asked = by_batch.applyInArrow(ask, "bucket int, batch int, low binary, high binary")
-    answered = asked.groupBy("bucket").applyInArrow(answer, "batch int, bucket int, bits binary")
-    sent = by_batch.cogroup(answered.groupBy("batch")).applyInArrow(send, "bucket int, batch int, keys binary, entries binary, ordinals binary, sizes binary, owners binary, strings binary")
-    matched = sent.groupBy("bucket").applyInArrow(match, "batch int, entries binary, ordinals binary, counts binary, values binary")
-    return by_batch.cogroup(matched.groupBy("batch")).applyInArrow(strip, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<struct<start: bigint, end: bigint>>")
+    asked = by_batch.applyInArrow(ask, "bucket int, batch int, keys binary, marks binary")
+    answered = asked.groupBy("bucket").applyInArrow(answer, "batch int, bucket int, shared binary, hot binary")
+    sent = by_batch.cogroup(answered.groupBy("batch")).applyInArrow(send, SENT)
+    told = sent.groupBy("bucket").applyInArrow(match, TOLD)
+    return by_batch.cogroup(told.groupBy("batch")).applyInArrow(strip, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<struct<start: bigint, end: bigint>>")
