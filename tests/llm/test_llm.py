@@ -77,8 +77,11 @@ def without_repeats(rows, least=50):
     return out
 
 
-@pytest.mark.parametrize("kmer", [16, 24])
-def test_repeats(spark, docs, kmer):
+@pytest.mark.parametrize(("kmer", "hot", "block"), [(16, repeats.HOT_CUTS, repeats.BLOCK_SYMBOLS), (24, 2, 500)])
+def test_repeats(spark, docs, monkeypatch, kmer, hot, block):
+    """With minimizers that are dealt out by windows and small blocks, too."""
+    monkeypatch.setattr(repeats, "HOT_CUTS", hot)
+    monkeypatch.setattr(repeats, "BLOCK_SYMBOLS", block)
     got = {r[0]: tuple(r)[1:5] for r in repeats.remove_repeats(odd(docs), kmer=kmer).collect()}
     assert got == without_repeats([(r[0], r[1]) for r in ROWS])
     assert sum(x[1] for x in got.values()) > 1000
@@ -99,18 +102,42 @@ def test_kept_bytes_and_spans_round_trip(spark, docs):
         assert len(r["kept"]) + r["n_removed"] == len(text)
 
 
-def test_backward_extension_and_overfull_groups():
-    strings = [prose(30).encode()[:120] for _ in range(6)]
-    strings += [strings[0][10:90], strings[1][:70] + strings[2][:70], b"ab" * 60, b"ba" * 50, strings[3] + b"z"]
+@pytest.mark.parametrize("n", [6, 60, 400])
+def test_backward_extension(n):
+    """The smallest owner of each window, from windows counted one by one; strings alike in part, in all, and within themselves."""
+    strings = [prose(30).encode()[:120] for _ in range(n)]
+    strings += [strings[0][10:90], strings[1][:70] + strings[2][:70], b"ab" * 60, b"ba" * 50, strings[3] + b"z", b"short", b"", b"x" * 177, b"x" * 50]
+    strings += [s[:40] + prose(3).encode() + s[40:] for s in strings[:: max(1, n // 9)]]
     owners = np.array([rng.randrange(100) for _ in strings])
     low = defaultdict(lambda: 10**9)
     for s, o in zip(strings, owners.tolist(), strict=True):
         for a in range(len(s) - 49):
             low[s[a : a + 50]] = min(low[s[a : a + 50]], o)
-    want = [[low[s[a : a + 50]] for a in range(len(s) - 49)] for s in strings]
-    assert [x.tolist() for x in repeats.smallest_owners(strings, owners, 50)] == want
-    split = repeats.resolve([list(range(len(strings)))], strings, owners, 50, most=500)
-    assert [split[i].tolist() for i in range(len(strings))] == want
+    flat, bounds = repeats.smallest_owners(strings, owners, 50)
+    assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [[low[s[a : a + 50]] for a in range(len(s) - 49)] for s in strings]
+
+
+def test_suffix_order():
+    strings = [prose(8).encode() for _ in range(50)] + [b"aaaaaaaaaa" * 4, b"aaaaaaaaaa" * 3]
+    strings += strings[:9]
+    symbols = np.concatenate([np.array([*(c + 1 for c in s), 0]) for s in strings])
+    ends = np.cumsum([len(s) + 1 for s in strings])
+    reach = np.concatenate([np.arange(len(s), -1, -1) for s in strings])
+    texts = [s[a:] for s in strings for a in range(len(s) + 1)]
+    order = repeats.suffix_order(symbols, reach, 10**6).tolist()
+    assert sorted(order) == list(range(len(symbols))) and ends[-1] == len(symbols)
+    got = [texts[i] for i in order]
+    assert got == sorted(texts)
+
+
+def test_blocks_hold_whole_keys():
+    keys = np.sort(np.array([rng.randrange(20) for _ in range(200)]))
+    sizes = np.array([rng.randrange(1, 50) for _ in range(200)])
+    found = list(repeats.blocks(keys, sizes, 300))
+    assert found[0][0] == 0 and found[-1][1] == 200 and all(a[1] == b[0] for a, b in zip(found, found[1:], strict=False))
+    for a, b in found:
+        assert (a == 0 or keys[a] != keys[a - 1]) and (sizes[a:b].sum() + b - a <= 300 or len(set(keys[a:b].tolist())) == 1)
+    assert list(repeats.blocks(keys[:0], sizes[:0], 300)) == []
 
 
 # --- 2 --------------------------------------------------------------------------------------------------------------------
