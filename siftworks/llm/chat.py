@@ -1,13 +1,16 @@
 """Chat formatting: tool calls linked with their results (DataFrame operations only).
 
 Calls and results are joined by conversation and identifier with a hash join. Calls are put in topological order of what they
-say they come after: where every call stands behind what it waits for, the order of positions is such an order and its round is
-0; the others are peeled in rounds (those that wait for nothing that is left come first), and what waits for itself in a
-circle is marked cyclic. Arguments are validated against the tool's schema, and each call is serialised with its result as
-canonical JSON: keys sorted, no blanks, numbers and strings as they parse.
+say they come after: a call's rank is how many waits for something that doesn't stand before it
+lie on the way of waits to it (of several ways, the most). So rank, turn and place are an order in which each call comes after
+what it waits for, and where all stand in order already their ranks are 0. What waits for itself in a circle, at once or by others, is marked cyclic. Ranks grow along waits until none grows any
+more; besides the waits each call holds one way far back that doubles in length each round, so a chain of n calls takes about
+log n rounds. Arguments are validated against the tool's schema, and each call is serialised with its result as canonical JSON:
+keys sorted, no blanks, numbers and strings as they parse.
 
-Nothing is gathered per conversation: the order is given by columns (rank, turn, place), so a conversation that holds a third of
-all rows doesn't meet in one task, and an identifier that repeats is reduced to its first result before the join.
+Nothing is gathered per conversation: the order is given by columns (rank, turn, place), and joins are per call, but for the one
+that leaves out conversations in order, in which frequent conversations are broadcast. So a conversation that holds a third of
+all rows doesn't meet in one task. An identifier that repeats is reduced to its first result before the join.
 
 Defined cases: of calls that repeat an identifier each is kept and linked to the same result; of results that repeat one the
 first by turn, place and content counts; results without a call are given as orphans; calls without a result as unanswered;
@@ -20,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import cut
+from siftworks.llm.common import forget, join_groups, settle
 
 # A tool's schema: field -> (type, required). Types as in JSON Schema.
 Schemas = dict[str, dict[str, tuple[str, bool]]]
@@ -41,30 +44,56 @@ def faults(name: Column, arguments: Column, schemas: Schemas) -> Column:
     return F.when(arguments.isNull(), F.lit("not JSON")).when(name.isNull(), F.lit("unknown tool")).otherwise(out)
 
 
-def rounds(calls: DataFrame) -> DataFrame:
-    """calls: conv_id, call_id, turn, place, after (array of call ids). Per call that doesn't stand behind all it waits for, and
-    per other call of its conversation: conv_id, call_id, rank (from 1; null if cyclic)."""
-    waits = calls.select("conv_id", "call_id", "turn", "place", F.explode("after").alias("need")).where("need is not null")
-    there = calls.where("call_id is not null").groupBy("conv_id", F.col("call_id").alias("need")).agg(F.min(F.struct("turn", "place")).alias("at"))
-    edges = waits.join(there, ["conv_id", "need"])
-    wrong = cut(edges.where(~(F.col("at") < F.struct("turn", "place"))).select("conv_id").distinct())
-    if wrong.isEmpty():
-        return calls.select("conv_id", "call_id").limit(0).withColumn("rank", F.lit(0).cast("bigint"))
-    left = cut(edges.join(wrong, "conv_id", "left_semi").select("conv_id", "call_id", "need").distinct())
-    nodes = calls.join(wrong, "conv_id", "left_semi").where("call_id is not null").select("conv_id", "call_id").distinct()
-    waiting = left.select("conv_id", "call_id").distinct()
-    done = nodes.join(waiting, ["conv_id", "call_id"], "left_anti").withColumn("rank", F.lit(1).cast("bigint"))
-    ranked, k = cut(done), 1
-    last = ranked
-    while not last.isEmpty():
-        k += 1
-        gone = last.select("conv_id", F.col("call_id").alias("need"))
-        still = cut(left.join(gone, ["conv_id", "need"], "left_anti"))
-        now = left.select("conv_id", "call_id").distinct().join(still.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
-        last = cut(now.withColumn("rank", F.lit(k).cast("bigint")))
-        ranked = cut(ranked.unionByName(last)) if k % 16 == 0 else ranked.unionByName(last)
-        left = still
-    return nodes.join(ranked, ["conv_id", "call_id"], "left")
+def waits(calls: DataFrame) -> DataFrame:
+    """calls: conv_id, call_id, turn, place, after (array of call ids). Per call and other call that it waits for: conv_id, call_id,
+    need, and back: 1 if what it waits for doesn't stand before it, else 0."""
+    place = F.struct("turn", "place")
+    named = calls.where("call_id is not null").select("conv_id", "call_id", place.alias("own"), "after")
+    there = named.groupBy("conv_id", F.col("call_id").alias("need")).agg(F.min("own").alias("there"))
+    each = named.select("conv_id", "call_id", "own", F.explode("after").alias("need")).where("need is not null").join(there, ["conv_id", "need"])
+    return each.groupBy("conv_id", "call_id", "need").agg(F.max(F.when(F.col("there") < F.col("own"), 0).otherwise(1).cast("bigint")).alias("back"))
+
+
+def ranks(calls: DataFrame) -> DataFrame | None:
+    """conv_id, call_id, rank and cyclic of the calls that wait for something in a conversation that doesn't stand in order; None
+    where all do."""
+    every, path = settle(waits(calls), "waits")
+    # conversations in which something waits for what doesn't stand before it, and how often: only circles lead beyond that number
+    most = every.groupBy("conv_id").agg(F.sum("back").alias("most"), F.count(F.lit(1)).alias("edges")).where("most > 0")
+    most = settle(most, "waits")[0]
+    if most.isEmpty():
+        return None
+    # all ranks in others are 0
+    edges = settle(join_groups(every, most, "conv_id", "edges").drop("edges"), "waits")[0]
+    forget(calls.sparkSession, path)
+    keys = ["conv_id", "call_id"]
+    # far: a call further back, and over: how much the rank grows on the way from it
+    far = F.max(F.struct("back", "need")).alias("f")
+    state = edges.groupBy(*keys).agg(far, F.max("most").alias("most")).select(*keys, "most", F.lit(0).cast("bigint").alias("rank"), F.col("f.need").alias("far"), F.col("f.back").alias("over"))
+    state, path = settle(state, "ranks")
+    while True:
+        of_need = state.select("conv_id", F.col("call_id").alias("need"), F.col("rank").alias("r"))
+        steps = edges.join(of_need, ["conv_id", "need"], "left").groupBy(*keys).agg(F.max(F.struct((F.coalesce("r", F.lit(0)) + F.col("back")).alias("r"), "need", "back")).alias("step"))
+        of_far = state.select("conv_id", F.col("call_id").alias("far"), F.col("rank").alias("far_rank"), F.col("far").alias("farther"), F.col("over").alias("more"))
+        both = state.join(steps, keys).join(of_far, ["conv_id", "far"], "left")
+        known = F.greatest("rank", F.coalesce("far_rank", F.lit(0)) + F.col("over"))
+        grown = F.least(F.greatest(known, F.col("step.r")), F.col("most") + 1)
+        turned = F.col("step.r") > known  # a step leads to more than the way held: go on from there
+        old, (state, path) = path, settle(
+            both.select(
+                *keys,
+                "most",
+                grown.alias("rank"),
+                F.when(turned, F.col("step.need")).otherwise(F.coalesce("farther", "far")).alias("far"),
+                F.when(turned, F.col("step.back")).otherwise(F.least(F.col("over") + F.coalesce("more", F.lit(0)), F.col("most") + 1)).alias("over"),
+                (grown > F.col("rank")).alias("grew"),
+            ),
+            "ranks",
+        )
+        forget(calls.sparkSession, old)
+        if state.where("grew").isEmpty():
+            cyclic = F.col("rank") > F.col("most")
+            return state.select(*keys, F.when(cyclic, 0).otherwise(F.col("rank")).alias("rank"), cyclic.alias("cyclic"))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
@@ -72,12 +101,15 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
 
     Returns conv_id, call_id, rank, turn, place, status (linked, unanswered, orphan), valid, faults, cyclic, json.
     """
+    calls = calls.select("conv_id", "turn", "place", "call_id", "name", "arguments", "after")
     parsed = calls.withColumn("parsed", F.try_parse_json(F.col("arguments")))
     first = results.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "place", "content")).alias("r"))
     joined = parsed.join(first.hint("shuffle_hash"), ["conv_id", "call_id"], "left")
-    order = rounds(calls)
-    wrong = order.select("conv_id").distinct().withColumn("peeled", F.lit(True))
-    joined = joined.join(order, ["conv_id", "call_id"], "left").join(wrong, "conv_id", "left")
+    order = ranks(calls)
+    if order is None:
+        joined = joined.withColumns({"rank": F.lit(0), "cyclic": F.lit(False)})
+    else:
+        joined = joined.join(order, ["conv_id", "call_id"], "left")
     fault = faults(F.col("name"), F.col("parsed"), schemas)
     body = F.to_json(
         F.struct(
@@ -97,7 +129,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
         F.when(F.col("r").isNull(), "unanswered").otherwise("linked").alias("status"),
         (fault == "").alias("valid"),
         fault.alias("faults"),
-        (F.coalesce("peeled", F.lit(False)) & F.col("rank").isNull() & F.col("call_id").isNotNull()).alias("cyclic"),
+        F.coalesce("cyclic", F.lit(False)).alias("cyclic"),
         body.alias("json"),
     )
     known = calls.where("call_id is not null").select("conv_id", "call_id").distinct()
@@ -107,14 +139,17 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
 
 
 def from_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A table of turns as calls and results: each user turn asks the tool `reply` (its identifier is its turn number), the
-    assistant's turn after it is the result, and a call comes after the call of two turns before. Turns of any other role (304
-    system turns of 5012 turns in sf0.1; tool or null roles) are neither and are left out."""
-    turns = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.lit(0).alias("place"), F.lower("role").alias("role"), "text")
+    """A table of turns as calls and results, each turn as one of them. Its identifier is its number.
+
+    A user's turn asks the tool `reply`; a turn of the assistant (or of a tool) is the result of the turn before it; a turn of any
+    other role (system, null) asks the tool `instruct`. Calls come after those of the two turns before."""
+    turns = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.lit(0).alias("place"), F.coalesce(F.lower("role"), F.lit("")).alias("role"), "text")
     arguments = F.to_json(F.struct(F.octet_length(F.coalesce("text", F.lit(""))).alias("n_bytes"), F.col("text").alias("prompt")), {"ignoreNullFields": "false"})
-    calls = turns.where("role = 'user'").select("conv_id", "turn", "place", F.col("turn").cast("string").alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"), F.array((F.col("turn") - 2).cast("string")).alias("after"))
-    results = turns.where("role = 'assistant'").select("conv_id", "turn", "place", (F.col("turn") - 1).cast("string").alias("call_id"), F.col("text").alias("content"))
+    after = F.array((F.col("turn") - 2).cast("string"), (F.col("turn") - 1).cast("string"))
+    name = F.when(F.col("role") == "user", "reply").otherwise("instruct")
+    calls = turns.where("role not in ('assistant', 'tool')").select("conv_id", "turn", "place", F.col("turn").cast("string").alias("call_id"), name.alias("name"), arguments.alias("arguments"), after.alias("after"))
+    results = turns.where("role in ('assistant', 'tool')").select("conv_id", "turn", "place", (F.col("turn") - 1).cast("string").alias("call_id"), F.col("text").alias("content"))
     return calls, results
 
 
-REPLY: Schemas = {"reply": {"prompt": ("string", True), "n_bytes": ("integer", True)}}
+TURNS: Schemas = {tool: {"prompt": ("string", True), "n_bytes": ("integer", True)} for tool in ("reply", "instruct")}

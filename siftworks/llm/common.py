@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,12 @@ def settle(df: DataFrame, what: str = "step") -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def listed(spark: SparkSession, rows: list[tuple], columns: dict[str, pa.DataType]) -> DataFrame:
+    """A few rows of the driver's as a table. By way of Arrow no Python worker has to pass them on."""
+    values = list(zip(*rows, strict=True)) or [()] * len(columns)
+    return spark.createDataFrame(pa.table({name: pa.array(x, kind) for (name, kind), x in zip(columns.items(), values, strict=True)}))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
