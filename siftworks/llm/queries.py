@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = chat.from_turns(table(spark, sf_dir, "conversations"))
-    return chat.link(calls, results, chat.REPLY)
+    where = {"conv_id": pa.int64(), "turn": pa.int64(), "place": pa.int32(), "call_id": pa.string()}
+    more = listed(spark, [x[:7] for x in CALLS], where | {"name": pa.string(), "arguments": pa.string(), "after": pa.list_(pa.string())})
+    other = listed(spark, RESULTS, where | {"content": pa.string()})
+    return chat.link(calls.unionByName(more), results.unionByName(other), chat.TURNS | TOOLS)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,8 +58,6 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
 # The tables' conversations stand in order and call no tools: these rows, besides them, don't and do. Of each call: conv_id, turn, place,
 # call_id, name, arguments, after; and for the SQL its arguments in canonical form and what is wrong with them.
 TOOLS: chat.Schemas = {"find": {"q": ("string", True), "top": ("integer", False), "in": ("array", False)}}
@@ -81,6 +83,8 @@ CALLS: list[tuple] = [
 ]
 RESULTS: list[tuple] = [(-1, 9, 1, "a", "second"), (-1, 9, 0, "a", "first"), (-1, 9, 2, "lost", "?"), (-2, 0, 0, "a", "another's"), (-3, 9, 0, "twice", "both"), (-3, 9, 0, None, "none"), (-1, 5, 0, "c", None)]
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
     for f in (
         op1_suffix_array_dedup,
         op2_simhash_near_dedup,
@@ -113,21 +117,39 @@ SELECT t.doc_id, (length(t.h) // 2)::BIGINT AS n_bytes, coalesce(g.n_removed, 0)
 FROM t LEFT JOIN gone g USING (doc_id)
 """
 
-CHAT = """
-WITH t AS (SELECT conv_id, turn, lower(role) AS role, text FROM conversations),
-c AS (SELECT conv_id, turn, turn::VARCHAR AS call_id, text FROM t WHERE role = 'user'),
-r AS (SELECT conv_id, (turn - 1)::VARCHAR AS call_id, turn, text FROM t WHERE role = 'assistant'),
-first AS (SELECT conv_id, call_id, min({'turn': turn, 'text': text}) AS r FROM r GROUP BY ALL)
-SELECT c.conv_id, c.call_id, 0::BIGINT AS rank, c.turn, 0 AS place,
-  CASE WHEN first.r IS NULL THEN 'unanswered' ELSE 'linked' END AS status, c.text IS NOT NULL AS valid,
-  CASE WHEN c.text IS NULL THEN 'prompt is not string' ELSE '' END AS faults, false AS cyclic,
-  json_object('arguments', json_object('n_bytes', strlen(coalesce(c.text, '')), 'prompt', c.text), 'id', c.call_id, 'name', 'reply', 'result', first.r.text)::VARCHAR AS json
-FROM c LEFT JOIN first USING (conv_id, call_id)
+def chat_sql() -> str:
+    def quoted(x) -> str:
+        if isinstance(x, list):
+            return "[" + ", ".join(map(quoted, x)) + "]::VARCHAR[]"
+        return "NULL" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+
+    calls = ", ".join("(" + ", ".join(quoted(v) for k, v in enumerate(x) if k != 5) + ")" for x in CALLS)
+    results = ", ".join("(" + ", ".join(map(quoted, x)) + ")" for x in RESULTS)
+    return f"""
+WITH RECURSIVE t AS (SELECT conv_id, turn, coalesce(lower(role), '') AS role, text FROM conversations),
+c AS (SELECT conv_id, turn, 0 AS place, turn::VARCHAR AS call_id, CASE WHEN role = 'user' THEN 'reply' ELSE 'instruct' END AS name, [(turn - 2)::VARCHAR, (turn - 1)::VARCHAR] AS after,
+    json_object('n_bytes', strlen(coalesce(text, '')), 'prompt', text) AS arguments, CASE WHEN text IS NULL THEN 'prompt is not string' ELSE '' END AS faults FROM t WHERE role NOT IN ('assistant', 'tool')
+  UNION ALL SELECT conv_id, turn, place, call_id, name, after, arguments::JSON, faults FROM (VALUES {calls}) AS v(conv_id, turn, place, call_id, name, after, arguments, faults)),
+r AS (SELECT conv_id, turn, 0 AS place, (turn - 1)::VARCHAR AS call_id, text FROM t WHERE role IN ('assistant', 'tool')
+  UNION ALL SELECT * FROM (VALUES {results}) AS v(conv_id, turn, place, call_id, text)),
+first AS (SELECT conv_id, call_id, min({{'turn': turn, 'place': place, 'text': text}}) AS r FROM r WHERE call_id IS NOT NULL GROUP BY ALL),
+there AS (SELECT conv_id, call_id AS need, min({{'t': turn, 'p': place}}) AS there FROM c WHERE call_id IS NOT NULL GROUP BY ALL),
+e AS (SELECT conv_id, call_id, need, max(CASE WHEN there < {{'t': turn, 'p': place}} THEN 0 ELSE 1 END) AS back
+  FROM (SELECT conv_id, call_id, turn, place, unnest(after) AS need FROM c WHERE call_id IS NOT NULL) JOIN there USING (conv_id, need) GROUP BY ALL),
+most AS (SELECT conv_id, sum(back) AS most FROM e GROUP BY ALL),
+way AS (SELECT conv_id, call_id, 1::HUGEINT AS rank FROM e WHERE back = 1
+  UNION SELECT e.conv_id, e.call_id, least(way.rank + e.back, most + 1) FROM way JOIN e ON e.conv_id = way.conv_id AND e.need = way.call_id JOIN most ON most.conv_id = e.conv_id),
+k AS (SELECT conv_id, call_id, max(rank) AS rank FROM way GROUP BY ALL)
+SELECT c.conv_id, c.call_id, CASE WHEN k.rank > most THEN 0 ELSE coalesce(k.rank, 0) END::BIGINT AS rank, c.turn, c.place::INT AS place,
+  CASE WHEN first.r IS NULL THEN 'unanswered' ELSE 'linked' END AS status, c.faults = '' AS valid, c.faults, coalesce(k.rank > most, false) AS cyclic,
+  json_object('arguments', c.arguments, 'id', c.call_id, 'name', c.name, 'result', first.r.text)::VARCHAR AS json
+FROM c LEFT JOIN first USING (conv_id, call_id) LEFT JOIN k USING (conv_id, call_id) LEFT JOIN most USING (conv_id)
 UNION ALL
-SELECT r.conv_id, r.call_id, 0, r.turn, 0, 'orphan', false, 'no call', false, json_object('id', r.call_id, 'result', r.text)::VARCHAR
+SELECT r.conv_id, r.call_id, 0, r.turn, r.place, 'orphan', false, 'no call', false, json_object('id', r.call_id, 'result', r.text)::VARCHAR
 FROM r ANTI JOIN c USING (conv_id, call_id)
 """
 
+
 EXACT = """
 WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents),
 g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY h)
@@ -143,6 +165,7 @@ def licence_sql(templates: dict[str, str], threshold: float, documents: str = "d
     grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
     return f"""
 WITH templates(licence, body) AS (VALUES {rows}),
+anchors(licence, gram, place, n, longer) AS (VALUES {anchors}),
 tw AS (SELECT licence, {plain.format("body")} AS w FROM templates),
 tg AS (SELECT licence, {grams} AS g FROM tw),
 d AS (SELECT doc_id, {plain.format("coalesce(text, '')")} AS w FROM {documents}),
@@ -167,7 +190,6 @@ SELECT page_id, n AS payload_bytes,
   list_aggregate(list_transform(v, lambda y: substr(A, (y // 32768) + 1, 1) || substr(A, (y // 1024) % 32 + 1, 1) || substr(A, (y // 32) % 32 + 1, 1) || substr(A, y % 32 + 1, 1)), 'string_agg', '') AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM x
-anchors(licence, gram, place, n, longer) AS (VALUES {anchors}),
 """.replace("substr(A,", f"substr('{warc.BASE32}',")
 
 
@@ -214,7 +236,7 @@ SELECT doc_id, size, source_size, target, (least(3, whole + CASE WHEN before + s
 
 ORACLE_SQL: dict[str, str] = {
     "op1_suffix_array_dedup": REPEATS,
-    "op3_tool_call_linking": CHAT,
+    "op3_tool_call_linking": chat_sql(),
     "op4_exact_dedup": EXACT,
     "op5_licence_scan": licence_sql(licences.TEMPLATES, licences.THRESHOLD),
     "op6_warc_zip": WARC,

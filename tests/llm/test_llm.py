@@ -10,12 +10,14 @@ import random
 import re
 import zipfile
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from siftworks.llm import chat, components, decontaminate, exact_dedup, licences, mixing, repeats, sharding, simhash, toxicity, warc
+from siftworks.llm import chat, common, components, decontaminate, exact_dedup, licences, mixing, repeats, sharding, simhash, toxicity, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 rng = random.Random(7)
@@ -318,10 +320,63 @@ def test_calls_and_results(spark):
     assert {x["rank"] for x in got.values()} == {0}
 
 
+def slow_ranks(calls):
+    """Ways of waits, one by one; a call that a circle leads to is cyclic."""
+    place, needs = {}, defaultdict(set)
+    for conv, turn, at, call, _, _, after in calls:
+        place[conv, call] = min(place.get((conv, call), (turn, at)), (turn, at))
+    for conv, turn, at, call, _, _, after in calls:
+        needs[conv, call] |= {(n, int(place[conv, n] >= (turn, at))) for n in after or [] if (conv, n) in place}
+    back = {k: {n: max(b for m, b in v if m == n) for n, _ in v} for k, v in needs.items()}
+
+    def rank(key, path):
+        if key in path:
+            return None
+        found = [(rank((key[0], n), path | {key}), b) for n, b in back.get(key, {}).items()]
+        return None if any(r is None for r, _ in found) else max([r + b for r, b in found], default=0)
+
+    return {k: (0, True) if (r := rank(k, frozenset())) is None else (r, False) for k in place}
+
+
 def test_topological_order_and_circles(spark):
-    calls = [(1, 0, 0, "a", "f", '{"x":1}', ["b"]), (1, 1, 0, "b", "f", '{"x":1}', ["c"]), (1, 2, 0, "c", "f", '{"x":1}', None), (2, 0, 0, "p", "f", '{"x":1}', ["q"]), (2, 1, 0, "q", "f", '{"x":1}', ["p"]), (2, 2, 0, "r", "f", '{"x":1}', None), (3, 0, 0, "a", "f", '{"x":1}', None)]
+    calls = [(1, 0, 0, "a", "f", '{"x":1}', ["b"]), (1, 1, 0, "b", "f", '{"x":1}', ["c"]), (1, 2, 0, "c", "f", '{"x":1}', None), (2, 0, 0, "p", "f", '{"x":1}', ["q"]), (2, 1, 0, "q", "f", '{"x":1}', ["p"]), (2, 2, 0, "r", "f", '{"x":1}', None), (3, 0, 0, "a", "f", '{"x":1}', None), (3, 1, 0, "s", "f", "{}", ["s"]), (3, 2, 0, "t", "f", "{}", ["s", "a"])]
     got = {(k[0], k[1]): (x["rank"], x["cyclic"]) for k, x in linked(spark, calls, []).items()}
-    assert got == {(1, "a"): (3, False), (1, "b"): (2, False), (1, "c"): (1, False), (2, "p"): (0, True), (2, "q"): (0, True), (2, "r"): (1, False), (3, "a"): (0, False)}
+    assert got == {(1, "a"): (2, False), (1, "b"): (1, False), (1, "c"): (0, False), (2, "p"): (0, True), (2, "q"): (0, True), (2, "r"): (0, False), (3, "a"): (0, False), (3, "s"): (0, True), (3, "t"): (0, True)}
+    assert got == slow_ranks(calls)
+
+
+def test_order_of_random_calls(spark):
+    """Each call comes after what it waits for, by rank, turn and place."""
+    own = random.Random(5)
+    calls = []
+    for conv in range(30):
+        n = own.randint(2, 12)
+        where = own.sample(range(n), n) if conv % 3 else list(range(n))
+        for k in range(n):  # waits lead from larger to smaller numbers, but for some circles
+            after = [str(own.randrange(k)) for _ in range(own.randint(0, 2)) if k] + ([str(n - 1)] if own.random() < 0.05 else [])
+            calls.append((conv, where[k], 0, str(k), "f", '{"x":1}', after))
+    got = {(k[0], k[1]): x for k, x in linked(spark, calls, []).items()}
+    assert {k: (x["rank"], x["cyclic"]) for k, x in got.items()} == slow_ranks(calls)
+    assert any(x["cyclic"] for x in got.values()) and max(x["rank"] for x in got.values()) > 2
+    for conv, _, _, call, _, _, after in calls:
+        if not got[conv, call]["cyclic"]:
+            assert all((got[conv, n]["rank"], got[conv, n]["turn"]) < (got[conv, call]["rank"], got[conv, call]["turn"]) for n in after)
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(chat, "settle", lambda *x, settle=chat.settle: rounds.append(1) or settle(*x))
+    calls = [(1, 600 - k, 0, str(k), "f", '{"x":1}', [str(k - 1)]) for k in range(600)]
+    got = linked(spark, calls, [])
+    assert {int(k[1]): x["rank"] for k, x in got.items()} == {k: k for k in range(600)} and len(rounds) <= 17
+
+
+def test_no_calls_or_no_results(spark):
+    assert linked(spark, [], []) == {}
+    assert {k[2] for k in linked(spark, [], [(1, 0, 0, "a", "x")])} == {"orphan"}
+    turns = spark.createDataFrame([(1, 0, None, "who"), (1, 1, "USER", None), (1, 2, "tool", "t"), (1, 3, "system", "")], "conv_id int, turn int, role string, text string")
+    got = {x["turn"]: x for x in chat.link(*chat.from_turns(odd(turns)), chat.TURNS).collect()}
+    assert {t: (x["status"], x["valid"]) for t, x in got.items()} == {0: ("unanswered", True), 1: ("linked", False), 3: ("unanswered", True)}
 
 
 # --- 4 --------------------------------------------------------------------------------------------------------------------
@@ -336,6 +391,11 @@ def test_exact_dedup(spark, docs, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
 
 
+def plan_of(df):
+    """The plan without what the joins' statistics may change while it runs."""
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
 def test_index_keeps_over_batches(spark, tmp_path):
     path = f"file://{tmp_path}/it's an index"
     index = exact_dedup.DigestIndex(spark, path, 6)
@@ -363,6 +423,10 @@ def test_index_leaves_no_name_behind(spark, docs):
 # --- 5 --------------------------------------------------------------------------------------------------------------------
 
 
+def dice(a, b):
+    return 2 * len(a & b) / (len(a) + len(b)) if a else 0
+
+
 def slow_scan(rows):
     """All units of all anchors, scored one by one."""
     words = {name: licences.plain_words(t) for name, t in licences.TEMPLATES.items()}
@@ -444,11 +508,6 @@ def test_warc_round_trip(spark):
     assert len(got) == len(rows)
     first = {}
     for i, _, h, _ in rows[:-1]:
-def plan_of(df):
-    """The plan without what the joins' statistics may change while it runs."""
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-
-
         f, raw = first.setdefault(h or "", i), data(h)
         r = got[i]
         assert (r["payload_bytes"], r["payload_digest"]) == (len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())
@@ -460,6 +519,16 @@ def plan_of(df):
     assert {r["record_type"] for r in warc.archive_and_read(spark, pages, least_bytes=1 << 30).collect()} == {"response"}
 
 
+def test_payloads_are_reduced_before_they_are_moved(spark):
+    """The html column enters shuffles only as the partial result of one payload per digest."""
+    pages = spark.createDataFrame([(i, "u", "same") for i in range(9)] + [(99, "u", None)], "page_id long, url string, html string")
+    planned = warc.plan_records(pages)
+    plan = plan_of(planned)
+    moved = [line for line in plan.split("\n") if "Exchange" in line]
+    assert moved and not any("html" in line for line in moved) and "partial_first(html" in plan
+    assert sorted((r["page_id"], r["kind"], r["html"] is None) for r in planned.collect()) == [(0, "response", False), *[(i, "revisit", True) for i in range(1, 9)], (99, "response", False)]
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_members_of_a_zip(zip64, monkeypatch):
     if zip64:
@@ -489,10 +558,6 @@ def test_package_from_elsewhere(spark, tmp_path, packed):
     with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
         for k, name in enumerate(("one.warc.gz", "two.warc")):
             body, lines = b"", []
-def dice(a, b):
-    return 2 * len(a & b) / (len(a) + len(b)) if a else 0
-
-
             for i in range(3):
                 html = f"{k}-{i}".encode()
                 raw = warc.record(10 * k + i, f"http://h.x/{i}", "response", base64.b32encode(hashlib.sha1(html).digest()).decode(), None, len(html), html)
@@ -562,16 +627,6 @@ def test_rows_alike_are_dealt_out(spark):
 
 def labelled(n):
     bad = ["rotten", "vileness", "vilely", "horrid"]
-def test_payloads_are_reduced_before_they_are_moved(spark):
-    """The html column enters shuffles only as the partial result of one payload per digest."""
-    pages = spark.createDataFrame([(i, "u", "same") for i in range(9)] + [(99, "u", None)], "page_id long, url string, html string")
-    planned = warc.plan_records(pages)
-    plan = plan_of(planned)
-    moved = [line for line in plan.split("\n") if "Exchange" in line]
-    assert moved and not any("html" in line for line in moved) and "partial_first(html" in plan
-    assert sorted((r["page_id"], r["kind"], r["html"] is None) for r in planned.collect()) == [(0, "response", False), *[(i, "revisit", True) for i in range(1, 9)], (99, "response", False)]
-
-
     rows = []
     for i in range(n):
         words = prose(40).split(" ")
@@ -764,6 +819,30 @@ def test_mixing(spark, docs, empty):
     assert {r["taken"] for r in mixing.mix(docs.withColumn("text", F.lit(None).cast("string"))).collect()} == {0}
 
 
+@pytest.mark.parametrize("kind", ["repeated", "nulls", "both", "empty"])
+def test_mixing_of_rows_alike(spark, kind):
+    """Each source within half a document of its target, however many of its rows are alike; the same in any order of rows."""
+    row = {"repeated": lambda s, k: (7, f"{s} " * 10), "nulls": lambda s, k: (None, f"{s}{k} " * 10), "both": lambda s, k: ((None, f"{s} " * 9) if k % 2 else (k // 3, f"{s} " * 11)), "empty": lambda s, k: (None, None if k % 2 else f"{s} " * 10)}[kind]
+    rows = [(*row(s, k)[:1], row(s, k)[1], "en", s, k) for s in ("a", "b", None) for k in range(100)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    sizes = Counter()
+    for _, t, _, s, _ in rows:
+        sizes[s] += len((t or "").split())
+    want = slow_targets(sizes)
+    first = None
+    for n in (5, 7):
+        got = mixing.mix(frame.repartition(n), carry=("text",)).collect()
+        taken = Counter()
+        for r in got:
+            assert r["size"] == len((r["text"] or "").split()) and r["taken"] == r["copies"] * r["size"] <= 3 * r["size"]
+            taken[r["source"]] += r["taken"]
+        assert len(got) == 300 and all(abs(taken[s] - want[s]) <= 11 / 2 for s in sizes)
+        found = Counter((r["doc_id"], r["text"], r["source"], r["copies"]) for r in got)
+        assert first in (None, found)
+        first = found
+    assert Counter((r["doc_id"], r["source"], r["taken"]) for r in mixing.mix(frame).collect()) == Counter((r["doc_id"], r["source"], r["taken"]) for r in got)
+
+
 def test_weights_go_round_in_order(spark):
     names = sorted({prose(1) for _ in range(60)} | {"Z", "é", ""}, key=str.encode) + [None]
     sources = spark.createDataFrame([(x,) for x in rng.sample(names, len(names))], "source string").repartition(5)
@@ -772,6 +851,40 @@ def test_weights_go_round_in_order(spark):
     assert mixing.cycle_weights(sources.limit(0)).count() == 0
 
 
+# --- what they share --------------------------------------------------------------------------------------------------------
+
+
+def test_rows_meet_their_groups(spark, empty):
+    rows = [("hot", i) for i in range(900)] + [(f"k{i % 50}", i) for i in range(300)] + [(None, 1)]
+    frame = spark.createDataFrame(rows, "key string, i int").repartition(3)
+    groups = common.cut(frame.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("i").alias("top")))
+    for share in (4, 1024):
+        joined = common.join_groups(frame, groups, "key", "n", share)
+        got = Counter((r["key"], r["i"], r["n"], r["top"]) for r in joined.collect())
+        tops = {k: (sum(a == k for a, _ in rows), max(i for a, i in rows if a == k)) for k in {a for a, _ in rows} - {None}}
+        assert got == Counter((k, i, *tops[k]) for k, i in rows if k is not None)
+    assert common.join_groups(frame.limit(0), groups.limit(0), "key", "n").count() == 0
+
+
+def test_only_counted_tables_are_broadcast(spark):
+    small = common.cut(spark.range(10))
+    joined = lambda most: plan_of(spark.range(100).join(common.bounded(small, most), "id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in joined(10) and "BroadcastHashJoin" not in joined(9)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tables_are_written_and_forgotten(spark):
+    df, path = common.settle(spark.createDataFrame([(1, "a"), (None, None)], "x int, y string"))
+    assert sorted(map(tuple, df.collect()), key=repr) == [(1, "a"), (None, None)] and df.columns == ["x", "y"]
+    assert common.settle(df.limit(0))[0].count() == 0
+    common.forget(spark, path)
+    assert not Path(path.removeprefix("file://")).exists()
+    assert [tuple(r) for r in common.listed(spark, [(1, ["a", None]), (2, None)], {"n": pa.int32(), "l": pa.list_(pa.string())}).collect()] == [(1, ["a", None]), (2, None)]
+
+
 # --- the queries and the pipeline -----------------------------------------------------------------------------------------
 
 SF = "/root/testdata/sf0.001"
@@ -851,27 +964,3 @@ def test_pipeline_against_brute_force(spark, tables):
     assert Counter(r["doc_id"] for r in sharded) == copies
     got = pipeline.run(spark, tables)
     assert Counter(r["doc_id"] for r in got.collect()) == copies
-@pytest.mark.parametrize("kind", ["repeated", "nulls", "both", "empty"])
-def test_mixing_of_rows_alike(spark, kind):
-    """Each source within half a document of its target, however many of its rows are alike; the same in any order of rows."""
-    row = {"repeated": lambda s, k: (7, f"{s} " * 10), "nulls": lambda s, k: (None, f"{s}{k} " * 10), "both": lambda s, k: ((None, f"{s} " * 9) if k % 2 else (k // 3, f"{s} " * 11)), "empty": lambda s, k: (None, None if k % 2 else f"{s} " * 10)}[kind]
-    rows = [(*row(s, k)[:1], row(s, k)[1], "en", s, k) for s in ("a", "b", None) for k in range(100)]
-    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    sizes = Counter()
-    for _, t, _, s, _ in rows:
-        sizes[s] += len((t or "").split())
-    want = slow_targets(sizes)
-    first = None
-    for n in (5, 7):
-        got = mixing.mix(frame.repartition(n), carry=("text",)).collect()
-        taken = Counter()
-        for r in got:
-            assert r["size"] == len((r["text"] or "").split()) and r["taken"] == r["copies"] * r["size"] <= 3 * r["size"]
-            taken[r["source"]] += r["taken"]
-        assert len(got) == 300 and all(abs(taken[s] - want[s]) <= 11 / 2 for s in sizes)
-        found = Counter((r["doc_id"], r["text"], r["source"], r["copies"]) for r in got)
-        assert first in (None, found)
-        first = found
-    assert Counter((r["doc_id"], r["source"], r["taken"]) for r in mixing.mix(frame).collect()) == Counter((r["doc_id"], r["source"], r["taken"]) for r in got)
-
-
