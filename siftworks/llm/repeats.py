@@ -29,7 +29,7 @@ gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -377,7 +377,7 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, kmer: int = KMER, batch_
         columns = list(zip(*rows, strict=True)) or [()] * 4
         return pa.table({"bucket": pa.array(columns[0], pa.int32()), "batch": pa.array(columns[1], pa.int32()), "keys": pa.array(columns[2], pa.binary()), "marks": pa.array(columns[3], pa.binary())})
 
-    def answer(key: tuple, table: pa.Table) -> pa.Table:
+    def answer(table: pa.Table) -> pa.Table:
         marks = [np.frombuffer(x, "<u4") for x in table.column("marks").to_pylist()]
         keys = np.concatenate([unpacked(x, len(m)) for x, m in zip(table.column("keys").to_pylist(), marks, strict=True)])
         bounds, mark = np.cumsum([0, *map(len, marks)]), np.concatenate(marks).astype(np.int64)
@@ -418,8 +418,15 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, kmer: int = KMER, batch_
         names = [x.split()[0] for x in SENT.split(", ")]
         return pa.table({c: pa.array(x, pa.int32() if c in ("bucket", "batch") else pa.binary()) for c, x in zip(names, columns, strict=True)})
 
-    def match(key: tuple, table: pa.Table) -> pa.Table:
-        return matched(table, least, block)
+    def each_task(made: Callable[[pa.Table], pa.Table]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """All that a task is given as one table; it is given the rows of one bucket."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = [x for x in batches if x.num_rows]
+            if held:
+                yield from made(pa.Table.from_batches(held)).to_batches()
+
+        return run
 
     def strip(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         own = Batch(table, bits, least, kmer)
@@ -470,7 +477,8 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, kmer: int = KMER, batch_
 
     by_batch = dealt.groupBy("batch")
     asked = by_batch.applyInArrow(ask, "bucket int, batch int, keys binary, marks binary")
-    answered = asked.groupBy("bucket").applyInArrow(answer, "batch int, bucket int, shared binary, hot binary")
+    # one bucket for each task: by hashes some tasks would have several and others none
+    answered = asked.repartitionById(n, F.col("bucket")).mapInArrow(each_task(answer), "batch int, bucket int, shared binary, hot binary")
     sent = by_batch.cogroup(answered.groupBy("batch")).applyInArrow(send, SENT)
-    told = sent.groupBy("bucket").applyInArrow(match, TOLD)
+    told = sent.repartitionById(n, F.col("bucket")).mapInArrow(each_task(lambda table: matched(table, least, block)), TOLD)
     return by_batch.cogroup(told.groupBy("batch")).applyInArrow(strip, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<struct<start: bigint, end: bigint>>")
