@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siftworks.llm import chat, decontaminate, exact_dedup, licences, mixing, repeats, sharding, simhash, toxicity, warc
 from siftworks.llm.common import listed, table
+from siftworks.llm.xxh64_sql import xxh64
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +118,23 @@ SELECT t.doc_id, (length(t.h) // 2)::BIGINT AS n_bytes, coalesce(g.n_removed, 0)
 FROM t LEFT JOIN gone g USING (doc_id)
 """
 
+def simhash_sql(width: int = 3, seed: int = 42, distance: int = simhash.DISTANCE) -> str:
+    bits = " + ".join(f"CASE WHEN 2 * count(*) FILTER ((h >> {k}) & 1 = 1) > count(*) THEN {1 << k}::UHUGEINT ELSE 0 END" for k in range(64))
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+s AS (SELECT doc_id, array_to_string(w[i : i + least({width}, len(w)) - 1], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - {width - 1}) + 1)) AS i FROM d WHERE len(w) > 0)),
+b AS (SELECT s, octet_length(encode(s)) AS n, list_transform(range(0, octet_length(encode(s))), lambda i: ('0x' || substr(hex(encode(s)), (2 * i + 1)::INT, 2))::UHUGEINT) AS b FROM (SELECT DISTINCT s FROM s)),
+x AS MATERIALIZED (SELECT s, {xxh64("b", "n", seed)}::UBIGINT AS h FROM b),
+f AS (SELECT doc_id, {bits} AS f FROM s JOIN x USING (s) GROUP BY doc_id),
+a AS (SELECT doc_id, coalesce(f, 0)::UBIGINT AS u, (CASE WHEN f >= 9223372036854775808::UHUGEINT THEN f::HUGEINT - 18446744073709551616::HUGEINT ELSE coalesce(f, 0)::HUGEINT END)::BIGINT AS f FROM d LEFT JOIN f USING (doc_id)),
+p AS (SELECT f, min(doc_id) AS first FROM a GROUP BY f),
+l AS (SELECT p.f AS f, q.f AS g FROM p JOIN p AS q ON p.f <> q.f AND bit_count(xor(p.f, q.f)) <= {distance}),
+c AS (SELECT f, f AS g FROM p UNION SELECT c.f, l.g FROM c JOIN l ON l.f = c.g),
+k AS (SELECT c.f, min(p.first) AS component_id FROM c JOIN p ON p.f = c.g GROUP BY c.f)
+SELECT doc_id, lpad(lower(to_hex(u)), 16, '0') AS fingerprint, component_id FROM a JOIN k USING (f)
+"""
+
+
 def chat_sql() -> str:
     def quoted(x) -> str:
         if isinstance(x, list):
@@ -236,6 +254,7 @@ SELECT doc_id, size, source_size, target, (least(3, whole + CASE WHEN before + s
 
 ORACLE_SQL: dict[str, str] = {
     "op1_suffix_array_dedup": REPEATS,
+    "op2_simhash_near_dedup": simhash_sql(),
     "op3_tool_call_linking": chat_sql(),
     "op4_exact_dedup": EXACT,
     "op5_licence_scan": licence_sql(licences.TEMPLATES, licences.THRESHOLD),

@@ -180,6 +180,22 @@ def test_simhash(spark, docs, monkeypatch):
     assert spark.range(1).select(F.xxhash64(F.lit("a b c"))).first()[0] % 2**64 == simhash.shingle_hashes(b"A b  c")[0]
 
 
+def test_xxh64_in_sql():
+    duckdb = pytest.importorskip("duckdb")
+    import xxhash
+
+    from siftworks.llm.xxh64_sql import xxh64
+
+    texts = ["", "a", "abcd", "ab cd é", "abcdefgh", "x" * 31, "é" * 16, "y" * 45, prose(40), *[prose(3) for _ in range(40)]]
+    con = duckdb.connect()
+    con.execute("create table t(s varchar)")
+    con.executemany("insert into t values (?)", [[x] for x in texts])
+    data_of = "select s, octet_length(encode(s)) as n, list_transform(range(0, octet_length(encode(s))), lambda i: ('0x' || substr(hex(encode(s)), (2 * i + 1)::INT, 2))::UHUGEINT) as b from t"
+    for seed in (0, 42, 2**64 - 1):
+        got = dict(con.execute(f"select s, {xxh64('b', 'n', seed)}::UBIGINT from ({data_of})").fetchall())
+        assert got == {x: xxhash.xxh64_intdigest(x.encode(), seed) for x in texts}
+
+
 def test_simhash_of_nothing(spark, empty):
     assert simhash.near_dedup(empty).count() == 0
     got = simhash.near_dedup(spark.createDataFrame([(None, "a b"), (2, None), (1, "")], "doc_id long, text string")).collect()
