@@ -110,15 +110,18 @@ def tried_in(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(f"{fetch.ATTEMPT}, run string").parquet(f"{base}/tried")
 
 
+def open_runs(spark: SparkSession, base: str) -> DataFrame:
+    """run: those that have tried domains and aren't through, as they ended before."""
+    every = tried_in(spark, base).select("run").distinct()
+    return every.join(spark.read.schema("run string").parquet(f"{base}/done"), "run", "left_anti") if there(spark, f"{base}/done") else every
+
+
 def finish(spark: SparkSession, base: str) -> None:
-    """Makes the leads of all runs that have tried domains and aren't done."""
-    tried = tried_in(spark, base)
-    open_ = tried.select("run").distinct()
-    if there(spark, f"{base}/done"):
-        open_ = open_.join(spark.read.parquet(f"{base}/done"), "run", "left_anti")
-    open_ = cut(open_)
-    if open_.isEmpty():
+    """Makes the leads of all open runs."""
+    todo = cut(open_runs(spark, base))
+    if todo.isEmpty():
         return
-    found = leads.useful(leads.enrich(fetch.live(tried.join(F.broadcast(open_), "run"), "run"), keep=("run",)))
+    pages = fetch.live(tried_in(spark, base).join(F.broadcast(todo), "run"), "run")
+    found = leads.useful(leads.enrich(pages, keep=("run",)))
     found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(f"{base}/leads")
-    open_.write.mode("append").parquet(f"{base}/done")
+    todo.write.mode("append").parquet(f"{base}/done")

@@ -14,7 +14,7 @@ from siftworks.operators import incremental, labelling, leads, progress, runs
 from siftworks.plans import fixtures as fx
 from siftworks.plans.catalogue import CLASSED, HOST, LEAD, doc_leads, handed_out, pages, query, read
 from siftworks.session import scratch
-from siftworks.sources import files
+from siftworks.sources import fetch, files
 
 
 def put(spark: SparkSession, path: str, content: str) -> None:
@@ -81,10 +81,14 @@ LINKS = f"SELECT substr(dt, 1, 10) AS dt, CASE WHEN starts_with(href, 'http') TH
 DATED = f"SELECT DISTINCT try_cast(regexp_extract(name, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS DATE) AS dt FROM ({fx.sql(NAMED)}) WHERE ends_with(lower(name), '.txt')"
 
 
-def index_page(spark) -> str:
+def index_html() -> str:
     cell = lambda dt, href, cells: "<tr>" + f"<td> {dt} </td>" + "<td>1 MB</td>" * (cells - 2) + "<td>" + (f"<a href='{href}'>get</a> <a href='/second'>no</a>" if href else "none") + "</td></tr>"
+    return f"<p>Lists</p><table><tr><th>day</th></tr>{''.join(cell(*x) for x in INDEX[1])}</table><table><tr><td>2024-03-01</td><td></td><td><a href='/x'>x</a></td></tr></table>"
+
+
+def index_page(spark) -> str:
     base = scratch(spark, "index")
-    put(spark, f"{base}/index.html", f"<p>Lists</p><table><tr><th>day</th></tr>{''.join(cell(*x) for x in INDEX[1])}</table><table><tr><td>2024-03-01</td><td></td><td><a href='/x'>x</a></td></tr></table>")
+    put(spark, f"{base}/index.html", index_html())
     return base
 
 
@@ -127,7 +131,9 @@ MISSING = f"SELECT dt, href, regexp_extract(href, '([0-9]+)[.]zip', 1)::INT AS k
 def acquired_lists(spark, sf_dir):
     """From the index page to a folder of lines for each day that was missing; counted as they are read again."""
     out = scratch(spark, "acquired")
-    told = runs.acquire(spark.read.text(index_page(spark), wholetext=True), "http://root", files.file_dates(spark, lists(spark)), out, canned_file)
+    html = index_html()
+    page = fetch.page_of(spark, "http://root/lists", lambda url: (200, html))
+    told = runs.acquire(page, "http://root", files.file_dates(spark, lists(spark)), out, canned_file)
     found = spark.read.parquet(out).groupBy(F.date_format("dt", "yyyy-MM-dd").alias("dt")).agg(F.count(F.lit(1)).alias("written"))
     outcome = F.coalesce("error", F.when(F.col("lines") > 0, "written").otherwise("empty"))
     return told.join(found, "dt", "left").select("dt", "href", outcome.alias("outcome"), F.coalesce("written", F.lit(0).cast("bigint")).alias("lines"))
@@ -201,8 +207,6 @@ DEAD = "(contains(h, '7') OR contains(h, 'ou'))"
   NOT {DEAD} AND NOT contains(h, 'an') AND contains(substr(h, 1, 4), 'e') AS lead FROM {H}""")
 def scan_resume(spark, sf_dir):
     """Three runs: over some domains, one that ends before its leads are made, and over all. No domain is tried twice."""
-    from siftworks.sources import fetch
-
     base = scratch(spark, "scan")
     hosts = incremental.clean_keys(read(spark, sf_dir, "pages").select(host(F.col("url")).alias("domain")), "domain")
     scan = lambda rows: runs.scan(spark, rows, base, half_dead, tries=2, sleep=lambda s: None)
@@ -216,6 +220,17 @@ def scan_resume(spark, sf_dir):
     return tried.join(found, "domain", "left").withColumn("lead", F.coalesce("lead", F.lit(False)))
 
 
+@query("SELECT 'broken-off' AS run, count(DISTINCT url) AS urls FROM pages WHERE page_id % 2 = 1")
+def open_runs(spark, sf_dir):
+    """A run that ended once its pages were there; the one before it is through."""
+    base = scratch(spark, "scan")
+    urls = read(spark, sf_dir, "pages").select(F.regexp_replace("url", "^[a-z]+://", "").alias("domain"), "page_id")
+    runs.scan(spark, urls.where("page_id % 2 = 0"), base, half_dead)
+    fetch.attempts(urls.where("page_id % 2 = 1").distinct(), half_dead).withColumn("run", F.lit("broken-off")).write.mode("append").partitionBy("run").parquet(f"{base}/tried")
+    left = runs.open_runs(spark, base)
+    return left.join(runs.tried_in(spark, base), "run").groupBy("run").agg(F.countDistinct("domain").alias("urls"))
+
+
 def moody(request: str) -> str:
     """Stands in for a model: what it does hangs on the first domain's number."""
     import json

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftworks import rules
@@ -69,6 +69,17 @@ def http_file(url: str, connect: float = rules.FILE_TIMEOUT, read: float = rules
     return status, kind, body
 
 
+def page_of(spark: SparkSession, url: str, get: Get = http_get) -> DataFrame:
+    """value: the page at the URL, fetched by a task; no row if it isn't answered with status 200. What fails is raised."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            answers = [get(x) for x in frame["url"]]
+            yield pd.DataFrame({"value": [html for status, html in answers if status == rules.LIVE_STATUS]}, dtype=object)
+
+    return spark.createDataFrame([(url,)], "url string").mapInPandas(run, "value string")
+
+
 def downloads(links: DataFrame, get: Callable[[str], tuple[int, str, bytes]] = http_file) -> DataFrame:
     """links: dt, href. One row each: dt, path (the link), content, error: HtmlPage where a page came instead of a file, the status
     if it wasn't 200, or the failure's name. A task holds one file at a time."""
