@@ -206,8 +206,8 @@ def near_dedup(docs: DataFrame, width: int = 3) -> DataFrame:
     points = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")))
     roots = components(near_links(points.select("fp")))
     of_point = cut(points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-    named = of_point.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = cut(of_point.join(named, "root").select("fp", "component_id", "rows"))
+    named = cut(of_point.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("points")))
+    classes = cut(join_groups(of_point, named, "root", "points").select("fp", "component_id", "rows"))
     return join_groups(prints, classes, "fp", "rows").select("doc_id", "fp", "component_id")
 
 
@@ -405,9 +405,9 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY)
     equal = prints.join(points, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
     near = cut(near.union(equal).where("a <> b"))
     groups = components(near.union(similar_links(docs, sets, near, width, similarity, common)))
-    rooted = kinds.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    keep = rooted.groupBy("root").agg(F.min("least").alias("keep"))
-    kept = cut(rooted.join(keep, "root").select("digest", "keep", "rows"))
+    rooted = cut(kinds.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    keep = cut(rooted.groupBy("root").agg(F.min("least").alias("keep"), F.count(F.lit(1)).alias("nodes")))
+    kept = cut(join_groups(rooted, keep, "root", "nodes").select("digest", "keep", "rows"))
     gone = cut(join_groups(named.select("doc_id", "digest"), kept, "digest", "rows").where("doc_id <> keep").select("doc_id").distinct())
     forget(spark, path)
     return docs.join(bounded(gone), "doc_id", "left_anti")
