@@ -41,7 +41,7 @@ def bounded(df: DataFrame, most: int = 1 << 20) -> DataFrame:
     """For joins: broadcast up to a number of rows (of a few numbers each), else left to Spark, which shuffles both sides.
 
     df is counted, so it should be cut or cheap."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, share: int = 1024) -> DataFrame:

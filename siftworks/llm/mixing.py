@@ -123,4 +123,4 @@ def first_of(rows: DataFrame) -> DataFrame:
 
 def small(sources: DataFrame) -> DataFrame:
     """For joins by source: broadcast up to a number of rows, else left to Spark, which splits the rows of a common source."""
-    return F.broadcast(sources) if sources.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES else sources
+    return F.broadcast(sources) if sources.count() <= MAX_BROADCAST_SOURCES else sources
