@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm import chat, decontaminate, exact_dedup, licences, mixing, repeats, sharding, simhash, toxicity, warc
+from siftworks.llm import byte_bpe, centroids, chat, decontaminate, exact_dedup, licences, mixing, repeats, sharding, simhash, toxicity, vector_codes, warc
 from siftworks.llm.common import listed, table
 from siftworks.llm.xxh64_sql import xxh64
 
@@ -59,6 +60,24 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, book = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return found.select("vec_id", code.alias("code"), "error", "label_error", F.lit(vector_codes.sha256_of(book)).alias("codebooks_sha256"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep=("doc_id",))
+    decoded = byte_bpe.decode(encoded, path)
+    ids = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
+    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))[0]
+
+
 # The tables' conversations stand in order and call no tools: these rows, besides them, don't and do. Of each call: conv_id, turn, place,
 # call_id, name, arguments, after; and for the SQL its arguments in canonical form and what is wrong with them.
 TOOLS: chat.Schemas = {"find": {"q": ("string", True), "top": ("integer", False), "in": ("array", False)}}
@@ -97,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity_ordinal,
         op9_benchmark_decontamination,
         op10_source_mixing,
+        op11_vector_codes,
+        op12_byte_bpe,
+        op13_centroid_clustering,
     )
 }
 
@@ -252,6 +274,55 @@ o AS (SELECT t.*, e.source_size, e.target, e.whole, e.target - e.whole * e.sourc
 SELECT doc_id, size, source_size, target, (least(3, whole + CASE WHEN before + size / 2 <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM o
 """
 
+FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+FLOOR_MEAN = "((sum(y) - ((sum(y) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT"  # exact, and down for negative sums
+APART = "list_sum(list_transform(range(1, len({a}) + 1), lambda i: ({a}[i] - {b}[i]) * ({a}[i] - {b}[i])))::BIGINT"
+
+
+def vector_codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    steps = "".join(
+        f"""
+a{t} AS MATERIALIZED (SELECT r, p, min({{'d': {APART.format(a="x.s", b="c.s")}, 'e': e}}) AS m FROM x JOIN c{t} AS c USING (p) GROUP BY r, p),
+u{t} AS (SELECT p, e, list(y ORDER BY i) AS s FROM (SELECT p, m.e AS e, i, {FLOOR_MEAN} AS y
+  FROM (SELECT p, m, unnest(s) AS y, unnest(range(len(s))) AS i FROM a{t} JOIN x USING (r, p)) GROUP BY p, m.e, i) GROUP BY p, e),
+c{t + 1} AS MATERIALIZED (SELECT p, e, coalesce(u.s, c.s) AS s FROM c{t} AS c LEFT JOIN u{t} AS u USING (p, e)),"""
+        for t in range(rounds)
+    )
+    return f"""
+WITH f AS (SELECT * FROM embeddings WHERE {FINITE} AND len(embedding) > 0 AND len(embedding) % {parts} = 0),
+k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {scale})::BIGINT) AS v, len(embedding) // {parts} AS w
+  FROM f WHERE len(embedding) = (SELECT len(embedding) FROM f GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)),
+x AS MATERIALIZED (SELECT r, p, v[(p * w + 1)::INT : ((p + 1) * w)::INT] AS s FROM k CROSS JOIN range({parts}) AS g(p)),
+c0 AS (SELECT p, r - 1 AS e, s FROM x WHERE r <= {entries}),{steps}
+a AS (SELECT r, p, min({{'d': {APART.format(a="x.s", b="c.s")}, 'e': e}}) AS m FROM x JOIN c{rounds} AS c USING (p) GROUP BY r, p),
+o AS (SELECT r, string_agg(lpad(lower(to_hex(m.e)), 2, '0'), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a GROUP BY r),
+l AS (SELECT label, sum(error)::BIGINT AS label_error FROM o JOIN k USING (r) GROUP BY label),
+b AS (SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256 FROM (SELECT p, e, unnest(s) AS y, unnest(range(len(s))) AS i FROM c{rounds}))
+SELECT vec_id, code, error, label_error, codebooks_sha256 FROM o JOIN k USING (r) JOIN l ON l.label IS NOT DISTINCT FROM k.label CROSS JOIN b
+"""
+
+
+def clustering_sql(dims: int = 64, k: int = 16, rounds: int = 3, scale: int = 64) -> str:
+    steps = "".join(
+        f"""
+a{t} AS MATERIALIZED (SELECT r, min({{'d': {APART.format(a="x.v", b="c.v")}, 'e': e}}) AS m FROM x CROSS JOIN c{t} AS c GROUP BY r),
+u{t} AS (SELECT e, list(y ORDER BY i) AS v FROM (SELECT m.e AS e, i, {FLOOR_MEAN} AS y
+  FROM (SELECT m, unnest(v) AS y, unnest(range(len(v))) AS i FROM a{t} JOIN x USING (r)) GROUP BY m.e, i) GROUP BY e),
+c{t + 1} AS MATERIALIZED (SELECT e, coalesce(u.v, c.v) AS v FROM c{t} AS c LEFT JOIN u{t} AS u USING (e)),"""
+        for t in range(rounds)
+    )
+    return f"""
+WITH x AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, embedding) AS r, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * {scale})::BIGINT) AS v
+  FROM embeddings WHERE {FINITE} AND len(embedding) = {dims}),
+c0 AS (SELECT (r - 1)::INT AS e, v FROM x WHERE r <= {k}),{steps}
+a AS (SELECT r, min({{'d': {APART.format(a="x.v", b="c.v")}, 'e': e}}) AS m FROM x CROSS JOIN c{rounds} AS c GROUP BY r),
+h AS (SELECT e, sha256(array_to_string(v::VARCHAR[], ',')) AS centroid_sha256 FROM c{rounds}),
+s AS (SELECT m.e AS e, sum(m.d)::BIGINT AS cluster_inertia FROM a GROUP BY m.e)
+SELECT vec_id, m.e AS cluster, m.d AS distance, cluster_inertia, (SELECT sum(cluster_inertia)::BIGINT FROM s) AS inertia, centroid_sha256
+FROM a JOIN x USING (r) JOIN s ON s.e = a.m.e JOIN h ON h.e = a.m.e
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_suffix_array_dedup": REPEATS,
     "op2_simhash_near_dedup": simhash_sql(),
@@ -262,4 +333,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_extendible_sharding": sharding_sql(),
     "op9_benchmark_decontamination": DECONTAMINATE,
     "op10_source_mixing": MIX,
+    "op11_vector_codes": vector_codes_sql(),
+    "op13_centroid_clustering": clustering_sql(),
 }

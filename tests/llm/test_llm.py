@@ -920,7 +920,7 @@ def test_queries_say_what_their_sql_says(spark, tables):
     from siftworks.llm import queries
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"create view {t} as select * from '{tables}/{t}.parquet'")
     for name, sql in queries.ORACLE_SQL.items():
         df = queries.QUERIES[name](spark, tables)
