@@ -15,15 +15,33 @@ from siftworks import rules
 #: From a URL to the answer's status and body.
 Get = Callable[[str], tuple[int, str]]
 ATTEMPT = "domain string, url string, status int, html string, error string, tries int"
-#: Bytes of a body that are read at most: a page larger than this is no page.
-MOST = 16 << 20
+#: Bytes that a page's body, and a file's, may have. What is larger is an error, TooLarge, never a beginning that passes for the whole.
+MOST, MOST_OF_FILE = 16 << 20, 256 << 20
+PIECE = 1 << 16
 #: What may pass: these are tried again. Whatever else a site does is final.
 PASSING = (ConnectionError, TimeoutError)
 
 
+class TooLarge(Exception):
+    """A body above the limit."""
+
+
+def body_of(answer, most: int) -> bytes:
+    """The whole body, read in pieces and given up at the first byte above the limit; at once where its length was announced."""
+    announced = answer.headers.get("Content-Length", "")
+    if announced.isdigit() and int(announced) > most:
+        raise TooLarge(f"{announced} bytes are announced, {most} may come")
+    body = bytearray()
+    while piece := answer.read(min(PIECE, most + 1 - len(body))):
+        body += piece
+        if len(body) > most:
+            raise TooLarge(f"more than {most} bytes")
+    return bytes(body)
+
+
 def answer_of(url: str, connect: float, read: float, most: int) -> tuple[int, str, str | None, bytes]:
     """status, content type, character set and body of one GET, redirects included, whatever the site's certificate says. Seconds to
-    connect, and to wait for each piece."""
+    connect, and to wait for each piece. A body of more than `most` bytes raises TooLarge."""
     import ssl
     from http.client import HTTPConnection, HTTPSConnection
     from urllib.error import HTTPError, URLError
@@ -50,7 +68,7 @@ def answer_of(url: str, connect: float, read: float, most: int) -> tuple[int, st
 
     try:
         with build_opener(Plain, Secure(context=anyone)).open(Request(url, headers={"User-Agent": "Mozilla/5.0"}), timeout=connect) as answer:
-            return answer.status, answer.headers.get_content_type(), answer.headers.get_content_charset(), answer.read(most)
+            return answer.status, answer.headers.get_content_type(), answer.headers.get_content_charset(), body_of(answer, most)
     except HTTPError as e:  # an answer as well
         return e.code, "", None, b""
     except URLError as e:
@@ -63,7 +81,7 @@ def http_get(url: str, connect: float = rules.CONNECT_TIMEOUT, read: float = rul
     return status, body.decode(charset or "utf-8", "replace")
 
 
-def http_file(url: str, connect: float = rules.FILE_TIMEOUT, read: float = rules.FILE_TIMEOUT, most: int = 1 << 30) -> tuple[int, str, bytes]:
+def http_file(url: str, connect: float = rules.FILE_TIMEOUT, read: float = rules.FILE_TIMEOUT, most: int = MOST_OF_FILE) -> tuple[int, str, bytes]:
     """A file: status, content type and bytes."""
     status, kind, _, body = answer_of(url, connect, read, most)
     return status, kind, body
@@ -82,7 +100,7 @@ def page_of(spark: SparkSession, url: str, get: Get = http_get) -> DataFrame:
 
 def downloads(links: DataFrame, get: Callable[[str], tuple[int, str, bytes]] = http_file) -> DataFrame:
     """links: dt, href. One row each: dt, path (the link), content, error: HtmlPage where a page came instead of a file, the status
-    if it wasn't 200, or the failure's name. A task holds one file at a time."""
+    if it wasn't 200, or the failure's name (TooLarge above the limit of get). A task holds one file at a time."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

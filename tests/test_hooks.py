@@ -1,5 +1,6 @@
 """Hooks to the outside (pages, models) and what is told of a run."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from siftworks.operators import labelling, progress
@@ -40,7 +41,7 @@ def test_what_may_pass_is_tried_again():
     assert run(5, ValueError()) == (None, None, "ValueError", 1, [])
 
 
-def test_http_get_from_a_server_of_this_machine():
+def test_http_get_from_a_server_of_this_machine(spark):
     import socket
     import threading
     import time
@@ -57,6 +58,8 @@ def test_http_get_from_a_server_of_this_machine():
                 return
             self.send_response(404 if self.path == "/gone" else 200)
             self.send_header("Content-Type", "text/html; charset=latin-1")
+            if self.path == "/told":
+                self.send_header("Content-Length", "1000")
             self.end_headers()
             self.wfile.write("é".encode("latin-1") * 1000)
 
@@ -68,7 +71,17 @@ def test_http_get_from_a_server_of_this_machine():
     url = f"http://127.0.0.1:{server.server_port}"
     try:
         assert fetch.http_get(f"{url}/moved") == (200, "é" * 1000)
-        assert fetch.http_get(f"{url}/large", most=10) == (200, "é" * 10)
+        for path in ("large", "told"):  # without and with a Content-Length
+            assert fetch.http_get(f"{url}/{path}", most=1000) == (200, "é" * 1000)
+            assert fetch.http_file(f"{url}/{path}", most=1000)[2] == b"\xe9" * 1000
+            for get in (fetch.http_get, fetch.http_file):
+                with pytest.raises(fetch.TooLarge):
+                    get(f"{url}/{path}", most=999)
+        one = spark.createDataFrame([(f"127.0.0.1:{server.server_port}/large",)], "domain string")
+        small = lambda u: fetch.http_get(u, most=999)
+        assert [(r["status"], r["html"], r["error"]) for r in fetch.attempts(one, small).collect()] == [(None, None, "TooLarge")]
+        links = one.selectExpr("'2024-01-01' as dt", "concat('http://', domain) as href")
+        assert [(r["content"], r["error"]) for r in fetch.downloads(links, lambda u: (200, "", fetch.http_file(u, most=999)[2])).collect()] == [(None, "TooLarge")]
         assert fetch.http_get(f"{url}/gone") == (404, "")
         try:
             fetch.http_get(f"{url}/slow", read=0.3)
