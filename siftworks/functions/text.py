@@ -81,10 +81,6 @@ def needs_translation(c: Column) -> Column:
     return F.coalesce((F.length(strip(c)) >= rules.ASCII_LENGTH) & (ascii_share(c) <= rules.ASCII_SHARE), F.lit(False))
 
 
-def or_else(c: Column, default: Column) -> Column:
-    return F.coalesce(F.nullif(c, F.lit("")), default)
-
-
 def kept_words(text: Column, domain: Column) -> Column:
     """Words of three letters or more, in order, without stop words and the domain's own name: structs of low (the word in lower
     case), i (its place) and w (the word)."""

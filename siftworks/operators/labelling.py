@@ -192,10 +192,11 @@ def final_columns(leads: DataFrame) -> DataFrame:
 def label(leads: DataFrame, model: Callable[[str], str], key: str = "Domain", sleep: Callable[[float], None] = time.sleep, keep_class: bool = False) -> DataFrame:
     """All of it: instant classes by rule, the others by the model, in one table.
 
-    Batches are in order of key; rows that share it, by what the model is told of them. keep_class: with lead_class."""
+    Batches are in order of key; rows that share it, by what the model is told of them. The answers are written before they are
+    read, so each batch is asked once. keep_class: with lead_class."""
     classed = cut(split_classes(leads))
     todo = number_batches(classed.where("lead_class = 'ai'"), key, *[c for c in ("Title", "Meta_Description", "Page_Text") if c != key])
-    items = parse_answers(ask(requests(todo), model, sleep=sleep))
+    items = cut(parse_answers(cut(ask(requests(todo), model, sleep=sleep))))
     kept = [c for c in leads.columns if c not in rules.LABEL_COLUMNS]
     wanted = [*rules.LABEL_COLUMNS, *kept, *(["lead_class"] if keep_class else [])]
     return instant(classed).select(wanted).unionByName(look_up(todo.drop(*[c for c in rules.LABEL_COLUMNS if c in todo.columns]), items).select(wanted))

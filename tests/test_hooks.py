@@ -119,6 +119,18 @@ def test_attempts_wait_and_end():
     assert run("x", "x", "7") == (None, "JSON_ERROR", 3, [5, 10])
 
 
+def test_a_batch_is_asked_once(spark, tmp_path):
+    rows = spark.createDataFrame([(f"site{k}.com", "Live", "a title", None, "plain words about shoes and coats that are sold here") for k in range(23)], "Domain string, Brand_Stage string, Title string, Meta_Description string, Page_Text string")
+
+    def model(request: str) -> str:
+        with open(tmp_path / "asked", "a") as f:
+            f.write("x\n")
+        return labelling.rule_model(request)
+
+    assert labelling.label(rows, model).count() == 23
+    assert (tmp_path / "asked").read_text().count("x") == 5
+
+
 def test_counts_beside_the_rows(spark):
     df, seen = progress.counted(spark.range(10), even=F.col("id") % 2 == 0)
     assert df.count() == 10 and seen.get == {"rows": 10, "even": 5}
