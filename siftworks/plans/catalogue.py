@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siftworks import rules
 from siftworks.functions import classify, html, text
 from siftworks.functions.domains import host, reject_reason
-from siftworks.operators import incremental, labelling, leads, progress
+from siftworks.operators import incremental, labelling, leads, phrases, progress
 from siftworks.plans import fixtures as fx
 from siftworks.session import scratch
 
@@ -304,12 +304,50 @@ def category_histogram(spark, sf_dir):
     return texts(spark, sf_dir).groupBy(classify.product_category(F.lower("text")).alias("category")).agg(n.alias("n"), F.ceil(n / rules.BATCH_SIZE).alias("batches"))
 
 
+def rule_table(spark, named: list) -> DataFrame:
+    """Rules as rows: priority, label, phrase."""
+    return spark.createDataFrame([(k, label, w) for k, (label, words) in enumerate(named) for w in words], "priority bigint, label string, phrase string")
+
+
 @query(f"SELECT doc_id FROM documents WHERE {has('lower(text)', rules.PRODUCT[3][1])}")
 def keyword_semijoin(spark, sf_dir):
-    """The rules as a table: a semi join on containment with a fixed handful of words."""
-    words = spark.createDataFrame([(w,) for w in rules.PRODUCT[3][1]], "word string")
+    """The texts in which one of a table's words is."""
     docs = read(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("low"))
-    return docs.join(F.broadcast(words), F.contains("low", "word"), "left_semi").select("doc_id")
+    found = phrases.hits(docs, rule_table(spark, rules.PRODUCT[3:4]), "doc_id", "low")
+    return found.select(F.col("key").alias("doc_id")).distinct()
+
+
+@query(f"SELECT doc_id, {CATEGORY} AS category FROM documents")
+def product_category_by_table(spark, sf_dir):
+    """The given rules as rows of a table instead of a CASE."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("low"))
+    return phrases.first_rule(docs, rule_table(spark, rules.PRODUCT), rules.PRODUCT_ELSE, "doc_id", "low").select(F.col("key").alias("doc_id"), F.col("label").alias("category"))
+
+
+#: Three phrases of each document, at different places of it, each a rule with the document's source as label.
+PHRASE_TABLE = """SELECT DISTINCT CASE WHEN k = 0 THEN doc_id ELSE 1000000000 - doc_id END AS priority, source AS label, trim(substr(text, (1 + (doc_id * 37 + k * 101) % 900)::INT, (9 + 7 * k)::INT), ' ') AS phrase
+  FROM (SELECT *, unnest([0, 1, 2]) AS k FROM documents) WHERE source IS NOT NULL AND length(trim(substr(text, (1 + (doc_id * 37 + k * 101) % 900)::INT, (9 + 7 * k)::INT), ' ')) > 4"""
+
+
+def phrase_table(spark, sf_dir) -> DataFrame:
+    rows = read(spark, sf_dir, "documents").where("source is not null").withColumn("k", F.explode(F.array(*map(F.lit, range(3)))))
+    phrase = F.trim(F.substring("text", (F.lit(1) + (F.col("doc_id") * 37 + F.col("k") * 101) % 900).cast("int"), F.lit(9) + F.col("k") * 7))
+    priority = F.when(F.col("k") == 0, F.col("doc_id")).otherwise(F.lit(1_000_000_000) - F.col("doc_id"))
+    return rows.select(priority.alias("priority"), F.col("source").alias("label"), phrase.alias("phrase")).where(F.length("phrase") > 4).distinct()
+
+
+@query(f"WITH p AS (SELECT DISTINCT phrase FROM ({PHRASE_TABLE})) SELECT phrase, count(*) AS documents FROM p JOIN documents d ON contains(d.text, phrase) GROUP BY phrase")
+def phrase_hits(spark, sf_dir):
+    """A table of phrases that grows with the documents, against all of them."""
+    found = phrases.hits(read(spark, sf_dir, "documents"), phrase_table(spark, sf_dir), "doc_id")
+    return found.groupBy("phrase").agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query(f"""WITH p AS ({PHRASE_TABLE}), h AS (SELECT doc_id, min({{'a': priority, 'b': label}}) AS r FROM p JOIN documents d ON contains(d.text, phrase) GROUP BY doc_id)
+  SELECT doc_id, coalesce((r).b, 'none') AS label FROM documents LEFT JOIN h USING (doc_id)""")
+def phrase_first_rule(spark, sf_dir):
+    """Of a table's rules the first that matches, for each document."""
+    return phrases.first_rule(read(spark, sf_dir, "documents"), phrase_table(spark, sf_dir), "none", "doc_id").select(F.col("key").alias("doc_id"), "label")
 
 
 @query(f"SELECT doc_id, {clean('text')} AS cleaned FROM {T}")
