@@ -38,3 +38,37 @@ def cut(df: DataFrame) -> DataFrame:
 def there(spark: SparkSession, path: str) -> bool:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; null if it isn't there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return None
+    stream = files.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small file as a whole: written beside and renamed, so that readers see the old text or the new."""
+    jvm = spark.sparkContext._jvm
+    at, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not files.rename(beside, at):  # most stores don't rename onto a file that is there
+        files.delete(at, False)
+        if not files.rename(beside, at):
+            raise OSError(f"{path} couldn't be written")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
