@@ -24,9 +24,9 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -35,7 +35,8 @@ from pyspark.sql import types as T
 
 from siftworks.llm.arrow import as_bytes, slices
 
-REMEMBERED = 1 << 18  # matches, and pairs of tokens, that a worker remembers
+REMEMBERED = 1 << 18  # matches (twice as many at times), and pairs of tokens, that a worker remembers
+NEVER = 1 << 62
 SHORT = 64
 UNKNOWN = "�".encode()
 
@@ -46,16 +47,20 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
 
 
 class Pieces(dict):
-    """Matches of the pattern and their ids, worked out when first asked for."""
+    """Matches of the pattern and their ids (the bytes of int32), worked out when first asked for. What was asked for lately stays: when
+    full, the matches before go, and those that are asked for again come back."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.before = vocabulary, {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        found = tuple(self.vocabulary.merge(piece.encode().decode("latin-1")))
+    def __missing__(self, piece: str) -> bytes:
+        found = self.before.get(piece)
+        if found is None:
+            found = array("i", self.vocabulary.merge(piece if piece.isascii() else piece.encode().decode("latin-1"))).tobytes()
         if len(piece) <= SHORT:
             if len(self) >= REMEMBERED:
+                self.before = dict(self)
                 self.clear()
             self[piece] = found
         return found
@@ -63,15 +68,15 @@ class Pieces(dict):
 
 class Vocabulary:
     def __init__(self, raw: bytes, pattern: str):
-        ranks = read_ranks(raw)
-        self.ids = {token.decode("latin-1"): i for token, i in ranks.items()}
+        self.ids = {token.decode("latin-1"): i for token, i in read_ranks(raw).items()}
         if missing := [b for b in range(256) if chr(b) not in self.ids]:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes, the first is {missing[0]}")
-        self.text_of = {i: token for token, i in self.ids.items()}
-        self.shorter: dict[int, int] = {}  # the longest token that is a beginning of this one
+        size = max(self.ids.values()) + 1
+        self.text_of, self.length, self.shorter = [""] * size, [0] * size, [-1] * size  # shorter: the longest token that is a beginning of this one
         reversed_tokens = ahocorasick.Automaton()
         for token, i in self.ids.items():
             reversed_tokens.add_word(token[::-1], i)
+            self.text_of[i], self.length[i] = token, len(token)
             self.shorter[i] = next((self.ids[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in self.ids), -1)
         reversed_tokens.make_automaton()
         self.automaton, self.pattern = reversed_tokens, regex.compile(pattern)
@@ -79,59 +84,60 @@ class Vocabulary:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether merging the bytes of a and b gives a and b again. a: -1 where b is the first."""
-        key = (a + 1) << 32 | b
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
-            found = self.pairs[key] = self.stays_apart(self.text_of[a], self.text_of[b]) if a >= 0 else self.stays_apart("", self.text_of[b])
+        if len(self.pairs) >= REMEMBERED:
+            self.pairs.clear()
+        found = self.pairs[a, b] = self.stays_apart(self.text_of[a] if a >= 0 else "", self.text_of[b])
         return found
 
     def stays_apart(self, a: str, b: str) -> bool:
+        rank_of = self.ids.get
         parts, border = [*a, *b], len(a)
-        while True:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                rank = self.ids.get(parts[k] + parts[k + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, k
-            if best is None:
-                return parts == ([a, b] if a else [b])
+        ranks = [rank_of(x + y, NEVER) for x, y in zip(parts, parts[1:], strict=False)]
+        while ranks and (best := min(ranks)) < NEVER:
+            at = ranks.index(best)
             if sum(map(len, parts[: at + 1])) == border:
                 return False
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-
-    def merge(self, piece: str) -> list[int] | array:
+            ranks.pop(at)
+            if at:
+                ranks[at - 1] = rank_of(parts[at - 1] + parts[at], NEVER)
+            if at < len(ranks):
+                ranks[at] = rank_of(parts[at] + parts[at + 1], NEVER)
+        return parts == ([a, b] if a else [b])
+
+    def merge(self, piece: str) -> list[int]:
         """The ids of one match, whose bytes are read as Latin-1."""
         if (whole := self.ids.get(piece)) is not None:
             return [whole]
         n, last = len(piece), -1
-        longest = array("q", bytes(8 * n))
+        longest = [-1] * (n + 1)
         for end, token in self.automaton.iter(piece[::-1]):  # of each end the longest comes first
             if end != last:
                 longest[n - 1 - end], last = token, end
-        closed, text_of, shorter = bytearray(n + 1), self.text_of, self.shorter
-        out, at, token = array("q"), 0, longest[0] if n else -1
+        closed, length, shorter, known = bytearray(n + 1), self.length, self.shorter, self.pairs.get
+        out, before, at, token = [], -1, 0, longest[0]
         while at < n:
             while token >= 0:
-                end = at + len(text_of[token])
-                if not closed[end] and self.compatible(out[-1] if out else -1, token):
-                    break
+                end = at + length[token]
+                if not closed[end]:
+                    fits = known((before, token))
+                    if self.compatible(before, token) if fits is None else fits:
+                        break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at = end
-                token = longest[at] if at < n else -1
+                before, at, token = token, end, longest[end]
             else:
                 closed[at] = 1
-                before = out.pop()
-                at -= len(text_of[before])
-                token = shorter[before]
+                back = out.pop()
+                at -= length[back]
+                before, token = out[-1] if out else -1, shorter[back]
         return out
 
-    def encode(self, text: str) -> array:
+    def encode(self, text: str) -> bytes:
+        """The ids as the bytes of int32."""
         found = self.pattern.findall(text) if len(text) < 1 << 20 else (m.group() for m in self.pattern.finditer(text))
-        return array("i", chain.from_iterable(map(self.pieces.__getitem__, found)))
+        return b"".join(map(self.pieces.__getitem__, found))
 
 
 _held: dict[str, Vocabulary] = {}
@@ -168,11 +174,11 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     return df.select(*placed, F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def lists(found: list[array]) -> pa.Array:
-    offsets = array("i", [0])
-    for x in found:
-        offsets.append(offsets[-1] + len(x))
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(array("i", chain.from_iterable(found)), pa.int32()))
+def lists(found: list[bytes]) -> pa.Array:
+    """Arrow's list of each text's ids, over the bytes as they are."""
+    offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found]))).astype(np.int32)
+    flat = b"".join(found)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.Array.from_buffers(pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)]))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -184,19 +190,30 @@ def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = decoder(held.value)
         for batch in slices(batches):
-            bytes_of = [b"".join([own.get(i, UNKNOWN) for i in x or ()]) for x in batch.column(at).to_pylist()]
+            ids_of = batch.column(at).fill_null([])
+            flat = ids_of.flatten().fill_null(-1).to_numpy(zero_copy_only=False).tolist()
+            ends = np.cumsum(np.diff(ids_of.offsets.to_numpy())).tolist()
+            tokens = list(map(own.__getitem__, flat))
+            bytes_of = [b"".join(tokens[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bytes_of, pa.binary())], names=[*names, to])
 
     return df.select(*names).mapInArrow(run, schema)
 
 
-_decoders: dict[str, dict[int, bytes]] = {}
+class Tokens(dict):
+    """The bytes of each id."""
+
+    def __missing__(self, _: int) -> bytes:
+        return UNKNOWN
+
+
+_decoders: dict[str, Tokens] = {}
 
 
-def decoder(raw: bytes) -> dict[int, bytes]:
-    """The bytes of each id, made once per worker."""
+def decoder(raw: bytes) -> Tokens:
+    """Made once per worker."""
     key = hashlib.sha256(raw).hexdigest()
     if key not in _decoders:
         _decoders.clear()
-        _decoders[key] = {i: token for token, i in read_ranks(raw).items()}
+        _decoders[key] = Tokens((i, token) for token, i in read_ranks(raw).items())
     return _decoders[key]

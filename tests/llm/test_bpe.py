@@ -2,6 +2,7 @@
 
 import base64
 import random
+from array import array
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ def encoding(raw):
     return tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(raw), special_tokens={})
 
 
+def ids(raw):
+    return array("i", raw).tolist()
+
+
 def texts():
     letters = "aaabcdeéßñ漢字かな한국어абвع  \n\t'019!?<|>—🙂́‍  \x1c\x85\0"
     out = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(400)]
@@ -31,7 +36,7 @@ def test_ids_are_tiktokens(name):
     raw = byte_bpe.ranks_at(tokenizers.path(name))
     own, theirs = byte_bpe.Vocabulary(raw, tokenizers.PATTERN), encoding(raw)
     for text in texts():
-        assert list(own.encode(text)) == theirs.encode_ordinary(text), text[:80]
+        assert ids(own.encode(text)) == theirs.encode_ordinary(text), text[:80]
 
 
 @pytest.mark.parametrize("name", FILES)
@@ -45,7 +50,7 @@ def test_pieces_without_a_pattern(name):
     readable = [t for t in (x.encode("latin-1").decode("utf-8", "ignore") for x in tokens) if t]
     pieces = readable + ["".join(rng.sample(readable, rng.randint(2, 5))) for _ in range(20_000)]
     for piece in pieces:
-        assert list(own.encode(piece)) == theirs.encode_ordinary(piece), piece
+        assert ids(own.encode(piece)) == theirs.encode_ordinary(piece), piece
 
 
 def test_ranks_that_merging_cannot_reach(tmp_path):
@@ -56,8 +61,8 @@ def test_ranks_that_merging_cannot_reach(tmp_path):
     theirs = tiktoken.Encoding("small", pat_str=r"[\s\S]+", mergeable_ranks=byte_bpe.read_ranks(raw), special_tokens={})
     for n in range(1, 2000):
         text = "".join(rng.choice("abcdexyz") for _ in range(1 + n % 14))
-        assert list(own.encode(text)) == theirs.encode_ordinary(text), text
-    assert len(own.encode("xyz")) == 1 and len(own.encode("xyzx")) == 4
+        assert ids(own.encode(text)) == theirs.encode_ordinary(text), text
+    assert len(ids(own.encode("xyz"))) == 1 and len(ids(own.encode("xyzx"))) == 4
     with pytest.raises(ValueError, match="lacks"):
         byte_bpe.Vocabulary(b"YQ== 0", "a")
 
@@ -67,7 +72,7 @@ def test_memories_that_are_full(monkeypatch):
     raw = byte_bpe.ranks_at(tokenizers.path(FILES[0]))
     own, theirs = byte_bpe.Vocabulary(raw, tokenizers.PATTERN), encoding(raw)
     text = " ".join(texts()[:80])
-    assert list(own.encode(text)) == theirs.encode_ordinary(text) and len(own.pieces) <= 3 and len(own.pairs) <= 3
+    assert ids(own.encode(text)) == theirs.encode_ordinary(text) and max(len(own.pieces), len(own.pieces.before), len(own.pairs)) <= 3
 
 
 def test_tables(spark):
@@ -99,7 +104,7 @@ def test_query_against_tiktoken(spark):
     theirs, want = encoding(byte_bpe.ranks_at(tokenizers.path(FILES[0]))), []
     sha = lambda x: hashlib.sha256(x).hexdigest()
     for i, t in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
-        ids = theirs.encode_ordinary(t or "")
-        want.append((i, len(ids), sha(",".join(map(str, ids)).encode()), sha((t or "").encode())))
+        found = theirs.encode_ordinary(t or "")
+        want.append((i, len(found), sha(",".join(map(str, found)).encode()), sha((t or "").encode())))
     got = queries.op12_byte_bpe(spark, sf).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
     assert sorted(map(tuple, got)) == sorted(want)
