@@ -31,21 +31,30 @@ def instant(classed: DataFrame) -> DataFrame:
     return found.withColumns({c: F.col("__label")[i] for i, c in enumerate(rules.LABEL_COLUMNS)}).drop("__label")
 
 
-def number_batches(rows: DataFrame, *key: str, size: int = rules.BATCH_SIZE, ranges: int | None = None) -> DataFrame:
-    """Adds batch and index: consecutive rows in order of the key columns, `size` to a batch. Rows alike in all of them are
-    numbered in any order.
+def numbered(rows: DataFrame, *key: str | Column, ranges: int | None = None, steady: bool = False) -> DataFrame:
+    """Adds place, from 0, in order of the key. Rows alike in all of it are numbered in any order.
 
-    Rows are numbered within ranges of the key and shifted by what the ranges before hold, so that no task has to number all.
-    The ranges, as many as a shuffle has partitions but 64 at least, are cut from their lineage: both uses must see the same ones.
+    Rows are numbered within ranges of the key and shifted by what the ranges before hold, so that no task has to number all. Rows with
+    one key are told apart by where they lie, so that ranges split them, too: no key, however common, fills a task. Where they lie has
+    to be the same whenever it is asked: rows are cut first, unless they are steady (of files or cut already, and filtered at most).
+    The ranges, as many as a shuffle has partitions but 64 at least, are cut as well: both uses must see the same ones.
     """
     ranges = ranges or max(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    parts = cut(rows.repartitionByRange(ranges, *key)).withColumn("__part", F.spark_partition_id())
-    inner = parts.withColumn("__n", F.row_number().over(W.partitionBy("__part").orderBy(*key)))
+    key = [F.col(k) if isinstance(k, str) else k for k in key]
+    names = [f"__key{k}" for k in range(len(key))] + ["__tie"]
+    told = (rows if steady else cut(rows)).withColumns(dict(zip(names, [*key, F.monotonically_increasing_id()], strict=True)))
+    parts = cut(told.repartitionByRange(ranges, *names)).withColumn("__part", F.spark_partition_id())
+    inner = parts.withColumn("__n", F.row_number().over(W.partitionBy("__part").orderBy(*names)))
     counts = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     before = F.coalesce(F.sum("__rows").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("__part", before.alias("__before"))  # at most `ranges` rows
-    place = F.col("__before") + F.col("__n") - 1
-    return inner.join(F.broadcast(offsets), "__part").withColumn("batch", F.floor(place / size).cast("bigint")).withColumn("index", (place % size).cast("int")).drop("__part", "__n", "__before")
+    return inner.join(F.broadcast(offsets), "__part").withColumn("place", F.col("__before") + F.col("__n") - 1).drop("__part", "__n", "__before", *names)
+
+
+def number_batches(rows: DataFrame, *key: str, size: int = rules.BATCH_SIZE, ranges: int | None = None, steady: bool = False) -> DataFrame:
+    """Adds batch and index: consecutive rows in order of the key columns, `size` to a batch. See numbered()."""
+    found = numbered(rows, *key, ranges=ranges, steady=steady)
+    return found.withColumn("batch", F.floor(F.col("place") / size).cast("bigint")).withColumn("index", (F.col("place") % size).cast("int")).drop("place")
 
 
 def request_item(title: Column, meta: Column, text: Column, domain: Column, index: Column) -> Column:
@@ -58,6 +67,19 @@ def requests(numbered: DataFrame) -> DataFrame:
     return numbered.select("batch", item.alias("item")).groupBy("batch").agg(F.to_json(F.array_sort(F.collect_list("item"))).alias("request"))
 
 
+def envelopes(requests_: DataFrame, model: str, instructions: str, temperature: float = 0.0) -> DataFrame:
+    """batch, request: each batch's request in the envelope that a chat service takes: the model's name, the instructions as the system's
+    message, the batch as the user's, how free the answer may be, and that it has to be a JSON object."""
+    message = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    whole = F.struct(
+        F.lit(model).alias("model"),
+        F.array(message("system", F.lit(instructions)), message("user", F.col("request"))).alias("messages"),
+        F.lit(temperature).alias("temperature"),
+        F.struct(F.lit("json_object").alias("type")).alias("response_format"),
+    )
+    return requests_.select("batch", F.to_json(whole).alias("request"))
+
+
 class RateLimited(Exception):
     """What a model raises to be asked again later. seconds: how much later."""
 
@@ -100,15 +122,24 @@ def ask_once(model: Callable[[str], str], request: str, attempts: int, sleep: Ca
     return None, error, attempts
 
 
-def ask(requests_: DataFrame, model: Callable[[str], str], attempts: int = rules.ATTEMPTS, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """batch, raw, error, tries: the model's answers. A batch whose attempts all fail has an error and no answer."""
+def ask(requests_: DataFrame, model: Callable[[str], str], attempts: int = rules.ATTEMPTS, sleep: Callable[[float], None] = time.sleep, pause: float = 0.0, lanes: int | None = None) -> DataFrame:
+    """batch, raw, error, tries: the model's answers. A batch whose attempts all fail has an error and no answer.
+
+    pause: seconds between a task's batches. lanes: how many tasks ask side by side at most; with both, a service gets lanes / pause
+    requests a second at most, besides those that are tried again."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first = True
         for frame in frames:
-            out = [(batch, *ask_once(model, request, attempts, sleep)) for batch, request in zip(frame["batch"], frame["request"], strict=True)]
+            out = []
+            for batch, request in zip(frame["batch"], frame["request"], strict=True):
+                if pause and not first:
+                    sleep(pause)
+                first = False
+                out.append((batch, *ask_once(model, request, attempts, sleep)))
             yield pd.DataFrame(out, columns=["batch", "raw", "error", "tries"])
 
-    return requests_.mapInPandas(run, "batch bigint, raw string, error string, tries int")
+    return (requests_.coalesce(lanes) if lanes else requests_).mapInPandas(run, "batch bigint, raw string, error string, tries int")
 
 
 def outcome(numbered: DataFrame, answers: DataFrame) -> DataFrame:
@@ -195,17 +226,20 @@ def label(leads: DataFrame, model: Callable[[str], str], key: str = "Domain", sl
     Batches are in order of key; rows that share it, by what the model is told of them. The answers are written before they are
     read, so each batch is asked once. keep_class: with lead_class."""
     classed = cut(split_classes(leads))
-    todo = number_batches(classed.where("lead_class = 'ai'"), key, *[c for c in ("Title", "Meta_Description", "Page_Text") if c != key])
+    todo = number_batches(classed.where("lead_class = 'ai'"), key, *[c for c in ("Title", "Meta_Description", "Page_Text") if c != key], steady=True)
     items = cut(parse_answers(cut(ask(requests(todo), model, sleep=sleep))))
     kept = [c for c in leads.columns if c not in rules.LABEL_COLUMNS]
     wanted = [*rules.LABEL_COLUMNS, *kept, *(["lead_class"] if keep_class else [])]
     return instant(classed).select(wanted).unionByName(look_up(todo.drop(*[c for c in rules.LABEL_COLUMNS if c in todo.columns]), items).select(wanted))
 
 
+def class_rank() -> Column:
+    return F.array_position(F.array(*map(F.lit, rules.CLASS_ORDER)), F.col("lead_class"))
+
+
 def in_class_order(labelled: DataFrame, key: str = "Domain") -> DataFrame:
     """Rows by lead_class, in the order in which a run hands them out: instant classes first. A sort, for those who need the order."""
-    rank = F.array_position(F.array(*map(F.lit, rules.CLASS_ORDER)), F.col("lead_class"))
-    return labelled.orderBy(rank, key)
+    return labelled.orderBy(class_rank(), key)
 
 
 def rule_model(request: str) -> str:

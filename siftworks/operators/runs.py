@@ -78,14 +78,27 @@ def due(dates: DataFrame, archive: DataFrame, today: date | None = None, first_o
     return every.limit(1) if first_only else every
 
 
-def run_days(days: DataFrame, step: Callable[[date], None], max_runtime: float = rules.MAX_RUNTIME, clock: Callable[[], float] = time.monotonic) -> list[date]:
+def patiently(step: Callable[[date], None], one: date, tries: int, sleep: Callable[[float], None]) -> None:
+    """A step that fails is done again, with growing waits; the last failure is raised. Steps replace what they write, so a half-done
+    one leaves nothing behind."""
+    for n in range(1, tries + 1):
+        try:
+            return step(one)
+        except Exception:
+            if n == tries:
+                raise
+            sleep(rules.BACK_OFF * n)
+
+
+def run_days(days: DataFrame, step: Callable[[date], None], max_runtime: float = rules.MAX_RUNTIME, clock: Callable[[], float] = time.monotonic, tries: int = 1, sleep: Callable[[float], None] = time.sleep) -> list[date]:
     """Does one day after the other, the oldest first, and returns those done. Time is looked at between days only. A day that fails
-    ends the run; the days before it are done. The driver holds the days (some thousands at most), not their rows."""
+    is tried again, `tries` times in all, then ends the run; the days before it are done. The driver holds the days (some thousands
+    at most), not their rows."""
     began, done = clock(), []
     for (one,) in days.select("dt").distinct().orderBy("dt").collect():
         if clock() - began >= max_runtime:
             break
-        step(one)
+        patiently(step, one, tries, sleep)
         done.append(one)
     return done
 

@@ -438,7 +438,7 @@ def instant_labels(spark, sf_dir):
 
 @query("SELECT doc_id, (n - 1) // 5 AS batch, ((n - 1) % 5)::INT AS index FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents)")
 def batch_index(spark, sf_dir):
-    return labelling.number_batches(read(spark, sf_dir, "documents").select("doc_id"), "doc_id").select("doc_id", "batch", "index")
+    return labelling.number_batches(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", steady=True).select("doc_id", "batch", "index")
 
 
 ITEM_SQL = f"{{'index': index, 'domain': Domain, 'title': {clean('Title', 150)}, 'meta': {clean('Meta_Description', 300)}, 'content': content}}"
@@ -551,12 +551,10 @@ def labelled_leads(spark, sf_dir):
 
 @query(f"""{LABELLED} SELECT page_id, lead_class, row_number() OVER (ORDER BY list_position({rules.CLASS_ORDER}, lead_class), page_id) AS nth FROM labelled""")
 def class_order(spark, sf_dir):
-    """The order in which rows are handed out: instant classes first, then the model's. Numbered in one task, for the comparison only."""
-    from pyspark.sql import Window as W
-
+    """The order in which rows are handed out: instant classes first, then the model's."""
     labelled = labelling.label(leads.enrich(pages(spark, sf_dir), keep=("page_id",)), labelling.rule_model, keep_class=True)
-    ordered = labelling.in_class_order(labelled.select("page_id", "lead_class"), "page_id")
-    return ordered.select("page_id", "lead_class", F.monotonically_increasing_id().alias("m")).select("page_id", "lead_class", F.row_number().over(W.orderBy("m")).cast("bigint").alias("nth"))
+    found = labelling.numbered(labelled.select("page_id", "lead_class"), labelling.class_rank(), "page_id")
+    return found.select("page_id", "lead_class", (F.col("place") + 1).alias("nth"))
 
 
 # --- streams and files ------------------------------------------------------------------------------------------------------

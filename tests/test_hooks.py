@@ -131,6 +131,16 @@ def test_a_batch_is_asked_once(spark, tmp_path):
     assert (tmp_path / "asked").read_text().count("x") == 5
 
 
+def test_a_pause_between_batches_in_each_lane(spark, tmp_path):
+    def sleep(s: float) -> None:
+        with open(tmp_path / "waits", "a") as f:
+            f.write(f"{s}\n")
+
+    requests = spark.range(10).selectExpr("id as batch", "'[]' as request").repartition(4)
+    assert labelling.ask(requests, lambda r: "[]", sleep=sleep, pause=0.5, lanes=2).count() == 10
+    assert (tmp_path / "waits").read_text().split() == ["0.5"] * 8
+
+
 def test_counts_beside_the_rows(spark):
     df, seen = progress.counted(spark.range(10), even=F.col("id") % 2 == 0)
     assert df.count() == 10 and seen.get == {"rows": 10, "even": 5}

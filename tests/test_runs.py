@@ -27,6 +27,32 @@ def test_days_are_done_oldest_first_until_time_is_up(spark):
     assert runs.run_days(days.limit(0), done.append) == []
 
 
+def test_a_day_that_fails_is_tried_again(spark):
+    days = spark.createDataFrame([(datetime.date(2024, 1, k),) for k in (1, 2)], "dt date")
+    tried, waits = [], []
+
+    def step(one):
+        tried.append(one.day)
+        if one.day == 1 and len(tried) < 3 or one.day == 2:
+            raise OSError
+
+    with pytest.raises(OSError):
+        runs.run_days(days, step, tries=3, sleep=waits.append)
+    assert tried == [1, 1, 1, 2, 2, 2] and waits == [5, 10, 5, 10]
+
+
+@pytest.mark.parametrize("steady", [True, False])
+def test_rows_with_one_key_are_numbered_by_many_tasks(spark, steady):
+    """Half of the rows have one key, and all of those are alike: no range has more than a small share."""
+    rows = spark.range(0, 4000, numPartitions=3).selectExpr("if(id % 2 = 0, 'hot', cast(id as string)) as k", "1 as x")
+    seen = labelling.numbered(rows, "k", ranges=16, steady=steady)
+    assert sorted(r["place"] for r in seen.collect()) == list(range(4000))
+    ordered = [r["k"] for r in seen.orderBy("place").collect()]
+    assert ordered == sorted(ordered)
+    told = rows.withColumn("t", F.monotonically_increasing_id()).repartitionByRange(16, "k", "t").withColumn("p", F.spark_partition_id())
+    assert told.groupBy("p").count().agg(F.max("count")).first()[0] < 4000 / 8
+
+
 def test_todays_day_is_last_and_done_anew(spark):
     days = spark.createDataFrame([(datetime.date(2024, 1, k),) for k in (1, 2, 3, 9)], "dt date")
     archive = spark.createDataFrame([(datetime.date(2024, 1, 2), "x" * 60), (datetime.date(2024, 1, 3), "y" * 60)], "dt date, head string")
