@@ -2,41 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftworks.session import cut, scratch, shared_dir  # noqa: F401  (the operators' names for them; on a cluster the folder has to be set)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if held.isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siftworks-"))
-            held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = held.get()
-    return found.rstrip("/")
-
-
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/siftworks/{what}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage by a checkpoint in the shared folder, so that a lost executor loses nothing of it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def bounded(df: DataFrame, most: int = 1 << 20) -> DataFrame:
     """For joins: broadcast up to a number of rows (of a few numbers each), else left to Spark, which shuffles both sides.
 
