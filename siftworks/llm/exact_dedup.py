@@ -9,17 +9,20 @@ leave the scan: only their digests are moved.
 Defined cases: a null text counts as empty; a null doc_id never wins unless all ids of its group are null; rows that repeat
 both doc_id and text are one document and get the same answer; an empty batch appends nothing; other columns are ignored. Of
 equal texts the largest doc_id of the batch that brought them first stays: what later batches bring changes neither it nor the
-size of its group.
+size of its group. An index keeps the number of buckets it was made with, whatever is asked for when it is opened again; a folder
+with data but without the index's own record (index.json) is refused.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import cut, join_groups, partitions, scratch, text_or_empty
+from siftworks.llm.common import cut, forget, join_groups, partitions, scratch, text_or_empty
+from siftworks.session import read_small, there, write_small
 
 SCHEMA = "digest string, keep_id bigint, group_size bigint"
 
@@ -29,12 +32,29 @@ def digest_of(text: Column) -> Column:
 
 
 class DigestIndex:
-    """A digest table at a path: opened if there, else made. buckets: of the table; about 128 MB each is a good size."""
+    """A digest table at a path: opened if there, else made. buckets: of a new one; about 128 MB each is a good size.
+
+    <path>/index.json says how many buckets it has and in which folder the data are; it is replaced as a whole by compact()."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
-        self.spark, self.path, self.buckets, self.name = spark, path, int(buckets), f"digests_{uuid.uuid4().hex}"
-        at = path.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {self.name} ({SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{at}'")
+        self.spark, self.path, self.name = spark, path.rstrip("/"), ""
+        held = read_small(spark, f"{self.path}/index.json")
+        if held is None:
+            if there(spark, self.path):
+                raise ValueError(f"{path} has no index.json, so the number of its buckets isn't known")
+            held = json.dumps({"buckets": int(buckets), "folder": "digests"})
+            write_small(spark, f"{self.path}/index.json", held)
+        self._take(json.loads(held))
+
+    def _take(self, held: dict) -> None:
+        self.close()
+        self.buckets, self.folder = held["buckets"], held["folder"]
+        self.name = self._table(self.folder)
+
+    def _table(self, folder: str) -> str:
+        name, at = f"digests_{uuid.uuid4().hex}", f"{self.path}/{folder}".replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"CREATE TABLE {name} ({SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{at}'")
+        return name
 
     def entries(self) -> DataFrame:
         self.spark.sql(f"REFRESH TABLE {self.name}")
@@ -59,9 +79,21 @@ class DigestIndex:
         """Appends what is new. A digest that the index holds keeps its first entry."""
         self.unseen(groups).select("digest", "keep_id", "group_size").write.insertInto(self.name)
 
+    def compact(self) -> None:
+        """One sorted file for each bucket again, after many batches. The new folder takes the old one's place in one step."""
+        folder = f"digests-{uuid.uuid4().hex}"
+        name = self._table(folder)
+        self.entries().groupBy("digest").agg(F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size")).write.insertInto(name)
+        self.spark.sql(f"DROP TABLE {name}")
+        old, held = self.folder, {"buckets": self.buckets, "folder": folder}
+        write_small(self.spark, f"{self.path}/index.json", json.dumps(held))
+        self._take(held)
+        forget(self.spark, f"{self.path}/{old}")
+
     def close(self) -> None:
         """Forgets the table's name; its files stay."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        if self.name:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
 def groups_of(digests: DataFrame) -> DataFrame:
