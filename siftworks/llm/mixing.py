@@ -13,7 +13,7 @@ taken once more: they are numbered within their partitions and shifted by what t
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order; a null doc_id sorts as 'null', rows
 without one by their texts; repeated rows count each for itself, and which of them are taken makes no difference (but for carried
-columns in which they differ); an empty table gives no rows; sources without words have target 0.
+columns in which they differ); an empty table gives no rows; sources without words have target 0; columns of docs that aren't carried are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from siftworks.llm.common import cut, partitions, text_or_empty
 
 WORDS = r"[^\x20\x09-\x0D]+"
 MAX_BROADCAST_SOURCES = 100_000
+ADDED = ("size", "source_size", "target", "copies", "taken")
 
 
 def n_words(text: Column) -> Column:
@@ -73,9 +74,10 @@ def water_fill(sources: DataFrame, max_epochs: int = 3) -> DataFrame:
 def mix(docs: DataFrame, max_epochs: int = 3, cycle: tuple[int, ...] = (1, 2, 3), seed: int = 42, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target (its source's), copies and taken (words, repeats counted).
 
-    carry: other columns of docs to keep along (for a pipeline's stage; they are moved with the rows).
+    carry: other columns of docs to keep along (for a pipeline's stage; they are moved with the rows). One that is named as a column
+    that is added, or as one of the operator's own (__...), is left out.
     """
-    names = ["doc_id", "source", *(c for c in carry if c not in ("doc_id", "source"))]
+    names = ["doc_id", "source", *(c for c in dict.fromkeys(carry) if c not in ("doc_id", "source", *ADDED) and not c.startswith("__"))]
     keyed = docs.select(*names, n_words(text_or_empty()).alias("__size"), seeded_key(F.col("doc_id"), text_or_empty(), seed).alias("__key"))
     keyed = keyed.withColumn("__source", F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))).withColumn("__range", F.substring("__key", 1, 3))
     light = cut(keyed.select("source", "__source", "__range", "__key", "__size", "doc_id"))
