@@ -136,6 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN, grade: Colu
     """A model from at most `most` labelled rows of docs. grade: an expression over labels, 0 to 2."""
     graded = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), (grade_of(labels) if grade is None else grade).cast("int").alias("grade"))
     marked = graded.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.max("grade").alias("grade"))
+    marked = marked.join(docs.select(F.col("doc_id").cast("bigint").alias("doc_id")), "doc_id", "left_semi")  # labels of other documents take no place
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # bounded, so it may be broadcast
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
 
