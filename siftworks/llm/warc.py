@@ -45,7 +45,21 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 def file_system(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri)
+
+
+def default_store(spark: SparkSession) -> str:
+    """What Spark puts before a path that names no store: its default file system, local or shared."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(spark.sparkContext._jsc.hadoopConfiguration()).toString().rstrip("/")
+
+
+def in_store(path: str, store: str) -> str:
+    """A path with its store, as Spark takes it."""
+    if "://" in path:
+        return path
+    if path.startswith("file:"):
+        return f"file://{path.removeprefix('file:')}"
+    return f"file://{path}" if store == "file:" else f"{store}{path}"
 
 
 # --- ZIP --------------------------------------------------------------------------------------------------------------------
@@ -226,6 +240,7 @@ def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def write_packages(planned: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
     """Writes planned records; returns the packages (path, records, bytes), cut so that each is written once."""
+    folder = in_store(folder, default_store(planned.sparkSession))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         package, done = None, []
@@ -260,9 +275,11 @@ def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
         if held:
             yield held
 
+    store = default_store(packages.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in (x for batch in batches for x in batch.column(0).to_pylist()):
-            system, local = file_system(path)
+            system, local = file_system(in_store(path, store))
             with system.open_input_file(local) as file:
                 parts = members(file, file.size())
 
