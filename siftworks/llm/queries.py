@@ -233,16 +233,18 @@ FROM x
 """.replace("substr(A,", f"substr('{warc.BASE32}',")
 
 
-def sharding_sql(limit: int = sharding.LIMIT, documents: str = "documents") -> str:
+def sharding_sql(limit: int = sharding.LIMIT, documents: str = "documents", fewest: int = sharding.FEWEST) -> str:
+    most = f"(SELECT least({limit}, ceil(coalesce(sum(n), 0)::DECIMAL(38, 0) / {fewest}))::BIGINT FROM t)" if fewest else str(limit)
     return f"""
-WITH t AS (SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT AS n,
+WITH t AS MATERIALIZED (SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT AS n,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS k FROM {documents}),
+most AS MATERIALIZED (SELECT {most} AS most),
 d AS (SELECT t.*, unnest(range(0, 61)) AS depth FROM t),
 s AS (SELECT depth, k >> (60 - depth) AS p, sum(n)::BIGINT AS bytes FROM d GROUP BY ALL),
 leaf AS (SELECT d.doc_id, d.n, d.k, min_by({{'depth': d.depth, 'p': s.p, 'bytes': s.bytes}}, d.depth) AS l
-  FROM d JOIN s ON s.depth = d.depth AND s.p = d.k >> (60 - d.depth) WHERE s.bytes <= {limit} OR d.depth = 60 GROUP BY d.doc_id, d.n, d.k),
+  FROM d JOIN s ON s.depth = d.depth AND s.p = d.k >> (60 - d.depth) CROSS JOIN most WHERE s.bytes <= most OR d.depth = 60 GROUP BY d.doc_id, d.n, d.k),
 named AS (SELECT doc_id, n, k, l.depth AS depth, l.bytes AS bytes, CASE WHEN l.depth = 0 THEN 'b' ELSE 'b' || lpad(bin(l.p), l.depth::INT, '0') END AS shard FROM leaf)
-SELECT doc_id, n AS n_bytes, depth::INT AS depth, CASE WHEN bytes > {limit} THEN shard || '.0' ELSE shard END AS shard, bytes AS shard_bytes, bytes > {limit} AS oversize FROM named
+SELECT doc_id, n AS n_bytes, depth::INT AS depth, CASE WHEN bytes > most THEN shard || '.0' ELSE shard END AS shard, bytes AS shard_bytes, bytes > most AS oversize FROM named CROSS JOIN most
 """
 
 

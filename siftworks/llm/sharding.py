@@ -16,11 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import cut, text_or_empty
+from siftworks.llm.common import cut, join_groups, text_or_empty
 
 BITS, STEP = 60, 12
 LIMIT = 64 << 20
-ADDED = ("n_bytes", "depth", "shard", "shard_bytes", "oversize", "__key", "__at", "__n", "__max", "__base", "__total", "__each", "__part")
+#: A table that would give fewer shards than this at the limit gets a lower one: its bytes divided by this.
+FEWEST = 40
+#: For a directory of up to so many leaves, at so many depths, rows find theirs by a broadcast.
+BROADCAST_LEAVES, BROADCAST_DEPTHS = 1 << 20, 16
+ADDED = ("n_bytes", "depth", "shard", "shard_bytes", "oversize", "__key", "__rows", "__depth", "__prefix", "__address", "__at", "__n", "__max", "__base", "__total", "__each", "__part")
 
 
 def key_bits() -> Column:
@@ -55,24 +59,38 @@ def directory(keyed: DataFrame, limit: int) -> DataFrame:
         level += STEP
 
 
-def shard(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+def with_leaves(rows: DataFrame, keyed: DataFrame, leaves: DataFrame) -> DataFrame:
+    """rows with depth, shard and shard_bytes of their leaves. keyed: __key of the rows.
+
+    A row has an address at each depth in use, of which one is a leaf. A small directory is brought to the rows. Else, or where repeated
+    rows have drawn it out over many depths, each distinct key finds its leaf and the rows meet it by key: frequent keys by a broadcast."""
+    depths = sorted(r[0] for r in leaves.select("__depth").distinct().collect()) or [0]  # 61 at most
+    bits = F.when(F.col("__depth") == 0, F.lit("b")).otherwise(F.concat(F.lit("b"), F.expr("lpad(conv(__prefix, 10, 2), __depth, '0')")))
+    named = leaves.select("__depth", "__prefix", F.col("__depth").alias("depth"), bits.alias("shard"), "shard_bytes")
+    address = F.explode(F.array(*[F.struct(F.lit(d).alias("__depth"), prefix(F.col("__key"), d).alias("__prefix")) for d in depths])).alias("__address")
+    meet = lambda df: df.select("*", address).select("*", "__address.*").drop("__address")
+    if len(depths) <= BROADCAST_DEPTHS and leaves.count() <= BROADCAST_LEAVES:
+        return meet(rows).join(F.broadcast(named), ["__depth", "__prefix"]).drop("__depth", "__prefix")
+    each = keyed.groupBy("__key").agg(F.count(F.lit(1)).alias("__rows"))
+    return join_groups(rows, cut(meet(each).join(named, ["__depth", "__prefix"]).drop("__depth", "__prefix")), "__key", "__rows").drop("__rows")
+
+
+def shard(docs: DataFrame, limit: int = LIMIT, fewest: int = FEWEST) -> DataFrame:
     """The rows of docs (but for columns named as those added) with n_bytes, depth, shard, shard_bytes and oversize.
 
-    shard: 'b' and the bits of the key that index its bucket; for rows alike in all bits also '.' and a number.
+    shard: 'b' and the bits of the key that index its bucket; for rows alike in all bits also '.' and a number. limit: bytes of a shard
+    at most; less where the table would not give `fewest` shards (0: never).
     """
     kept = [c for c in docs.columns if c not in ADDED]
     rows = docs.select(*kept, F.octet_length(text_or_empty()).cast("bigint").alias("n_bytes"), key_bits().alias("__key"))
     keyed = cut(rows.select("__key", "n_bytes"))
+    if fewest:
+        limit = min(limit, -(-(keyed.agg(F.sum("n_bytes")).first()[0] or 0) // fewest))
     leaves = directory(keyed, limit)
-    depths = [r[0] for r in leaves.select("__depth").distinct().collect()]  # 61 at most
-    address = F.array(*[F.struct(F.lit(d).alias("__depth"), prefix(F.col("__key"), d).alias("__prefix")) for d in sorted(depths)] or [F.struct(F.lit(0).alias("__depth"), F.lit(0).cast("bigint").alias("__prefix"))])
-    # one address per depth in use for each key, of which one is a leaf; only keys are moved here, not texts
-    leaf_of = keyed.select("__key").distinct().select("__key", F.explode(address).alias("a")).select("__key", "a.*").join(leaves, ["__depth", "__prefix"])
-    bits = F.when(F.col("__depth") == 0, F.lit("b")).otherwise(F.concat(F.lit("b"), F.expr("lpad(conv(__prefix, 10, 2), __depth, '0')")))
-    leaf_of = leaf_of.select("__key", F.col("__depth").alias("depth"), bits.alias("shard"), "shard_bytes")
+    found = with_leaves(rows, keyed, leaves)
     if leaves.where((F.col("__depth") == BITS) & (F.col("shard_bytes") > limit)).isEmpty():
-        return rows.join(leaf_of, "__key").select(*kept, "n_bytes", "depth", "shard", "shard_bytes", (F.col("shard_bytes") > limit).alias("oversize"))
-    found = cut(rows.join(leaf_of, "__key")).withColumn("__at", F.spark_partition_id())
+        return found.select(*kept, "n_bytes", "depth", "shard", "shard_bytes", (F.col("shard_bytes") > limit).alias("oversize"))
+    found = cut(found).withColumn("__at", F.spark_partition_id())
     alike = (F.col("depth") == BITS) & (F.col("shard_bytes") > limit)
     same = found.where(alike)
     counts = same.groupBy("__key", "__at").agg(F.count(F.lit(1)).alias("__n"), F.max("n_bytes").alias("__max"))

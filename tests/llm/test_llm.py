@@ -430,6 +430,25 @@ def test_index_keeps_over_batches(spark, tmp_path):
     again.close()
 
 
+@pytest.mark.parametrize("buckets", [2, 16, 32])
+def test_index_keeps_its_buckets(spark, tmp_path, buckets):
+    """Opened with fewer or more, the same texts are no news; nor after a compaction."""
+    path, texts = f"file://{tmp_path}/index", spark.createDataFrame([(k, f"text {k}") for k in range(200)], "doc_id long, text string")
+    for k, n in enumerate((8, buckets, buckets)):
+        index = exact_dedup.DigestIndex(spark, path, n)
+        more = spark.createDataFrame([(9000 + k, f"more {k}")], "doc_id long, text string")
+        found = exact_dedup.deduplicate(texts.withColumn("doc_id", F.col("doc_id") + 1000 * k).unionByName(more), index)
+        assert index.buckets == 8 and found.where("kept").count() == (1 if k else 201) and index.entries().count() == 201 + k
+        if k == 1:
+            files = len(index.entries().inputFiles())
+            index.compact()
+            assert len(index.entries().inputFiles()) < files and index.entries().count() == 202
+        index.close()
+    spark.range(1).write.parquet(f"{tmp_path}/other")
+    with pytest.raises(ValueError, match="index.json"):
+        exact_dedup.DigestIndex(spark, f"file://{tmp_path}/other", 4)
+
+
 def test_index_leaves_no_name_behind(spark, docs):
     before = {t.name for t in spark.catalog.listTables()}
     assert exact_dedup.exact_dedup(docs).count() == len(TEXTS)
@@ -535,6 +554,16 @@ def test_warc_round_trip(spark):
     assert {r["record_type"] for r in warc.archive_and_read(spark, pages, least_bytes=1 << 30).collect()} == {"response"}
 
 
+def test_paths_without_a_store_are_sparks(spark, tmp_path):
+    assert warc.in_store("/a/b", "hdfs://host:8020") == "hdfs://host:8020/a/b" and warc.in_store("/a", "file:") == "file:///a"
+    assert warc.in_store("file:/a", "hdfs://host") == "file:///a" and warc.in_store("s3a://b/c", "hdfs://host") == "s3a://b/c"
+    pages = spark.createDataFrame([(1, "http://a", "x"), (2, "http://b", "x")], "page_id long, url string, html string")
+    packages = warc.write_packages(warc.plan_records(pages), str(tmp_path / "archives"))
+    assert all(r["path"].startswith("file:///") for r in packages.collect())
+    plain = packages.withColumn("path", F.replace("path", F.lit("file://"), F.lit("")))
+    assert warc.read_packages(plain).count() == 2
+
+
 def test_payloads_are_reduced_before_they_are_moved(spark):
     """The html column enters shuffles only as the partial result of one payload per digest."""
     pages = spark.createDataFrame([(i, "u", "same") for i in range(9)] + [(99, "u", None)], "page_id long, url string, html string")
@@ -601,7 +630,7 @@ def test_damaged_payload_is_told():
 
 def test_shards_fit(spark, docs, empty):
     for limit in (1 << 26, 4000, 300):
-        got = sharding.shard(odd(docs), limit).collect()
+        got = sharding.shard(odd(docs), limit, 0).collect()
         assert len(got) == len(TEXTS)
         sums, counts = Counter(), Counter()
         for r in got:
@@ -623,14 +652,14 @@ def test_shards_split_only_when_too_large(spark, docs):
     frame = docs.select("doc_id", "text").toPandas()
     con = duckdb.connect()
     con.register("documents", frame)
-    want = {tuple(r) for r in con.execute(sharding_sql(2000)).fetchall()}
-    got = {(r["doc_id"], r["n_bytes"], r["depth"], r["shard"], r["shard_bytes"], r["oversize"]) for r in sharding.shard(docs, 2000).collect()}
+    want = {tuple(r) for r in con.execute(sharding_sql(2000, fewest=0)).fetchall()}
+    got = {(r["doc_id"], r["n_bytes"], r["depth"], r["shard"], r["shard_bytes"], r["oversize"]) for r in sharding.shard(docs, 2000, 0).collect()}
     assert got == want
 
 
 def test_rows_alike_are_dealt_out(spark):
     rows = spark.createDataFrame([(1, "x" * 10)] * 25 + [(None, None)] * 3, "doc_id long, text string").repartition(4)
-    got = sharding.shard(rows, 40).collect()
+    got = sharding.shard(rows, 40, 0).collect()
     sums = Counter()
     for r in got:
         sums[r["shard"]] += r["n_bytes"]
@@ -638,6 +667,31 @@ def test_rows_alike_are_dealt_out(spark):
     assert all(r["shard_bytes"] == sums[r["shard"]] for r in got)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_a_third_of_the_rows_alike_meet_in_no_task(spark, monkeypatch, few):
+    """By either way to the leaves, with adaptive execution off: no task of the shuffles gets the rows that are alike."""
+    monkeypatch.setattr(sharding, "BROADCAST_DEPTHS", 99 if few else 0)
+    rows = spark.createDataFrame([(1, "y" * 20)] * 500 + [(k, "z" * (k % 50)) for k in range(1000)], "doc_id long, text string").repartition(6)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = sharding.shard(rows, 400, 0)
+        got = found.withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sums = Counter()
+    for r in got:
+        sums[r["shard"]] += r["n_bytes"]
+    assert len(got) == 1500 and max(sums.values()) <= 400 and all(r["shard_bytes"] == sums[r["shard"]] for r in got)
+    assert len({len(r["shard"].split(".")[0]) for r in got}) > 3
+
+
+def test_small_tables_are_split_too(spark, docs):
+    got = sharding.shard(docs).collect()
+    total = sum(r["n_bytes"] for r in got)
+    assert len({r["shard"] for r in got}) >= 10 and all(r["shard_bytes"] <= -(-total // sharding.FEWEST) or r["oversize"] for r in got)
+
+
 # --- 8 --------------------------------------------------------------------------------------------------------------------
 
 
@@ -670,6 +724,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept == {i for i, r in got.items() if not r["toxic"]}
 
 
+def test_labels_of_absent_documents_take_no_place(spark):
+    rows = [(k, "awful stupid words" if k % 3 == 0 else f"kind words number {k}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    own = [(k, int(k % 3 == 0), 1) for k in range(60)]
+    labels = lambda more: spark.createDataFrame(own + more, "doc_id long, toxic int, quality int")
+    want = toxicity.train(docs, labels([]), most=60)
+    got = toxicity.train(docs, labels([(1000 + k, k % 2, 1) for k in range(3000)]), most=60)
+    assert len(want.numbers) and (got.numbers == want.numbers).all() and np.allclose(got.weights, want.weights)
+
+
 def test_toxicity_without_labels(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(docs, none)
@@ -859,6 +923,14 @@ def test_mixing_of_rows_alike(spark, kind):
     assert Counter((r["doc_id"], r["source"], r["taken"]) for r in mixing.mix(frame).collect()) == Counter((r["doc_id"], r["source"], r["taken"]) for r in got)
 
 
+def test_carried_columns_that_clash_are_left_out(spark, docs):
+    clashing = docs.withColumns({c: F.lit("x") for c in (*mixing.ADDED, "__key", "__more")})
+    got = mixing.mix(clashing, carry=("text", "lang", "lang", *mixing.ADDED, "__key", "__more"))
+    assert got.columns == ["doc_id", "source", "text", "lang", "size", "source_size", "target", "copies", "taken"]
+    plain = {r["doc_id"]: (r["size"], r["taken"]) for r in mixing.mix(docs).collect()}
+    assert {r["doc_id"]: (r["size"], r["taken"]) for r in got.collect()} == plain
+
+
 def test_weights_go_round_in_order(spark):
     names = sorted({prose(1) for _ in range(60)} | {"Z", "é", ""}, key=str.encode) + [None]
     sources = spark.createDataFrame([(x,) for x in rng.sample(names, len(names))], "source string").repartition(5)
