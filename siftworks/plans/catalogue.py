@@ -174,10 +174,17 @@ def date_backlog(spark, sf_dir):
     return incremental.backlog(read(spark, sf_dir, "events").select(F.to_date("ts").alias("dt")), archive)
 
 
-@query(f"SELECT DISTINCT try_cast(regexp_extract(name, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS DATE) AS dt FROM ({fx.sql(fx.FILES)}) WHERE ends_with(lower(name), '.txt') AND try_cast(regexp_extract(name, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS DATE) IS NOT NULL")
+NAMES = "'list-2024-' || lpad((event_id % 14)::VARCHAR, 2, '0') || '-' || lpad((event_id % 33)::VARCHAR, 2, '0') || coalesce(event_type, '') || CASE user_id % 3 WHEN 0 THEN '.txt' WHEN 1 THEN '.TXT' ELSE '.csv' END"
+
+
+@query(f"SELECT name, try_cast(regexp_extract(name, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS DATE) AS dt, count(*) AS n FROM (SELECT {NAMES} AS name FROM events) WHERE ends_with(lower(name), '.txt') GROUP BY ALL")
 def file_date_parse(spark, sf_dir):
-    names = fx.frame(spark, fx.FILES).where(F.endswith(F.lower("name"), F.lit(".txt")))
-    return names.select(incremental.file_date(F.col("name")).alias("dt")).where("dt is not null").distinct()
+    """Names made of the events, some with days that there aren't."""
+    two = lambda n: F.lpad((F.col("event_id") % n).cast("string"), 2, "0")
+    kind = F.when(F.col("user_id") % 3 == 0, ".txt").when(F.col("user_id") % 3 == 1, ".TXT").otherwise(".csv")
+    names = read(spark, sf_dir, "events").select(F.concat(F.lit("list-2024-"), two(14), F.lit("-"), two(33), F.coalesce("event_type", F.lit("")), kind).alias("name"))
+    names = names.where(F.endswith(F.lower("name"), F.lit(".txt")))
+    return names.groupBy("name", incremental.file_date(F.col("name")).alias("dt")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- pages ------------------------------------------------------------------------------------------------------------------
@@ -458,9 +465,17 @@ def run_outcome(spark, sf_dir):
     return labelling.outcome(numbered, fx.frame(spark, fx.ANSWERED))
 
 
-@query(f"SELECT batch, json_extract_string(response, '$.choices[0].message.content') AS raw FROM ({fx.sql(fx.ENVELOPES)})")
+@query("SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN NULL ELSE coalesce(text, '') END AS raw FROM documents")
 def response_content(spark, sf_dir):
-    return fx.frame(spark, fx.ENVELOPES).select("batch", labelling.message_content(F.col("response")).alias("raw"))
+    """Documents in the envelopes of a chat service, every fourth without an answer."""
+    message = F.struct(F.struct(F.lit("assistant").alias("role"), F.coalesce("text", F.lit("")).alias("content")).alias("message"))
+    there = F.when(F.col("doc_id") % 4 == 3, F.array().cast(f"array<{message_type()}>")).otherwise(F.array(message))
+    sent = read(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct(there.alias("choices"))).alias("response"))
+    return sent.select("doc_id", labelling.message_content(F.col("response")).alias("raw"))
+
+
+def message_type() -> str:
+    return "struct<message: struct<role: string, content: string>>"
 
 
 def normalised(pitch: str, domain: str, biz: str, prod: str) -> str:
@@ -474,32 +489,55 @@ def normalised(pitch: str, domain: str, biz: str, prod: str) -> str:
     return f"CASE WHEN coalesce({pitch}, '') = '' THEN '{rules.GENERAL}' ELSE (SELECT regexp_replace({named}, '[(]niche[)]', '(' || {niche} || ')', 'gi') FROM ({inner}) f) END"
 
 
-#: The items of the model's answers, read from their JSON.
-PARSED = f"""WITH r0 AS (SELECT batch, {strip('raw')} AS t FROM ({fx.sql(fx.RESPONSES)})),
-r1 AS (SELECT batch, t, array_to_string(string_split(t, chr(10))[2:-2], chr(10)) AS i FROM r0),
-r2 AS (SELECT batch, TRY_CAST(CASE WHEN NOT starts_with(t, '```') THEN t WHEN starts_with(i, 'json') THEN {strip('substr(i, 5)')} ELSE i END AS JSON) AS v FROM r1),
-r3 AS (SELECT batch, v, CASE json_type(v) WHEN 'ARRAY' THEN v WHEN 'OBJECT' THEN CASE WHEN json_type(v, '$.items') = 'ARRAY' AND json_array_length(v, '$.items') > 0 THEN json_extract(v, '$.items')
-    ELSE coalesce(list_filter(list_transform(json_keys(v), lambda k: json_extract(v, '$."' || k || '"')), lambda x: json_type(x) = 'ARRAY')[1], json_array(v)) END END AS items FROM r2),
-r4 AS (SELECT batch, unnest(range(0, json_array_length(items)::BIGINT)) AS pos, items FROM r3 WHERE items IS NOT NULL),
-r5 AS (SELECT batch, pos, json_extract(items, '$[' || pos || ']') AS x FROM r4),
-r6 AS (SELECT batch, pos, TRY_CAST(x ->> '$.index' AS INT) AS index, coalesce(x ->> '$.domain', '') AS domain, x ->> '$.pitch_category' AS p, x ->> '$.true_business_type' AS b, x ->> '$.true_product_category' AS q FROM r5 WHERE json_type(x) = 'OBJECT'),
-items AS (SELECT batch, NULL::VARCHAR AS error, pos::INT AS pos, index, domain, {normalised('p', 'domain', 'b', 'q')} AS pitch, coalesce(nullif(b, 'Unknown'), '') AS biz, coalesce(nullif(q, 'Unknown'), '') AS prod FROM r6
-  UNION ALL SELECT batch, 'JSON_ERROR', NULL, NULL, '', NULL, NULL, NULL FROM r3 WHERE items IS NULL)"""
-
-
-@query(f"{PARSED} SELECT * FROM items")
+#: What a model answers about the documents, in batches of five by doc_id. The shape goes by the batch: a list, below `items`, in a fence,
+#: below another key (without domains), the first item alone, cut off, or each item twice (the last counts).
+ANSWERS = f"""SELECT batch, index, 'd' || doc_id || '.com' AS Domain, source, lang, batch % 7 AS shape, count(*) OVER (PARTITION BY batch) AS n
+  FROM (SELECT *, (r // 5) AS batch, (r % 5)::INT AS index FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM documents))"""
+ITEMS = f"""WITH a AS ({ANSWERS}),
+b AS (SELECT *, unnest(CASE WHEN shape = 6 THEN [0, 1] ELSE [0] END) AS again FROM a WHERE shape <> 5 AND (shape <> 4 OR index = 0)),
+c AS (SELECT batch, (index + again * n)::INT AS pos, index, CASE WHEN shape = 3 THEN '' ELSE Domain END AS domain, '🤖 2. SaaS/Tech (NICHE)' AS p, coalesce(source, '') AS q, CASE WHEN again = 1 THEN 'Again' ELSE coalesce(lang, '') END AS z FROM b),
+items AS (SELECT batch, NULL::VARCHAR AS error, pos, index, domain, {normalised("p", "domain", "q", "z")} AS pitch, coalesce(nullif(q, 'Unknown'), '') AS biz, coalesce(nullif(z, 'Unknown'), '') AS prod FROM c
+  UNION ALL SELECT DISTINCT batch, 'JSON_ERROR', NULL::INT, NULL::INT, '', NULL, NULL, NULL FROM a WHERE shape = 5)"""
+
+
+def answered(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The documents in their batches, and an answer for each batch."""
+    rows = labelling.number_batches(read(spark, sf_dir, "documents").select("doc_id", "source", "lang"), "doc_id", steady=True)
+    rows = rows.withColumn("Domain", F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".com"))).withColumn("shape", F.col("batch") % 7)
+    domain = F.when(F.col("shape") != 3, F.col("Domain"))
+
+    def item(prod):
+        return F.struct(F.col("index"), domain.alias("domain"), F.lit("🤖 2. SaaS/Tech (NICHE)").alias("pitch_category"), F.col("source").alias("true_business_type"), prod.alias("true_product_category"))
+
+    each = rows.select("batch", "shape", item(F.col("lang")).alias("item"), item(F.lit("Again")).alias("again"))
+    lists_ = each.groupBy("batch", "shape").agg(F.array_sort(F.collect_list("item")).alias("l"), F.array_sort(F.collect_list("again")).alias("m"))  # five rows each
+    whole, text_of = F.to_json("l"), lambda name: F.to_json(F.struct(F.lit("x").alias("note"), F.col("l").alias(name)))
+    shape = F.col("shape")
+    raw = (
+        F.when(shape == 0, whole)
+        .when(shape == 1, text_of("items"))
+        .when(shape == 2, F.concat(F.lit("```json\n"), text_of("items"), F.lit("\n```")))
+        .when(shape == 3, text_of("found"))
+        .when(shape == 4, F.to_json(F.col("l")[0]))
+        .when(shape == 5, F.substring(whole, 1, 40))
+        .otherwise(F.to_json(F.concat("l", "m")))
+    )
+    return rows.select("batch", "index", "Domain"), lists_.select("batch", raw.alias("raw"))
+
+
+@query(f"{ITEMS} SELECT * FROM items")
 def response_parse(spark, sf_dir):
-    return labelling.parse_answers(fx.frame(spark, fx.RESPONSES))
+    return labelling.parse_answers(answered(spark, sf_dir)[1])
 
 
-@query(f"{PARSED} SELECT batch, domain, max(pos)::INT AS pos FROM items WHERE error IS NULL AND domain <> '' GROUP BY ALL")
+@query(f"{ITEMS} SELECT batch, domain, max(pos)::INT AS pos FROM items WHERE error IS NULL AND domain <> '' GROUP BY ALL")
 def response_last_wins(spark, sf_dir):
-    items = labelling.parse_answers(fx.frame(spark, fx.RESPONSES))
+    items = labelling.parse_answers(answered(spark, sf_dir)[1])
     last = labelling.last_by(items.withColumn("pitch", F.col("pos").cast("string")), "domain")
     return last.select("batch", "domain", F.col("found.pitch").cast("int").alias("pos"))
 
 
-LOOK = f"""{PARSED}, rows AS ({fx.sql(fx.BATCHED)}),
+LOOK = f"""{ITEMS}, rows AS (SELECT batch, index, Domain FROM a),
 d AS (SELECT batch, domain, max_by({{'p': pitch, 'b': biz, 'q': prod}}, pos) AS x FROM items WHERE error IS NULL AND domain <> '' GROUP BY ALL),
 i AS (SELECT batch, index, max_by({{'p': pitch, 'b': biz, 'q': prod}}, pos) AS x FROM items WHERE error IS NULL AND index IS NOT NULL GROUP BY ALL)
 SELECT r.batch, r.index, r.Domain, coalesce(coalesce(d.x, i.x).p, '{rules.GENERAL}') AS Pitch_Category, coalesce(nullif(coalesce(d.x, i.x).b, ''), '{rules.REVIEW}') AS Business_Type,
@@ -509,16 +547,20 @@ FROM rows r LEFT JOIN d ON d.batch = r.batch AND d.domain = r.Domain LEFT JOIN i
 
 @query(LOOK)
 def label_lookup(spark, sf_dir):
-    return labelling.look_up(fx.frame(spark, fx.BATCHED), labelling.parse_answers(fx.frame(spark, fx.RESPONSES)))
+    rows, answers = answered(spark, sf_dir)
+    return labelling.look_up(rows, labelling.parse_answers(answers))
 
 
-@query(f"SELECT pitch, domain, biz, {normalised('pitch', 'domain', 'biz', 'prod')} AS category FROM ({fx.sql(fx.PITCHES)} UNION ALL SELECT CASE doc_id % 4 WHEN 0 THEN '🤖 2. SaaS/Tech (NICHE)' WHEN 1 THEN substr(text, 1, 40) WHEN 2 THEN '🏠 ' || substr(text, 1, 20) || ' (Niche)' ELSE 'a writer (' || source || ')' END, lang || '-' || doc_id || '.com', substr(text, 1, 60), source FROM documents WHERE NOT contains(substr(text, 1, 60), chr(10)))")
+FLAT = "translate(text, chr(10) || chr(13) || chr(133) || chr(8232) || chr(8233), '     ')"
+
+
+@query(f"SELECT pitch, domain, biz, {normalised('pitch', 'domain', 'biz', 'prod')} AS category FROM ({fx.sql(fx.PITCHES)} UNION ALL SELECT CASE doc_id % 4 WHEN 0 THEN '🤖 2. SaaS/Tech (NICHE)' WHEN 1 THEN {FLAT} WHEN 2 THEN '🏠 ' || {FLAT} || ' (Niche)' ELSE 'a writer (' || source || ')' END, lang || '-' || doc_id || '.com', {FLAT}, source FROM documents)")
 def normalize_category(spark, sf_dir):
-    """Rows for each branch, and documents' beginnings as labels, domains and hints."""
-    docs = read(spark, sf_dir, "documents").where(~F.contains(F.substring("text", 1, 60), F.lit("\n")))
+    """Rows for each branch, and whole documents as labels, domains and hints."""
+    flat = F.translate("text", "\n\r\x85\u2028\u2029", " " * 5)
     kind = F.pmod("doc_id", F.lit(4))
-    pitch = F.when(kind == 0, "🤖 2. SaaS/Tech (NICHE)").when(kind == 1, F.substring("text", 1, 40)).when(kind == 2, F.concat(F.lit("🏠 "), F.substring("text", 1, 20), F.lit(" (Niche)"))).otherwise(F.concat(F.lit("a writer ("), F.col("source"), F.lit(")")))
-    docs = docs.select(pitch.alias("pitch"), F.concat("lang", F.lit("-"), F.col("doc_id").cast("string"), F.lit(".com")).alias("domain"), F.substring("text", 1, 60).alias("biz"), F.col("source").alias("prod"))
+    pitch = F.when(kind == 0, "🤖 2. SaaS/Tech (NICHE)").when(kind == 1, flat).when(kind == 2, F.concat(F.lit("🏠 "), flat, F.lit(" (Niche)"))).otherwise(F.concat(F.lit("a writer ("), F.col("source"), F.lit(")")))
+    docs = read(spark, sf_dir, "documents").select(pitch.alias("pitch"), F.concat("lang", F.lit("-"), F.col("doc_id").cast("string"), F.lit(".com")).alias("domain"), flat.alias("biz"), F.col("source").alias("prod"))
     rows = fx.frame(spark, fx.PITCHES).unionByName(docs)
     return rows.select("pitch", "domain", "biz", classify.normalise_category(*(F.col(c) for c in ("pitch", "domain", "biz", "prod"))).alias("category"))
 
@@ -576,17 +618,3 @@ def stream_incremental(spark, sf_dir):
     for _ in range(2):  # the second finds nothing new
         run_once(spark, source, events.schema, daily, f"{base}/out", f"{base}/state", "dt")
     return spark.read.parquet(f"{base}/out").groupBy("dt", "event_type").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("SELECT * FROM (VALUES ('first.txt', 'a.com', NULL), ('first.txt', 'b.com', NULL), (NULL, NULL, 'BadZipFile'), (NULL, NULL, 'HtmlPage')) v(member, value, error)")
-def zip_source(spark, sf_dir):
-    import io
-    import zipfile
-
-    from siftworks.sources.files import first_members
-
-    with zipfile.ZipFile(good := io.BytesIO(), "w") as z:
-        z.writestr("first.txt", "a.com\nb.com\n")
-        z.writestr("second.txt", "c.com\n")
-    rows = [("good.zip", good.getvalue()), ("bad.zip", b"no zip"), ("page.zip", b" <!DOCTYPE html><p>Not found</p>")]
-    return first_members(spark.createDataFrame(rows, "path string, content binary")).select("member", "value", "error")

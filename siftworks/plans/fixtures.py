@@ -62,20 +62,7 @@ RESPONSES = (
         (4, '[{"domain": "d.com", "pitch_category": "z"}, 7]'),
     ],
 )
-ENVELOPES = (
-    "batch long, response string",
-    [
-        (0, '{"choices": [{"message": {"role": "assistant", "content": "{\\"items\\": []}"}}]}'),
-        (1, '{"choices": []}'),
-        (2, '{"choices": [{"message": {"content": "first"}}, {"message": {"content": "second"}}]}'),
-        (3, None),
-    ],
-)
 ANSWERED = ("batch long, error string, tries int", [(0, None, 1), (1, None, 3), (2, "TIMEOUT", 3), (4, "RATE_LIMITED", 3)])
-BATCHED = ("batch long, index int, Domain string", [(0, 0, "a.com"), (1, 0, "b.com"), (1, 1, "q.com"), (2, 0, "c.com"), (3, 0, "e.com"), (4, 0, "d.com"), (4, 1, None)])
-
-FILES = ("name string", [("domains-2024-01-05.txt",), ("domains-2024-02-30.txt",), ("2024-01-05 again.txt",), ("no date.txt",), ("x2023-12-31y.TXT",)])
-
 TEXTS = ("doc_id long, text string", [(-1, 'He said "hi" \\ bye'), (-2, " none "), (-3, ""), (-4, None), (-5, "foo\nbar 😀 baz qux"), (-6, "ééééééééé plain"), (-7, "a" * 17 + "ééé"), (-8, "a" * 86 + "é" * 14), (-9, "mail me: jo.doe@firm.io or x@test.com, 020 7946 0018 0"), (-10, "Home About glow Glow GLOW serum")])
 
 ARCHIVE = ("dt string, head string", [("2024-01-01", "x" * 60), ("2024-01-02", "NO_DATA" + "x" * 60), ("2024-01-03", "y" * 49), ("2024-01-04", "z" * 50), ("2024-01-06", "w" * 250)])

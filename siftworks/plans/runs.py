@@ -17,16 +17,6 @@ from siftworks.session import scratch
 from siftworks.sources import fetch, files
 
 
-def put(spark: SparkSession, path: str, content: str) -> None:
-    """One small file with this very name."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
-    try:
-        out.write(bytearray(content.encode()))
-    finally:
-        out.close()
-
-
 # --- days and settings ------------------------------------------------------------------------------------------------------
 
 
@@ -55,10 +45,15 @@ def first_day_due(spark, sf_dir):
     return due(spark, sf_dir, True)
 
 
-@query("SELECT 'chosen' AS model, NULL::VARCHAR AS key, 60.0::DOUBLE AS max_runtime UNION ALL SELECT NULL, 'k', 19800.0")
+@query("SELECT dt, n, 'chosen' AS model, 'k' AS key, 3.0::DOUBLE AS max_runtime FROM (SELECT ts::DATE AS dt, count(*) AS n, dense_rank() OVER (ORDER BY ts::DATE) AS k FROM events WHERE ts IS NOT NULL GROUP BY ts::DATE) WHERE k < 3")
 def run_settings(spark, sf_dir):
-    found = [runs.settings(spark, x) for x in ({"SIFTWORKS_MODEL": " chosen ", "SIFTWORKS_MAX_RUNTIME": "60"}, {"SIFTWORKS_KEY": "k", "SIFTWORKS_MODEL": " "})]
-    return spark.createDataFrame([(x.model, x.key, x.max_runtime) for x in found], "model string, key string, max_runtime double")
+    """A run over the events' days that ends when the time that is set from outside is up; the clock moves on with each look at it."""
+    found = runs.settings(spark, {"SIFTWORKS_MODEL": " chosen ", "SIFTWORKS_MAX_RUNTIME": "3", "SIFTWORKS_KEY": "k"})
+    base, ticks = scratch(spark, "set"), iter(range(10**6))
+    events = read(spark, sf_dir, "events").withColumn("dt", F.to_date("ts")).where("dt is not null")
+    told = events.withColumns({"model": F.lit(found.model), "key": F.lit(found.key), "max_runtime": F.lit(found.max_runtime)})
+    runs.run_days(events.select("dt").distinct(), lambda one: files.write_dates(told.where(F.col("dt") == F.lit(one)), base), found.max_runtime, lambda: next(ticks))
+    return spark.read.parquet(base).groupBy(F.col("dt").cast("date").alias("dt"), "model", "key", "max_runtime").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"SELECT dt, 2::BIGINT AS nth_write, count(*) AS n FROM (SELECT ts::DATE AS dt FROM events) WHERE dt IN ({DUE}) GROUP BY 1 UNION ALL SELECT dt, 1, count(*) FROM (SELECT ts::DATE AS dt FROM events) WHERE dt NOT IN ({DUE}) GROUP BY 1")
@@ -75,88 +70,148 @@ def days_done_anew(spark, sf_dir):
 # --- files ------------------------------------------------------------------------------------------------------------------
 
 
-INDEX = ("dt string, href string, cells int", [(f"2024-01-{k:02d}{' 10:00' if k % 2 else ''}", f"{'http://elsewhere.example' if k % 3 == 0 else ''}/list/{k}.zip", 3) for k in range(1, 12)] + [("2024-02-01", "/whois-database-download", 3), ("2024-02-02", "/Contact-us", 3), ("2024-02-03", "/short.zip", 2), ("soon", "/soon.zip", 3), ("2024-02-04", "", 3)])
-NAMED = ("name string", [("domains-2024-01-02.txt",), ("domains-2024-01-05.TXT",), ("2024-01-05-again.txt",), ("2024-01-07.csv",), ("none.txt",), ("2024-02-30.txt",)])
-LINKS = f"SELECT substr(dt, 1, 10) AS dt, CASE WHEN starts_with(href, 'http') THEN href ELSE 'http://root' || href END AS href FROM ({fx.sql(INDEX)}) WHERE cells >= 3 AND href <> '' AND regexp_matches(dt, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND NOT contains(lower(href), 'whois-database-download') AND NOT contains(lower(href), 'contact')"
-DATED = f"SELECT DISTINCT try_cast(regexp_extract(name, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS DATE) AS dt FROM ({fx.sql(NAMED)}) WHERE ends_with(lower(name), '.txt')"
-
+#: The events as lists of lines, a file for each day: every seventh day's is a .csv, every second day's ends in capitals.
+LINE = "'u' || user_id || '-' || event_id || '.com'"
+NAME = "'events-' || strftime(dt, '%Y-%m-%d') || CASE WHEN day(dt) % 7 = 0 THEN '.csv' WHEN day(dt) % 2 = 0 THEN '.TXT' ELSE '.txt' END"
+LISTED = f"SELECT dt, {NAME} AS name, event_id, {LINE} AS line FROM (SELECT ts::DATE AS dt, * FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL)"
 
-def index_html() -> str:
-    cell = lambda dt, href, cells: "<tr>" + f"<td> {dt} </td>" + "<td>1 MB</td>" * (cells - 2) + "<td>" + (f"<a href='{href}'>get</a> <a href='/second'>no</a>" if href else "none") + "</td></tr>"
-    return f"<p>Lists</p><table><tr><th>day</th></tr>{''.join(cell(*x) for x in INDEX[1])}</table><table><tr><td>2024-03-01</td><td></td><td><a href='/x'>x</a></td></tr></table>"
 
-
-def index_page(spark) -> str:
-    base = scratch(spark, "index")
-    put(spark, f"{base}/index.html", index_html())
-    return base
+def event_lines(spark, sf_dir) -> DataFrame:
+    line = F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-"), F.col("event_id").cast("string"), F.lit(".com"))
+    return read(spark, sf_dir, "events").select(F.to_date("ts").alias("dt"), "event_id", line.alias("line")).where("dt is not null and line is not null")
 
 
-def lists(spark) -> str:
+def lists(spark, sf_dir) -> str:
+    """Writes the lists by Spark, a file for each day in order of event_id, and gives the files their names."""
     base = scratch(spark, "lists")
-    for (name,) in NAMED[1]:
-        put(spark, f"{base}/{name}", f" {name} \n\n{name}\nNO_DATA\n" + "x" * 300)
-    return base
+    event_lines(spark, sf_dir).repartition("dt").sortWithinPartitions("dt", "event_id").select("line", "dt").write.partitionBy("dt").text(f"{base}/made")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    store = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(path(f"{base}/lists"))
+    for folder in store.globStatus(path(f"{base}/made/dt=*")):  # one for each day
+        day = date.fromisoformat(folder.getPath().getName().removeprefix("dt="))
+        for n, part in enumerate(store.globStatus(path(f"{folder.getPath().toString()}/part-*"))):
+            kind = ".csv" if day.day % 7 == 0 else ".TXT" if day.day % 2 == 0 else ".txt"
+            store.rename(part.getPath(), path(f"{base}/lists/events-{day}{f'-{n}' if n else ''}{kind}"))
+    return f"{base}/lists"
+
+
+#: The index page's rows, one for each day of the events: cells, and a link that is elsewhere, none, or one that is denied.
+INDEX = """SELECT strftime(dt, '%Y-%m-%d') || CASE WHEN day(dt) % 2 = 0 THEN ' 10:00' ELSE '' END AS dt, CASE WHEN day(dt) % 5 = 0 THEN 2 ELSE 3 END AS cells,
+  CASE WHEN day(dt) % 11 = 0 THEN '/Contact-us' WHEN day(dt) % 13 = 0 THEN '/whois-database-download' WHEN day(dt) % 8 = 0 THEN '' WHEN day(dt) % 3 = 0 THEN 'http://elsewhere.example/list/' || strftime(dt, '%Y-%m-%d') || '.zip' ELSE '/list/' || strftime(dt, '%Y-%m-%d') || '.zip' END AS href
+  FROM (SELECT DISTINCT ts::DATE AS dt FROM events WHERE ts IS NOT NULL)"""
+LINKS = f"SELECT substr(dt, 1, 10) AS dt, CASE WHEN starts_with(href, 'http') THEN href ELSE 'http://root' || href END AS href FROM ({INDEX}) WHERE cells >= 3 AND href <> '' AND NOT contains(lower(href), 'whois-database-download') AND NOT contains(lower(href), 'contact')"
+
+
+def index_html(spark, sf_dir) -> DataFrame:
+    """value: one page, made of the events' days."""
+    day, dt = F.dayofmonth("dt"), F.date_format("dt", "yyyy-MM-dd")
+    link = F.when(day % 11 == 0, "/Contact-us").when(day % 13 == 0, "/whois-database-download").when(day % 8 == 0, "").when(day % 3 == 0, F.concat(F.lit("http://elsewhere.example/list/"), dt, F.lit(".zip"))).otherwise(F.concat(F.lit("/list/"), dt, F.lit(".zip")))
+    cells = F.concat(F.lit("<tr><td> "), dt, F.when(day % 2 == 0, " 10:00").otherwise(""), F.lit(" </td>"), F.when(day % 5 == 0, "").otherwise("<td>1 MB</td>"))
+    last = F.concat(F.lit("<td>"), F.when(link == "", "none").otherwise(F.concat(F.lit("<a href='"), link, F.lit("'>get</a> <a href='/second'>no</a>"))), F.lit("</td></tr>"))
+    rows = event_lines(spark, sf_dir).select("dt").distinct().select("dt", F.concat(cells, last).alias("row"))
+    table = rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("dt", "row"))), lambda x: x["row"]), "").alias("t"))  # a row for each day
+    return table.select(F.concat(F.lit("<p>Lists</p><table><tr><th>day</th></tr>"), "t", F.lit("</table><table><tr><td>2024-03-01</td><td></td><td><a href='/x'>x</a></td></tr></table>")).alias("value"))
 
 
 @query(LINKS)
 def index_links(spark, sf_dir):
-    return files.index_links(spark, index_page(spark), "http://root")
+    """The page is saved and read again."""
+    base = scratch(spark, "index")
+    index_html(spark, sf_dir).coalesce(1).write.text(base)
+    return files.index_links(spark, base, "http://root")
 
 
-@query(f"SELECT dt, href FROM ({LINKS}) WHERE dt NOT IN (SELECT strftime(dt, '%Y-%m-%d') FROM ({DATED}) WHERE dt IS NOT NULL)")
+#: Days whose list is at hand: those of .txt files.
+DATED = f"SELECT DISTINCT dt FROM ({LISTED}) WHERE ends_with(lower(name), '.txt')"
+MISSING = f"SELECT dt, href, day(dt::DATE) AS k FROM ({LINKS}) WHERE dt::DATE NOT IN ({DATED})"
+
+
+@query(f"SELECT dt, href FROM ({MISSING})")
 def missing_files(spark, sf_dir):
-    return runs.missing_files(files.index_links(spark, index_page(spark), "http://root"), files.file_dates(spark, lists(spark)))
+    return runs.missing_files(files.links_in(index_html(spark, sf_dir), "http://root"), files.file_dates(spark, lists(spark, sf_dir)))
 
 
-def canned_file(url: str) -> tuple[int, str, bytes]:
-    """Stands in for the network: every fourth list is a page, every fifth no archive, the seventh gone, the eleventh never comes."""
-    import io
-    import zipfile
+def served(folder: str):
+    """Stands in for the network: a site that packs the lines of the day that is asked for. Every fourth day's comes as a page, the 9th's
+    is no archive, the 3rd's is gone and the 2nd's never comes."""
 
-    k = int(url.rsplit("/", 1)[1].split(".")[0])
-    if k == 11:
-        raise TimeoutError
-    with zipfile.ZipFile(archive := io.BytesIO(), "w") as z:
-        z.writestr("list.txt", f"{k}.com\r\n{k}.net\n" * (k % 3))
-        z.writestr("more.txt", "no.com")
-    return 404 if k == 7 else 200, "text/html; charset=utf-8" if k % 4 == 0 else "application/zip", b"nothing" if k % 5 == 0 else archive.getvalue()
+    def get(url: str) -> tuple[int, str, bytes]:
+        import io
+        import zipfile
 
+        import pyarrow.dataset as ds
+        from pyarrow import fs
 
-MISSING = f"SELECT dt, href, regexp_extract(href, '([0-9]+)[.]zip', 1)::INT AS k FROM ({LINKS}) WHERE dt NOT IN (SELECT strftime(dt, '%Y-%m-%d') FROM ({DATED}) WHERE dt IS NOT NULL)"
+        day = date.fromisoformat(url.rsplit("/", 1)[1].removesuffix(".zip"))
+        if day.day == 2:
+            raise TimeoutError
+        store, path = fs.FileSystem.from_uri(f"{folder}/dt={day}")
+        lines = sorted(ds.dataset(path, filesystem=store, format="parquet").to_table(columns=["line"])["line"].to_pylist())
+        with zipfile.ZipFile(archive := io.BytesIO(), "w") as z:
+            z.writestr("list.txt", "\r\n".join(lines))
+            z.writestr("more.txt", "no.com")
+        return 404 if day.day == 3 else 200, "text/html; charset=utf-8" if day.day % 4 == 0 else "application/zip", b"nothing" if day.day == 9 else archive.getvalue()
 
+    return get
 
-@query(f"""SELECT dt, href, coalesce(error, CASE WHEN k % 3 > 0 THEN 'written' ELSE 'empty' END) AS outcome, CASE WHEN error IS NULL THEN 2 * (k % 3) ELSE 0 END::BIGINT AS lines
-  FROM (SELECT *, CASE WHEN k = 11 THEN 'TimeoutError' WHEN k = 7 THEN '404' WHEN k % 4 = 0 THEN 'HtmlPage' WHEN k % 5 = 0 THEN 'BadZipFile' END AS error FROM ({MISSING}))""")
+
+#: Links of days that aren't at hand: all but the 7th, 17th and 27th.
+WANTED = f"SELECT dt, href, day(dt::DATE) AS k FROM ({LINKS}) WHERE day(dt::DATE) % 10 <> 7"
+
+
+@query(f"""SELECT m.dt, href, coalesce(error, 'written') AS outcome, CASE WHEN error IS NULL THEN n ELSE 0 END::BIGINT AS lines
+  FROM (SELECT *, CASE WHEN k = 2 THEN 'TimeoutError' WHEN k = 3 THEN '404' WHEN k % 4 = 0 THEN 'HtmlPage' WHEN k = 9 THEN 'BadZipFile' END AS error FROM ({WANTED})) m JOIN (SELECT dt, count(*) AS n FROM ({LISTED}) GROUP BY dt) d ON d.dt = m.dt::DATE""")
 def acquired_lists(spark, sf_dir):
     """From the index page to a folder of lines for each day that was missing; counted as they are read again."""
-    out = scratch(spark, "acquired")
-    html = index_html()
-    page = fetch.page_of(spark, "http://root/lists", lambda url: (200, html))
-    told = runs.acquire(page, "http://root", files.file_dates(spark, lists(spark)), out, canned_file)
+    out, site = scratch(spark, "acquired"), scratch(spark, "site")
+    event_lines(spark, sf_dir).write.partitionBy("dt").parquet(site)
+    have = event_lines(spark, sf_dir).select("dt").distinct().where(F.dayofmonth("dt") % 10 == 7)
+    told = runs.acquire(index_html(spark, sf_dir), "http://root", have, out, served(site))
     found = spark.read.parquet(out).groupBy(F.date_format("dt", "yyyy-MM-dd").alias("dt")).agg(F.count(F.lit(1)).alias("written"))
     outcome = F.coalesce("error", F.when(F.col("lines") > 0, "written").otherwise("empty"))
     return told.join(found, "dt", "left").select("dt", "href", outcome.alias("outcome"), F.coalesce("written", F.lit(0).cast("bigint")).alias("lines"))
 
 
-@query(f"SELECT dt FROM ({DATED}) WHERE dt IS NOT NULL")
+@query(f"""SELECT dt, CASE WHEN k THEN NULL ELSE 'first.txt' END AS member, CASE WHEN k THEN NULL ELSE line END AS value, CASE WHEN day(dt) % 5 = 0 THEN 'BadZipFile' WHEN day(dt) % 7 = 0 THEN 'HtmlPage' END AS error
+  FROM (SELECT DISTINCT dt, day(dt) % 5 = 0 OR day(dt) % 7 = 0 AS k, CASE WHEN day(dt) % 5 = 0 OR day(dt) % 7 = 0 THEN NULL ELSE line END AS line FROM ({LISTED}))""")
+def zip_source(spark, sf_dir):
+    """Each day's lines as an archive of two members, some broken, some pages; read again, the first member's lines and what is wrong."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    def packed(frame: pd.DataFrame) -> pd.DataFrame:
+        day = frame["dt"].iloc[0]
+        with zipfile.ZipFile(good := io.BytesIO(), "w") as z:
+            z.writestr("first.txt", "\n".join(frame["line"]) + "\n")
+            z.writestr("second.txt", "c.com\n")
+        return pd.DataFrame([(str(day), b"no zip" if day.day % 5 == 0 else b" <!DOCTYPE html><p>Not found</p>" if day.day % 7 == 0 else good.getvalue())], columns=["path", "content"])
+
+    archives = event_lines(spark, sf_dir).groupBy("dt").applyInPandas(packed, "path string, content binary")
+    return files.first_members(archives).select(F.to_date("path").alias("dt"), "member", "value", "error")
+
+
+@query(DATED)
 def file_dates(spark, sf_dir):
-    return files.file_dates(spark, lists(spark))
+    return files.file_dates(spark, lists(spark, sf_dir))
 
 
-@query(f"SELECT min(name) AS name FROM ({fx.sql(NAMED)}) WHERE contains(name, '2024-01-05')")
+@query(f"SELECT min(name) AS name FROM ({LISTED}) WHERE contains(name, '2024-01-05')")
 def file_of_day(spark, sf_dir):
-    return runs.file_of(spark.read.format("binaryFile").load(lists(spark)).select(F.element_at(F.split("path", "/"), -1).alias("name")), F.lit("2024-01-05"))
+    return runs.file_of(spark.read.format("binaryFile").load(lists(spark, sf_dir)).select(F.element_at(F.split("path", "/"), -1).alias("name")), F.lit("2024-01-05"))
 
 
-@query(f"SELECT try_cast(regexp_extract(name, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS DATE) AS dt, substr(' ' || name || ' ' || chr(10) || chr(10) || name || chr(10) || 'NO_DATA' || chr(10) || repeat('x', 300), 1, 200) AS head FROM ({fx.sql(NAMED)})")
+@query(f"SELECT dt, substr(string_agg(line, chr(10) ORDER BY event_id) || chr(10), 1, 200) AS head FROM ({LISTED}) GROUP BY dt")
 def file_heads(spark, sf_dir):
-    return files.heads(spark, lists(spark))
+    return files.heads(spark, lists(spark, sf_dir))
 
 
-@query(f"SELECT unnest([' ' || name || ' ', '', name, 'NO_DATA', repeat('x', 300)]) AS value, try_cast(regexp_extract(name, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS DATE) AS dt FROM ({fx.sql(NAMED)})")
+@query(f"SELECT line AS value, dt FROM ({LISTED})")
 def file_lines(spark, sf_dir):
-    return files.domain_lines(spark, lists(spark))
+    return files.domain_lines(spark, lists(spark, sf_dir))
 
 
 @query(f"SELECT DISTINCT {HOST.format('url')} AS value FROM pages")
