@@ -2,17 +2,16 @@
 
 Text is lower-cased and everything but a-z and 0-9 parts words, so comment marks, line breaks and punctuation don't count. A unit
 is a run of words; its set of word bigrams A is compared with a template's, B: 2 |A and B| / (|A| + |B|). That can reach the
-threshold t only if |A| is from t / (2 - t) to (2 - t) / t times |B| (other units are sorted out by their size), and only if A has
-t / (2 - t) of B: so of any |B| - ceil(|B| t / (2 - t)) + 1 bigrams of the template a unit that reaches it has one. The longest
-bigrams are taken for these anchors, as they are rare in other texts. Words of all documents are joined with the anchors where they are
-read, and only what matches makes units. For an anchor at word p that is word o of a template of n words, these are
+threshold t only if |A| is from t / (2 - t) to (2 - t) / t times |B|, and only if A has t / (2 - t) of B: so of any |B| -
+ceil(|B| t / (2 - t)) + 1 bigrams of the template a unit that reaches it has one. The longest bigrams are taken for these anchors, as
+they are rare in other texts. Words of all documents are joined with the anchors where they are read, and only what matches goes on.
 
-- the n words that would be the template if it stood there, from p - o on;
-- these with a quarter of n more words behind them, and with as many before them (for words that were put in);
-- the whole text.
-
-All end where the text ends. So a licence is found wherever it stands: alone, wrapped into comment lines above other text, or within
-a line.
+Units are all runs that begin and end with a bigram of the template (others score higher without their ends) and have (2 - t) / t times
+the template's words at most. So a licence is found wherever it stands, with words put in, left out or changed: alone, wrapped into
+comment lines above other text, or within a line. Starts are dealt into blocks of that many words; an anchor opens the one or two
+blocks in which runs that hold it start. A block's words and the next one's have all its units, so long texts are never moved whole. A
+block that has too few of the template's bigrams is left out; of the others each start is extended word by word, with running counts of
+the bigrams that are new since the start and of those that are the template's.
 
 Defined cases: null and empty texts have no units; texts of one word have no bigrams and match nothing; templates of one word are
 left out; per document and template the best unit counts (ties: the first, then the shortest); rows that repeat a doc_id are one
@@ -71,21 +70,24 @@ def pairs(words: list[str]) -> list[str]:
     return [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
 
 
-def anchors(templates: dict[str, str], threshold: float) -> list[tuple[str, str, int, int]]:
-    """licence, bigram, place (words before it in the template) and n (words of the template): as many bigrams of each as any unit that
-    reaches the threshold has one of, the longest (ties: in order of the alphabet)."""
+def anchors(templates: dict[str, str], threshold: float) -> list[tuple[str, str]]:
+    """licence, bigram: as many bigrams of each template as any unit that reaches the threshold has one of, the longest (ties: in order of
+    the alphabet)."""
     rows = []
     for name, text in templates.items():
-        words = plain_words(text)
-        grams = sorted(set(pairs(words)), key=lambda g: (-len(g), g))
-        chosen = set(grams[: len(grams) - math.ceil(len(grams) * threshold / (2 - threshold) - SLACK) + 1])
-        rows += [(name, g, place, len(words)) for place, g in enumerate(pairs(words)) if g in chosen]
+        grams = sorted(set(pairs(plain_words(text))), key=lambda g: (-len(g), g))
+        rows += [(name, g) for g in grams[: len(grams) - fewest(len(grams), threshold) + 1] if grams]
     return rows
 
 
-def more(n: int) -> int:
-    """How many words longer the longer units of a template of n words are."""
-    return -(-n // 4)
+def fewest(grams: int, threshold: float) -> int:
+    """How many of a template's bigrams a unit has at least."""
+    return math.ceil(grams * threshold / (2 - threshold) - SLACK)
+
+
+def most_words(words: int, threshold: float) -> int:
+    """How many words a unit has at most."""
+    return max(2, math.floor(words * (2 - threshold) / threshold + SLACK))
 
 
 def normalised(text: Column) -> Column:
@@ -94,7 +96,32 @@ def normalised(text: Column) -> Column:
 
 def bigrams(words: Column) -> Column:
     n = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.array_distinct(F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def best_unit(words: Column, grams: Column, most: Column) -> Column:
+    """Of the units that start among the first `most` of the words: struct of score, start and end (both negative, so that the greatest is
+    the best). Each variable of a lambda is computed once."""
+
+    def marked(b: Column) -> Column:  # of each bigram: is it the template's, and where did it stand before
+        return F.transform(b, lambda x, i: F.struct(F.array_contains(grams, x).alias("hit"), (i - F.array_position(F.reverse(F.slice(b, 1, i)), x)).alias("back"), F.array_contains(F.slice(b, 1, i), x).alias("again")))
+
+    def extended(items: Column, s: Column) -> Column:
+        def step(a: Column, x: Column) -> Column:
+            new = (~x["again"] | (x["back"] < s)).cast("int")
+            have, hits = a["have"] + new, a["hits"] + F.when(x["hit"], new).otherwise(0)
+            score = F.lit(2.0) * hits / (have + F.size(grams))
+            better = x["hit"] & (score > a["score"])
+            return F.struct((a["at"] + 1).alias("at"), have.alias("have"), hits.alias("hits"), F.when(better, score).otherwise(a["score"]).alias("score"), F.when(better, a["at"]).otherwise(a["end"]).alias("end"))
+
+        zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("have"), F.lit(0).alias("hits"), F.lit(0.0).alias("score"), F.lit(0).alias("end"))
+        return F.aggregate(F.slice(items, s + 1, most - 1), zero, step, lambda a: F.struct(a["score"].alias("score"), (-s).alias("start"), (-s - a["end"] - 2).alias("end")))
+
+    def of_all(items: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.least(F.size(items), most) - 1), lambda s: F.get(items, s)["hit"])
+        return F.array_max(F.transform(starts, lambda s: extended(items, s)))
+
+    return F.element_at(F.transform(F.transform(F.array(bigrams(words)), marked), of_all), 1)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -102,23 +129,20 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     ends (words)."""
     spark = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
-    grams = {name: sorted(set(pairs(plain_words(text)))) for name, text in templates.items()}
-    rows = [(gram, name, place, n, more(n), grams[name]) for name, gram, place, n in anchors(templates, threshold)]
-    known = listed(spark, rows, {"gram": pa.string(), "licence": pa.string(), "place": pa.int32(), "n": pa.int32(), "longer": pa.int32(), "grams": pa.list_(pa.string())})
-    words = docs.select("doc_id", F.split(normalised(text_or_empty()), " ").alias("words"))
+    words_of = {name: plain_words(text) for name, text in templates.items()}
+    facts = [(name, sorted(set(pairs(w))), most_words(len(w), threshold), fewest(len(set(pairs(w))), threshold)) for name, w in words_of.items() if len(w) > 1]
+    known = listed(spark, facts, {"licence": pa.string(), "grams": pa.list_(pa.string()), "most": pa.int32(), "need": pa.int32()})
+    entered = listed(spark, [(gram, name) for name, gram in anchors(templates, threshold)], {"gram": pa.string(), "licence": pa.string()}).join(F.broadcast(known), "licence")
+    words = docs.select("doc_id", F.split(normalised(text_or_empty()), " ").alias("words"), F.md5(text_or_empty()).alias("row"))
     # the words ride along, but only rows that match an anchor are made
-    each = words.select("doc_id", "words", F.posexplode("words").alias("at", "word"))
+    each = words.select("doc_id", "row", "words", F.posexplode("words").alias("at", "word"))
     gram = F.concat("word", F.lit(" "), F.try_element_at("words", F.col("at") + 2))
-    met = each.withColumn("gram", gram).join(F.broadcast(known), "gram")  # bounded by the templates
-    begin, size = F.col("at") - F.col("place"), F.size("words")
-    unit = lambda a, b: F.struct(F.greatest(a, F.lit(0)).alias("start"), F.least(b, size).alias("end"))
-    units = F.array(unit(begin, begin + F.col("n")), unit(begin, begin + F.col("n") + F.col("longer")), unit(begin - F.col("longer"), begin + F.col("n")), unit(F.lit(0), size))
-    units = met.select("doc_id", "words", "licence", "grams", F.explode(F.array_distinct(units)).alias("u")).select("doc_id", "words", "licence", "grams", "u.*")
-    # sizes first: a unit of m words has m - 1 bigrams at most, of which all may be the template's
-    n, words_in = F.size("grams"), F.col("end") - F.col("start")
-    reach = lambda have: 2 * F.least(have, n) >= threshold * (have + n) - SLACK
-    units = units.where((words_in > n) | reach(words_in - 1)).withColumn("have", bigrams(F.slice("words", F.col("start") + 1, words_in)))
-    units = units.where(reach(F.size("have")))
-    scored = units.select("doc_id", "licence", "start", "end", (F.lit(2.0) * F.size(F.array_intersect("have", "grams")) / (F.size("have") + n)).alias("score")).where(F.col("score") >= threshold - SLACK)
-    best = scored.groupBy("doc_id", "licence").agg(F.max(F.struct("score", (-F.col("start")).alias("start"), (-F.col("end")).alias("end"))).alias("b"))
+    met = each.withColumn("gram", gram).join(F.broadcast(entered), "gram")  # bounded by the templates
+    first, last = (F.floor(x / F.col("most")).cast("int") for x in (F.greatest(F.col("at") - F.col("most") + 2, F.lit(0)), F.col("at")))
+    blocks = met.select("doc_id", "row", "words", "licence", "grams", "most", "need", F.explode(F.array_distinct(F.array(first, last))).alias("block"))
+    blocks = blocks.withColumn("piece", F.slice("words", F.col("block") * F.col("most") + 1, 2 * F.col("most")))
+    blocks = blocks.where(F.size(F.array_intersect(bigrams(F.col("piece")), "grams")) >= F.col("need"))
+    blocks = blocks.groupBy("doc_id", "row", "licence", "block").agg(F.first("piece").alias("piece")).join(F.broadcast(known), "licence")  # each block once
+    found = blocks.select("doc_id", "licence", (F.col("block") * F.col("most")).alias("shift"), best_unit(F.col("piece"), F.col("grams"), F.col("most")).alias("u")).where(F.col("u.score") >= threshold - SLACK)
+    best = found.groupBy("doc_id", "licence").agg(F.max(F.struct(F.col("u.score").alias("score"), (F.col("u.start") - F.col("shift")).alias("start"), (F.col("u.end") - F.col("shift")).alias("end"))).alias("b"))
     return best.select("doc_id", "licence", "b.score", (-F.col("b.start")).alias("start"), (-F.col("b.end")).alias("end"))

@@ -198,24 +198,22 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 F
 
 
 def licence_sql(templates: dict[str, str], threshold: float, documents: str = "documents") -> str:
+    """All runs that begin and end with a bigram of the template, but those that can't have enough of them."""
     quoted = lambda x: "'{}'".format(x.replace("'", "''"))
     rows = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in templates.items())
-    anchors = ", ".join(f"({quoted(k)}, {quoted(g)}, {place}, {n}, {licences.more(n)})" for k, g, place, n in licences.anchors(templates, threshold))
     plain = "string_split(trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g')), ' ')"
-    grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    grams = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
     return f"""
 WITH templates(licence, body) AS (VALUES {rows}),
-anchors(licence, gram, place, n, longer) AS (VALUES {anchors}),
 tw AS (SELECT licence, {plain.format("body")} AS w FROM templates),
-tg AS (SELECT licence, {grams} AS g FROM tw),
-d AS (SELECT doc_id, {plain.format("coalesce(text, '')")} AS w FROM {documents}),
-p AS (SELECT doc_id, unnest(w) AS a, unnest(range(0, len(w))) AS pos, unnest(list_concat(w[2:], [NULL])) AS b FROM d),
-m AS (SELECT DISTINCT doc_id, licence, pos - place AS s, n, longer FROM p JOIN anchors ON gram = a || ' ' || b),
-u AS (SELECT doc_id, licence, s, s + n AS e FROM m UNION SELECT doc_id, licence, s, s + n + longer FROM m
-  UNION SELECT doc_id, licence, s - longer, s + n FROM m UNION SELECT doc_id, licence, 0, 1000000000 FROM m),
-ug AS (SELECT doc_id, licence, greatest(s, 0)::INT AS s, least(e, len(d.w))::INT AS e, d.w[greatest(s, 0) + 1 : least(e, len(d.w))] AS w FROM u JOIN d USING (doc_id)),
-x AS (SELECT doc_id, licence, s, e, {grams} AS h FROM ug),
-scored AS (SELECT doc_id, licence, s, e, 2.0::DOUBLE * len(list_intersect(h, g)) / (len(h) + len(g)) AS score FROM x JOIN tg USING (licence))
+tg AS (SELECT licence, list_distinct({grams}) AS g, floor(len(w) * {2 - threshold} / {threshold} + 1e-9)::INT AS most, ceil(len(list_distinct({grams})) * {threshold} / {2 - threshold} - 1e-9)::INT AS need FROM tw),
+tu AS (SELECT licence, most, need, unnest(g) AS gram FROM tg),
+d AS (SELECT doc_id, row_number() OVER () AS row, {plain.format("coalesce(text, '')")} AS w FROM {documents}),
+p AS (SELECT doc_id, row, unnest(w) AS a, unnest(range(0, len(w))) AS pos, unnest(list_concat(w[2:], [NULL])) AS b FROM d),
+m AS (SELECT doc_id, row, licence, most, need, pos, count(*) OVER (PARTITION BY row, licence ORDER BY pos RANGE BETWEEN CURRENT ROW AND most - 2 FOLLOWING) AS ahead FROM p JOIN tu ON gram = a || ' ' || b),
+u AS (SELECT x.doc_id, x.row, x.licence, x.pos AS s, y.pos + 2 AS e FROM m x JOIN m y ON y.row = x.row AND y.licence = x.licence AND y.pos BETWEEN x.pos AND x.pos + x.most - 2 WHERE x.ahead >= x.need AND y.pos - x.pos + 1 >= x.need),
+ug AS (SELECT u.doc_id, licence, s::INT AS s, e::INT AS e, list_distinct(list_transform(range(s + 1, e), lambda i: d.w[i] || ' ' || d.w[i + 1])) AS h FROM u JOIN d USING (row)),
+scored AS (SELECT doc_id, licence, s, e, 2.0::DOUBLE * len(list_intersect(h, g)) / (len(h) + len(g)) AS score FROM ug JOIN tg USING (licence))
 SELECT doc_id, licence, max(score) AS score, (min({{'x': -score, 's': s, 'e': e}})).s AS start, (min({{'x': -score, 's': s, 'e': e}})).e AS "end"
 FROM scored WHERE score >= {threshold} - 1e-9 GROUP BY doc_id, licence
 """

@@ -462,24 +462,23 @@ def dice(a, b):
     return 2 * len(a & b) / (len(a) + len(b)) if a else 0
 
 
-def slow_scan(rows):
-    """All units of all anchors, scored one by one."""
-    words = {name: licences.plain_words(t) for name, t in licences.TEMPLATES.items()}
-    listed = defaultdict(list)
-    for name, gram, place, n in licences.anchors(licences.TEMPLATES, licences.THRESHOLD):
-        listed[gram].append((name, place, n))
+def slow_scan(rows, templates=None):
+    """All runs of words of admitted length, one by one."""
     out = {}
-    for i, t in rows:
-        w = licences.plain_words(t or "")
-        found = set()
-        for at, gram in enumerate(licences.pairs(w)):
-            for name, place, n in listed.get(gram, ()):
-                s, longer = at - place, -(-n // 4)
-                found |= {(name, max(a, 0), min(b, len(w))) for a, b in ((s, s + n), (s, s + n + longer), (s - longer, s + n), (0, len(w)))}
-        for name, a, b in found:
-            score = dice(set(licences.pairs(w[a:b])), set(licences.pairs(words[name])))
-            if score >= licences.THRESHOLD:
-                out[i, name] = max(out.get((i, name), (0,)), (score, -a, -b))
+    for name, text in (templates or licences.TEMPLATES).items():
+        own = licences.plain_words(text)
+        grams, most = set(licences.pairs(own)), licences.most_words(len(own), licences.THRESHOLD)
+        for i, t in rows:
+            b = licences.pairs(licences.plain_words(t or ""))
+            if len(set(b) & grams) < licences.fewest(len(grams), licences.THRESHOLD):
+                continue
+            for s in range(len(b)):
+                have = set()
+                for e in range(s, min(len(b), s + most - 1)):
+                    have.add(b[e])
+                    score = 2 * len(have & grams) / (len(have) + len(grams)) if b[e] in grams else 0
+                    if score >= licences.THRESHOLD:
+                        out[i, name] = max(out.get((i, name), (0,)), (score, -s, -e - 2))
     return {k: (v[0], -v[1], -v[2]) for k, v in out.items()}
 
 
@@ -509,27 +508,45 @@ def test_licence_scan(spark, docs, empty):
         (109, prose(20) + " This work is licensed under the terms of the GNU General Public License, version 3. " + prose(20)),
         (110, " ".join(mit.split()[20:])),
         (111, " ".join(mit.split()[:60]) + " " + prose(25) + " " + " ".join(mit.split()[60:]) + prose(100)),
+        (112, f"{prose(400)} distributed under the MIT license, {prose(400)}"),
+        (113, "available under the MIT license"),
+        (114, "Released under the MIT License. " * 300),
     ]
     frame = odd(docs.unionByName(spark.createDataFrame([(i, t, None, None, None) for i, t in more], SCHEMA)))
     got = {(r["doc_id"], r["licence"]): (r["score"], r["start"], r["end"]) for r in licences.scan(frame).collect()}
     assert got == slow_scan([*enumerate(TEXTS), *more])
     n = len(licences.plain_words(mit))
-    assert got[101, "MIT"] == (1.0, 0, n) and got[102, "MIT"] == (1.0, 0, n) and got[106, "MIT"] == (1.0, 0, n)
+    for i in (101, 102, 106):  # its last two words end a pair that was there before
+        assert got[i, "MIT"] == (1.0, 0, n - 2)
     assert got[107, "MIT-notice"][0] == 1.0 and got[108, "GPL-3.0-header"][0] == 1.0 and (108, "AGPL-3.0-header") in got
     assert {(100, "MIT-notice"), (103, "Apache-2.0-notice"), (104, "all-rights-reserved"), (109, "GPL-3.0-notice"), (110, "MIT"), (111, "MIT")} <= set(got)
     assert not [k for k in got if k[0] < 100 or k[0] == 105]
+    assert {(112, "MIT-notice"), (113, "MIT-notice"), (114, "MIT-notice")} <= set(got)
     assert licences.scan(empty).count() == 0 and licences.scan(frame, {"word": "one", "x": ""}).count() == 0
 
 
+def test_no_edited_licence_is_lost(spark):
+    """Copies with words left out, put in and changed, in other text: whichever has a run of words at the threshold is found, with its
+    best run."""
+    own, rows = random.Random(2), []
+    for name in ("MIT-notice", "Apache-2.0-notice", "BSD-3-Clause-notice", "GPL-3.0-notice", "MPL-2.0-header", "CC0-1.0-notice", "ISC"):
+        for k in range(24):
+            words = licences.TEMPLATES[name].split()
+            for _ in range(1 + k % (2 + len(words) // 9)):
+                at, kind = own.randrange(len(words)), own.randrange(3)
+                words[at : at + (kind < 2)] = [] if kind == 0 else [own.choice(VOCABULARY)]
+            rows.append((len(rows), " ".join([prose(own.randint(0, 40)), *words, prose(own.randint(0, 40))])))
+    want = slow_scan(rows)
+    got = {(r["doc_id"], r["licence"]): (r["score"], r["start"], r["end"]) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and 80 < len({i for i, _ in want}) < len(rows)
+
+
 def test_a_unit_that_reaches_the_threshold_has_an_anchor():
     for name, text in licences.TEMPLATES.items():
-        words = licences.plain_words(text)
-        grams = sorted(set(licences.pairs(words)))
-        own = {g for k, g, _, _ in licences.anchors(licences.TEMPLATES, 0.8) if k == name}
-        least = set(grams) - own  # the best set without an anchor
-        assert dice(least, set(grams)) < 0.8
-    sizes = {k: len(set(licences.pairs(licences.plain_words(t)))) for k, t in licences.TEMPLATES.items()}
-    assert all(len({g for k, g, _, _ in licences.anchors(licences.TEMPLATES, 0.8) if k == name}) <= sizes[name] / 3 + 1 for name in sizes)
+        grams = set(licences.pairs(licences.plain_words(text)))
+        own = {g for k, g in licences.anchors(licences.TEMPLATES, 0.8) if k == name}
+        assert own and dice(grams - own, grams) < 0.8  # the best set without an anchor
+        assert len(own) <= len(grams) / 3 + 1
 
 
 # --- 6 --------------------------------------------------------------------------------------------------------------------
