@@ -358,7 +358,8 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, kmer: int = KMER, batch_
     n = max(partitions(spark), -(-total // batch_bytes))
     # minimizers are told apart by so many bits that one in 100,000 or less is taken for another's
     bits = min(63, max(32, int(total).bit_length() + 14))
-    dealt = texts.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
+    # by the text as well: rows without an id, or with one that repeats, are dealt out like others
+    dealt = texts.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
 
     def bucket_of(keys: np.ndarray) -> np.ndarray:
         return (((keys.view(np.uint64) << U(64 - bits)) >> U(32)) * U(n) >> U(32)).astype(np.int32)

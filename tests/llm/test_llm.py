@@ -96,6 +96,34 @@ def test_repeats_edges(spark, empty):
     assert got == [(False, 0), (False, 0), (False, 0), (True, len(PASSAGE.encode()))]
 
 
+@pytest.mark.parametrize("ids", ["null", "one", "few"])
+def test_ids_that_repeat_are_several_batches(spark, monkeypatch, ids):
+    """All rows without an id, or with one of few: judged as ever, and no task has them all."""
+    texts = [prose(120) + " " + PASSAGE * (k % 3) for k in range(120)]
+    number = lambda k: None if ids == "null" else 1 if ids == "one" else k % 4
+    rows = [(number(k), t) for k, t in enumerate(texts)] + [(-5, PASSAGE)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in repeats.remove_repeats(df, batch_bytes=16 << 10).collect())
+    first = defaultdict(lambda: 10**9)
+    for i, t in rows:
+        t = data(t)
+        for a in range(len(t) - 49):
+            first[t[a : a + 50]] = min(first[t[a : a + 50]], 10**8 if i is None else i)
+    want = Counter()
+    for i, t in rows:
+        t = data(t)
+        gone = bytearray(len(t))
+        for a in range(len(t) - 49):
+            if first[t[a : a + 50]] < (10**8 if i is None else i):
+                gone[a : a + 50] = b"\1" * 50
+        kept = bytes(c for c, g in zip(t, gone, strict=True) if not g)
+        want[i, len(t), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()] += 1
+    assert got == want
+    n = max(common.partitions(spark), -(-sum(len(data(t)) for _, t in rows) // (16 << 10)))
+    shares = df.groupBy(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("batch")).count().agg(F.max("count")).first()[0]
+    assert n >= 7 and shares < 60
+
+
 def test_kept_bytes_and_spans_round_trip(spark, docs):
     for r in repeats.remove_repeats(docs).collect():
         text = data(TEXTS[r["doc_id"]])
