@@ -176,14 +176,19 @@ first AS (SELECT conv_id, call_id, min({{'turn': turn, 'place': place, 'text': t
 there AS (SELECT conv_id, call_id AS need, min({{'t': turn, 'p': place}}) AS there FROM c WHERE call_id IS NOT NULL GROUP BY ALL),
 e AS (SELECT conv_id, call_id, need, max(CASE WHEN there < {{'t': turn, 'p': place}} THEN 0 ELSE 1 END) AS back
   FROM (SELECT conv_id, call_id, turn, place, unnest(after) AS need FROM c WHERE call_id IS NOT NULL) JOIN there USING (conv_id, need) GROUP BY ALL),
-most AS (SELECT conv_id, sum(back) AS most FROM e GROUP BY ALL),
-way AS (SELECT conv_id, call_id, 1::HUGEINT AS rank FROM e WHERE back = 1
-  UNION SELECT e.conv_id, e.call_id, least(way.rank + e.back, most + 1) FROM way JOIN e ON e.conv_id = way.conv_id AND e.need = way.call_id JOIN most ON most.conv_id = e.conv_id),
+odd AS (SELECT conv_id FROM e WHERE back = 1 GROUP BY conv_id),
+reach AS (SELECT conv_id, call_id AS a, need AS b FROM e SEMI JOIN odd USING (conv_id) UNION SELECT reach.conv_id, reach.a, e.need FROM reach JOIN e ON e.conv_id = reach.conv_id AND e.call_id = reach.b),
+circle AS (SELECT x.conv_id, x.a AS call_id, max(x.b) AS circle FROM reach x JOIN reach y ON y.conv_id = x.conv_id AND y.a = x.b AND y.b = x.a GROUP BY ALL),
+w AS (SELECT e.conv_id, coalesce(x.circle, e.call_id) AS call_id, coalesce(y.circle, e.need) AS need, max(back) AS back
+  FROM e SEMI JOIN odd USING (conv_id) LEFT JOIN circle x ON x.conv_id = e.conv_id AND x.call_id = e.call_id LEFT JOIN circle y ON y.conv_id = e.conv_id AND y.call_id = e.need GROUP BY ALL),
+v AS (SELECT * FROM w WHERE call_id <> need),
+way AS (SELECT conv_id, call_id, 1::HUGEINT AS rank FROM v WHERE back = 1
+  UNION SELECT v.conv_id, v.call_id, way.rank + v.back FROM way JOIN v ON v.conv_id = way.conv_id AND v.need = way.call_id),
 k AS (SELECT conv_id, call_id, max(rank) AS rank FROM way GROUP BY ALL)
-SELECT c.conv_id, c.call_id, CASE WHEN k.rank > most THEN 0 ELSE coalesce(k.rank, 0) END::BIGINT AS rank, c.turn, c.place::INT AS place,
-  CASE WHEN first.r IS NULL THEN 'unanswered' ELSE 'linked' END AS status, c.faults = '' AS valid, c.faults, coalesce(k.rank > most, false) AS cyclic,
+SELECT c.conv_id, c.call_id, coalesce(k.rank, 0)::BIGINT AS rank, c.turn, c.place::INT AS place,
+  CASE WHEN first.r IS NULL THEN 'unanswered' ELSE 'linked' END AS status, c.faults = '' AS valid, c.faults, circle.circle IS NOT NULL AS cyclic,
   json_object('arguments', c.arguments, 'id', c.call_id, 'name', c.name, 'result', first.r.text)::VARCHAR AS json
-FROM c LEFT JOIN first USING (conv_id, call_id) LEFT JOIN k USING (conv_id, call_id) LEFT JOIN most USING (conv_id)
+FROM c LEFT JOIN first USING (conv_id, call_id) LEFT JOIN circle USING (conv_id, call_id) LEFT JOIN k ON k.conv_id = c.conv_id AND k.call_id = coalesce(circle.circle, c.call_id)
 UNION ALL
 SELECT r.conv_id, r.call_id, 0, r.turn, r.place, 'orphan', false, 'no call', false, json_object('id', r.call_id, 'result', r.text)::VARCHAR
 FROM r ANTI JOIN c USING (conv_id, call_id)

@@ -365,7 +365,7 @@ def test_calls_and_results(spark):
 
 
 def slow_ranks(calls):
-    """Ways of waits, one by one; a call that a circle leads to is cyclic."""
+    """Ways of waits, one by one; calls that reach themselves are cyclic, and those of one circle are one call."""
     place, needs = {}, defaultdict(set)
     for conv, turn, at, call, _, _, after in calls:
         place[conv, call] = min(place.get((conv, call), (turn, at)), (turn, at))
@@ -373,24 +373,48 @@ def slow_ranks(calls):
         needs[conv, call] |= {(n, int(place[conv, n] >= (turn, at))) for n in after or [] if (conv, n) in place}
     back = {k: {n: max(b for m, b in v if m == n) for n, _ in v} for k, v in needs.items()}
 
-    def rank(key, path):
-        if key in path:
-            return None
-        found = [(rank((key[0], n), path | {key}), b) for n, b in back.get(key, {}).items()]
-        return None if any(r is None for r, _ in found) else max([r + b for r, b in found], default=0)
+    def reach(key):
+        seen, left = set(), [key]
+        while left:
+            conv, call = left.pop()
+            new = {(conv, n) for n in back.get((conv, call), {})} - seen
+            seen |= new
+            left += new
+        return seen
 
-    return {k: (0, True) if (r := rank(k, frozenset())) is None else (r, False) for k in place}
+    to = {k: reach(k) for k in place}
+    circle = {k: frozenset(n for n in to[k] if k in to[n]) for k in place if k in to[k]}
+    group = {k: circle.get(k, frozenset([k])) for k in place}
+
+    def rank(g):
+        ways = [rank(group[k[0], n]) + b for k in g for n, b in back.get(k, {}).items() if (k[0], n) not in g]
+        return max(ways, default=0)
+
+    return {k: (rank(group[k]), k in circle) for k in place}
 
 
 def test_topological_order_and_circles(spark):
     calls = [(1, 0, 0, "a", "f", '{"x":1}', ["b"]), (1, 1, 0, "b", "f", '{"x":1}', ["c"]), (1, 2, 0, "c", "f", '{"x":1}', None), (2, 0, 0, "p", "f", '{"x":1}', ["q"]), (2, 1, 0, "q", "f", '{"x":1}', ["p"]), (2, 2, 0, "r", "f", '{"x":1}', None), (3, 0, 0, "a", "f", '{"x":1}', None), (3, 1, 0, "s", "f", "{}", ["s"]), (3, 2, 0, "t", "f", "{}", ["s", "a"])]
     got = {(k[0], k[1]): (x["rank"], x["cyclic"]) for k, x in linked(spark, calls, []).items()}
-    assert got == {(1, "a"): (2, False), (1, "b"): (1, False), (1, "c"): (0, False), (2, "p"): (0, True), (2, "q"): (0, True), (2, "r"): (0, False), (3, "a"): (0, False), (3, "s"): (0, True), (3, "t"): (0, True)}
+    assert got == {(1, "a"): (2, False), (1, "b"): (1, False), (1, "c"): (0, False), (2, "p"): (0, True), (2, "q"): (0, True), (2, "r"): (0, False), (3, "a"): (0, False), (3, "s"): (0, True), (3, "t"): (0, False)}
+    assert got == slow_ranks(calls)
+
+
+def test_what_is_behind_a_circle_is_in_order(spark):
+    """p and q wait for each other, x for p, and y, which stands first, for x; two circles, one behind the other, and what lies between."""
+    call = lambda conv, turn, name, *after: (conv, turn, 0, name, "f", '{"x":1}', list(after))
+    calls = [call(1, 0, "y", "x"), call(1, 1, "x", "p"), call(1, 2, "p", "q"), call(1, 3, "q", "p")]
+    calls += [call(2, 0, "a", "b"), call(2, 1, "b", "c"), call(2, 2, "c", "b", "m"), call(2, 3, "m", "u"), call(2, 4, "u", "v"), call(2, 5, "v", "w"), call(2, 6, "w", "u", "z"), call(2, 7, "z")]
+    got = {(k[0], k[1]): (x["rank"], x["cyclic"]) for k, x in linked(spark, calls, []).items()}
     assert got == slow_ranks(calls)
+    assert [got[1, k] for k in "pqxy"] == [(1 - 1, True), (0, True), (1, False), (2, False)]
+    assert [got[2, k] for k in "zuvwmbca"] == [(0, False), *[(1, True)] * 3, (2, False), *[(3, True)] * 2, (4, False)]
 
 
-def test_order_of_random_calls(spark):
-    """Each call comes after what it waits for, by rank, turn and place."""
+@pytest.mark.parametrize("small", [1 << 16, 0])
+def test_order_of_random_calls(spark, monkeypatch, small):
+    """Each call comes after what it waits for, by rank, turn and place, with broadcasts and without."""
+    monkeypatch.setattr(chat.ranks, "__defaults__", (small,))
     own = random.Random(5)
     calls = []
     for conv in range(30):
@@ -403,13 +427,13 @@ def test_order_of_random_calls(spark):
     assert {k: (x["rank"], x["cyclic"]) for k, x in got.items()} == slow_ranks(calls)
     assert any(x["cyclic"] for x in got.values()) and max(x["rank"] for x in got.values()) > 2
     for conv, _, _, call, _, _, after in calls:
-        if not got[conv, call]["cyclic"]:
+        if not got[conv, call]["cyclic"]:  # behind a circle, too
             assert all((got[conv, n]["rank"], got[conv, n]["turn"]) < (got[conv, call]["rank"], got[conv, call]["turn"]) for n in after)
 
 
 def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
     rounds = []
-    monkeypatch.setattr(chat, "settle", lambda *x, settle=chat.settle: rounds.append(1) or settle(*x))
+    monkeypatch.setattr(chat.Held, "keep", lambda *x, keep=chat.Held.keep: rounds.append(1) or keep(*x))
     calls = [(1, 600 - k, 0, str(k), "f", '{"x":1}', [str(k - 1)]) for k in range(600)]
     got = linked(spark, calls, [])
     assert {int(k[1]): x["rank"] for k, x in got.items()} == {k: k for k in range(600)} and len(rounds) <= 17
