@@ -16,8 +16,6 @@ from siftworks.functions import classify
 from siftworks.functions.text import clean_field, content_words, strip
 from siftworks.session import cut
 
-ITEM = "index string, domain string, pitch_category string, true_business_type string, true_product_category string"
-
 
 def split_classes(leads: DataFrame) -> DataFrame:
     """Adds lead_class; one pass, one CASE."""
@@ -165,38 +163,32 @@ def answer_text(raw: Column) -> Column:
     return F.when(F.startswith(text, F.lit("```")), unfenced).otherwise(text)
 
 
+def is_kind(v: Column, kind: str) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit(kind)), F.lit(False))
+
+
 def parse_answers(answers: DataFrame) -> DataFrame:
     """answers: batch, raw. One row per item: batch, pos, index, domain, pitch, biz, prod; broken answers give one row with error.
 
-    The items are a list, or stand below `items`, else below the first key that has a list, else the object is the one item.
-    """
-    text = answer_text(F.col("raw"))
-    parsed = answers.select("batch", text.alias("text"), F.try_parse_json(text).alias("v"))
-    kind = F.schema_of_variant("v")
-    is_object, is_list = F.startswith(kind, F.lit("OBJECT<")), F.startswith(kind, F.lit("ARRAY<"))
-    named = F.try_variant_get("v", "$.items", "string")
-    values = F.map_values(F.from_json("text", "map<string, string>"))  # in their order
-    below = F.filter(values, lambda x: F.startswith(x, F.lit("[")))
-    listed = (
-        F.when(is_list, F.col("text"))
-        .when(is_object & F.startswith(named, F.lit("[")) & (named != "[]"), named)
-        .when(is_object, F.coalesce(F.try_element_at(below, F.lit(1)), F.concat(F.lit("["), F.col("text"), F.lit("]"))))
-    )
-    items = F.from_json(listed, "array<string>")
-    rows = parsed.select("batch", F.when(items.isNull(), "JSON_ERROR").alias("error"), F.posexplode_outer(items).alias("pos", "one"))
-    rows = rows.where(F.col("error").isNotNull() | F.startswith(F.ltrim("one"), F.lit("{"))).withColumn("item", F.from_json("one", ITEM))
-    known = lambda c: F.coalesce(F.nullif(F.col(f"item.{c}"), F.lit("Unknown")), F.lit(""))
-    domain = F.coalesce("item.domain", F.lit(""))
-    return rows.select(
-        "batch",
-        "error",
-        "pos",
-        F.col("item.index").try_cast("int").alias("index"),
-        domain.alias("domain"),
-        F.when(F.col("error").isNull(), classify.normalise_category(F.col("item.pitch_category"), domain, F.col("item.true_business_type"), F.col("item.true_product_category"))).alias("pitch"),
-        F.when(F.col("error").isNull(), known("true_business_type")).alias("biz"),
-        F.when(F.col("error").isNull(), known("true_product_category")).alias("prod"),
-    )
+    The items are a list, or stand below `items`, else below the first key that has a list, else the object is the one item. An answer is
+    parsed once, into a variant, whose items are rows by a lateral join; of its text only the order of its keys is asked for, as a variant
+    has none."""
+    spark = answers.sparkSession
+    parsed = answers.select("batch", answer_text(F.col("raw")).alias("text")).select("batch", "text", F.try_parse_json("text").alias("v"))
+    field = lambda key: F.try_variant_get("v", F.concat(F.lit('$["'), key, F.lit('"]')), "variant")
+    named, keys = F.try_variant_get("v", "$.items", "variant"), F.filter(F.json_object_keys("text"), lambda k: ~F.contains(k, F.lit('"')))
+    below = F.get(F.filter(F.transform(keys, field), lambda x: is_kind(x, "ARRAY<")), F.lit(0))
+    filled = is_kind(named, "ARRAY<") & F.try_variant_get(named, "$[0]", "variant").isNotNull()
+    of_object = F.when(filled, named).otherwise(F.coalesce(below, F.to_variant_object(F.array("v"))))
+    held = F.when(is_kind(F.col("v"), "ARRAY<"), F.col("v")).when(is_kind(F.col("v"), "OBJECT<"), of_object)
+    found = parsed.select("batch", held.alias("held"), F.when(held.isNull(), "JSON_ERROR").alias("error"))
+    rows = found.lateralJoin(spark.tvf.variant_explode_outer(F.col("held").outer())).where(F.col("error").isNotNull() | is_kind(F.col("value"), "OBJECT<"))
+    of = lambda c: F.try_variant_get("value", f"$.{c}", "string")
+    items = rows.select("batch", "error", "pos", of("index").try_cast("int").alias("index"), F.coalesce(of("domain"), F.lit("")).alias("domain"), *[of(c).alias(c) for c in ("pitch_category", "true_business_type", "true_product_category")])
+    real = lambda c: F.when(F.col("error").isNull(), c)
+    known = lambda c: real(F.coalesce(F.nullif(F.col(c), F.lit("Unknown")), F.lit("")))
+    pitch = classify.normalise_category(*(F.col(c) for c in ("pitch_category", "domain", "true_business_type", "true_product_category")))
+    return items.select("batch", "error", "pos", "index", "domain", real(pitch).alias("pitch"), known("true_business_type").alias("biz"), known("true_product_category").alias("prod"))
 
 
 def last_by(items: DataFrame, key: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import time
 import uuid
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from siftworks import rules
 from siftworks.operators import incremental, leads
-from siftworks.session import cut, there
+from siftworks.session import bytes_in, cut, folders_in, read_small, remove, there, write_small
 from siftworks.sources import fetch
 
 DAY = "yyyy-MM-dd"
@@ -108,19 +109,76 @@ def scan(spark: SparkSession, candidates: DataFrame, base: str, get: fetch.Get =
 
     <base>/tried has every attempt, got or not; it is written before anything is made of it, so no domain is tried twice even
     if the run ends there: the next run makes the leads of runs that have none yet from the pages in that table. <base>/leads has
-    the useful leads, a folder for each run that is replaced as a whole; <base>/done names the runs that are through.
+    the useful leads, a folder for each run that is replaced as a whole; <base>/done names the runs that are through. Many small runs
+    are packed by compact(); tried_in() and leads_in() read either.
     """
     run = f"{time.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
     todo = incremental.clean_keys(candidates, "domain")
-    if there(spark, f"{base}/tried"):
+    if there(spark, f"{base}/tried") or packed(spark, base):
         todo = incremental.pending(todo, tried_in(spark, base), "domain")
     fetch.attempts(todo, get, tries=tries, sleep=sleep).withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(f"{base}/tried")
     finish(spark, base)
     return run
 
 
+def table_of(spark: SparkSession, base: str, name: str) -> DataFrame | None:
+    """tried or leads of all runs: what compact() has packed, and the folders of the runs that it hasn't. None if there is nothing."""
+    loose, held = None, packed(spark, base)
+    if there(spark, f"{base}/{name}") and any(x.startswith("run=") for x in folders_in(spark, f"{base}/{name}")):
+        loose = spark.read.schema(f"{fetch.ATTEMPT}, run string") if name == "tried" else spark.read
+        loose = loose.parquet(f"{base}/{name}").withColumn("run", F.col("run").cast("string"))
+    if held is None:
+        return loose
+    whole = spark.read.parquet(f"{base}/{held}/{name}")
+    if loose is None:
+        return whole
+    runs_ = spark.read.parquet(f"{base}/{held}/runs")  # a row for each run
+    return whole.unionByName(loose.join(F.broadcast(runs_), "run", "left_anti"), allowMissingColumns=True)
+
+
+def packed(spark: SparkSession, base: str) -> str | None:
+    """The folder that the manifest names."""
+    held = read_small(spark, f"{base}/packed.json")
+    return json.loads(held)["folder"] if held else None
+
+
 def tried_in(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(f"{fetch.ATTEMPT}, run string").parquet(f"{base}/tried")
+    found = table_of(spark, base, "tried")
+    return spark.createDataFrame([], f"{fetch.ATTEMPT}, run string") if found is None else found
+
+
+def leads_in(spark: SparkSession, base: str) -> DataFrame:
+    return table_of(spark, base, "leads")
+
+
+def compact(spark: SparkSession, base: str, file_bytes: int = 128 << 20) -> str:
+    """Packs what all runs that are through have left into files of about file_bytes, instead of a folder or more for each run, and
+    returns the folder's name.
+
+    The new folder is written beside, then the manifest (packed.json) is replaced in one step: readers take a run from its own folder
+    before and from the packed one after, never from both. vacuum() removes what is no longer read. One writer at a time."""
+    folder = f"packed-{uuid.uuid4().hex}"
+    through = cut(spark.read.schema("run string").parquet(f"{base}/done").distinct())
+    for name in ("tried", "leads"):
+        rows = table_of(spark, base, name)
+        if rows is not None:
+            size = sum(bytes_in(spark, f"{base}/{x}") for x in (name, f"{packed(spark, base) or folder}/{name}"))
+            rows.join(F.broadcast(through), "run", "left_semi").repartition(-(-max(size, 1) // file_bytes)).write.parquet(f"{base}/{folder}/{name}")
+    through.coalesce(1).write.parquet(f"{base}/{folder}/runs")
+    write_small(spark, f"{base}/packed.json", json.dumps({"folder": folder}))
+    return folder
+
+
+def vacuum(spark: SparkSession, base: str) -> None:
+    """Removes the folders of runs that are packed, and packed ones that are no longer named, for when no reader holds them."""
+    held = packed(spark, base)
+    for name in folders_in(spark, base):
+        if name.startswith("packed-") and name != held:
+            remove(spark, f"{base}/{name}")
+    if held:
+        for (run,) in spark.read.parquet(f"{base}/{held}/runs").collect():  # a row for each run
+            for name in ("tried", "leads"):
+                remove(spark, f"{base}/{name}/run={run}")
 
 
 def open_runs(spark: SparkSession, base: str) -> DataFrame:

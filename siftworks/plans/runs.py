@@ -275,6 +275,23 @@ def scan_resume(spark, sf_dir):
     return tried.join(found, "domain", "left").withColumn("lead", F.coalesce("lead", F.lit(False)))
 
 
+@query(f"""SELECT h AS domain, 1::BIGINT AS n, CASE WHEN {DEAD} THEN NULL WHEN contains(h, 'an') THEN 404 ELSE 200 END AS status, NOT {DEAD} AND NOT contains(h, 'an') AND contains(substr(h, 1, 4), 'e') AS lead, true AS fewer_files FROM {H}""")
+def runs_compacted(spark, sf_dir):
+    """Three runs, packed after the second and at the end: the same rows in fewer files."""
+    base = scratch(spark, "scan")
+    hosts = incremental.clean_keys(read(spark, sf_dir, "pages").select(host(F.col("url")).alias("domain")), "domain")
+    for n, part in enumerate((hosts.where(F.contains("domain", F.lit("a"))), hosts.where(F.contains("domain", F.lit("e"))), hosts)):
+        runs.scan(spark, part, base, half_dead)
+        if n:
+            before = max(len(runs.tried_in(spark, base).inputFiles()), before if n > 1 else 0)
+            runs.compact(spark, base)
+            runs.vacuum(spark, base)
+    fewer = len(runs.tried_in(spark, base).inputFiles()) < before
+    tried = runs.tried_in(spark, base).groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.max("status").alias("status"))
+    found = runs.leads_in(spark, base).select(F.col("Domain").alias("domain"), F.lit(True).alias("lead"))
+    return tried.join(found, "domain", "left").select("domain", "n", "status", F.coalesce("lead", F.lit(False)).alias("lead"), F.lit(fewer).alias("fewer_files"))
+
+
 @query("SELECT 'broken-off' AS run, count(DISTINCT url) AS urls FROM pages WHERE page_id % 2 = 1")
 def open_runs(spark, sf_dir):
     """A run that ended once its pages were there; the one before it is through."""

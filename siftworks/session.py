@@ -72,3 +72,17 @@ def write_small(spark: SparkSession, path: str, text: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def bytes_in(spark: SparkSession, path: str) -> int:
+    """Of all files below a folder; 0 if it isn't there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(at).getLength() if files.exists(at) else 0
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in files.listStatus(at) if x.isDirectory()]

@@ -123,3 +123,11 @@ def test_answers_and_labels_worked_out_by_hand(spark):
     rows = fx.frame(spark, fx.PITCHES)
     found = {tuple(r)[:4]: r[4] for r in rows.select("*", classify.normalise_category(*(F.col(c) for c in ("pitch", "domain", "biz", "prod"))).alias("x")).collect()}
     assert [found[x] for x in fx.PITCHES[1]] == labels
+
+
+def test_shapes_of_answers(spark):
+    """The first list in the order of the text counts, whatever its key, an empty one too; odd keys do no harm."""
+    raw = ['{"z": [{"index": 1}], "a": [{"index": 2}]}', '{"a.b": 3, "it\'s": [{"index": "4", "domain": {"x": 1}}], "q\\"q": [{"index": 9}]}', "[]", '{"items": [], "other": [{"index": 5}]}', '"text"', "7", None, '{"index": 6, "domain": "d"}', '[{"index": 7.5}, null, [1]]']
+    got = labelling.parse_answers(spark.createDataFrame(list(enumerate(raw)), "batch long, raw string"))
+    assert sorted((r["batch"], r["error"], r["index"]) for r in got.collect()) == [(0, None, 1), (1, None, 4), (4, "JSON_ERROR", None), (5, "JSON_ERROR", None), (6, "JSON_ERROR", None), (7, None, 6), (8, None, None)]
+    assert str(got._jdf.queryExecution().optimizedPlan().toString()).count("try_parse_json") + got._jdf.queryExecution().optimizedPlan().toString().count("parseJson") <= 1

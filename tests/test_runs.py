@@ -143,3 +143,25 @@ def test_a_stream_with_a_time_limit_goes_on_later(spark, tmp_path):
     run_once(spark, source, schema, lambda df: df, out, state, timeout=120)
     run_once(spark, source, schema, lambda df: df, out, state, timeout=120)
     assert spark.read.parquet(out).count() == 10
+
+
+def test_packed_runs_are_read_once(spark, tmp_path):
+    """A run in its own folder and in the packed one at once counts once; an open run isn't packed."""
+    base = f"file://{tmp_path}/scan"
+    domains = lambda *names: spark.createDataFrame([(x,) for x in names], "domain string")
+    get = lambda url: (200, f"shopify {url}")
+    runs.scan(spark, domains("a.com", "b.com"), base, get)
+    runs.scan(spark, domains("b.com", "c.com"), base, get)
+    runs.fetch.attempts(domains("d.com"), get).withColumn("run", F.lit("open")).write.mode("append").partitionBy("run").parquet(f"{base}/tried")
+    want = sorted(map(tuple, runs.tried_in(spark, base).select("domain", "run").collect()))
+    first = runs.compact(spark, base)
+    assert sorted(map(tuple, runs.tried_in(spark, base).select("domain", "run").collect())) == want and len(want) == 4
+    assert [r[0] for r in runs.open_runs(spark, base).collect()] == ["open"]
+    runs.vacuum(spark, base)
+    assert sorted(map(tuple, runs.tried_in(spark, base).select("domain", "run").collect())) == want
+    runs.scan(spark, domains("a.com", "e.com"), base, get)  # finishes the open run, too
+    assert sorted(r["Domain"] for r in runs.leads_in(spark, base).collect()) == ["a.com", "b.com", "c.com", "d.com", "e.com"]
+    assert runs.compact(spark, base) != first
+    runs.vacuum(spark, base)
+    assert sorted(r["Domain"] for r in runs.leads_in(spark, base).collect()) == ["a.com", "b.com", "c.com", "d.com", "e.com"]
+    assert len(runs.tried_in(spark, base).inputFiles()) == 1 and session.folders_in(spark, base).count(first) == 0
