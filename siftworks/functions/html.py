@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,3 +139,24 @@ def _parse(html: str | None) -> tuple:
 def parse_html(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for html in pages:
         yield pd.DataFrame([_parse(x) for x in html], columns=PARSED.names)
+
+
+def nodes_of(html: str | None, wanted: set[str]) -> Iterator[tuple[str, int, str]]:
+    """What a page holds of the kinds wanted: kind, place among its kind, value."""
+    found = dict(zip(("title", "href", "nav", "description", "og_description", "text"), _parse(html), strict=True))
+    for kind, value in found.items():
+        if kind in wanted and value is not None:
+            yield from ((kind, at, x) for at, x in enumerate(value if isinstance(value, list) else [value]))
+
+
+@F.udtf(returnType="kind string, at int, value string", useArrow=True)
+class _Nodes:
+    def eval(self, html: str, kinds: str) -> Iterator[tuple[str, int, str]]:
+        yield from nodes_of(html, set(kinds.split(",")))
+
+
+def page_nodes(pages: DataFrame, html: str, *kinds: str) -> DataFrame:
+    """pages with a row for each node of the kinds asked for: kind (title, href, nav, description, og_description or text), at (its place)
+    and value. A table function in Arrow batches, joined laterally: what isn't asked for isn't handed over, and nodes are rows at once.
+    Pages without such a node have no row."""
+    return pages.lateralJoin(_Nodes(F.col(html).outer(), F.lit(",".join(kinds))))

@@ -212,7 +212,8 @@ def html_title(spark, sf_dir):
 
 @query(f"SELECT page_id, href, count(*) AS n FROM (SELECT page_id, unnest({HREFS}) AS href FROM {P}) GROUP BY ALL")
 def html_links(spark, sf_dir):
-    return parsed(spark, sf_dir).select("page_id", F.explode("p.hrefs").alias("href")).groupBy("page_id", "href").agg(F.count(F.lit(1)).alias("n"))
+    found = html.page_nodes(pages(spark, sf_dir).select("page_id", "html"), "html", "href")
+    return found.groupBy("page_id", F.col("value").alias("href")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"SELECT page_id, nullif(array_to_string(list_sort(list_distinct(list_filter(list_transform({HREFS}, lambda h: {first('lower(h)', rules.SOCIALS, None)}), lambda x: x IS NOT NULL))), ' + '), '') AS socials FROM {P}")
@@ -245,6 +246,13 @@ def html_meta(spark, sf_dir):
 NAV = f"list_transform(regexp_extract_all(html, '(?s)<(?:a|button) href=[^>]*>([^<]*)</(?:a|button)>', 1), lambda x: lower({strip(unescape('x'))}))"
 
 
+@query(f"SELECT page_id, CASE WHEN k = 'nav' THEN i - 1 ELSE 0 END::INT AS at, k AS kind, value FROM (SELECT page_id, 'nav' AS k, unnest(range(1, len(n) + 1)) AS i, unnest(n) AS value FROM (SELECT page_id, list_filter({NAV}, lambda x: length(x) BETWEEN 1 AND 39) AS n FROM {P}) UNION ALL SELECT page_id, 'title', 1, {TITLE} FROM {P} WHERE {TITLE} IS NOT NULL)")
+def page_node_rows(spark, sf_dir):
+    """A page's title and what its links and buttons say, as rows."""
+    found = html.page_nodes(pages(spark, sf_dir).select("page_id", "html"), "html", "nav", "title")
+    return found.where("value <> ''").select("page_id", "at", "kind", "value")
+
+
 @query(f"SELECT page_id, list_filter({NAV}, lambda x: length(x) BETWEEN 1 AND 39) AS nav FROM {P}")
 def html_nav(spark, sf_dir):
     return parsed(spark, sf_dir).select("page_id", F.col("p.nav").alias("nav"))

@@ -131,3 +131,13 @@ def test_shapes_of_answers(spark):
     got = labelling.parse_answers(spark.createDataFrame(list(enumerate(raw)), "batch long, raw string"))
     assert sorted((r["batch"], r["error"], r["index"]) for r in got.collect()) == [(0, None, 1), (1, None, 4), (4, "JSON_ERROR", None), (5, "JSON_ERROR", None), (6, "JSON_ERROR", None), (7, None, 6), (8, None, None)]
     assert str(got._jdf.queryExecution().optimizedPlan().toString()).count("try_parse_json") + got._jdf.queryExecution().optimizedPlan().toString().count("parseJson") <= 1
+
+
+def test_page_nodes(spark):
+    """Only the kinds asked for, in their order; pages that are null, empty or broken have none."""
+    page = "<title>T</title><a href='/1'>One</a> text <a href='/2'>Two</a><a href='/1'>Three</a><meta name='description' content='d'>"
+    df = spark.createDataFrame([(1, page), (2, None), (3, ""), (4, "<<<a href="), (5, page)], "id int, html string")
+    found = html.page_nodes(df, "html", "href", "description")
+    one = [("description", 0, "d"), ("href", 0, "/1"), ("href", 1, "/2"), ("href", 2, "/1")]
+    assert sorted(map(tuple, found.select("id", "kind", "at", "value").collect())) == [(k, *x) for k in (1, 5) for x in one]
+    assert "ArrowEvalPythonUDTF" in found._jdf.queryExecution().toString()
