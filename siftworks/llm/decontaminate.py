@@ -17,7 +17,7 @@ items are tables throughout; the driver holds nothing but the bitmaps.
 
 Defined cases: null texts have no words; items without words have no windows; an empty benchmark hits nothing; an item without
 an item_id marks words and counts as one item but has no name in the list; rows that repeat an item_id are one item; documents
-are judged by their texts, repeated ones alike.
+are judged by their texts, repeated ones alike; empty tables give no rows, or no hits; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -22,8 +22,8 @@ there are. All cuts of shared minimizers go through the transform. Cuts are made
 (two seconds for 170 MB), which takes less than storing them would.
 
 Defined cases: a null text is empty; texts shorter than `least` keep all; a null doc_id counts as the largest; rows that share a
-doc_id are documents with equal numbers, none of which removes from another (and all of them are in one batch); an empty table
-gives no rows.
+doc_id, or have none, are documents with equal numbers, none of which removes from another (batches go by id and text, so that only rows
+alike in both share one for certain); an empty table gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ never above the Hamming distance of their fingerprints, so links are found by a
 A cell yields links that connect what is near, never all pairs; they join to components by stars.
 
 Defined cases: a null or wordless text has fingerprint 0, linked like any other; a null doc_id gets a fingerprint and a
-component but never names one unless its whole component is null; repeated rows are alike; an empty table gives no rows.
+component but never names one unless its whole component is null; repeated rows are alike; an empty table gives no rows; other
+columns, whatever their names, are ignored (one_of_each() hands all of them on).
 """
 
 from __future__ import annotations
