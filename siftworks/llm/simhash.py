@@ -22,7 +22,7 @@ columns, whatever their names, are ignored (one_of_each() hands all of them on).
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -228,6 +228,9 @@ def hex_of(fp: Column) -> Column:
 SIMILARITY = 0.8
 #: One text in SAMPLE is looked through for shingles that COMMON of them have at least; not more than LISTED are told apart.
 SAMPLE, COMMON, LISTED = 16, 4, 1 << 20
+#: Shingles that so many texts of the sample have are hot: their rows are aggregated before they are shuffled. A hot one's rows, and
+#: the pairs of one row, are dealt out in parts of so many.
+HOT_TOKEN, PART = 1024, 1 << 14
 SLACK = 1e-9
 Common = tuple[np.ndarray, np.ndarray]
 NONE: Common = (np.empty(0, np.uint64), np.empty(0, np.int64))
@@ -314,6 +317,20 @@ def of_pairs(pairs: DataFrame) -> DataFrame:
     return cut(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct())
 
 
+def meet(pairs: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """pairs with what held has of the rows that key names. A row that more than PART pairs name goes to several tasks, a part of
+    its pairs to each."""
+    many = cut(pairs.groupBy(key).agg(F.count(F.lit(1)).alias("parts")).where(F.col("parts") > PART))
+    if many.isEmpty():
+        return pairs.join(held, key)
+    many = bounded(many.withColumn("parts", F.ceil(F.col("parts") / PART).cast("int")))
+    parts = F.coalesce("parts", F.lit(1))
+    other = "b" if key == "a" else "a"
+    dealt = pairs.join(many, key, "left").withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("parts")
+    copied = held.join(many, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return dealt.join(copied, [key, "part"]).drop("part")
+
+
 def possible(pairs: DataFrame, sets: DataFrame, similarity: float, common: Broadcast) -> DataFrame:
     """Those of the pairs a, b that can be similar by their whole prefixes. sets: row, n, prefix."""
 
@@ -326,7 +343,7 @@ def possible(pairs: DataFrame, sets: DataFrame, similarity: float, common: Broad
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     held = sets.join(bounded(of_pairs(pairs)), "row", "left_semi").select("row", "n", "prefix")
-    both = pairs.join(held.toDF("b", "m", "of_b"), "b").join(held.toDF("a", "n", "of_a"), "a")
+    both = meet(meet(pairs, held.toDF("b", "m", "of_b"), "b"), held.toDF("a", "n", "of_a"), "a")
     return cut(both.select("a", "b", "n", "of_a", "m", "of_b").mapInArrow(run, "a bigint, b bigint"))
 
 
@@ -354,32 +371,69 @@ def similar_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     found = texts.mapInArrow(made, "row bigint, hashes array<bigint>")
-    both = pairs.join(found.toDF("b", "of_b"), "b").join(found.toDF("a", "of_a"), "a")
+    both = meet(meet(pairs, found.toDF("b", "of_b"), "b"), found.toDF("a", "of_a"), "a")
     return cut(both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint").distinct())
 
 
+def hot_tokens(spark: SparkSession, common: Common) -> DataFrame | None:
+    """token: the shingles that HOT_TOKEN texts of the sample have, LISTED at most."""
+    keys = common[0][common[1] >= HOT_TOKEN]
+    return spark.createDataFrame(pa.table({"token": keys.view(np.int64)})) if len(keys) else None
+
+
+def over_tokens(rows: DataFrame, hot: DataFrame | None, columns: dict[str, Column], of_hot: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """rows (with token) and, as columns, aggregates over all rows with the same token.
+
+    Rows of a hot token never meet in one task: of_hot aggregates them (by default as columns says), and the result, a row for
+    each hot token, is brought to them."""
+    same = Window.partitionBy("token")
+    cold = rows if hot is None else rows.join(F.broadcast(hot), "token", "left_anti")
+    cold = cold.withColumns({name: x.over(same) for name, x in columns.items()})
+    if hot is None:
+        return cold
+    own = rows.join(F.broadcast(hot), "token", "left_semi")
+    found = of_hot(own) if of_hot else own.groupBy("token").agg(*(x.alias(name) for name, x in columns.items()))
+    return cold.unionByName(own.join(F.broadcast(found), "token"))
+
+
+def roots_of_hot(rows: DataFrame) -> DataFrame:
+    """For each token the smallest, the largest and the most frequent root. Counts by root come first, so none is gathered."""
+    counts = rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max_by("root", "rows").alias("most"))
+
+
+def pairs_apart(mixed: DataFrame, similarity: float) -> DataFrame:
+    """a, b: rows that share a token, may be similar by it, and have other roots. mixed: token, row, root, n, at, most, many.
+
+    Of each token the rows outside its most frequent root are held against all; rows within that aren't held against each other.
+    So a large group and a few others cost few times the group. All rows are dealt out in parts, the few go to each part."""
+    parts = F.ceil(F.col("many") / PART).cast("int")
+    every = mixed.select("token", F.pmod(F.xxhash64("row"), parts).cast("int").alias("part"), F.col("row").alias("b"), F.col("root").alias("other"), F.col("n").alias("m"), F.col("at").alias("bt"))
+    few = mixed.where("root <> most").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    once = (F.col("root") != F.col("other")) & ((F.col("other") == F.col("most")) | (F.col("row") < F.col("b")))
+    met = few.join(every, ["token", "part"]).where(once & fits(F.col("n"), F.col("at"), F.col("m"), F.col("bt"), similarity))
+    return met.select(F.least("row", "b").alias("a"), F.greatest("row", "b").alias("b")).distinct()
+
+
 def similar_links(docs: DataFrame, sets: DataFrame, near: DataFrame, width: int, similarity: float, common: Broadcast) -> DataFrame:
     """a, b: links that, with near, connect all sets (row, doc_id, digest, n, prefix) that are similar.
 
     First each is compared with one head of each shingle it shares: that whose own shingles are shared most, as the base of many
     variants is. Then any two that share one and are not connected yet are compared, so none is left out; groups of copies
     are connected by then and make no pairs."""
-    same = Window.partitionBy("token")
+    hot = hot_tokens(docs.sparkSession, common.value)
     tokens = sets.select("row", "n", F.posexplode("prefix").alias("at", "token"))
-    tokens = cut(tokens.withColumn("many", F.count(F.lit(1)).over(same)).where("many > 1"))
+    tokens = cut(over_tokens(tokens, hot, {"many": F.count(F.lit(1))}).where("many > 1"))
     weights = tokens.groupBy("row").agg(F.sum("many").alias("weight"))
-    heads = tokens.join(weights, "row").withColumn("head", F.max(F.struct("weight", "row", "n", "at")).over(same))
+    heads = over_tokens(tokens.join(weights, "row"), hot, {"head": F.max(F.struct("weight", "row", "n", "at"))})
     heads = heads.where((F.col("head.row") != F.col("row")) & fits(F.col("n"), F.col("at"), F.col("head.n"), F.col("head.at"), similarity))
     first = cut(heads.select(F.least("head.row", "row").alias("a"), F.greatest("head.row", "row").alias("b")).distinct())
     links = similar_pairs(docs, sets, first, width, similarity, common)
     roots = components(near.union(links)).withColumnRenamed("node", "row")
     rooted = tokens.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
-    mixed = rooted.withColumn("low", F.min("root").over(same)).withColumn("high", F.max("root").over(same)).where("low <> high")
-    mixed = cut(mixed.select("token", "row", "root", "n", "at"))
-    other = mixed.toDF("token", "b", "other", "m", "bt")
-    apart = (F.col("row") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("at"), F.col("m"), F.col("bt"), similarity)
-    rest = mixed.join(other, "token").where(apart).select(F.col("row").alias("a"), "b").distinct()
-    rest = cut(rest.join(first, ["a", "b"], "left_anti"))
+    mixed = over_tokens(rooted, hot, {"low": F.min("root"), "high": F.max("root"), "most": F.mode("root")}, roots_of_hot)
+    mixed = cut(mixed.where("low <> high").select("token", "row", "root", "n", "at", "most", "many"))
+    rest = cut(pairs_apart(mixed, similarity).join(first, ["a", "b"], "left_anti"))
     return links.union(similar_pairs(docs, sets, rest, width, similarity, common))
 
 

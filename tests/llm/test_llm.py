@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import itertools
 import json
 import math
 import random
@@ -333,6 +334,59 @@ def test_variants_of_a_base_that_is_not_first(spark):
     assert [r[0] for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id").collect()] == [1]
 
 
+def slow_groups(rows, similarity=0.8):
+    """doc_ids that stay, by all pairs: linked by fingerprints within three bits or by their sets of shingles."""
+    sets = {i: set(simhash.shingle_hashes(t.encode(), 5)) for i, t in rows}
+    prints = {i: simhash.fingerprint(t.encode(), 5) for i, t in rows}
+    root = {i: i for i, _ in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(sorted(sets), 2):
+        if (prints[i] ^ prints[j]).bit_count() <= 3 or len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9:
+            x, y = sorted((top(i), top(j)))
+            root[y] = x
+    return {i for i in root if top(i) == i}
+
+
+@pytest.mark.parametrize(("hot", "part"), [(1024, 1 << 14), (2, 7), (2, 1)])
+def test_hot_shingles_are_dealt_out(spark, monkeypatch, hot, part):
+    """Groups that share most of their shingles with each other and others that share only a passage: the same with and without parts."""
+    monkeypatch.setattr(simhash, "HOT_TOKEN", hot)
+    monkeypatch.setattr(simhash, "PART", part)
+    rng = random.Random(11)
+    passage = [f"p{k}" for k in range(60)]
+    rows = []
+    for i in range(240):
+        words = list(passage)
+        if i % 3:  # variants of one text and of another that has most of it
+            for _ in range(rng.choice([0, 1, 2, 3])):
+                words[rng.randrange(60)] = f"v{rng.randrange(40)}"
+        else:  # the passage is a share of the text, small or large
+            words += [f"u{i // 30}_{k}" for k in range(rng.choice([2, 8, 14, 16, 30, 100]))]
+        rows.append((i + 1, " ".join(words)))
+    want = slow_groups(rows)
+    assert 3 < len(want) < 120
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    assert {r["doc_id"] for r in got.collect()} == want
+
+
+def test_pairs_apart_are_all_pairs_of_other_roots(spark, monkeypatch):
+    """Against all pairs, whatever the parts; rows of the most frequent root don't meet."""
+    rng = random.Random(5)
+    rows = [(t, r, 0 if r % 4 else r // 8, 10, 0) for t in range(5) for r in rng.sample(range(200), 60)]
+    many = [(*x, 0, 60) for x in rows]
+    want = {(x[1], y[1]) for x, y in itertools.permutations(rows, 2) if x[0] == y[0] and x[1] < y[1] and x[2] != y[2]}
+    table = spark.createDataFrame(many, "token long, row long, root long, n int, at int, most long, many long")
+    for part in (1 << 14, 7):
+        monkeypatch.setattr(simhash, "PART", part)
+        got = [tuple(r) for r in simhash.pairs_apart(table, 0.8).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_texts_that_share_a_fingerprint_are_compared_each(spark):
     """The shingle that is most of a text makes the fingerprint of 1 and 2; 3 is similar to 2 only."""
     words = [" ".join(f"{x}{k}" for k in range(30)) for x in "ab"]
