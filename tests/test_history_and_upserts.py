@@ -18,6 +18,7 @@ DAY = datetime.date(2024, 1, 1)
 
 def test_history_over_runs(spark, tmp_path):
     path, seen = f"file://{tmp_path}/history", {}
+    before = {t.name for t in spark.catalog.listTables()}  # queries over histories, run by other tests, leave theirs
     for run in range(4):
         keys = [f"k{rng.randrange(60)}" for _ in range(40)] + ["hot"] * 300 + [None, "", "é"]
         history = History(spark, path, buckets=3 + run)  # the first counts
@@ -34,8 +35,9 @@ def test_history_over_runs(spark, tmp_path):
             history.compact()
             assert len(history.keys().inputFiles()) < files
             assert {r["key"]: r["run"] for r in history.keys().collect()} == seen
+        assert history.name in {t.name for t in spark.catalog.listTables()}
         history.close()
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("history_")]
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 def test_history_is_read_as_it_lies(spark, tmp_path):
