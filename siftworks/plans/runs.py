@@ -294,9 +294,9 @@ def runs_compacted(spark, sf_dir):
 
 @query("SELECT 'broken-off' AS run, count(DISTINCT url) AS urls FROM pages WHERE page_id % 2 = 1")
 def open_runs(spark, sf_dir):
-    """A run that ended once its pages were there; the one before it is through."""
+    """A run that ended once its pages were there; the one before it is through. URLs that differ in their scheme only are two."""
     base = scratch(spark, "scan")
-    urls = read(spark, sf_dir, "pages").select(F.regexp_replace("url", "^[a-z]+://", "").alias("domain"), "page_id")
+    urls = read(spark, sf_dir, "pages").select(F.regexp_replace("url", "(?s)^([a-z]+)://(.*)$", "$2#$1").alias("domain"), "page_id")
     runs.scan(spark, urls.where("page_id % 2 = 0"), base, half_dead)
     fetch.attempts(urls.where("page_id % 2 = 1").distinct(), half_dead).withColumn("run", F.lit("broken-off")).write.mode("append").partitionBy("run").parquet(f"{base}/tried")
     left = runs.open_runs(spark, base)

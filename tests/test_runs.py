@@ -165,3 +165,11 @@ def test_packed_runs_are_read_once(spark, tmp_path):
     runs.vacuum(spark, base)
     assert sorted(r["Domain"] for r in runs.leads_in(spark, base).collect()) == ["a.com", "b.com", "c.com", "d.com", "e.com"]
     assert len(runs.tried_in(spark, base).inputFiles()) == 1 and session.folders_in(spark, base).count(first) == 0
+
+
+def test_urls_that_differ_in_their_scheme_only(spark, tmp_path):
+    from siftworks.plans import runs as plans
+
+    rows = [(1, "http://a.com/x", ""), (3, "https://a.com/x", ""), (5, "http://b.com", ""), (7, None, ""), (2, "http://c.com", "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert [tuple(r) for r in plans.open_runs(spark, str(tmp_path)).collect()] == [("broken-off", 3)]
