@@ -72,6 +72,18 @@ def title_case(c: Column) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+|[^a-z]+"), 0), F.initcap), "")
 
 
+#: Letters whose capital is more than one character, as Java and Python have it, and the one character that Unicode's simple mapping has.
+WIDE = [x for x in map(chr, range(0x80, 0x10000)) if len(x.upper()) > 1]
+NARROW = "".join("\u1e9e" if x == "\xdf" else x.title() if len(x.title()) == 1 else x for x in WIDE)
+
+
+def capitals(c: Column) -> Column:
+    """Upper case letter by letter, as SQL has it: as many characters as before."""
+    wide = "".join(WIDE)
+    parts = F.regexp_extract_all(c, F.lit(f"[{wide}]+|[^{wide}]+"), 0)
+    return F.array_join(F.transform(parts, lambda x: F.when(F.rlike(x, F.lit(f"^[{wide}]")), F.translate(x, wide, NARROW)).otherwise(F.upper(x))), "")
+
+
 def ascii_share(c: Column) -> Column:
     return F.length(F.regexp_replace(c, r"[^\x00-\x7F]", "")) / F.length(c)
 

@@ -407,7 +407,7 @@ def lead_record(spark, sf_dir):
 
 def marked(c):
     """A stand-in for a translation."""
-    return F.concat(F.lit("[en] "), F.upper(c))
+    return F.concat(F.lit("[en] "), text.capitals(c))
 
 
 @query(f"SELECT doc_id, substr(CASE WHEN coalesce(length({strip('text')}) >= 10 AND length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) / length(text) <= 0.85::DOUBLE, false) THEN '[en] ' || upper(text) ELSE text END, 1, 500) AS english FROM {T}")

@@ -141,3 +141,14 @@ def test_page_nodes(spark):
     one = [("description", 0, "d"), ("href", 0, "/1"), ("href", 1, "/2"), ("href", 2, "/1")]
     assert sorted(map(tuple, found.select("id", "kind", "at", "value").collect())) == [(k, *x) for k in (1, 5) for x in one]
     assert "ArrowEvalPythonUDTF" in found._jdf.queryExecution().toString()
+
+
+def test_capitals_are_one_character_each(spark):
+    """All characters of the first plane, as the SQL's engine has them."""
+    import duckdb
+
+    codes = [k for k in range(1, 0x10000) if not 0xD800 <= k < 0xE000]
+    want = dict(duckdb.execute("select i, upper(chr(i)) from (select unnest(?::int[]) as i)", [codes]).fetchall())
+    got = dict(map(tuple, spark.createDataFrame([(k, chr(k)) for k in codes], "k int, c string").select("k", text.capitals(F.col("c"))).collect()))
+    assert {k: got[k] for k in codes if len(chr(k).upper()) > 1} == {k: want[k] for k in codes if len(chr(k).upper()) > 1}
+    assert one(spark, text.capitals, "stra\xdfe\n\xe9\ufb01x") == "STRA\u1e9eE\n\xc9\ufb01X" and one(spark, text.capitals, "") == "" and one(spark, text.capitals, None) is None
