@@ -1,75 +1,243 @@
 """Rules as a table: which phrases are in which texts, for any number of phrases, and the first rule that matches.
 
-Each phrase is entered under one of its grams (GRAM characters, or all of a shorter phrase), that one for which texts times phrases
-that have it are fewest: its anchor. Texts are cut into pieces that overlap by the longest phrase less one character, so that an
-occurrence is whole in one of them. The grams of a piece that a bit filter of all anchors lets pass meet the anchors by an equi-join
-(broadcast up to a number of anchors), and what meets is verified by a search in the piece at hand. So texts aren't moved, no text is
-held against all phrases, and a text's length doesn't matter. Only keys and rules of true hits go on.
+A task goes through its texts once. Of the bytes at each place it looks up a hash of as many as the phrases have (one look for each
+length that occurs; phrases of more than LONG bytes are looked up where their first LONG bytes may begin) in a bit filter of all
+phrases; what the filter lets pass meets the phrases by an equi-join on the bytes themselves. So texts aren't moved, no text is held
+against all phrases, filters only save work, and a text's length doesn't matter.
+
+How often phrases occur grows with texts times phrases. counts() adds up within a task first, so it moves each phrase once for each task
+at most. first_rule() takes the rules in bands by priority, each sixteen times as many as the one before: texts that a band decides
+aren't held against the next. Only hits() hands out all pairs.
 
 Defined cases: a null text has no phrase in it; null and empty phrases match nothing; repeated phrases count once for each rule; rows
-that share a key are one text in parts; a null key is a key; other columns are ignored. Priorities that are equal go by label.
+that share a key are one text in parts (counts() has no keys: there each row is a text); a null key is a key; other columns are ignored.
+Priorities that are equal go by label.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from siftworks.operators.membership import membership
+from siftworks.operators.labelling import numbered
 from siftworks.session import cut
 
-GRAM = 4
-PIECE = 512
+LONG = 64
+CHUNK = 1 << 17
+BAND, WIDER = 1 << 14, 16
 MAX_BROADCAST = 1 << 19
+#: Distinct windows that a task adds up before it hands them out; bits of a filter, by their logarithm.
+HELD = 1 << 18
+LEAST_BITS, MOST_BITS = 16, 28
+U = np.uint64
+BYTES = np.random.default_rng(20240301).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
+BASE = 0x9E3779B97F4A7C15
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2^64."""
+    out = []
+    for x in (BASE, pow(BASE, -1, 1 << 64)):
+        full = np.full(n, x, dtype=np.uint64)
+        full[0] = 1
+        out.append(np.multiply.accumulate(full))
+    return out[0], out[1]
+
+
+def places(hashes: np.ndarray, size: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places in a filter for hashes of strings of a size."""
+    x = (hashes + U(size * 0x9FB21C651E98DF25 & (1 << 64) - 1)) * U(0xBF58476D1CE4E5B9)
+    return x >> U(64 - bits), ((x ^ (x >> U(29))) * U(0x94D049BB133111EB)) >> U(64 - bits)
+
+
+def marked(at: np.ndarray, held: np.ndarray) -> np.ndarray:
+    return (held[at >> U(3)] >> (at & U(7)).astype(np.uint8)) & np.uint8(1)
+
+
+class Scan:
+    """Finds what may be a phrase, by the filter and the sizes of phrases."""
+
+    def __init__(self, held: np.ndarray, sizes: list[int], chunk: int):
+        self.held, self.bits, self.sizes, self.chunk = held, (8 * len(held)).bit_length() - 1, sizes, chunk
+        self.up = self.down = np.empty(0, np.uint64)
+
+    def pieces(self, texts: list[bytes]) -> Iterator[tuple[bytes, list[int], list[int]]]:
+        """Bytes of about a chunk, where the pieces in it begin, and which text each is of; pieces overlap by the longest phrase."""
+        held: list[bytes] = []
+        starts: list[int] = []
+        whose: list[int] = []
+        size = 0
+        for i, text in enumerate(texts):
+            for at in range(0, len(text), self.chunk):
+                part = text[at : at + self.chunk + self.sizes[-1] - 1]
+                held.append(part)
+                starts.append(size)
+                whose.append(i)
+                size += len(part)
+                if size >= self.chunk:
+                    yield b"".join(held), starts, whose
+                    held, starts, whose, size = [], [], [], 0
+        if held:
+            yield b"".join(held), starts, whose
+
+    def may_be(self, texts: list[bytes]) -> list[set[bytes]]:
+        """Of each text the distinct strings that the filter lets pass."""
+        out: list[set[bytes]] = [set() for _ in texts]
+        for raw, starts, whose in self.pieces(texts):
+            n = len(raw)
+            if len(self.up) < n:
+                self.up, self.down = powers(2 * n)
+            upto = np.zeros(n + 1, dtype=np.uint64)
+            np.cumsum(BYTES[np.frombuffer(raw, np.uint8)] * self.up[:n], out=upto[1:])
+            begin, whose_, ends = np.array(starts), np.array(whose), np.array([*starts[1:], n])
+            long = None
+            for size in self.sizes:
+                if size > n:
+                    break
+                if size <= LONG:
+                    at = self.passing((upto[size:] - upto[: n + 1 - size]) * self.down[: n + 1 - size], size)
+                else:
+                    if long is None:
+                        long = self.passing((upto[LONG:] - upto[: n + 1 - LONG]) * self.down[: n + 1 - LONG], 0)
+                    at = long[long <= n - size]
+                    at = at[self.passing((upto[at + size] - upto[at]) * self.down[at], size)]
+                piece = np.searchsorted(begin, at, side="right") - 1
+                inside = at + size <= ends[piece]
+                for k, i in zip(at[inside].tolist(), whose_[piece[inside]].tolist(), strict=True):
+                    out[i].add(raw[k : k + size])
+        return out
+
+    def passing(self, hashes: np.ndarray, size: int) -> np.ndarray:
+        first, _ = places(hashes, size, self.bits)
+        at = np.flatnonzero(marked(first, self.held))
+        return at[marked(places(hashes[at], size, self.bits)[1], self.held) != 0]
+
+
+def named(phrases: DataFrame) -> DataFrame:
+    """phrases: phrase. phrase, gram: the distinct ones and their bytes."""
+    rows = phrases.select(F.col("phrase").cast("string").alias("phrase")).where(F.length("phrase") > 0).distinct()
+    return cut(rows.withColumn("gram", F.encode("phrase", "UTF-8")))
+
+
+def scan_of(known: DataFrame) -> Broadcast | None:
+    """A filter of the phrases and their sizes. The driver gets the filter's words (2^28 bits at most) and the distinct sizes."""
+    sizes = sorted(r[0] for r in known.select(F.octet_length("gram")).distinct().collect())
+    if not sizes:
+        return None
+    bits = min(MOST_BITS, max(LEAST_BITS, (64 * known.count()).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by: dict[tuple[int, int], list[bytes]] = {}
+            for x in batch.column(0).to_pylist():
+                by.setdefault((len(x), len(x)), []).append(x)
+                if len(x) > LONG:
+                    by.setdefault((LONG, 0), []).append(x[:LONG])
+            for (size, code), strings in by.items():
+                up, _ = powers(size)
+                raw = np.frombuffer(b"".join(strings), np.uint8).reshape(len(strings), size)
+                hashes = np.zeros(len(strings), dtype=np.uint64)
+                for k in range(size):
+                    hashes += BYTES[raw[:, k]] * up[k]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(places(hashes, code, bits)).astype(np.int64))], names=["at"])
+
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))
+    words = known.select("gram").mapInArrow(run, "at bigint").groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(one).alias("b")).toArrow()
+    held = np.zeros(1 << (bits - 6), dtype="<i8")
+    held[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return known.sparkSession.sparkContext.broadcast((held.view(np.uint8), sizes))
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def texts_of(column: pa.Array) -> list[bytes]:
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def meet(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """rows: gram. Those of phrases, by the bytes."""
+    return rows.join(F.broadcast(known) if known.count() <= MAX_BROADCAST else known, "gram")
+
+
+def pairs(texts: DataFrame, known: DataFrame, key: str, text: str) -> DataFrame:
+    """known: gram and more. key and known's columns for each phrase in each row of texts."""
+    rows = texts.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    scan, chunk = scan_of(known), CHUNK
+    schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), T.StructField("gram", T.BinaryType())])
+    if scan is None:
+        return rows.sparkSession.createDataFrame([], schema).join(known, "gram").drop("gram")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = Scan(*scan.value, chunk)
+        for batch in slices(batches):
+            found = look.may_be(texts_of(batch.column(1)))
+            whose = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(whose)), pa.array([w for x in found for w in x], pa.binary())], names=["key", "gram"])
+
+    return meet(rows.mapInArrow(run, schema), known).drop("gram")
 
 
-def grams(text: Column, size: int) -> Column:
-    """All runs of size characters, in time that goes with the length."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1)
-
-
-def pieces(texts: DataFrame, key: str, text: str, longest: int) -> DataFrame:
-    """key, piece."""
-    overlapping = F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{1,{PIECE + longest - 1}}})).{{1,{PIECE}}}"), 1)
-    return texts.select(F.col(key).alias("key"), F.explode(overlapping).alias("piece"))
-
+def hits(texts: DataFrame, phrases: DataFrame, key: str = "key", text: str = "text") -> DataFrame:
+    """phrases: phrase. key, phrase: each phrase that is in the text of a key, once."""
+    return pairs(texts, named(phrases), key, text).distinct()
 
-def passing(cut_up: DataFrame, sizes: list[int], known: DataFrame) -> DataFrame:
-    """key, piece, gram: grams of the pieces that may be among the known ones."""
-    test = membership(known, "gram")
-    every = F.array_distinct(F.concat(*[grams(F.col("piece"), n) for n in sizes]))
-    return cut_up.select("key", "piece", F.explode(every if test is None else F.filter(every, test)).alias("gram"))
 
+def counts(texts: DataFrame, phrases: DataFrame, text: str = "text") -> DataFrame:
+    """phrases: phrase. phrase, n: how many rows of texts it is in; phrases that are in none have no row."""
+    known = named(phrases)
+    scan, chunk, most = scan_of(known), CHUNK, HELD
+    if scan is None:
+        return known.select("phrase", F.lit(0).cast("bigint").alias("n"))
 
-def anchors(texts: DataFrame, phrases: DataFrame, key: str, text: str, longest: int, sizes: list[int]) -> DataFrame:
-    """phrases: phrase. phrase, gram: the gram to enter it under."""
-    of = F.array_distinct(F.coalesce(*[F.when(F.length("phrase") >= GRAM if n == GRAM else F.length("phrase") == n, grams(F.col("phrase"), n)) for n in sizes]))
-    entries = cut(phrases.select("phrase", F.explode(of).alias("gram")))
-    in_phrases = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("phrases"))
-    in_texts = passing(pieces(texts, key, text, longest), sizes, entries.select("gram").distinct()).groupBy("gram").agg(F.count(F.lit(1)).alias("texts"))
-    cost = in_phrases.join(in_texts, "gram", "left").select("gram", ((F.coalesce("texts", F.lit(0)) + 1) * F.col("phrases")).alias("cost"))
-    return entries.join(cost, "gram").groupBy("phrase").agg(F.min_by("gram", F.struct("cost", "gram")).alias("gram"))
+    def out(held: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], names=["gram", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look, held = Scan(*scan.value, chunk), Counter()
+        for batch in slices(batches):
+            for found in look.may_be(texts_of(batch.column(0))):
+                held.update(found)
+            if len(held) >= most:
+                yield out(held)
+                held = Counter()
+        yield out(held)
 
-def hits(texts: DataFrame, phrases: DataFrame, key: str = "key", text: str = "text") -> DataFrame:
-    """phrases: phrase. key, phrase: each phrase that is in the text of a key, once."""
-    named = cut(phrases.select(F.col("phrase").cast("string").alias("phrase")).where(F.length("phrase") > 0).distinct())
-    lengths = [r[0] for r in named.groupBy(F.least(F.length("phrase"), F.lit(GRAM)).alias("n")).agg(F.max(F.length("phrase"))).orderBy("n").collect()]  # GRAM at most
-    if not lengths:
-        return texts.select(F.col(key).alias("key"), F.lit("").alias("phrase")).limit(0)
-    longest = named.agg(F.max(F.length("phrase"))).first()[0]
-    entered = cut(anchors(texts, named, key, text, longest, lengths))
-    met = passing(pieces(texts, key, text, longest), lengths, entered.select("gram").distinct())
-    small = F.broadcast(entered) if entered.count() <= MAX_BROADCAST else entered
-    return met.join(small, "gram").where(F.contains("piece", F.col("phrase"))).select("key", "phrase").distinct()
+    found = texts.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "gram binary, n bigint")
+    return meet(found.groupBy("gram").agg(F.sum("n").alias("n")), known).select("phrase", "n")
 
 
 def first_rule(texts: DataFrame, rules: DataFrame, default: str | None, key: str = "key", text: str = "text") -> DataFrame:
     """rules: priority, label, phrase. key, label: of the rules with a phrase in the text that with the lowest priority, else default.
     One row for each key of texts."""
-    wanted = cut(rules.select("phrase", F.struct("priority", "label").alias("rule")).groupBy("phrase").agg(F.min("rule").alias("rule")))
-    small = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST else wanted
-    found = hits(texts, rules, key, text).join(small, "phrase").select("key", "rule")
-    every = found.unionByName(texts.select(F.col(key).alias("key"), F.lit(None).cast(found.schema["rule"].dataType).alias("rule")))
-    best = every.groupBy("key").agg(F.min("rule").alias("rule"))  # null isn't taken into account
+    every = rules.select(F.col("phrase").cast("string").alias("phrase"), F.struct("priority", "label").alias("rule")).where(F.length("phrase") > 0)
+    wanted = cut(every.groupBy("phrase").agg(F.min("rule").alias("rule")).select(F.encode("phrase", "UTF-8").alias("gram"), "rule"))
+    n, low, high = wanted.count(), 0, BAND
+    if n > BAND:
+        wanted = cut(numbered(wanted, F.col("rule.priority"), F.col("rule.label"), steady=True))
+    rows = texts.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    found = rows.select("key", F.lit(None).cast(wanted.schema["rule"].dataType).alias("rule"))
+    decided = None
+    while low < n:
+        band = wanted.select("gram", "rule") if n <= BAND else cut(wanted.where(F.col("place").between(low, high - 1)).select("gram", "rule"))
+        left = rows
+        if decided is not None:
+            known = decided.select(F.col("key").alias("__key"))
+            left = rows.join(F.broadcast(known) if known.count() <= MAX_BROADCAST else known, F.col("key").eqNullSafe(F.col("__key")), "left_anti")
+        best = pairs(left, band, "key", "text").groupBy("key").agg(F.min("rule").alias("rule"))
+        if high < n:
+            best = cut(best)
+        decided = best if decided is None else decided.unionByName(best)
+        low, high = high, high * WIDER
+    best = (found if decided is None else found.unionByName(decided)).groupBy("key").agg(F.min("rule").alias("rule"))  # null isn't taken into account
     return best.select("key", F.when(F.col("rule").isNull(), F.lit(default)).otherwise(F.col("rule.label")).alias("label"))

@@ -354,8 +354,7 @@ def phrase_table(spark, sf_dir) -> DataFrame:
 @query(f"WITH p AS (SELECT DISTINCT phrase FROM ({PHRASE_TABLE})) SELECT phrase, count(*) AS documents FROM p JOIN documents d ON contains(d.text, phrase) GROUP BY phrase")
 def phrase_hits(spark, sf_dir):
     """A table of phrases that grows with the documents, against all of them."""
-    found = phrases.hits(read(spark, sf_dir, "documents"), phrase_table(spark, sf_dir), "doc_id")
-    return found.groupBy("phrase").agg(F.count(F.lit(1)).alias("documents"))
+    return phrases.counts(read(spark, sf_dir, "documents"), phrase_table(spark, sf_dir)).withColumnRenamed("n", "documents")
 
 
 @query(f"""WITH p AS ({PHRASE_TABLE}), h AS (SELECT doc_id, min({{'a': priority, 'b': label}}) AS r FROM p JOIN documents d ON contains(d.text, phrase) GROUP BY doc_id)

@@ -29,6 +29,22 @@ def test_hits_against_searches(spark):
     assert not re.search("NestedLoop|Cartesian", found._jdf.queryExecution().toString())
 
 
+def test_counts_and_bands_against_searches(spark, monkeypatch):
+    """Phrases of all lengths and texts above a chunk; counts in parts; rules in several bands."""
+    for name, value in (("CHUNK", 256), ("BAND", 16), ("WIDER", 2), ("HELD", 50)):
+        monkeypatch.setattr(phrases, name, value)
+    texts = [(k, word(0, 60)) for k in range(150)] + [(200, None), (None, word(40, 40)), (201, word(900, 900)), (202, "a" * 800), (203, word(30, 30)), (203, word(30, 30))]
+    wanted = list(dict.fromkeys([word(1, 5) for _ in range(250)] + [texts[152][1][100:400], texts[152][1][250:700], "a" * 300, "a" * 65, "\U0001f642" * 70]))
+    df = spark.createDataFrame(texts, "key long, text string").repartition(3)
+    named = spark.createDataFrame([(w,) for w in [*wanted, "", None]], "phrase string")
+    want = {w: n for w in wanted if (n := sum(t is not None and w in t for _, t in texts))}
+    assert dict(map(tuple, phrases.counts(df, named).collect())) == want
+    rules_ = [(rng.randint(0, 60), rng.choice("xyz"), w) for w in [*wanted, *wanted[:40]]]
+    first = {k: min(((p, x) for p, x, w in rules_ for key, t in texts if key == k and t is not None and w in t), default=(0, "else"))[1] for k, _ in texts}
+    got = phrases.first_rule(df, spark.createDataFrame(rules_, "priority int, label string, phrase string"), "else")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(first.items(), key=str)
+
+
 def test_given_rules_as_a_table(spark):
     table = spark.createDataFrame([(k, label, w) for k, (label, words) in enumerate(rules.PRODUCT) for w in words], "priority int, label string, phrase string")
     words = [w for _, ws in rules.PRODUCT for w in ws]
