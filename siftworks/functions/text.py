@@ -93,6 +93,15 @@ def needs_translation(c: Column) -> Column:
     return F.coalesce((F.length(strip(c)) >= rules.ASCII_LENGTH) & (ascii_share(c) <= rules.ASCII_SHARE), F.lit(False))
 
 
+#: Characters of a text that are gone through first.
+BEGINNING = 1500
+
+
+def beginning(text: Column) -> Column:
+    """The first characters, up to the last word that surely ends in them; all of a text that has no more."""
+    return F.when(F.length(text) <= BEGINNING, text).otherwise(F.regexp_replace(printable(F.substring(text, 1, BEGINNING)), r"[a-zA-Z]+\z", ""))
+
+
 def kept_words(text: Column, domain: Column) -> Column:
     """Words of three letters or more, in order, without stop words and the domain's own name: structs of low (the word in lower
     case), i (its place) and w (the word)."""
@@ -106,14 +115,18 @@ def content_words(text: Column, domain: Column) -> Column:
     """Up to 80 words of three letters or more, each twice at most, without stop words and the domain's own name, in order.
 
     Sorted by word, a third occurrence follows an equal word two places before; what is left is sorted by place and cut. No row
-    leaves its partition."""
+    leaves its partition. Words hang only on those before: where the beginning of a text has 80, the rest isn't gone through."""
 
     def chosen(ranked: Column) -> Column:  # the lambda's variable is computed once
         before = F.concat(F.transform(F.slice(ranked, 1, rules.MAX_REPEATS), lambda _: F.lit(None).cast("string")), F.transform(ranked, lambda x: x["low"]))
         once = F.zip_with(ranked, F.slice(before, 1, F.size(ranked)), lambda x, low: F.when(low.isNull() | (low != x["low"]), F.struct(x["i"].alias("i"), x["w"].alias("w"))))
         return F.slice(F.array_sort(F.filter(once, lambda x: x.isNotNull())), 1, rules.MAX_WORDS)
 
-    found = F.element_at(F.transform(F.array(F.array_sort(kept_words(text, domain))), chosen), 1)
+    def of(part: Column) -> Column:
+        return F.element_at(F.transform(F.array(F.array_sort(kept_words(part, domain))), chosen), 1)
+
+    enough = lambda found: (F.size(found) >= rules.MAX_WORDS) | (F.length(text) <= BEGINNING)
+    found = F.element_at(F.transform(F.array(of(beginning(text))), lambda x: F.when(enough(x), x).otherwise(of(text))), 1)
     return F.when(missing(text), "").otherwise(F.array_join(F.transform(found, lambda x: x["w"]), " "))
 
 
@@ -127,4 +140,5 @@ def content_reaches(text: Column, domain: Column, least: int) -> Column:
         first = F.array_join(F.transform(F.slice(kept, 1, rules.MAX_REPEATS), lambda x: x["w"]), " ")
         return ((F.size(kept) > 2) & several) | (F.length(first) >= least)
 
-    return ~missing(text) & F.element_at(F.transform(F.array(kept_words(text, domain)), reaches), 1)
+    of = lambda part: F.element_at(F.transform(F.array(kept_words(part, domain)), reaches), 1)
+    return ~missing(text) & (of(beginning(text)) | of(text))

@@ -461,7 +461,7 @@ ITEM_SQL = f"{{'index': index, 'domain': Domain, 'title': {clean('Title', 150)},
 @query(f"{CLASSED}, n AS (SELECT classed.*, content.content, row_number() OVER (ORDER BY Domain) - 1 AS r FROM classed JOIN content ON content.k = classed.Domain WHERE lead_class = 'ai'), i AS (SELECT *, r // 5 AS batch, (r % 5)::INT AS index FROM n) SELECT batch, to_json(list({ITEM_SQL} ORDER BY index))::VARCHAR AS request FROM i GROUP BY batch")
 def batch_request_json(spark, sf_dir):
     todo = labelling.split_classes(doc_leads(spark, sf_dir)).where("lead_class = 'ai'")
-    return labelling.requests(labelling.number_batches(todo, "Domain"))
+    return labelling.requests(labelling.number_batches(labelling.told(todo), "Domain"))
 
 
 @query(f"""WITH r AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 5 AS batch FROM documents)

@@ -320,7 +320,7 @@ def moody(request: str) -> str:
   SELECT batch, CASE k WHEN 0 THEN 'TIMEOUT' WHEN 1 THEN 'RATE_LIMITED' WHEN 2 THEN 'JSON_ERROR' END AS error, CASE WHEN k < 3 THEN 3 ELSE 1 END AS tries, CASE WHEN k = 3 THEN '[]' END AS raw FROM m""")
 def model_attempts(spark, sf_dir):
     todo = labelling.split_classes(doc_leads(spark, sf_dir)).where("lead_class = 'ai'")
-    return labelling.ask(labelling.requests(labelling.number_batches(todo, "Domain")), moody, sleep=lambda s: None)
+    return labelling.ask(labelling.requests(labelling.number_batches(labelling.told(todo), "Domain")), moody, sleep=lambda s: None)
 
 
 @query("SELECT doc_id, round(doc_id / 1000.0 * 100, 1)::DOUBLE AS percent, CASE WHEN doc_id > 0 THEN floor(n_chars::DOUBLE / doc_id * (1000 - doc_id))::BIGINT END AS seconds_left FROM documents")

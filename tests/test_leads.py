@@ -168,3 +168,21 @@ def test_few_pages_are_held_at_a_time(spark):
     assert max(map(len, got)) <= 64 and sum(map(len, got)) == 154
     df = spark.createDataFrame(list(enumerate(pages)), "k int, h string").coalesce(1)
     assert {r[0]: r[1] for r in df.select("k", html.parse_html("h")["title"]).collect()} == {k: p and p[7:-8] for k, p in enumerate(pages)}
+
+
+def test_long_texts_and_their_beginnings(spark, monkeypatch):
+    """Where the beginning decides, and where it doesn't: few distinct words, and words that the beginning's end would cut or join."""
+    texts = ["same word " * 400, "abc​def " * 200 + "ghi", " ".join(f"w{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}x" for i in range(900)), "x" * 1499 + "yz abc", "x" * 1498 + "​​yz abc", "- " * 2000 + "late words here", "a1 " * 700, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    got = df.select("k", text.content_words(F.col("t"), F.lit("x.com")), text.content_reaches(F.col("t"), F.lit("x.com"), 10)).collect()
+    monkeypatch.setattr(text, "BEGINNING", 1 << 20)
+    want = df.select("k", text.content_words(F.col("t"), F.lit("x.com")), text.content_reaches(F.col("t"), F.lit("x.com"), 10)).collect()
+    assert got == want and [r[2] for r in got] == [True, True, True, True, True, True, False, False, False]
+
+
+def test_requests_number_what_is_told(spark):
+    """Whole texts aren't moved, and the requests are those of the leads."""
+    df = spark.createDataFrame([(f"d{k}.com", "Live", f"T{k}", None, f"serum number{k} " * 300) for k in range(12)], "Domain string, Brand_Stage string, Title string, Meta_Description string, Page_Text string")
+    assert "Page_Text" not in labelling.number_batches(labelling.told(df), "Domain").columns
+    rows = [{tuple(r) for r in labelling.requests(labelling.number_batches(x, "Domain")).collect()} for x in (labelling.told(df), df)]
+    assert rows[0] == rows[1] and len(rows[0]) == 3
