@@ -5,16 +5,19 @@ minimizer), which depends on the window's bytes only; so equal windows meet wher
 is cut into maximal runs of windows with one minimizer (a cut is about 67 bytes, 18 windows).
 
 1. Documents are dealt into batches of bounded bytes by doc_id. A batch hands out its distinct minimizers, a few bytes each, one
-   row for each bucket (by minimizer) that it has some of; the answer has two bits each: whether two documents have it, and
-   whether it is hot.
+   row for each bucket (by minimizer) that it has some of; the answer has three bits each: whether two documents have it,
+   whether it is hot, and whether its windows are to be spread.
 2. A batch hands out its distinct cuts of shared minimizers, each once with the smallest doc_id that has it (so a passage that
-   fills a third of the documents costs a batch one cut), dealt out by minimizer again. Of hot minimizers, those with more cuts
-   than fit a block, it hands out the windows instead, dealt out by their own hash: these don't meet in one task either.
+   fills a third of the documents costs a batch one cut), dealt out by minimizer again. The more documents, the more minimizers
+   are hot, have more cuts than fit a block: cuts of these are cut again, by minimizers of twice as many bytes (some two for
+   one), and dealt out by those. Only of minimizers with SPREAD times as many cuts it hands out the windows, dealt out by their own
+   hash: no task is given more than so many cuts of one minimizer.
 3. A task goes through its cuts in blocks of whole minimizers. It builds the Burrows-Wheeler transform of a block's distinct cuts;
    breadth-first backward extension derives the common prefixes of neighbours in suffix order by increasing value: step l extends
    every interval of a string of l bytes that is still open (has two suffixes or more) by each byte before it, and where an
    extended interval ends a prefix of exactly l is found. It stops at `least`. Neighbours without a shorter common prefix share a
-   window, whose smallest doc_id is that of its interval. What a smaller doc_id has goes back to the batches.
+   window, whose smallest doc_id is that of its interval. What a smaller doc_id has goes back to the batches. Where one key alone
+   has more than several blocks, its windows go through the transform by their hash, a block at a time.
 4. A batch marks what starts in a smaller doc_id and removes it.
 
 A batch never hands out more rows than it has distinct minimizers, so rows and bytes grow with the documents however many batches
@@ -43,7 +46,9 @@ LEAST, KMER = 50, 16
 BATCH_BYTES = 16 << 20
 BLOCK_SYMBOLS = 1 << 18
 HOT_CUTS = 4096
+SPREAD = 256
 CHUNK = 1 << 17
+AT_ONCE = 1 << 14  # cuts whose windows are gone through together
 LONGEST = 128  # windows in a cut
 NONE = np.iinfo(np.int64).max
 SENT = "bucket int, batch int, keys binary, ids binary, places binary, owners binary, sizes binary, strings binary"
@@ -81,19 +86,19 @@ def pieces(texts: list[bytes], least: int) -> Iterator[tuple[bytes, np.ndarray,
 
 
 def minimizers(raw: bytes, least: int, kmer: int) -> np.ndarray:
-    """For each window of raw the smallest hash of its strings of kmer bytes (16 to 24)."""
+    """For each window of raw the smallest hash of its strings of kmer bytes (16 at least)."""
     n = len(raw)
-    padded = np.frombuffer(raw + bytes(8), dtype=np.uint8)
-    eight = np.lib.stride_tricks.as_strided(padded, (n, 8), (1, 1)).copy().view(np.uint64).ravel()
+    padded = raw + bytes(16)
+    eight = np.empty(n, dtype=np.uint64)  # what starts at each byte
+    for k in range(min(8, n)):
+        eight[k::8] = np.frombuffer(padded, "<u8", count=-(-(n - k) // 8), offset=k)
     m = n - kmer + 1
     x = eight[:m] * U(0x9E3779B97F4A7C15)
     x ^= x >> U(32)
-    x += eight[8 : 8 + m]
-    x *= U(0xBF58476D1CE4E5B9)
-    x ^= x >> U(32)
-    x += eight[kmer - 8 : kmer - 8 + m]
-    x *= U(0x94D049BB133111EB)
-    x ^= x >> U(32)
+    for at in (*range(8, kmer - 8, 8), kmer - 8):
+        x += eight[at : at + m]
+        x *= U(0xBF58476D1CE4E5B9)
+        x ^= x >> U(32)
     span, have = least - kmer + 1, 1
     while have < span:
         step = min(have, span - have)
@@ -149,6 +154,12 @@ def cuts(texts: list[bytes], least: int, kmer: int) -> tuple[np.ndarray, ...]:
     return mix(low), text, first, windows, content
 
 
+def recut(strings: list[bytes], least: int, kmer: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Cuts of strings by minimizers of kmer bytes (least: equal windows): minimizer, number of the string, place in it, and bytes."""
+    low, which, first, windows, _ = cuts(strings, least, kmer)
+    return low, which, first, [strings[i][a : a + n] for i, a, n in zip(which.tolist(), first.tolist(), (windows + least - 1).tolist(), strict=True)]
+
+
 class Batch:
     """The documents of a batch in a fixed order, their cuts, and the distinct cuts (contents), numbered by their hash."""
 
@@ -159,7 +170,9 @@ class Batch:
         order = sorted(range(len(texts)), key=lambda i: (numbers[i], texts[i]))
         self.ids, self.numbers, self.texts = ids.take(pa.array(order, pa.int64())), numbers[order], [texts[i] for i in order]
         low, self.text, self.first, self.windows, content = cuts(self.texts, least, kmer)
-        _, self.example, self.content = np.unique(content, return_index=True, return_inverse=True)
+        coded = pa.array(content).dictionary_encode()  # in the order in which they come
+        self.content, self.example = coded.indices.to_numpy().astype(np.int64), np.empty(len(coded.dictionary), dtype=np.int64)
+        self.example[self.content[::-1]] = np.arange(len(content))[::-1]
         if (low[self.example][self.content] != low).any():  # one hash of two contents
             both = np.lexsort((content, low))
             new = np.append(True, (np.diff(low[both]) != 0) | (np.diff(content[both]) != 0))
@@ -182,17 +195,25 @@ class Batch:
 # --- the transform --------------------------------------------------------------------------------------------------------
 
 
+def ahead(x: np.ndarray, k: int) -> np.ndarray:
+    """What stands k places further."""
+    return np.append(x[k:], np.zeros(min(k, len(x)), dtype=x.dtype))
+
+
 def suffix_order(symbols: np.ndarray, reach: np.ndarray, depth: int) -> np.ndarray:
     """Positions by the order of what starts there, to depth symbols at least. reach: symbols up to the end mark (0) that follows,
     which is unlike any other."""
+    return suffixes(symbols, reach, depth)[0]
+
+
+def suffixes(symbols: np.ndarray, reach: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """suffix_order; and from the last step but one of the sort, below depth: where the common prefix with the one before is
+    shorter than so many symbols, and how many these are."""
     n = len(symbols)
-    packed = np.zeros(n, dtype=np.int64)
-    for k in range(7):
-        here = np.zeros(n, dtype=np.int64)
-        here[: n - k] = symbols[k:]
-        here[reach < k] = 0
-        packed = (packed << 9) | here
-    order = np.argsort(packed)
+    one = symbols.astype(np.int64)
+    two = one << 9 | ahead(one, 1)
+    # seven symbols; what follows an end mark doesn't matter, as a suffix that has one is alone
+    order = np.argsort(packed := (two << 18 | ahead(two, 2)) << 27 | ahead(two << 9 | ahead(one, 2), 4))
     ranked, done = packed[order], 7
     new = np.append(True, ranked[1:] != ranked[:-1])
     ended = reach[order] < done
@@ -200,7 +221,9 @@ def suffix_order(symbols: np.ndarray, reach: np.ndarray, depth: int) -> np.ndarr
     new[1:] |= ended[:-1]
     rank = np.empty(n, dtype=np.int64)  # the first place of its group
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    short, sure = new, done
     while done < depth:
+        short, sure = new.copy(), done
         alone = new & np.append(new[1:], True)
         places = np.flatnonzero(~alone)  # only groups of two or more are sorted further
         if not len(places):
@@ -216,11 +239,12 @@ def suffix_order(symbols: np.ndarray, reach: np.ndarray, depth: int) -> np.ndarr
         fresh[1:] |= ended[:-1]
         new[places] |= fresh
         rank[at] = places[np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))]
-    return order
+    return order, short, sure
 
 
 def shared_windows(strings: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The suffix order of the strings and which neighbours share `least` bytes, by backward extension.
+    """The suffix order of the strings and which neighbours share `least` bytes, by backward extension of the intervals that the
+    sort has told apart on its way (28 bytes of 50).
 
     Returns, in suffix order: number of the string, place in it, and whether its common prefix with the one before is shorter.
     """
@@ -231,18 +255,15 @@ def shared_windows(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nda
     symbols[ends - 1] = 0
     whose = np.repeat(np.arange(len(strings)), sizes + 1)
     n = len(symbols)
-    order = suffix_order(symbols, ends[whose] - 1 - np.arange(n), least)
+    #: short: a common prefix below the step's value has been found
+    order, short, sure = suffixes(symbols, ends[whose] - 1 - np.arange(n), least)
     before = symbols[order - 1]  # the transform (of position 0 it is the last end mark)
     column = np.argsort(before, kind="stable")  # place in the order -> place of what it extends
-    head = before[column]
-    short = np.ones(n, dtype=bool)  # a common prefix below the step's value has been found
-    # step 0: intervals of one byte; end marks are each alone
-    short[1:] = (head[1:] != head[:-1]) | (head[1:] == 0)
     left = np.flatnonzero(~short)  # places without a value so far
     low, high = column[left - 1], column[left]  # what these and their neighbours extend
     # places in open intervals, and where a place is among them
     kept, where = np.arange(n), np.arange(n, dtype=np.int32)
-    for _ in range(1, least):
+    for _ in range(sure, least):
         starting = short[kept]
         interval = np.cumsum(starting, dtype=np.int32)  # intervals of strings as long as the step
         now = interval[where[high]] != interval[where[low]]
@@ -273,6 +294,31 @@ def smallest_owners(strings: list[bytes], owners: np.ndarray, least: int) -> tup
     return flat, np.append(first, len(flat))
 
 
+def distinct(strings: list[bytes], owners: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Which of the distinct strings each is, these, and the smallest owner of each."""
+    known: dict[bytes, int] = {}
+    which = np.array([known.setdefault(x, len(known)) for x in strings], dtype=np.int64)
+    smallest = np.full(len(known), NONE)
+    np.minimum.at(smallest, which, owners)
+    return which, list(known), smallest
+
+
+def smallest_in_blocks(strings: list[bytes], owners: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """smallest_owners of strings that are too many for one block: of their windows, equal ones together, up to `most` symbols at a time."""
+    first = np.cumsum([0, *(max(0, len(x) - least + 1) for x in strings)])
+    flat = np.full(first[-1], NONE)
+    low, whose, place, parts = recut(strings, least, least)
+    sizes = np.array([len(x) for x in parts], dtype=np.int64)
+    order = np.argsort(low)
+    for a, b in blocks(low[order], sizes[order], most):
+        at = order[a:b]
+        which, known, smallest = distinct([parts[i] for i in at.tolist()], owners[whose[at]])
+        found, bounds = smallest_owners(known, smallest, least)
+        windows = sizes[at] - least + 1
+        flat[ranges(first[whose[at]] + place[at], windows)] = found[ranges(bounds[which], windows)]
+    return flat, first
+
+
 def blocks(keys: np.ndarray, sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of sorted keys, whole keys each, of up to `most` symbols where a key has no more."""
     ends = np.append(np.flatnonzero(np.diff(keys)) + 1, len(keys))
@@ -296,6 +342,12 @@ def unpacked(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.append(np.frombuffer(raw, "<i8", count=1), steps.astype(np.int64)))
 
 
+def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start, as many as its count."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def by_value(ascending: np.ndarray) -> Iterator[tuple[int, slice]]:
     """Each value and where it stands."""
     bounds = [0, *(np.flatnonzero(np.diff(ascending)) + 1).tolist(), len(ascending)]
@@ -322,16 +374,14 @@ def matched(table: pa.Table, least: int, block: int) -> pa.Table:
     found: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
     for a, b in blocks(key[order], size[order], block):
         at = order[a:b]
-        known: dict[bytes, int] = {}
-        which = np.array([known.setdefault(raw[i:j], len(known)) for i, j in zip((ends[at] - size[at]).tolist(), ends[at].tolist(), strict=True)], dtype=np.int64)
-        owners = np.full(len(known), NONE)
-        np.minimum.at(owners, which, owner[at])
-        flat, bounds = smallest_owners(list(known), owners, least)
+        which, known, owners = distinct([raw[i:j] for i, j in zip((ends[at] - size[at]).tolist(), ends[at].tolist(), strict=True)], owner[at])
+        few = sum(map(len, known)) <= 4 * block
+        flat, bounds = smallest_owners(known, owners, least) if few else smallest_in_blocks(known, owners, least, block)
         low, high = np.minimum.reduceat(flat, bounds[:-1]), np.maximum.reduceat(flat, bounds[:-1])
         tell = low[which] < owner[at]
         at, which = at[tell], which[tell]
-        # one number where it is that of all windows
-        n = np.where(low == high, 1, np.diff(bounds))[which]
+        # one number where it is that of all windows of a whole cut
+        n = np.where((low == high)[which] & (place[at] < 0), 1, np.diff(bounds)[which])
         found.append((at, n, [flat[i : i + k].tobytes() for i, k in zip(bounds[which].tolist(), n.tolist(), strict=True)]))
     at, n = (np.concatenate(x) for x in zip(*((x[0], x[1]) for x in found), strict=True))
     values = [v for x in found for v in x[2]]
@@ -352,7 +402,7 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, kmer: int = KMER, batch_
     if not 16 <= kmer <= 24 or least < kmer:
         raise ValueError("kmer must be from 16 to 24, and least no smaller")
     spark = docs.sparkSession
-    hot_cuts, block = HOT_CUTS, BLOCK_SYMBOLS
+    hot_cuts, block, spread_cuts = HOT_CUTS, BLOCK_SYMBOLS, HOT_CUTS * SPREAD
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(partitions(spark), -(-total // batch_bytes))
@@ -385,29 +435,29 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, kmer: int = KMER, batch_
         order = np.argsort(keys)
         at = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0))
         size = np.diff(np.append(at, len(keys)))
-        shared, hot = np.empty(len(keys), bool), np.empty(len(keys), bool)
+        shared, cuts_of = np.empty(len(keys), bool), np.empty(len(keys), np.int64)
         shared[order] = np.repeat((size > 1) | (np.add.reduceat(mark[order] & 1, at) > 0), size)
-        hot[order] = np.repeat(np.add.reduceat(mark[order] >> 1, at) > hot_cuts, size)
+        cuts_of[order] = np.repeat(np.add.reduceat(mark[order] >> 1, at), size)
         bits_of = lambda x: pa.array([np.packbits(x[a:b]).tobytes() for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary())
-        return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "shared": bits_of(shared), "hot": bits_of(hot)})
+        return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "shared": bits_of(shared), "hot": bits_of(cuts_of > hot_cuts), "spread": bits_of(cuts_of > spread_cuts)})
 
     def send(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         own = Batch(table, bits, least, kmer)
         keys, _, which = keys_of(own)
         said = {x["bucket"]: x for x in answers.to_pylist()}
-        shared, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        shared, hot, spread = (np.zeros(len(keys), bool) for _ in range(3))
         for k, s in by_value(bucket_of(keys)):
-            for flags, name in ((shared, "shared"), (hot, "hot")):
+            for flags, name in ((shared, "shared"), (hot, "hot"), (spread, "spread")):
                 flags[s] = np.unpackbits(np.frombuffer(said[k][name], np.uint8), count=s.stop - s.start)
-        whole, parts = np.flatnonzero((shared & ~hot)[which]), np.flatnonzero((shared & hot)[which])
+        whole = np.flatnonzero((shared & ~hot)[which])
         sets = [(bucket_of(own.key[whole]), own.key[whole], whole, np.full(len(whole), -1), own.owner[whole], own.strings(whole, least))]
-        if len(parts):
-            split = [(i, at, x[at : at + least]) for i, x in zip(parts.tolist(), own.strings(parts, least), strict=True) for at in range(len(x) - least + 1)]
-            numbers, places, strings = zip(*split, strict=True)
-            numbers = np.array(numbers)
-            names = np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in strings]), "<u8") >> U(64 - bits)
+        for some, longer in ((hot & ~spread, min(2 * kmer, least)), (spread, least)):
+            parts = np.flatnonzero((shared & some)[which])
+            strings = own.strings(parts, least)
+            low, part, places, mine = recut(strings, least, longer)
+            names = (low >> U(64 - bits)).astype(np.int64)
             # keys below 0, so that no minimizer's are taken for them
-            sets.append((bucket_of(names.astype(np.int64)), -1 - names.astype(np.int64), numbers, np.array(places), own.owner[numbers], list(strings)))
+            sets.append((bucket_of(names), -1 - names, parts[part], places, own.owner[parts[part]], mine))
         rows: list[tuple] = []
         for buckets, keys, numbers, places, owners, strings in sets:
             order = np.lexsort((keys, buckets))
@@ -431,34 +481,31 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, kmer: int = KMER, batch_
 
     def strip(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         own = Batch(table, bits, least, kmer)
-        # of each content the smallest owner of all its windows where that is one, else its windows' in `each`
+        # of each content the smallest owner of all its windows where that is one, else (parted) its windows' in `each`, from `slot` on
         value = own.owner.copy()
-        each: dict[int, np.ndarray] = {}
-        number, place, count = taken(answers, "ids", "<u4"), taken(answers, "places", "<i4"), taken(answers, "counts", "<u4").astype(np.int64)
+        number, place, count = taken(answers, "ids", "<u4").astype(np.int64), taken(answers, "places", "<i4"), taken(answers, "counts", "<u4").astype(np.int64)
         owners, ends = taken(answers, "owners", "<i8"), np.cumsum(count)
         one = (place < 0) & (count == 1)
         value[number[one]] = owners[ends[one] - 1]
-        for k in np.flatnonzero(~one).tolist():
-            i = int(number[k])
-            if place[k] < 0:
-                each[i] = owners[ends[k] - count[k] : ends[k]]
-            else:
-                if i not in each:
-                    each[i] = np.full(int(own.windows[own.example[i]]), own.owner[i])
-                each[i][place[k]] = owners[ends[k] - 1]
+        parted = np.zeros(len(own.example), dtype=bool)
+        parted[number[~one]] = True
+        lengths = np.where(parted, own.windows[own.example], 0)
+        slot = np.cumsum(lengths) - lengths
+        each = np.repeat(own.owner, lengths)
+        for k in np.split(rest := np.flatnonzero(~one), range(AT_ONCE, len(rest), AT_ONCE)):
+            each[ranges(slot[number[k]] + np.maximum(place[k], 0), count[k])] = owners[ranges(ends[k] - count[k], count[k])]
         sizes = np.array([len(x) + 1 for x in own.texts], dtype=np.int64)
         base = np.cumsum(sizes) - sizes
         diff = np.zeros(int(sizes.sum()) + 1, dtype=np.int32)
         me = own.numbers[own.text]
-        parted = np.zeros(len(own.example), dtype=bool)
-        parted[list(each)] = True
         parted = parted[own.content]
         begin = base[own.text] + own.first
         gone = np.flatnonzero(~parted & (value[own.content] < me))
         np.add.at(diff, begin[gone], 1)
         np.add.at(diff, begin[gone] + own.windows[gone] + least - 1, -1)
-        for c in np.flatnonzero(parted).tolist():
-            hit = begin[c] + np.flatnonzero(each[int(own.content[c])] < me[c])
+        for c in np.split(rest := np.flatnonzero(parted), range(AT_ONCE, len(rest), AT_ONCE)):
+            windows = own.windows[c]
+            hit = ranges(begin[c], windows)[each[ranges(slot[own.content[c]], windows)] < np.repeat(me[c], windows)]
             np.add.at(diff, hit, 1)
             np.add.at(diff, hit + least, -1)
         covered = np.cumsum(diff, dtype=np.int32) > 0
@@ -479,7 +526,7 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, kmer: int = KMER, batch_
     by_batch = dealt.groupBy("batch")
     asked = by_batch.applyInArrow(ask, "bucket int, batch int, keys binary, marks binary")
     # one bucket for each task: by hashes some tasks would have several and others none
-    answered = asked.repartitionById(n, F.col("bucket")).mapInArrow(each_task(answer), "batch int, bucket int, shared binary, hot binary")
+    answered = asked.repartitionById(n, F.col("bucket")).mapInArrow(each_task(answer), "batch int, bucket int, shared binary, hot binary, spread binary")
     sent = by_batch.cogroup(answered.groupBy("batch")).applyInArrow(send, SENT)
     told = sent.repartitionById(n, F.col("bucket")).mapInArrow(each_task(lambda table: matched(table, least, block)), TOLD)
     return by_batch.cogroup(told.groupBy("batch")).applyInArrow(strip, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<struct<start: bigint, end: bigint>>")

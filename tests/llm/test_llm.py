@@ -161,6 +161,54 @@ def test_suffix_order():
     assert got == sorted(texts)
 
 
+def test_the_sort_tells_what_the_extension_starts_from():
+    """Common prefixes below 28 of 50 bytes are known from the sort, so that the extension has 22 steps at most."""
+    strings = [prose(12).encode() for _ in range(40)]
+    strings += [s[10:] + b"!" for s in strings[:20]] + strings[:5] + [b"ab" * 40]
+    symbols = np.concatenate([np.array([*(c + 1 for c in s), 0]) for s in strings])
+    reach = np.concatenate([np.arange(len(s), -1, -1) for s in strings])
+    texts = [s[a:] for s in strings for a in range(len(s) + 1)]
+    order, short, sure = repeats.suffixes(symbols, reach, 50)
+    assert sure == 28 and not short.all()
+    got = [texts[i] for i in order.tolist()]
+    assert short.tolist() == [True] + [len(a) < sure or a[:sure] != b[:sure] for a, b in zip(got, got[1:], strict=False)]
+
+
+def test_hot_cuts_are_cut_again_not_told_by_windows():
+    """A common beginning in many contexts: each window once, in a few pieces of each cut and not one for each window; equal windows have one key."""
+    middle = b"of the common words "
+    strings = [x[-34:] + middle[:16] + y[:34] for x, y in ((prose(20).encode(), prose(20).encode()) for _ in range(300))]
+    strings += [strings[0][5:] + b"z", strings[1][:60]]
+    low, which, place, parts = repeats.recut(strings, 50, 32)
+    windows, key = Counter(), {}
+    for k, i, a, x in zip(low.tolist(), which.tolist(), place.tolist(), parts, strict=True):
+        for j in range(len(x) - 49):
+            windows[i, a + j] += 1
+            assert strings[i][a + j : a + j + 50] == x[j : j + 50] and key.setdefault(x[j : j + 50], k) == k
+    assert windows == Counter((i, a) for i, s in enumerate(strings) for a in range(len(s) - 49))
+    assert sum(map(len, parts)) < sum(windows.values()) * 50 / 4
+
+
+@pytest.mark.parametrize("most", [60, 500, 5000])
+def test_windows_of_a_key_by_blocks(most):
+    strings = [prose(30).encode()[:120] for _ in range(40)]
+    strings += [strings[0][10:90], strings[1][:70] + strings[2][:70], b"ab" * 60, b"short", b"", b"x" * 177, strings[5]]
+    owners = np.array([rng.randrange(100) for _ in strings])
+    want, bounds = repeats.smallest_owners(strings, owners, 50)
+    got, at = repeats.smallest_in_blocks(strings, owners, 50, most)
+    assert got.tolist() == want.tolist() and at.tolist() == bounds.tolist()
+
+
+@pytest.mark.parametrize(("spread", "block"), [(1, 500), (10**6, 100)])
+def test_repeats_of_hot_minimizers(spark, docs, monkeypatch, spread, block):
+    """Dealt out by windows, and as keys with more cuts than several blocks hold."""
+    monkeypatch.setattr(repeats, "HOT_CUTS", 1)
+    monkeypatch.setattr(repeats, "SPREAD", spread)
+    monkeypatch.setattr(repeats, "BLOCK_SYMBOLS", block)
+    got = {r[0]: tuple(r)[1:5] for r in repeats.remove_repeats(docs).collect()}
+    assert got == without_repeats([(r[0], r[1]) for r in ROWS])
+
+
 def test_blocks_hold_whole_keys():
     keys = np.sort(np.array([rng.randrange(20) for _ in range(200)]))
     sizes = np.array([rng.randrange(1, 50) for _ in range(200)])
