@@ -13,7 +13,8 @@ is cut into maximal runs of windows with one minimizer (a cut is about 67 bytes,
    one), and dealt out by those. Only of minimizers with SPREAD times as many cuts it hands out the windows, dealt out by their own
    hash: no task is given more than so many cuts of one minimizer.
 3. A task goes through its cuts in blocks of whole minimizers. It builds the Burrows-Wheeler transform of a block's distinct cuts;
-   breadth-first backward extension derives the common prefixes of neighbours in suffix order by increasing value: step l extends
+   breadth-first backward extension derives the common prefixes of neighbours in suffix order by increasing value, from 28 bytes on
+   (shorter ones the sort has found on its way): step l extends
    every interval of a string of l bytes that is still open (has two suffixes or more) by each byte before it, and where an
    extended interval ends a prefix of exactly l is found. It stops at `least`. Neighbours without a shorter common prefix share a
    window, whose smallest doc_id is that of its interval. What a smaller doc_id has goes back to the batches. Where one key alone
