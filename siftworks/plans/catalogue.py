@@ -409,10 +409,10 @@ def marked(c):
     return F.concat(F.lit("[en] "), text.capitals(c))
 
 
-@query(f"SELECT doc_id, substr(CASE WHEN coalesce(length({strip('text')}) >= 10 AND length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) / length(text) <= 0.85::DOUBLE, false) THEN '[en] ' || upper(text) ELSE text END, 1, 500) AS english FROM {T}")
+@query(f"SELECT doc_id, CASE WHEN coalesce(length({strip('text')}) >= 10 AND length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) / length(text) <= 0.85::DOUBLE, false) THEN '[en] ' || upper(text) ELSE text END AS english FROM {T}")
 def translated(spark, sf_dir):
-    """The hook for a translation: only texts that are long enough and not mostly ASCII go through it."""
-    return texts(spark, sf_dir).select("doc_id", F.substring(leads.in_english(F.col("text"), marked), 1, 500).alias("english"))
+    """The hook for a translation: only texts that are long enough and not mostly ASCII go through it, whole."""
+    return texts(spark, sf_dir).select("doc_id", leads.in_english(F.col("text"), marked).alias("english"))
 
 
 RAW = f"""SELECT page_id, {every('lower(html)', rules.STAGES, ' | ')} AS stage, {every('lower(html)', rules.TECH, ' + ')} AS tech,

@@ -160,6 +160,16 @@ def test_capitals_are_one_character_each(spark):
     assert one(spark, text.capitals, "stra\xdfe\n\xe9\ufb01x") == "STRA\u1e9eE\n\xc9\ufb01X" and one(spark, text.capitals, "") == "" and one(spark, text.capitals, None) is None
 
 
+def test_translations_are_whole(spark, tmp_path):
+    """Texts beyond the width of a lead's columns, translated or not, null and short ones."""
+    from siftworks.plans import catalogue
+
+    rows = [(1, "стра\xdfe " * 300 + "end"), (2, "plain words " * 300 + "end"), (3, None), (4, "é" * 9)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = dict(map(tuple, catalogue.QUERIES["translated"](spark, str(tmp_path)).where("doc_id > 0").collect()))
+    assert got == {1: "[en] " + "СТРА\u1e9eE " * 300 + "END", 2: rows[1][1], 3: None, 4: "é" * 9}
+
+
 def test_few_pages_are_held_at_a_time(spark):
     import pyarrow as pa
 
