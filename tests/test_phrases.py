@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +46,33 @@ def test_counts_and_bands_against_searches(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(first.items(), key=str)
 
 
+def test_places_are_not_looked_up_for_each_length(spark, monkeypatch):
+    """Phrases of 40 lengths, of which few beginnings are in the texts: fewer looks into the filter than there are places."""
+    plain = random.Random(5)
+    wanted = ["".join(plain.choice("abcdefgh") for _ in range(5 + k % 40)) for k in range(2000)]
+    texts = ["".join(plain.choice("abcdefghijklmnop") for _ in range(3000)) + w for w in wanted[:20]]
+    looks, marked = [], phrases.marked
+    scan = phrases.Scan(*phrases.scan_of(phrases.named(spark.createDataFrame([(w,) for w in wanted], "phrase string"))).value, phrases.CHUNK)
+    monkeypatch.setattr(phrases, "marked", lambda at, held: looks.append(len(at)) or marked(at, held))
+    list(scan.may_be([t.encode() for t in texts]))
+    assert 0 < sum(looks) < sum(map(len, texts))
+
+
+@pytest.mark.parametrize("codes", [1, 40, 1 << 60])
+def test_strings_of_one_code_are_told_apart(codes):
+    """Equal strings always have one code; others may share it, of one size or several."""
+    plain = random.Random(codes)
+    raw = "".join(plain.choice("ab") for _ in range(400)).encode()
+    where = [(plain.randrange(350), plain.choice([3, 8, 9, 17, 30])) for _ in range(600)]
+    grams = [raw[i : i + k] for i, k in where]
+    code = [hash(g) % codes for g in grams]
+    at, size = (np.array(x) for x in zip(*where, strict=True))
+    number, one = phrases.alike(np.frombuffer(raw + bytes(8), np.uint8), at, size, np.array(code, dtype=np.uint64))
+    assert [grams[one[k]] for k in number] == grams and len(one) == len(set(grams)) and sorted(set(number.tolist())) == list(range(len(one)))
+    kept, starts = phrases.strings(np.frombuffer(raw, np.uint8), at, size)
+    assert kept.tobytes() == b"".join(grams) and starts[-1] == len(kept)
+
+
 def test_given_rules_as_a_table(spark):
     table = spark.createDataFrame([(k, label, w) for k, (label, words) in enumerate(rules.PRODUCT) for w in words], "priority int, label string, phrase string")
     words = [w for _, ws in rules.PRODUCT for w in ws]
